@@ -7,6 +7,8 @@ from tallywise.catalog.registry import REGISTERED, Query
 
 def registered() -> dict[str, Query]:
     """All queries by name."""
-    from tallywise.catalog import compare_queries, grid_tree_queries, table_queries  # noqa: F401
+    from tallywise.catalog import (  # noqa: F401
+        compare_queries, enrich_queries, generate_queries, grid_tree_queries, table_queries,
+    )
 
     return REGISTERED
