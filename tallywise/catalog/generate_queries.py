@@ -123,7 +123,7 @@ def edge_cases(spark, folder):
 
 
 @query("range_profile", """
-SELECT 'before' AS stage, 'value' AS col_name, min(value) AS min_value, max(value) AS max_value FROM events
+SELECT 'before' AS stage, 'value' AS col_name, min(value) + 0.0 AS min_value, max(value) + 0.0 AS max_value FROM events
 UNION ALL SELECT 'after', 'value', least(min(value), -40.0), greatest(max(value), 1e6) FROM events
 """)
 def range_profile(spark, folder):
@@ -177,8 +177,7 @@ _NAMES = ["Henry", "Toronto", "Elle", "Hein"]
 
 
 def _redacted_sql(text: str) -> str:
-    listed = "|".join(sorted(_NAMES, key=lambda n: (-len(n), n)))
-    for pattern, put in [*privacy.REDACTIONS, (f"(^|[^0-9A-Za-z])({listed})", "$1*")]:
+    for pattern, put in [*privacy.REDACTIONS, privacy.name_redaction(_NAMES)]:
         put = put.replace("$1", "\\1")
         text = f"regexp_replace({text}, '{pattern}', '{put}', 'g')"
     return text

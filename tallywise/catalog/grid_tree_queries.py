@@ -9,7 +9,7 @@ from tallywise.catalog.registry import query, table
 from tallywise.functions.labels import cell_name, column_letters
 from tallywise.operators import grid
 from tallywise.operators.frames import cast_all_string
-from tallywise.operators.tree import tree_diff
+from tallywise.operators.tree import compare_documents, tree_diff
 from tallywise.sources.cells import to_cells
 from tallywise.sources.xmldocs import malformed_documents, shred_xml
 
@@ -132,10 +132,13 @@ def cell_names(spark, folder):
 _FIELDS = ["o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice"]
 
 
-def _order_nodes(spark, folder):
+def _order_documents(spark, folder):
     sides = [cast_all_string(side) for side in orders_pair(spark, folder)]
-    docs = [side.select(F.col("o_orderkey").alias("doc_id"), F.to_xml(F.struct(*_FIELDS)).alias("xml")) for side in sides]
-    return [shred_xml(doc, "doc_id", "xml") for doc in docs]
+    return [side.select(F.col("o_orderkey").alias("doc_id"), F.to_xml(F.struct(*_FIELDS)).alias("xml")) for side in sides]
+
+
+def _order_nodes(spark, folder):
+    return [shred_xml(docs, "doc_id", "xml") for docs in _order_documents(spark, folder)]
 
 
 # A null field is left out of the document: the price then stands where the
@@ -167,6 +170,12 @@ def tree_differences_strict(spark, folder):
     return tree_diff(*_order_nodes(spark, folder))
 
 
+@query("compare_documents", _TREE)
+def compared_documents(spark, folder):
+    """The same differences, parsing only the documents whose text differs."""
+    return compare_documents(*_order_documents(spark, folder), "doc_id", "xml", ignore_whitespace=True)
+
+
 def _attribute_doc(order: list[str], flag):
     """``<lines><line .../></lines>`` with attributes written in the given order."""
     shown = {

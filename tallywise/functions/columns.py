@@ -31,6 +31,15 @@ def key_struct(names: Sequence[str]) -> Column:
     return F.struct(*[col(n).alias(n) for n in names])
 
 
+#: Field of a value struct without columns.
+NO_VALUES = "_none"
+
+
+def value_struct(names: Sequence[str]) -> Column:
+    """The non-key columns of a row as one struct; compares field by field, nulls first."""
+    return F.struct(*[col(n).alias(n) for n in names] or [F.lit(None).cast("string").alias(NO_VALUES)])
+
+
 def as_text(column: Column, data_type: T.DataType) -> Column:
     """The string form values are compared in; maps print in key order."""
     if isinstance(data_type, T.StringType):

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window as W
 
 from tallywise.functions.columns import col, cols, key_struct
 from tallywise.functions.records import fill_missing, missing_as_null
+from tallywise.session import stored
 
 
 # -- model seam ---------------------------------------------------------------
@@ -35,6 +36,7 @@ def map_distinct(df: DataFrame, column: str, fn: Callable[[pd.Series], pd.DataFr
 
     ``fn`` takes a series of values and returns a frame with the columns of
     ``schema``, in the same order. ``parallelism`` sets how many tasks call it.
+    Results are stored before the join, so no retry pays for the calls again.
     """
     values = df.select(col(column).alias("_value")).where(F.col("_value").isNotNull()).distinct()
     if parallelism:
@@ -47,7 +49,7 @@ def map_distinct(df: DataFrame, column: str, fn: Callable[[pd.Series], pd.DataFr
             found.insert(0, "_value", batch["_value"].reset_index(drop=True))
             yield found
 
-    results = values.mapInPandas(score, f"_value {kind}, {schema}")
+    results = stored(values.mapInPandas(score, f"_value {kind}, {schema}"), "responses")
     joined = df.join(results, col(column) == results["_value"], "left")
     return joined.drop("_value")
 
@@ -101,6 +103,7 @@ def impute_any(df: DataFrame, targets: Mapping[str, Sequence[str]]) -> DataFrame
     for i, (target, by) in enumerate(targets.items()):
         known = df.dropna(subset=list(by))
         modes = group_mode(known, by, target, f"_m{i}").select(key_struct(by).alias("_k"), f"_m{i}")
+        modes = stored(modes, "modes")
         out = out.withColumn("_k", key_struct(by)).join(modes, "_k", "left").drop("_k")
     place = {target: i for i, target in enumerate(targets)}
     return out.select(*[
@@ -126,7 +129,7 @@ def impute_numeric(df: DataFrame, targets: Mapping[str, str], by: Sequence[str]
 
     fills = [stat(c).alias(f"_f{i}") for i, c in enumerate(targets)]
     if by:
-        stats = df.groupBy(key_struct(by).alias("_k")).agg(*fills)
+        stats = stored(df.groupBy(key_struct(by).alias("_k")).agg(*fills), "group-stats")
         joined = df.withColumn("_k", key_struct(by)).join(stats, "_k", "left")
         filled = {c: F.col(f"_f{i}") for i, c in enumerate(targets)}
     else:
@@ -161,60 +164,55 @@ def fill_series(df: DataFrame, ts: str, value: str, keys: Sequence[str] = (), ho
 
     ``locf`` carries the last value forward, ``linear`` interpolates between the
     neighbours; gaps at the end carry forward and gaps at the start backward.
-    ``df`` holds at most one row per key and day. Series are cut into chunks of
-    days: windows run inside chunks, and only one row per chunk is windowed over
-    a whole series, so a long series is not one task's work.
+    ``df`` holds at most one row per key and day.
+
+    Series are cut into chunks of days. Windows over the rows run inside chunks;
+    what a chunk must know of the others comes from one row per chunk, so a long
+    series is not one task's work. Each row then makes the days up to the next.
     """
-    day = F.to_date(col(ts))
+    if how not in ("locf", "linear"):
+        raise ValueError(f"unknown method {how!r}")
     kind = df.schema[value].dataType.simpleString()
     known = df.select(
-        key_struct(keys).alias("_k") if keys else F.struct(F.lit(1).alias("all")).alias("_k"),
-        day.alias("_day"), missing_as_null(col(value), kind).cast("double").alias("_v"),
+        (key_struct(keys) if keys else F.struct(F.lit(1).alias("all"))).alias("_k"),
+        F.to_date(col(ts)).alias("_day"), missing_as_null(col(value), kind).cast("double").alias("_v"),
     ).where(F.col("_day").isNotNull())
-
-    def chunk_of(date: Column) -> Column:
-        return F.floor(F.unix_date(date) / chunk_days).cast("int")
-
-    ends = known.groupBy("_k").agg(F.min("_day").alias("_lo"), F.max("_day").alias("_hi"))
-    chunks = ends.select(
-        "_k", "_lo", "_hi", F.explode(F.sequence(chunk_of(F.col("_lo")), chunk_of(F.col("_hi")))).alias("_c")
-    )
-    first = F.greatest(F.col("_lo"), F.date_from_unix_date(F.col("_c") * chunk_days))
-    last = F.least(F.col("_hi"), F.date_from_unix_date((F.col("_c") + 1) * chunk_days - 1))
-    calendar = chunks.select("_k", "_c", F.explode(F.sequence(first, last)).alias("_day"))
+    chunk = F.floor(F.unix_date("_day") / chunk_days).cast("int")
     point = F.when(F.col("_v").isNotNull(), F.struct(F.col("_day").alias("d"), F.col("_v").alias("v")))
+    known = known.select("_k", "_day", "_v", chunk.alias("_c"), point.alias("_p"))
 
-    # Known points just outside each chunk, from one row per chunk.
-    edges = known.groupBy("_k", chunk_of(F.col("_day")).alias("_c")).agg(
-        F.min(point).alias("_first"), F.max(point).alias("_last")
+    chunks = known.groupBy("_k", "_c").agg(
+        F.min("_day").alias("_first_day"), F.min("_p").alias("_first"), F.max("_p").alias("_last")
     )
-    edges = chunks.select("_k", "_c").join(edges, ["_k", "_c"], "left")
     up = W.partitionBy("_k").orderBy("_c").rowsBetween(W.unboundedPreceding, -1)
-    down = W.partitionBy("_k").orderBy(F.desc("_c")).rowsBetween(W.unboundedPreceding, -1)
-    edges = edges.select(
+    down = W.partitionBy("_k").orderBy(F.desc("_c"))
+    around = chunks.select(
         "_k", "_c",
         F.last("_last", ignorenulls=True).over(up).alias("_before"),
-        F.last("_first", ignorenulls=True).over(down).alias("_after"),
+        F.last("_first", ignorenulls=True).over(down.rowsBetween(W.unboundedPreceding, -1)).alias("_after"),
+        F.lag("_first_day").over(down).alias("_next_chunk"),
     )
-    days = calendar.join(known, ["_k", "_day"], "left").withColumn("_p", point)
-    inside_up = W.partitionBy("_k", "_c").orderBy("_day").rowsBetween(W.unboundedPreceding, 0)
-    inside_down = W.partitionBy("_k", "_c").orderBy(F.desc("_day")).rowsBetween(W.unboundedPreceding, 0)
-    near = days.select(
+    inside = W.partitionBy("_k", "_c")
+    later = inside.orderBy(F.desc("_day"))
+    near = known.select(
         "_k", "_c", "_day", "_v",
-        F.last("_p", ignorenulls=True).over(inside_up).alias("_in_up"),
-        F.last("_p", ignorenulls=True).over(inside_down).alias("_in_down"),
-    ).join(edges, ["_k", "_c"])
-    prev, following = F.coalesce("_in_up", "_before"), F.coalesce("_in_down", "_after")
-    carried = F.coalesce(prev.getField("v"), following.getField("v"))
-    if how == "locf":
-        guess = carried
-    elif how == "linear":
+        F.last("_p", ignorenulls=True).over(inside.orderBy("_day").rowsBetween(W.unboundedPreceding, 0)).alias("_up"),
+        F.last("_p", ignorenulls=True).over(later.rowsBetween(W.unboundedPreceding, -1)).alias("_down"),
+        F.lag("_day").over(later).alias("_next_day"),
+    ).join(around, ["_k", "_c"])
+    until = F.date_sub(F.coalesce("_next_day", "_next_chunk", F.date_add("_day", 1)), 1)
+    days = near.select(
+        "_k", "_v", F.coalesce("_up", "_before").alias("_prev"), F.coalesce("_down", "_after").alias("_following"),
+        F.col("_day").alias("_own"), F.explode(F.sequence("_day", until)).alias("_day"),
+    )
+    prev, following = F.col("_prev"), F.col("_following")
+    guess = F.coalesce(prev.getField("v"), following.getField("v"))
+    if how == "linear":
         span = F.date_diff(following.getField("d"), prev.getField("d"))
         share = F.date_diff(F.col("_day"), prev.getField("d")) / span
         between = prev.getField("v") + (following.getField("v") - prev.getField("v")) * share
-        guess = F.when(prev.isNotNull() & following.isNotNull() & (span > 0), between).otherwise(carried)
-    else:
-        raise ValueError(f"unknown method {how!r}")
+        guess = F.when(prev.isNotNull() & following.isNotNull(), between).otherwise(guess)
+    measured = F.when(F.col("_day") == F.col("_own"), F.col("_v"))
     parts = [F.col("_k").getField(k).alias(k) for k in keys]
-    return near.select(*parts, F.col("_day").alias(ts), F.coalesce("_v", guess).alias(value),
-                       F.col("_v").isNull().alias("filled"))
+    return days.select(*parts, F.col("_day").alias(ts), F.coalesce(measured, guess).alias(value),
+                       measured.isNull().alias("filled"))

@@ -11,6 +11,7 @@ from tallywise.functions.columns import col, cols
 from tallywise.functions.hashing import hash_uniform, pick, spread_key
 from tallywise.operators.frames import append_rows
 from tallywise.operators.numbering import BUCKET_DIGITS, number_in_group, repeat_rows
+from tallywise.session import stored
 
 #: Builds a column from a uniform number and the row's id.
 Maker = Callable[[Column, Column], Column]
@@ -76,6 +77,8 @@ def replicate(df: DataFrame, row_id: str, group: Sequence[str], needed: DataFram
     numbered in hash order; each is copied ``n_needed div n_rows`` times and the
     first ``n_needed mod n_rows`` once more. Copies are numbered from 0.
     """
+    if group:
+        df = df.join(needed, list(group), "left_semi")
     numbered = number_in_group(df, group, spread_key([col(row_id)]), [col(row_id)], "_idx", digits)
     if group:
         sized = numbered.join(needed, list(group))
@@ -96,7 +99,7 @@ def rebalance(df: DataFrame, label: str, row_id: str, digits: int = BUCKET_DIGIT
     """
     sizes = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n_rows"))
     largest = sizes.agg(F.max("n_rows").alias("n")).scalar()
-    needed = sizes.withColumn("n_needed", largest - F.col("n_rows")).where(F.col("n_needed") > 0)
+    needed = stored(sizes.withColumn("n_needed", largest - F.col("n_rows")).where(F.col("n_needed") > 0), "deficits")
     copies = replicate(df, row_id, [label], needed, "_copy", digits).drop("_copy")
     return append_rows(df.withColumn("is_copy", F.lit(0)), copies.withColumn("is_copy", F.lit(1)))
 

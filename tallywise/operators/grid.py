@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywise.functions.compare import differs, differs_rounded
 from tallywise.functions.labels import cell_name
+from tallywise.session import stored
 
 
 def sheet_presence(base: DataFrame, actual: DataFrame) -> DataFrame:
@@ -22,9 +23,10 @@ def grid_diff(base: DataFrame, actual: DataFrame, round_off: int | None = None)
 
     Cells pair by position; an absent cell equals an empty one, so a position
     held by one side only differs exactly when its value is not null. Filtering
-    nulls first keeps them out of the shuffle.
+    nulls first keeps them out of the shuffle. The shared sheet names are stored
+    first, so that restricting the cells to them does not shuffle cells by sheet.
     """
-    common = sheet_presence(base, actual).where(F.col("side") == "both").select("sheet")
+    common = stored(sheet_presence(base, actual).where(F.col("side") == "both").select("sheet"), "sheets")
     place = ["sheet", "row_no", "col_no"]
 
     def side(df: DataFrame, name: str) -> DataFrame:

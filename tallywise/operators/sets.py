@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tallywise.functions.columns import col, cols, key_struct
+from tallywise.functions.columns import col, cols, key_struct, value_struct
 from tallywise.operators.frames import common_columns
 from tallywise.operators.numbering import bucket_of, repeat_rows, start_in_group
 from tallywise.functions.hashing import spread_key
@@ -40,20 +40,21 @@ def duplicate_keys(df: DataFrame, pk: Sequence[str]) -> DataFrame:
     return df.groupBy(*cols(pk)).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def duplicate_rows(df: DataFrame, pk: Sequence[str], rest: Sequence[str] | None = None) -> DataFrame:
+def duplicate_rows(df: DataFrame, pk: Sequence[str], rest: Sequence[str] | None = None,
+                   survivors: DataFrame | None = None) -> DataFrame:
     """All rows of a key but its survivor, numbered from 2 in ``rn``.
 
-    Identical rows are folded to one row and a count before any shuffle by key
-    and unfolded at the end. Numbers follow hash buckets and then the values, so
-    the rows of one heavy key are numbered by many tasks.
+    ``survivors`` holds ``_k, _keep`` for the keys to look at, when they are
+    known already. Identical rows are folded to one row and a count before they
+    are shuffled by key, and unfolded at the end. Numbers follow hash buckets
+    and then the values, so the rows of one heavy key are numbered by many tasks.
     """
     rest = [c for c in df.columns if c not in set(pk)] if rest is None else list(rest)
     folded = df.groupBy(*cols([*pk, *rest])).agg(F.count(F.lit(1)).alias("_n"))
-    values = F.struct(*[col(c).alias(c) for c in rest]) if rest else F.struct(F.lit(1).alias("all"))
-    folded = folded.select("*", key_struct(pk).alias("_k"), values.alias("_v"))
-    survivors = (
-        folded.groupBy("_k").agg(F.min("_v").alias("_keep"), F.sum("_n").alias("_total")).where(F.col("_total") > 1)
-    )
+    folded = folded.select("*", key_struct(pk).alias("_k"), value_struct(rest).alias("_v"))
+    if survivors is None:
+        kept = folded.groupBy("_k").agg(F.min("_v").alias("_keep"), F.sum("_n").alias("_total"))
+        survivors = kept.where(F.col("_total") > 1).drop("_total")
     marked = folded.join(survivors, "_k").withColumn("_kept", F.col("_v").eqNullSafe(F.col("_keep")))
     bucket = F.when(F.col("_kept"), "").otherwise(bucket_of(spread_key(cols(rest) or [F.lit(1)])))
     marked = marked.select(*cols([*pk, *rest]), "_n", bucket.alias("_bucket"))
@@ -139,13 +140,13 @@ def class_distribution(df: DataFrame, label: str) -> DataFrame:
 
 
 def range_profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Smallest and largest value per column, in one pass."""
+    """Smallest and largest value per column, in one pass; negative zero counts as zero."""
     ends = df.agg(*[
         agg(col(c)).alias(f"{tag}{i}") for i, c in enumerate(names) for tag, agg in (("lo", F.min), ("hi", F.max))
     ])
     rows = [
-        F.struct(F.lit(c).alias("col_name"), F.col(f"lo{i}").cast("double").alias("min_value"),
-                 F.col(f"hi{i}").cast("double").alias("max_value"))
+        F.struct(F.lit(c).alias("col_name"), (F.col(f"lo{i}").cast("double") + 0.0).alias("min_value"),
+                 (F.col(f"hi{i}").cast("double") + 0.0).alias("max_value"))
         for i, c in enumerate(names)
     ]
     return ends.select(F.inline(F.array(*rows)))

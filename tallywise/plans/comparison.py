@@ -17,15 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywise.functions.columns import as_text, col, cols
+from tallywise.functions.columns import as_text, cols, key_struct, value_struct
 from tallywise.functions.compare import differs, differs_rounded
 from tallywise.operators import sets
 from tallywise.operators.frames import cast_all_string, common_columns, drop_columns, require_columns
 from tallywise.session import scratch_path
 
-#: Field of a side's struct when every shared column is a key.
-_NO_VALUES = "_none"
-
 
 @dataclass(frozen=True)
 class Comparison:
@@ -42,8 +39,7 @@ class Comparison:
     # -- the keyed frame ---------------------------------------------------
 
     def _tagged(self, df: DataFrame, is_base: bool) -> DataFrame:
-        values = [col(c).alias(c) for c in self.columns] or [F.lit(None).cast("string").alias(_NO_VALUES)]
-        return df.select(*cols(self.pk), F.lit(is_base).alias("_base"), F.struct(*values).alias("_row"))
+        return df.select(*cols(self.pk), F.lit(is_base).alias("_base"), value_struct(self.columns).alias("_row"))
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -205,18 +201,14 @@ class Comparison:
     def duplicate_rows(self, common_only: bool = True) -> DataFrame:
         """Second and later rows per key and side, numbered from 2."""
         parts = []
-        for side, df in (("base", self.base), ("actual", self.actual)):
-            rows = self._shared(df)
-            if common_only:
-                rows = sets.rows_with_keys(rows, self._heavy_common_keys(side), self.pk)
-            part = sets.duplicate_rows(rows, self.pk, self.columns)
+        for side, df, count, row in (("base", self.base, "nb", "b"), ("actual", self.actual, "na", "a")):
+            heavy = F.col(count) > 1
+            keys = self.pairs.where(heavy & self._on_both if common_only else heavy)
+            survivors = keys.select(key_struct(self.pk).alias("_k"), F.col(row).alias("_keep"))
+            part = sets.duplicate_rows(self._shared(df), self.pk, self.columns, survivors)
             parts.append(part.select(F.lit(side).alias("side"), "*"))
         return parts[0].unionByName(parts[1])
 
-    def _heavy_common_keys(self, side: str) -> DataFrame:
-        count = "nb" if side == "base" else "na"
-        return self.pairs.where(self._on_both & (F.col(count) > 1)).select(*cols(self.pk))
-
     def extra_rows(self, side: str) -> DataFrame:
         """All rows, with all their columns, whose key the other side lacks."""
         df, other = (self.base, "na") if side == "base" else (self.actual, "nb")

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the operators were planned for. All of them are defaults or safe
 #: to override; none is needed for right results.
@@ -69,3 +69,16 @@ def ensure_checkpoints(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived frame to the shared folder and read it back.
+
+    Its lineage is cut for good, and the planner learns its true size: a join
+    with it is broadcast when it is under the session's threshold and shuffled,
+    with skew handling, when it is not. Without this the planner assumes the
+    size of the inputs and shuffles the large side before it finds out.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

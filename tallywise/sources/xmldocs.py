@@ -5,7 +5,7 @@ from __future__ import annotations
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,19 +25,55 @@ def _sibling_order(element: ET.Element):
     return element.tag, sorted(element.attrib.items())
 
 
-def _node_rows(doc_id, text: str) -> Iterator[tuple]:
+def _node_rows(text: str | None) -> Iterator[tuple]:
+    """Nodes of one document: place, tags above, tag, text, tail, attributes, children, error."""
     try:
         root = ET.fromstring(text)
     except (ET.ParseError, TypeError, ValueError) as problem:
-        yield doc_id, [], "", None, None, None, {}, 0, str(problem)
+        yield [], "", None, None, None, [], 0, str(problem)
         return
     waiting = [(root, [], "")]
     while waiting:
-        node, place, parent = waiting.pop()
-        yield doc_id, place, parent, node.tag, node.text, node.tail, dict(node.attrib), len(node), None
-        path = f"{parent}/{node.tag}"
-        children = sorted(node, key=_sibling_order)
-        waiting.extend((child, [*place, i], path) for i, child in enumerate(children))
+        node, place, above = waiting.pop()
+        yield place, above, node.tag, node.text, node.tail, list(node.attrib.items()), len(node), None
+        if len(node):
+            path = f"{above}/{node.tag}"
+            for i, child in enumerate(sorted(node, key=_sibling_order)):
+                waiting.append((child, [*place, i], path))
+
+
+_NODE_TYPES = {
+    "ord_path": pa.list_(pa.int32()),
+    "parent_path": pa.string(),
+    "tag": pa.string(),
+    "text": pa.string(),
+    "tail": pa.string(),
+    "attrs": pa.map_(pa.string(), pa.string()),
+    "n_children": pa.int32(),
+    "error": pa.string(),
+}
+
+
+def _shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, docs = batch.column(0), batch.column(1)
+        owners: list[int] = []
+        rows: list[tuple] = []
+
+        def node_batch() -> pa.RecordBatch:
+            fields = zip(*rows)
+            arrays = [pa.array(list(values), kind) for values, kind in zip(fields, _NODE_TYPES.values())]
+            return pa.record_batch([ids.take(pa.array(owners, pa.int64())), *arrays], ["doc_id", *_NODE_TYPES])
+
+        for i in range(len(docs)):
+            for row in _node_rows(docs[i].as_py()):
+                owners.append(i)
+                rows.append(row)
+                if len(rows) >= _NODES_PER_BATCH:
+                    yield node_batch()
+                    owners, rows = [], []
+        if rows:
+            yield node_batch()
 
 
 def shred_xml(df: DataFrame, doc_id: str, xml: str) -> DataFrame:
@@ -58,21 +94,7 @@ def shred_xml(df: DataFrame, doc_id: str, xml: str) -> DataFrame:
         T.StructField("n_children", T.IntegerType()),
         T.StructField("error", T.StringType()),
     ])
-    names = schema.fieldNames()
-
-    def shred(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows: list[tuple] = []
-            for ident, text in zip(batch["id"], batch["xml"]):
-                for row in _node_rows(ident, text):
-                    rows.append(row)
-                    if len(rows) >= _NODES_PER_BATCH:
-                        yield pd.DataFrame(rows, columns=names)
-                        rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=names)
-
-    return df.select(col(doc_id).alias("id"), col(xml).alias("xml")).mapInPandas(shred, schema)
+    return df.select(col(doc_id).alias("id"), col(xml).alias("xml")).mapInArrow(_shred, schema)
 
 
 def malformed_documents(nodes: DataFrame) -> DataFrame:
