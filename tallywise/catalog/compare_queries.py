@@ -28,6 +28,12 @@ def changed_cells_with_duplicates(spark, folder):
     return lines_comparison(spark, folder).changed_cells()
 
 
+@query("changed_cells_narrowed", f"WITH {LINES_CELLS} SELECT * FROM cells")
+def changed_cells_narrowed(spark, folder):
+    """The same cells, shuffling hashes and the rows of suspect keys only."""
+    return lines_comparison(spark, folder).narrowed().changed_cells()
+
+
 @query("wide_diff", f"""
 WITH {ORDERS_SIDES}
 SELECT b.o_orderkey,
@@ -290,7 +296,7 @@ def verdict_same_side(spark, folder):
     return reports.verdict(compare(base, base, LINES_KEY))
 
 
-@query("summary", f"""
+_SUMMARY = f"""
 WITH {LINES_CELLS}, {_extra_sql("x AS (SELECT 1)", LINES_KEY)}, counts AS (
   SELECT l_orderkey, l_linenumber, sum(nb) AS nb, sum(na) AS na
   FROM (SELECT *, 1 AS nb, 0 AS na FROM base UNION ALL SELECT *, 0 AS nb, 1 AS na FROM actual) GROUP BY 1, 2)
@@ -320,9 +326,21 @@ SELECT metric, CAST(value AS VARCHAR) AS value FROM (
     (SELECT CAST(CAST(sum(nb - 1) AS BIGINT) AS VARCHAR) FROM counts WHERE nb > 0 AND na > 0)
   UNION ALL SELECT 'Regression Excess Rows of Common Keys',
     (SELECT CAST(CAST(sum(na - 1) AS BIGINT) AS VARCHAR) FROM counts WHERE nb > 0 AND na > 0))
-""")
+"""
+
+
+@query("summary", _SUMMARY)
 def summary(spark, folder):
-    cmp = lines_comparison(spark, folder)
+    return _summary_of(lines_comparison(spark, folder))
+
+
+@query("summary_of_stored_findings", _SUMMARY)
+def summary_of_stored_findings(spark, folder):
+    """The same numbers from the stored findings, clean keys only counted."""
+    return _summary_of(lines_comparison(spark, folder).stored())
+
+
+def _summary_of(cmp):
     least = sets.smallest_value(cmp.base, ["l_shipdate", "l_quantity"])
     return reports.summary(cmp, {
         "product": "DAILY",

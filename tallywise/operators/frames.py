@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallywise.functions.columns import col, cols, texts
+from tallywise.functions.columns import as_text, col, cols, texts
 
 
 def cast_all_string(df: DataFrame) -> DataFrame:
@@ -15,6 +16,14 @@ def cast_all_string(df: DataFrame) -> DataFrame:
     return df.select(*texts(df))
 
 
+def maps_as_text(df: DataFrame) -> DataFrame:
+    """Map columns as text in key order, all others as they are."""
+    return df.select(*[
+        as_text(col(f.name), f.dataType).alias(f.name) if isinstance(f.dataType, T.MapType) else col(f.name)
+        for f in df.schema.fields
+    ])
+
+
 def drop_columns(df: DataFrame, exclude: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Drop columns; absent and empty names are ignored, keys may not be dropped."""
     held = [k for k in keys if k in exclude]

@@ -15,13 +15,12 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallywise.functions.columns import as_text, cols, key_struct, value_struct
+from tallywise.functions.columns import as_text, col, cols, key_struct, value_struct
 from tallywise.functions.compare import differs, differs_rounded
 from tallywise.operators import sets
-from tallywise.operators.frames import cast_all_string, common_columns, drop_columns, require_columns
-from tallywise.session import scratch_path
+from tallywise.operators.frames import cast_all_string, common_columns, drop_columns, maps_as_text, require_columns
+from tallywise.session import scratch_path, stored
 
 
 @dataclass(frozen=True)
@@ -34,7 +33,8 @@ class Comparison:
     columns: tuple[str, ...]
     value_mode: str = "string"
     tolerance: int | None = None
-    stored_pairs: DataFrame | None = None
+    stored_findings: DataFrame | None = None
+    clean_keys: int = 0
 
     # -- the keyed frame ---------------------------------------------------
 
@@ -48,8 +48,6 @@ class Comparison:
         The survivor is the smallest row by the compared columns, nulls first.
         Presence is told by the counts, never by the structs.
         """
-        if self.stored_pairs is not None:
-            return self.stored_pairs
         both = self._tagged(self.base, True).unionAll(self._tagged(self.actual, False))
         on_base = F.col("_base")
         return both.groupBy(*cols(self.pk)).agg(
@@ -59,15 +57,63 @@ class Comparison:
             F.count(F.when(~on_base, True)).alias("na"),
         )
 
+    @property
+    def findings(self) -> DataFrame:
+        """``pairs``, or what was stored of it: every key there is something to say about."""
+        return self.pairs if self.stored_findings is None else self.stored_findings
+
     def stored(self, path: str | None = None) -> Comparison:
-        """Write ``pairs`` to the shared folder and go on from there.
+        """Write the findings to the shared folder and go on from there.
+
+        Keys with one equal row on each side are left out and only counted, so
+        what is written grows with the differences, not with the data. Worth it
+        before taking several results: they share one shuffle, and a lost
+        executor costs no recomputation.
+        """
+        spark = self.base.sparkSession
+        path = path or scratch_path(spark, "findings")
+        clean = (F.col("nb") == 1) & (F.col("na") == 1) & F.col("b").eqNullSafe(F.col("a"))
+        self.pairs.where(~clean).write.parquet(path)
+        findings = spark.read.parquet(path)
+        found = findings.agg(F.coalesce(F.sum("nb"), F.lit(0))).first()[0]
+        return replace(self, stored_findings=findings, clean_keys=self.base.count() - found)
+
+    def suspect_keys(self) -> DataFrame:
+        """Keys on both sides that may hold a change, found without moving rows.
+
+        Rows travel as two 64-bit hashes that also tell which cells are null.
+        Keys with several rows on a side are always kept. A changed key escapes
+        only if both hashes collide.
+        """
+        def hashed(df: DataFrame, is_base: bool) -> DataFrame:
+            marks = [part for c in self.columns for part in (as_text(col(c), df.schema[c].dataType), col(c).isNull())]
+            return df.select(*cols(self.pk), F.lit(is_base).alias("_base"),
+                             F.xxhash64(F.lit(0), *marks).alias("_h"), F.xxhash64(F.lit(1), *marks).alias("_i"))
+
+        both = hashed(self.base, True).unionAll(hashed(self.actual, False))
+        on_base = F.col("_base")
+        keys = both.groupBy(*cols(self.pk)).agg(
+            F.count(F.when(on_base, True)).alias("nb"),
+            F.count(F.when(~on_base, True)).alias("na"),
+            *[F.min(F.when(on_base if side == "b" else ~on_base, F.col(h))).alias(h + side)
+              for h in ("_h", "_i") for side in ("b", "a")],
+        )
+        several = (F.col("nb") > 1) | (F.col("na") > 1)
+        unequal = (F.col("_hb") != F.col("_ha")) | (F.col("_ib") != F.col("_ia"))
+        return keys.where(self._on_both & (several | unequal)).select(*cols(self.pk))
+
+    def narrowed(self) -> Comparison:
+        """The comparison of the suspect keys' rows only.
 
-        Worth it before taking several results: they then share one shuffle, and
-        a lost executor costs no recomputation.
+        For wide tables that hardly differ: the inputs are read twice, but only
+        hashes and the rows of suspect keys are shuffled. Changed cells, rows and
+        their counts are those of the whole; results on extra or duplicate keys
+        are not.
         """
-        path = path or scratch_path(self.base.sparkSession, "pairs")
-        self.pairs.write.parquet(path)
-        return replace(self, stored_pairs=self.base.sparkSession.read.parquet(path))
+        keys = stored(self.suspect_keys(), "suspect-keys")
+        return replace(
+            self, base=sets.rows_with_keys(self.base, keys, self.pk), actual=sets.rows_with_keys(self.actual, keys, self.pk)
+        )
 
     # -- cells -------------------------------------------------------------
 
@@ -81,8 +127,6 @@ class Comparison:
         b, a = self._value("b", name), self._value("a", name)
         if self.tolerance is not None:
             return differs_rounded(b, a, self.tolerance)
-        if isinstance(self.base.schema[name].dataType, T.MapType):
-            return differs(self._text("b", name), self._text("a", name))
         return differs(b, a)
 
     @property
@@ -104,7 +148,7 @@ class Comparison:
         if not self.columns:
             empty = "col_name string, base_value string, actual_value string"
             none = [F.lit(None).cast("string").alias(part.split()[0]) for part in empty.split(", ")]
-            return self.pairs.where(F.lit(False)).select(*cols(self.pk), *none)
+            return self.findings.where(F.lit(False)).select(*cols(self.pk), *none)
         cells = F.array(*[
             F.struct(
                 F.lit(name).alias("col_name"),
@@ -114,14 +158,14 @@ class Comparison:
             )
             for name in self.columns
         ])
-        changed = self.pairs.where(self.row_differs)
+        changed = self.findings.where(self.row_differs)
         return changed.select(
             *cols(self.pk), F.inline(F.filter(cells, lambda cell: cell["differs"]))
         ).drop("differs")
 
     def changed_rows(self) -> DataFrame:
         """Surviving rows of both sides whose key has a differing cell."""
-        changed = self.pairs.where(self.row_differs)
+        changed = self.findings.where(self.row_differs)
         sides = F.array(
             F.struct(F.lit("base").alias("side"), F.col("b").alias("row")),
             F.struct(F.lit("actual").alias("side"), F.col("a").alias("row")),
@@ -136,7 +180,7 @@ class Comparison:
         """
         if not self.columns:
             return self.base.sparkSession.createDataFrame([], "col_name string, diff_count bigint")
-        counts = self.pairs.where(self._on_both).agg(*[
+        counts = self.findings.where(self._on_both).agg(*[
             F.count_if(self.cell_differs(name)).alias(f"n{i}") for i, name in enumerate(self.columns)
         ])
         rows = [
@@ -149,7 +193,7 @@ class Comparison:
         """Compared columns without a differing cell."""
         if not self.columns:
             return self.base.sparkSession.createDataFrame([], "col_name string")
-        worst = self.pairs.where(self._on_both).agg(*[
+        worst = self.findings.where(self._on_both).agg(*[
             F.count_if(self.cell_differs(name)).alias(f"n{i}") for i, name in enumerate(self.columns)
         ])
         rows = [
@@ -171,13 +215,13 @@ class Comparison:
         for name in names:
             shown.append(F.when(self.cell_differs(name), self._text("b", name)).alias(f"{name}_baseline"))
             shown.append(F.when(self.cell_differs(name), self._text("a", name)).alias(f"{name}_actual"))
-        return self.pairs.where(self.row_differs).select(*cols(self.pk), *shown)
+        return self.findings.where(self.row_differs).select(*cols(self.pk), *shown)
 
     # -- keys --------------------------------------------------------------
 
     def extra_keys(self) -> DataFrame:
         """Distinct keys of one side only."""
-        alone = self.pairs.where((F.col("nb") == 0) | (F.col("na") == 0))
+        alone = self.findings.where((F.col("nb") == 0) | (F.col("na") == 0))
         return alone.select(sets.side_of_counts().alias("side"), *cols(self.pk))
 
     def common_keys(self) -> DataFrame:
@@ -190,7 +234,7 @@ class Comparison:
             F.struct(F.lit("actual").alias("side"), F.col("na").alias("n")),
         )
         several = F.filter(per_side, lambda s: s["n"] > 1)
-        held = self.pairs.where((F.col("nb") > 1) | (F.col("na") > 1))
+        held = self.findings.where((F.col("nb") > 1) | (F.col("na") > 1))
         return held.select(F.inline(several), *cols(self.pk)).select("side", *cols(self.pk), "n")
 
     # -- rows of the un-deduplicated sides ----------------------------------
@@ -203,7 +247,7 @@ class Comparison:
         parts = []
         for side, df, count, row in (("base", self.base, "nb", "b"), ("actual", self.actual, "na", "a")):
             heavy = F.col(count) > 1
-            keys = self.pairs.where(heavy & self._on_both if common_only else heavy)
+            keys = self.findings.where(heavy & self._on_both if common_only else heavy)
             survivors = keys.select(key_struct(self.pk).alias("_k"), F.col(row).alias("_keep"))
             part = sets.duplicate_rows(self._shared(df), self.pk, self.columns, survivors)
             parts.append(part.select(F.lit(side).alias("side"), "*"))
@@ -212,7 +256,7 @@ class Comparison:
     def extra_rows(self, side: str) -> DataFrame:
         """All rows, with all their columns, whose key the other side lacks."""
         df, other = (self.base, "na") if side == "base" else (self.actual, "nb")
-        keys = self.pairs.where(F.col(other) == 0).select(*cols(self.pk))
+        keys = self.findings.where(F.col(other) == 0).select(*cols(self.pk))
         rows = sets.rows_with_keys(df, keys, self.pk)
         return rows.select(F.lit(side).alias("side"), "*")
 
@@ -231,7 +275,7 @@ class Comparison:
             lambda s: s["n"] > 0,
         )
         unequal = (F.col("nb") == 0) | (F.col("na") == 0) | differs(F.col("b"), F.col("a"))
-        long = self.pairs.where(unequal).select(*cols(self.pk), F.inline(sides))
+        long = self.findings.where(unequal).select(*cols(self.pk), F.inline(sides))
         return long.select("side", *cols(self.pk), *[F.col("row").getField(c).alias(c) for c in self.columns])
 
     def multiset_diff(self) -> DataFrame:
@@ -243,7 +287,9 @@ def compare(base: DataFrame, actual: DataFrame, pk: Sequence[str], exclude: Sequ
     """Prepare a comparison; runs no job.
 
     ``value_mode='string'`` compares the text of the values, ``'typed'`` the
-    values themselves. ``tolerance`` compares numbers rounded to that many digits.
+    values themselves; maps, which Spark does not order, are compared as text in
+    key order either way. ``tolerance`` compares numbers rounded to that many
+    digits.
     """
     if value_mode not in ("string", "typed"):
         raise ValueError(f"unknown value mode {value_mode!r}")
@@ -253,5 +299,7 @@ def compare(base: DataFrame, actual: DataFrame, pk: Sequence[str], exclude: Sequ
     base, actual = drop_columns(base, exclude, pk), drop_columns(actual, exclude, pk)
     if value_mode == "string":
         base, actual = cast_all_string(base), cast_all_string(actual)
+    else:
+        base, actual = maps_as_text(base), maps_as_text(actual)
     shared = [c for c in common_columns(base, actual) if c not in set(pk)]
     return Comparison(base, actual, tuple(pk), tuple(shared), value_mode, tolerance)

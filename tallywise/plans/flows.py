@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallywise.functions.columns import trimmed_list
+from tallywise.functions.labels import product_label
 from tallywise.operators.frames import exists
+from tallywise.operators.sets import smallest_value
 from tallywise.plans import reports
 from tallywise.plans.comparison import Comparison, compare
+from tallywise.plans.reports import summary
+from tallywise.session import stored
 from tallywise.sources.delimited import read_delimited, write_report
 from tallywise.sources.tables import from_batch, from_query
-from tallywise.session import scratch_path
 
 # Folder names of the reports.
 REPORT_FOLDERS = {
@@ -30,22 +34,22 @@ REPORT_FOLDERS = {
 
 @dataclass(frozen=True)
 class Run:
+    """What a run leaves behind: stored findings and cells, counts and, for batches, the summary."""
+
     comparison: Comparison
     cells: DataFrame
     verdict: dict
+    summary: DataFrame | None = None
 
 
 def write_reports(cmp: Comparison, out: str, full_diff: bool = False) -> Run:
     """Write the capped reports under ``out`` and return the verdict.
 
-    The keyed frame and the changed cells are stored once; every report reads
+    The findings and the changed cells are stored once; every report reads
     those. Empty reports are not written. Only capped reports become one file.
     """
-    spark = cmp.base.sparkSession
     cmp = cmp.stored()
-    path = scratch_path(spark, "cells")
-    cmp.changed_cells().write.parquet(path)
-    cells = spark.read.parquet(path)
+    cells = stored(cmp.changed_cells(), "cells")
     out = out.rstrip("/")
 
     def put(name: str, df: DataFrame, single: bool = True) -> None:
@@ -75,13 +79,30 @@ def compare_queries(spark: SparkSession, base_query: str, actual_query: str, key
 
 
 def compare_batches(spark: SparkSession, base_table: str, base_ids: str, actual_table: str, actual_ids: str,
-                    keys: str, out: str, batch_col: str = "pcm_batch_id",
-                    exclude: Sequence[str] = ()) -> Run:
-    """Compare batches of two tables; the batch column itself is left out."""
+                    keys: str, out: str, batch_col: str = "pcm_batch_id", exclude: Sequence[str] = (),
+                    core_batch_col: str = "core_batch_id", date_col: str = "business_date") -> Run:
+    """Compare batches of two tables and add the summary block.
+
+    The batch column itself is left out of the comparison. The core batch id and
+    the business date of a side are its smallest ones.
+    """
     base = from_batch(spark, base_table, batch_col, base_ids)
     actual = from_batch(spark, actual_table, batch_col, actual_ids)
     cmp = compare(base, actual, trimmed_list(keys), [batch_col, *exclude])
-    return write_reports(cmp, out, full_diff=True)
+    run = write_reports(cmp, out, full_diff=True)
+
+    def least(df: DataFrame, name: str) -> Column | None:
+        return smallest_value(df, [name]).scalar().cast("string") if name in df.columns else None
+
+    facts = {
+        "product": product_label(F.lit(base_table)),
+        "business_date": least(base, date_col),
+        "baseline_batch": base_ids,
+        "regression_batch": actual_ids,
+        "baseline_core_batch": least(base, core_batch_col),
+        "regression_core_batch": least(actual, core_batch_col),
+    }
+    return replace(run, summary=summary(run.comparison, facts))
 
 
 def compare_files(spark: SparkSession, base_file: str, actual_file: str, keys: str, out: str, exclude: str = "",

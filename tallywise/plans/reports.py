@@ -81,15 +81,16 @@ def _top_per_side(df: DataFrame, order: list[Column], n: int) -> DataFrame:
 
 
 def _totals(cmp: Comparison) -> DataFrame:
-    """Every count of a comparison in one aggregation over ``pairs``."""
+    """Every count of a comparison in one aggregation over its findings."""
     both = (F.col("nb") > 0) & (F.col("na") > 0)
     zero = F.lit(0).cast("bigint")
     per_column = [
         F.count_if(both & cmp.cell_differs(name)).alias(f"c{i}") for i, name in enumerate(cmp.columns)
     ]
-    return cmp.pairs.agg(
-        F.coalesce(F.sum("nb"), zero).alias("rows_base"),
-        F.coalesce(F.sum("na"), zero).alias("rows_actual"),
+    clean = F.lit(cmp.clean_keys).cast("bigint")
+    return cmp.findings.agg(
+        (F.coalesce(F.sum("nb"), zero) + clean).alias("rows_base"),
+        (F.coalesce(F.sum("na"), zero) + clean).alias("rows_actual"),
         F.count_if(F.col("na") == 0).alias("extra_base"),
         F.count_if(F.col("nb") == 0).alias("extra_actual"),
         F.count_if(F.col("nb") > 1).alias("duplicate_keys_base"),
