@@ -50,7 +50,7 @@ def map_distinct(df: DataFrame, column: str, fn: Callable[[pd.Series], pd.DataFr
             yield found
 
     results = stored(values.mapInPandas(score, f"_value {kind}, {schema}"), "responses")
-    joined = df.join(results, col(column) == results["_value"], "left")
+    joined = df.join(results, col(column) == F.col("_value"), "left")
     return joined.drop("_value")
 
 

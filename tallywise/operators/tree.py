@@ -74,12 +74,12 @@ def compare_documents(base: DataFrame, actual: DataFrame, doc_id: str, xml: str,
     bytes per document instead of its nodes.
     """
     def digests(df: DataFrame, name: str) -> DataFrame:
-        return df.select(col(doc_id).alias("id"), F.sha2(col(xml), 256).alias(name))
+        return df.select(col(doc_id).alias("_doc"), F.sha2(col(xml), 256).alias(name))
 
-    both = digests(base, "b").join(digests(actual, "a"), "id")
-    changed = stored(both.where(differs(F.col("b"), F.col("a"))).select("id"), "changed-documents")
+    both = digests(base, "b").join(digests(actual, "a"), "_doc")
+    changed = stored(both.where(differs(F.col("b"), F.col("a"))).select("_doc"), "changed-documents")
 
     def nodes(df: DataFrame) -> DataFrame:
-        return shred_xml(df.join(changed, col(doc_id) == changed["id"], "left_semi"), doc_id, xml)
+        return shred_xml(df.join(changed, col(doc_id) == F.col("_doc"), "left_semi"), doc_id, xml)
 
     return tree_diff(nodes(base), nodes(actual), ignore_whitespace)
