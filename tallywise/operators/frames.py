@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywise.functions.columns import as_text, col, cols, texts
+from tallywise.functions.columns import as_text, col, cols
 
 
-def cast_all_string(df: DataFrame) -> DataFrame:
-    """Every column as a string, in one projection."""
-    return df.select(*texts(df))
+def cast_all_string(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Every column but those in ``keep`` as a string, in one projection."""
+    held = set(keep)
+    return df.select(*[
+        col(f.name) if f.name in held else as_text(col(f.name), f.dataType).alias(f.name) for f in df.schema.fields
+    ])
 
 
 def maps_as_text(df: DataFrame) -> DataFrame:

@@ -40,21 +40,18 @@ def duplicate_keys(df: DataFrame, pk: Sequence[str]) -> DataFrame:
     return df.groupBy(*cols(pk)).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def duplicate_rows(df: DataFrame, pk: Sequence[str], rest: Sequence[str] | None = None,
-                   survivors: DataFrame | None = None) -> DataFrame:
+def duplicate_rows(df: DataFrame, pk: Sequence[str], rest: Sequence[str] | None = None) -> DataFrame:
     """All rows of a key but its survivor, numbered from 2 in ``rn``.
 
-    ``survivors`` holds ``_k, _keep`` for the keys to look at, when they are
-    known already. Identical rows are folded to one row and a count before they
-    are shuffled by key, and unfolded at the end. Numbers follow hash buckets
-    and then the values, so the rows of one heavy key are numbered by many tasks.
+    Identical rows are folded to one row and a count before they are shuffled by
+    key, and unfolded at the end. Numbers follow hash buckets and then the
+    values, so the rows of one heavy key are numbered by many tasks.
     """
     rest = [c for c in df.columns if c not in set(pk)] if rest is None else list(rest)
     folded = df.groupBy(*cols([*pk, *rest])).agg(F.count(F.lit(1)).alias("_n"))
     folded = folded.select("*", key_struct(pk).alias("_k"), value_struct(rest).alias("_v"))
-    if survivors is None:
-        kept = folded.groupBy("_k").agg(F.min("_v").alias("_keep"), F.sum("_n").alias("_total"))
-        survivors = kept.where(F.col("_total") > 1).drop("_total")
+    kept = folded.groupBy("_k").agg(F.min("_v").alias("_keep"), F.sum("_n").alias("_total"))
+    survivors = kept.where(F.col("_total") > 1).drop("_total")
     marked = folded.join(survivors, "_k").withColumn("_kept", F.col("_v").eqNullSafe(F.col("_keep")))
     bucket = F.when(F.col("_kept"), "").otherwise(bucket_of(spread_key(cols(rest) or [F.lit(1)])))
     marked = marked.select(*cols([*pk, *rest]), "_n", bucket.alias("_bucket"))

@@ -15,8 +15,9 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallywise.functions.columns import as_text, col, cols, key_struct, value_struct
+from tallywise.functions.columns import as_text, col, cols, texts, value_struct
 from tallywise.functions.compare import differs, differs_rounded
 from tallywise.operators import sets
 from tallywise.operators.frames import cast_all_string, common_columns, drop_columns, maps_as_text, require_columns
@@ -115,6 +116,21 @@ class Comparison:
             self, base=sets.rows_with_keys(self.base, keys, self.pk), actual=sets.rows_with_keys(self.actual, keys, self.pk)
         )
 
+    # -- output columns ----------------------------------------------------
+
+    def _shown(self, column: Column, name: str) -> Column:
+        """A column as results show it: text in string mode."""
+        if self.value_mode != "string":
+            return column.alias(name)
+        return as_text(column, self.base.schema[name].dataType).alias(name)
+
+    def _keys(self) -> list[Column]:
+        return [self._shown(col(k), k) for k in self.pk]
+
+    def _rows(self, df: DataFrame, first: Sequence[str] = (), last: Sequence[str] = ()) -> DataFrame:
+        """Key and compared columns as results show them, between plain ones."""
+        return df.select(*first, *self._keys(), *[self._shown(col(c), c) for c in self.columns], *last)
+
     # -- cells -------------------------------------------------------------
 
     def _value(self, side: str, name: str) -> Column:
@@ -148,7 +164,7 @@ class Comparison:
         if not self.columns:
             empty = "col_name string, base_value string, actual_value string"
             none = [F.lit(None).cast("string").alias(part.split()[0]) for part in empty.split(", ")]
-            return self.findings.where(F.lit(False)).select(*cols(self.pk), *none)
+            return self.findings.where(F.lit(False)).select(*self._keys(), *none)
         cells = F.array(*[
             F.struct(
                 F.lit(name).alias("col_name"),
@@ -160,7 +176,7 @@ class Comparison:
         ])
         changed = self.findings.where(self.row_differs)
         return changed.select(
-            *cols(self.pk), F.inline(F.filter(cells, lambda cell: cell["differs"]))
+            *self._keys(), F.inline(F.filter(cells, lambda cell: cell["differs"]))
         ).drop("differs")
 
     def changed_rows(self) -> DataFrame:
@@ -170,8 +186,12 @@ class Comparison:
             F.struct(F.lit("base").alias("side"), F.col("b").alias("row")),
             F.struct(F.lit("actual").alias("side"), F.col("a").alias("row")),
         )
-        long = changed.select(*cols(self.pk), F.inline(sides))
-        return long.select("side", *cols(self.pk), *[F.col("row").getField(c).alias(c) for c in self.columns])
+        return self._sided_rows(changed.select(*cols(self.pk), F.inline(sides)))
+
+    def _sided_rows(self, long: DataFrame) -> DataFrame:
+        """``side, pk…, columns…`` from ``pk…, side, row``."""
+        fields = [self._shown(F.col("row").getField(c), c) for c in self.columns]
+        return long.select("side", *self._keys(), *fields)
 
     def column_diff_counts(self) -> DataFrame:
         """Differing cells per column; columns without any are absent.
@@ -215,17 +235,17 @@ class Comparison:
         for name in names:
             shown.append(F.when(self.cell_differs(name), self._text("b", name)).alias(f"{name}_baseline"))
             shown.append(F.when(self.cell_differs(name), self._text("a", name)).alias(f"{name}_actual"))
-        return self.findings.where(self.row_differs).select(*cols(self.pk), *shown)
+        return self.findings.where(self.row_differs).select(*self._keys(), *shown)
 
     # -- keys --------------------------------------------------------------
 
     def extra_keys(self) -> DataFrame:
         """Distinct keys of one side only."""
         alone = self.findings.where((F.col("nb") == 0) | (F.col("na") == 0))
-        return alone.select(sets.side_of_counts().alias("side"), *cols(self.pk))
+        return alone.select(sets.side_of_counts().alias("side"), *self._keys())
 
     def common_keys(self) -> DataFrame:
-        return self.pairs.where(self._on_both).select(*cols(self.pk))
+        return self.pairs.where(self._on_both).select(*self._keys())
 
     def duplicate_keys(self) -> DataFrame:
         """Keys with several rows on a side, with their row count there."""
@@ -235,7 +255,7 @@ class Comparison:
         )
         several = F.filter(per_side, lambda s: s["n"] > 1)
         held = self.findings.where((F.col("nb") > 1) | (F.col("na") > 1))
-        return held.select(F.inline(several), *cols(self.pk)).select("side", *cols(self.pk), "n")
+        return held.select(F.inline(several), *self._keys()).select("side", *cols(self.pk), "n")
 
     # -- rows of the un-deduplicated sides ----------------------------------
 
@@ -243,22 +263,33 @@ class Comparison:
         return df.select(*cols([*self.pk, *self.columns]))
 
     def duplicate_rows(self, common_only: bool = True) -> DataFrame:
-        """Second and later rows per key and side, numbered from 2."""
+        """Second and later rows per key and side, numbered from 2.
+
+        The repeated keys are stored first. When they are few, as they should be,
+        only their rows leave the scan.
+        """
+        repeated = self.findings.where((F.col("nb") > 1) | (F.col("na") > 1))
+        if common_only:
+            repeated = repeated.where(self._on_both)
+        repeated = stored(repeated.select(*cols(self.pk), "nb", "na"), "repeated-keys")
         parts = []
-        for side, df, count, row in (("base", self.base, "nb", "b"), ("actual", self.actual, "na", "a")):
-            heavy = F.col(count) > 1
-            keys = self.findings.where(heavy & self._on_both if common_only else heavy)
-            survivors = keys.select(key_struct(self.pk).alias("_k"), F.col(row).alias("_keep"))
-            part = sets.duplicate_rows(self._shared(df), self.pk, self.columns, survivors)
-            parts.append(part.select(F.lit(side).alias("side"), "*"))
+        for side, df, count in (("base", self.base, "nb"), ("actual", self.actual, "na")):
+            keys = repeated.where(F.col(count) > 1)
+            rows = sets.rows_with_keys(self._shared(df), keys, self.pk)
+            part = sets.duplicate_rows(rows, self.pk, self.columns)
+            parts.append(self._rows(part, [F.lit(side).alias("side")], ["rn"]))
         return parts[0].unionByName(parts[1])
 
     def extra_rows(self, side: str) -> DataFrame:
-        """All rows, with all their columns, whose key the other side lacks."""
+        """All rows, with all their columns, whose key the other side lacks.
+
+        The keys are stored first, as in ``duplicate_rows``.
+        """
         df, other = (self.base, "na") if side == "base" else (self.actual, "nb")
-        keys = self.findings.where(F.col(other) == 0).select(*cols(self.pk))
+        keys = stored(self.findings.where(F.col(other) == 0).select(*cols(self.pk)), "extra-keys")
         rows = sets.rows_with_keys(df, keys, self.pk)
-        return rows.select(F.lit(side).alias("side"), "*")
+        shown = texts(rows) if self.value_mode == "string" else cols(rows.columns)
+        return rows.select(F.lit(side).alias("side"), *shown)
 
     def row_except(self, dedupe: bool = True) -> DataFrame:
         """Rows of one side with no identical row on the other.
@@ -266,7 +297,7 @@ class Comparison:
         By default each side is first reduced to one row per key.
         """
         if not dedupe:
-            return sets.row_except(self._shared(self.base), self._shared(self.actual))
+            return self._rows(sets.row_except(self._shared(self.base), self._shared(self.actual)), ["side"])
         sides = F.filter(
             F.array(
                 F.struct(F.lit("base").alias("side"), F.col("b").alias("row"), F.col("nb").alias("n")),
@@ -275,11 +306,31 @@ class Comparison:
             lambda s: s["n"] > 0,
         )
         unequal = (F.col("nb") == 0) | (F.col("na") == 0) | differs(F.col("b"), F.col("a"))
-        long = self.findings.where(unequal).select(*cols(self.pk), F.inline(sides))
-        return long.select("side", *cols(self.pk), *[F.col("row").getField(c).alias(c) for c in self.columns])
+        return self._sided_rows(self.findings.where(unequal).select(*cols(self.pk), F.inline(sides)))
 
     def multiset_diff(self) -> DataFrame:
-        return sets.multiset_diff(self._shared(self.base), self._shared(self.actual))
+        found = sets.multiset_diff(self._shared(self.base), self._shared(self.actual))
+        return self._rows(found, last=["n_base", "n_actual"])
+
+
+#: Types whose text is equal, and ordered, exactly when the values are.
+_TEXT_LIKE = (T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+#: Types whose text is equal exactly when the values are; enough for keys.
+_KEY_LIKE = (*_TEXT_LIKE, T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _late_columns(base: DataFrame, actual: DataFrame, pk: Sequence[str]) -> list[str]:
+    """Columns to shuffle and compare as they are and to show as text at the end.
+
+    Numbers that are not keys are not among them: which row survives among
+    duplicates goes by the order of their texts.
+    """
+    late = []
+    for name in common_columns(base, actual):
+        kind = base.schema[name].dataType
+        if kind == actual.schema[name].dataType and isinstance(kind, _KEY_LIKE if name in pk else _TEXT_LIKE):
+            late.append(name)
+    return late
 
 
 def compare(base: DataFrame, actual: DataFrame, pk: Sequence[str], exclude: Sequence[str] = (),
@@ -298,7 +349,8 @@ def compare(base: DataFrame, actual: DataFrame, pk: Sequence[str], exclude: Sequ
     require_columns(actual, pk, "actual")
     base, actual = drop_columns(base, exclude, pk), drop_columns(actual, exclude, pk)
     if value_mode == "string":
-        base, actual = cast_all_string(base), cast_all_string(actual)
+        late = _late_columns(base, actual, pk)
+        base, actual = cast_all_string(base, late), cast_all_string(actual, late)
     else:
         base, actual = maps_as_text(base), maps_as_text(actual)
     shared = [c for c in common_columns(base, actual) if c not in set(pk)]
