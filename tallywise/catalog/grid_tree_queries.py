@@ -10,6 +10,7 @@ from tallywise.functions.labels import cell_name, column_letters
 from tallywise.operators import grid
 from tallywise.operators.frames import cast_all_string
 from tallywise.operators.tree import compare_documents, tree_diff
+from tallywise.plans.reports import any_difference
 from tallywise.sources.cells import to_cells
 from tallywise.sources.xmldocs import malformed_documents, shred_xml
 
@@ -176,6 +177,11 @@ def compared_documents(spark, folder):
     return compare_documents(*_order_documents(spark, folder), "doc_id", "xml", ignore_whitespace=True)
 
 
+@query("tree_verdict", f"SELECT CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS differences FROM ({_TREE})")
+def tree_verdict(spark, folder):
+    return any_difference(compare_documents(*_order_documents(spark, folder), "doc_id", "xml", ignore_whitespace=True))
+
+
 def _attribute_doc(order: list[str], flag):
     """``<lines><line .../></lines>`` with attributes written in the given order."""
     shown = {

@@ -117,6 +117,18 @@ def record_json(spark, folder):
                        back.getField("event_type").alias("back_type"), back.getField("day").alias("back_day"))
 
 
+@query("batched_records", """
+SELECT c_custkey, c_name, CAST((n - 1) // 50 AS BIGINT) AS batch_no
+FROM (SELECT c_custkey, c_name, row_number() OVER (ORDER BY substr(md5(CAST(c_custkey AS VARCHAR)), 1, 3), c_custkey) AS n
+  FROM customer)
+""")
+def batched_records(spark, folder):
+    """Lists of fifty records as one prompt would take them, read back row by row."""
+    lists = records.batch_json_records(table(spark, folder, "customer"), "c_custkey", ["c_custkey", "c_name"], 50)
+    back = F.inline(F.from_json("records", "array<struct<c_custkey:bigint, c_name:string>>"))
+    return lists.select("batch_no", back)
+
+
 @query("file_manifest")
 def file_manifest(spark, folder):
     files = manifest.file_manifest(spark, folder)

@@ -154,10 +154,11 @@ class Comparison:
         """Whether a key on both sides has any differing cell."""
         if not self.columns:
             return F.lit(False)
-        any_cell = self.cell_differs(self.columns[0])
-        for name in self.columns[1:]:
-            any_cell = any_cell | self.cell_differs(name)
-        return self._on_both & any_cell
+        if self.tolerance is None:
+            return self._on_both & differs(F.col("b"), F.col("a"))
+        return self._on_both & F.exists(
+            F.array(*[self.cell_differs(name) for name in self.columns]), lambda differing: differing
+        )
 
     def changed_cells(self) -> DataFrame:
         """One row per differing cell: ``pk…, col_name, base_value, actual_value``."""
@@ -268,10 +269,7 @@ class Comparison:
         The repeated keys are stored first. When they are few, as they should be,
         only their rows leave the scan.
         """
-        repeated = self.findings.where((F.col("nb") > 1) | (F.col("na") > 1))
-        if common_only:
-            repeated = repeated.where(self._on_both)
-        repeated = stored(repeated.select(*cols(self.pk), "nb", "na"), "repeated-keys")
+        repeated = self._repeated_keys.where(self._on_both) if common_only else self._repeated_keys
         parts = []
         for side, df, count in (("base", self.base, "nb"), ("actual", self.actual, "na")):
             keys = repeated.where(F.col(count) > 1)
@@ -280,14 +278,23 @@ class Comparison:
             parts.append(self._rows(part, [F.lit(side).alias("side")], ["rn"]))
         return parts[0].unionByName(parts[1])
 
+    @cached_property
+    def _repeated_keys(self) -> DataFrame:
+        keys = self.findings.where((F.col("nb") > 1) | (F.col("na") > 1))
+        return stored(keys.select(*cols(self.pk), "nb", "na"), "repeated-keys")
+
+    @cached_property
+    def _lonely_keys(self) -> DataFrame:
+        keys = self.findings.where((F.col("nb") == 0) | (F.col("na") == 0))
+        return stored(keys.select(*cols(self.pk), "nb", "na"), "extra-keys")
+
     def extra_rows(self, side: str) -> DataFrame:
         """All rows, with all their columns, whose key the other side lacks.
 
         The keys are stored first, as in ``duplicate_rows``.
         """
         df, other = (self.base, "na") if side == "base" else (self.actual, "nb")
-        keys = stored(self.findings.where(F.col(other) == 0).select(*cols(self.pk)), "extra-keys")
-        rows = sets.rows_with_keys(df, keys, self.pk)
+        rows = sets.rows_with_keys(df, self._lonely_keys.where(F.col(other) == 0), self.pk)
         shown = texts(rows) if self.value_mode == "string" else cols(rows.columns)
         return rows.select(F.lit(side).alias("side"), *shown)
 

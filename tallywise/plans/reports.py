@@ -100,16 +100,13 @@ def _totals(cmp: Comparison) -> DataFrame:
         F.count_if(cmp.row_differs).alias("mismatched_keys"),
         *per_column,
     ).withColumns({
-        "mismatched_cells": _sum_columns(cmp, lambda n: n),
-        "mismatched_columns": _sum_columns(cmp, lambda n: (n > 0).cast("bigint")),
+        "mismatched_cells": F.aggregate(_per_column(cmp), zero, lambda total, n: total + n),
+        "mismatched_columns": F.size(F.filter(_per_column(cmp), lambda n: n > 0)).cast("bigint"),
     })
 
 
-def _sum_columns(cmp: Comparison, of) -> Column:
-    total = F.lit(0).cast("bigint")
-    for i in range(len(cmp.columns)):
-        total = total + of(F.col(f"c{i}"))
-    return total
+def _per_column(cmp: Comparison) -> Column:
+    return F.array(*[F.col(f"c{i}") for i in range(len(cmp.columns))]).cast("array<bigint>")
 
 
 def _unmapped(cmp: Comparison) -> int:
@@ -185,3 +182,9 @@ def summary(cmp: Comparison, facts: Mapping[str, Column | str | None] | None = N
     ]
     rows = [F.struct(F.lit(m).alias("metric"), v.cast("string").alias("value")) for m, v in metrics]
     return _totals(cmp).select(F.inline(F.array(*rows)))
+
+
+def any_difference(diff: DataFrame) -> DataFrame:
+    """One row ``status, differences`` for a grid or tree comparison."""
+    n = F.count(F.lit(1))
+    return diff.agg(F.when(n == 0, "PASS").otherwise("FAIL").alias("status"), n.alias("differences"))

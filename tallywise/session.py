@@ -60,8 +60,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; nothing is ever overwritten there."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; nothing is ever overwritten there.
+
+    All paths of an application lie in one folder, which can be removed when the
+    application and the frames it left behind are done with.
+    """
+    own = f"tallywise-{spark.sparkContext.applicationId}"
+    return f"{shared_folder(spark).rstrip('/')}/{own}/{name}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:

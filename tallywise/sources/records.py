@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywise.functions.columns import col, cols
+from tallywise.functions.hashing import spread_key
 from tallywise.functions.records import first_json_value
+from tallywise.operators.numbering import number_in_group
 
 
 def explode_json_records(df: DataFrame, column: str, record: str) -> DataFrame:
@@ -41,3 +43,18 @@ def to_json_records(df: DataFrame, names: Sequence[str] | None = None, out: str
     """One JSON record per row; a table is never gathered into one string."""
     names = df.columns if names is None else names
     return df.select("*", record_json(names).alias(out))
+
+
+def batch_json_records(df: DataFrame, row_id: str, names: Sequence[str], size: int) -> DataFrame:
+    """``batch_no, records``: JSON lists of at most ``size`` records each.
+
+    What a prompt over several rows takes. Rows are numbered in hash order, so
+    no list outgrows its bound, however many rows there are.
+    """
+    numbered = number_in_group(df, [], spread_key([col(row_id)]), [col(row_id)], "_n")
+    record = F.struct("_n", record_json(names).alias("json"))
+    lists = numbered.groupBy(F.floor((F.col("_n") - 1) / size).alias("batch_no")).agg(
+        F.array_sort(F.collect_list(record)).alias("_records")
+    )
+    texts = F.transform("_records", lambda r: r["json"])
+    return lists.select("batch_no", F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias("records"))

@@ -183,6 +183,28 @@ def test_odd_column_names(spark):
     cmp = compare(base, actual, ["k.1"])
     assert rows(cmp.changed_cells()) == [("1", "x y", "a", "b")]
     assert cmp.wide_diff().columns == ["k.1", "x y_baseline", "x y_actual"]
+    assert rows(cmp.stored().changed_cells()) == rows(cmp.narrowed().changed_cells()) == [("1", "x y", "a", "b")]
+
+
+def test_many_columns(spark):
+    names = [f"c{i}" for i in range(400)]
+    base = spark.range(5).select(F.col("id").alias("k"), *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    actual = base.withColumn("c7", F.lit(0)).withColumn("c399", F.when(F.col("k") == 2, None).otherwise(F.col("c399")))
+    for cmp in (compare(base, actual, ["k"]), compare(base, actual, ["k"], tolerance=1)):
+        assert dict(rows(cmp.column_diff_counts())) == {"c7": 5, "c399": 1}
+        assert cmp.changed_cells().count() == 6
+        assert reports.verdict(cmp).first()["mismatched_cells"] == 6
+
+
+def test_text_mode_shows_text(spark):
+    base = spark.sql("SELECT 1 AS k, DATE'2024-01-01' AS d, true AS f, 1.5D AS v, 'x' AS extra")
+    actual = spark.sql("SELECT 2 AS k, DATE'2024-01-01' AS d, true AS f, 1.5D AS v")
+    cmp = compare(base, actual, ["k"])
+    for df in (cmp.extra_keys(), cmp.extra_rows("base"), cmp.row_except(), cmp.row_except(dedupe=False),
+               cmp.multiset_diff().drop("n_base", "n_actual"), cmp.changed_rows(), cmp.duplicate_rows().drop("rn")):
+        assert {kind for _, kind in df.dtypes} == {"string"}
+    assert rows(cmp.extra_rows("base")) == [("base", "1", "2024-01-01", "true", "1.5", "x")]
+    assert rows(cmp.row_except())[0] == ("actual", "2", "2024-01-01", "true", "1.5")
 
 
 def test_typed_values_and_maps(spark):
