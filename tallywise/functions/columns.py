@@ -13,6 +13,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def literal_sql(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def col(name: str) -> Column:
     """Column by its exact name, whatever dots or blanks it holds."""
     return F.col(quoted(name))

@@ -30,6 +30,18 @@ def differs_rounded(base: Column, actual: Column, digits: int) -> Column:
     return F.when(both, F.round(b, digits) != F.round(a, digits)).otherwise(differs(base, actual))
 
 
+def differs_sql(base: str, actual: str, digits: int | None = None) -> str:
+    """The same two conditions as SQL text, for expressions over many columns."""
+    unequal = f"NOT ({base} <=> {actual})"
+    if digits is None:
+        return unequal
+    b, a = f"try_cast({base} AS DOUBLE)", f"try_cast({actual} AS DOUBLE)"
+    return (
+        f"({unequal} AND CASE WHEN {b} IS NOT NULL AND {a} IS NOT NULL "
+        f"THEN round({b}, {digits}) <> round({a}, {digits}) ELSE true END)"
+    )
+
+
 def fingerprint(names: Sequence[str]) -> Column:
     """SHA-256 of the JSON form of some columns.
 

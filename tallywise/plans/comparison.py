@@ -17,8 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywise.functions.columns import as_text, col, cols, texts, value_struct
-from tallywise.functions.compare import differs, differs_rounded
+from tallywise.functions.columns import (
+    NO_VALUES, as_text, col, cols, literal_sql, quoted, texts, value_struct,
+)
+from tallywise.functions.compare import differs, differs_sql
 from tallywise.operators import sets
 from tallywise.operators.frames import cast_all_string, common_columns, drop_columns, maps_as_text, require_columns
 from tallywise.session import scratch_path, stored
@@ -132,18 +134,11 @@ class Comparison:
         return df.select(*first, *self._keys(), *[self._shown(col(c), c) for c in self.columns], *last)
 
     # -- cells -------------------------------------------------------------
+    # Built as SQL text: with hundreds of columns, composing Column objects one
+    # by one takes longer than planning.
 
-    def _value(self, side: str, name: str) -> Column:
-        return F.col(side).getField(name)
-
-    def _text(self, side: str, name: str) -> Column:
-        return as_text(self._value(side, name), self.base.schema[name].dataType)
-
-    def cell_differs(self, name: str) -> Column:
-        b, a = self._value("b", name), self._value("a", name)
-        if self.tolerance is not None:
-            return differs_rounded(b, a, self.tolerance)
-        return differs(b, a)
+    def cell_differs_sql(self, name: str) -> str:
+        return differs_sql(f"b.{quoted(name)}", f"a.{quoted(name)}", self.tolerance)
 
     @property
     def _on_both(self) -> Column:
@@ -154,30 +149,25 @@ class Comparison:
         """Whether a key on both sides has any differing cell."""
         if not self.columns:
             return F.lit(False)
-        if self.tolerance is None:
-            return self._on_both & differs(F.col("b"), F.col("a"))
-        return self._on_both & F.exists(
-            F.array(*[self.cell_differs(name) for name in self.columns]), lambda differing: differing
-        )
+        unequal = differs(F.col("b"), F.col("a"))
+        if self.tolerance is not None:
+            cells = ", ".join(self.cell_differs_sql(name) for name in self.columns)
+            unequal = unequal & F.expr(f"exists(array({cells}), differing -> differing)")
+        return self._on_both & unequal
 
     def changed_cells(self) -> DataFrame:
         """One row per differing cell: ``pk…, col_name, base_value, actual_value``."""
-        if not self.columns:
-            empty = "col_name string, base_value string, actual_value string"
-            none = [F.lit(None).cast("string").alias(part.split()[0]) for part in empty.split(", ")]
-            return self.findings.where(F.lit(False)).select(*self._keys(), *none)
-        cells = F.array(*[
-            F.struct(
-                F.lit(name).alias("col_name"),
-                self._text("b", name).alias("base_value"),
-                self._text("a", name).alias("actual_value"),
-                self.cell_differs(name).alias("differs"),
-            )
+        cell = (
+            "struct({text} AS col_name, CAST(b.{c} AS STRING) AS base_value, "
+            "CAST(a.{c} AS STRING) AS actual_value, {differs} AS differs)"
+        )
+        cells = ", ".join(
+            cell.format(text=literal_sql(name), c=quoted(name), differs=self.cell_differs_sql(name))
             for name in self.columns
-        ])
+        ) or cell.format(text="''", c=quoted(NO_VALUES), differs="false")
         changed = self.findings.where(self.row_differs)
         return changed.select(
-            *self._keys(), F.inline(F.filter(cells, lambda cell: cell["differs"]))
+            *self._keys(), F.expr(f"inline(filter(array({cells}), cell -> cell.differs))")
         ).drop("differs")
 
     def changed_rows(self) -> DataFrame:
@@ -194,34 +184,32 @@ class Comparison:
         fields = [self._shown(F.col("row").getField(c), c) for c in self.columns]
         return long.select("side", *self._keys(), *fields)
 
-    def column_diff_counts(self) -> DataFrame:
-        """Differing cells per column; columns without any are absent.
+    def column_counts(self) -> list[Column]:
+        """One counter of differing cells per column, named ``c0, c1, …``."""
+        return [
+            F.expr(f"count_if(nb > 0 AND na > 0 AND {self.cell_differs_sql(name)})").alias(f"c{i}")
+            for i, name in enumerate(self.columns)
+        ]
 
-        One counter per column in a single aggregation, no cell is exploded.
+    def _counted_columns(self) -> DataFrame:
+        """``col_name, diff_count`` of every compared column.
+
+        All counters run in a single aggregation, no cell is exploded.
         """
         if not self.columns:
             return self.base.sparkSession.createDataFrame([], "col_name string, diff_count bigint")
-        counts = self.findings.where(self._on_both).agg(*[
-            F.count_if(self.cell_differs(name)).alias(f"n{i}") for i, name in enumerate(self.columns)
-        ])
-        rows = [
-            F.struct(F.lit(name).alias("col_name"), F.col(f"n{i}").alias("diff_count"))
-            for i, name in enumerate(self.columns)
-        ]
-        return counts.select(F.inline(F.array(*rows))).where(F.col("diff_count") > 0)
+        rows = ", ".join(
+            f"struct({literal_sql(name)} AS col_name, c{i} AS diff_count)" for i, name in enumerate(self.columns)
+        )
+        return self.findings.agg(*self.column_counts()).select(F.expr(f"inline(array({rows}))"))
+
+    def column_diff_counts(self) -> DataFrame:
+        """Differing cells per column; columns without any are absent."""
+        return self._counted_columns().where(F.col("diff_count") > 0)
 
     def passed_columns(self) -> DataFrame:
         """Compared columns without a differing cell."""
-        if not self.columns:
-            return self.base.sparkSession.createDataFrame([], "col_name string")
-        worst = self.findings.where(self._on_both).agg(*[
-            F.count_if(self.cell_differs(name)).alias(f"n{i}") for i, name in enumerate(self.columns)
-        ])
-        rows = [
-            F.struct(F.lit(name).alias("col_name"), F.col(f"n{i}").alias("n"))
-            for i, name in enumerate(self.columns)
-        ]
-        return worst.select(F.inline(F.array(*rows))).where(F.col("n") == 0).select("col_name")
+        return self._counted_columns().where(F.col("diff_count") == 0).select("col_name")
 
     def wide_diff(self, names: Sequence[str] | None = None) -> DataFrame:
         """One row per changed key with ``<col>_baseline`` and ``<col>_actual``.
@@ -232,10 +220,12 @@ class Comparison:
         if names is None:
             found = {row["col_name"] for row in self.column_diff_counts().select("col_name").collect()}
             names = [c for c in self.columns if c in found]
-        shown = []
-        for name in names:
-            shown.append(F.when(self.cell_differs(name), self._text("b", name)).alias(f"{name}_baseline"))
-            shown.append(F.when(self.cell_differs(name), self._text("a", name)).alias(f"{name}_actual"))
+        shown = [
+            F.expr(f"CASE WHEN {self.cell_differs_sql(name)} THEN CAST({side}.{quoted(name)} AS STRING) END").alias(
+                f"{name}_{label}"
+            )
+            for name in names for side, label in (("b", "baseline"), ("a", "actual"))
+        ]
         return self.findings.where(self.row_differs).select(*self._keys(), *shown)
 
     # -- keys --------------------------------------------------------------

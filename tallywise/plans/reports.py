@@ -84,9 +84,6 @@ def _totals(cmp: Comparison) -> DataFrame:
     """Every count of a comparison in one aggregation over its findings."""
     both = (F.col("nb") > 0) & (F.col("na") > 0)
     zero = F.lit(0).cast("bigint")
-    per_column = [
-        F.count_if(both & cmp.cell_differs(name)).alias(f"c{i}") for i, name in enumerate(cmp.columns)
-    ]
     clean = F.lit(cmp.clean_keys).cast("bigint")
     return cmp.findings.agg(
         (F.coalesce(F.sum("nb"), zero) + clean).alias("rows_base"),
@@ -98,7 +95,7 @@ def _totals(cmp: Comparison) -> DataFrame:
         F.coalesce(F.sum(F.when(both, F.col("nb") - 1)), zero).alias("duplicate_rows_base"),
         F.coalesce(F.sum(F.when(both, F.col("na") - 1)), zero).alias("duplicate_rows_actual"),
         F.count_if(cmp.row_differs).alias("mismatched_keys"),
-        *per_column,
+        *cmp.column_counts(),
     ).withColumns({
         "mismatched_cells": F.aggregate(_per_column(cmp), zero, lambda total, n: total + n),
         "mismatched_columns": F.size(F.filter(_per_column(cmp), lambda n: n > 0)).cast("bigint"),
@@ -106,7 +103,8 @@ def _totals(cmp: Comparison) -> DataFrame:
 
 
 def _per_column(cmp: Comparison) -> Column:
-    return F.array(*[F.col(f"c{i}") for i in range(len(cmp.columns))]).cast("array<bigint>")
+    names = ", ".join(f"c{i}" for i in range(len(cmp.columns)))
+    return F.expr(f"CAST(array({names}) AS array<bigint>)")
 
 
 def _unmapped(cmp: Comparison) -> int:
