@@ -177,7 +177,7 @@ _NAMES = ["Henry", "Toronto", "Elle", "Hein"]
 
 
 def _redacted_sql(text: str) -> str:
-    for pattern, put in [*privacy.REDACTIONS, privacy.name_redaction(_NAMES)]:
+    for pattern, put in [*privacy.REDACTIONS, *privacy.name_redactions(_NAMES)]:
         put = put.replace("$1", "\\1")
         text = f"regexp_replace({text}, '{pattern}', '{put}', 'g')"
     return text

@@ -164,7 +164,7 @@ def fill_series(df: DataFrame, ts: str, value: str, keys: Sequence[str] = (), ho
 
     ``locf`` carries the last value forward, ``linear`` interpolates between the
     neighbours; gaps at the end carry forward and gaps at the start backward.
-    ``df`` holds at most one row per key and day.
+    ``df`` holds at most one row per key and day; further ones come back as they are.
 
     Series are cut into chunks of days. Windows over the rows run inside chunks;
     what a chunk must know of the others comes from one row per chunk, so a long
@@ -200,7 +200,7 @@ def fill_series(df: DataFrame, ts: str, value: str, keys: Sequence[str] = (), ho
         F.last("_p", ignorenulls=True).over(later.rowsBetween(W.unboundedPreceding, -1)).alias("_down"),
         F.lag("_day").over(later).alias("_next_day"),
     ).join(around, ["_k", "_c"])
-    until = F.date_sub(F.coalesce("_next_day", "_next_chunk", F.date_add("_day", 1)), 1)
+    until = F.greatest(F.date_sub(F.coalesce("_next_day", "_next_chunk", F.date_add("_day", 1)), 1), "_day")
     days = near.select(
         "_k", "_v", F.coalesce("_up", "_before").alias("_prev"), F.coalesce("_down", "_after").alias("_following"),
         F.col("_day").alias("_own"), F.explode(F.sequence("_day", until)).alias("_day"),

@@ -50,7 +50,10 @@ def start_in_group(df: DataFrame, group: Sequence[str], bucket: Column, order: S
 
 def number_in_group(df: DataFrame, group: Sequence[str], spread: Column, order: Sequence[Column],
                     out: str, digits: int = BUCKET_DIGITS) -> DataFrame:
-    """Number rows 1..n per group in a fixed, hash-spread order."""
+    """Number rows 1..n per group in a fixed, hash-spread order.
+
+    ``spread`` must tell the rows apart: it comes from a unique id or all columns.
+    """
     numbered = start_in_group(df, group, bucket_of(spread, digits), order, F.lit(1), "_start")
     return numbered.select(*cols(df.columns), (F.col("_start") + 1).alias(out))
 
@@ -64,11 +67,10 @@ def number_in_order(df: DataFrame, group: Sequence[str], order: Sequence[Column]
     """
     spark = df.sparkSession
     ensure_checkpoints(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = [*cols(group), *order, F.col("_tie")]
     ranged = (
         df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(parts, *sort)
+        .repartitionByRange(*sort)
         .sortWithinPartitions(*sort)
         .drop("_tie")
         .checkpoint()

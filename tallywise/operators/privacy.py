@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -93,10 +94,15 @@ REDACTIONS = [
 ]
 
 
-def name_redaction(names: Sequence[str]) -> tuple[str, str]:
-    """Pattern and replacement for listed names; of two that match the longer goes first."""
-    listed = "|".join(sorted(names, key=lambda n: (-len(n), n)))
-    return f"{_WORD_START}({listed})", "$1*"
+#: Names in one pattern; longer lists take several passes.
+NAMES_PER_PASS = 200
+
+
+def name_redactions(names: Sequence[str]) -> list[tuple[str, str]]:
+    """Patterns and replacements for listed names; of two that match the longer goes first."""
+    ordered = sorted(names, key=lambda n: (-len(n), n))
+    passes = [ordered[i:i + NAMES_PER_PASS] for i in range(0, len(ordered), NAMES_PER_PASS)]
+    return [(f"{_WORD_START}({'|'.join(map(re.escape, listed))})", "$1*") for listed in passes]
 
 
 def redact_text(text: Column, names: Sequence[str] = ()) -> Column:
@@ -110,4 +116,6 @@ def redact_text(text: Column, names: Sequence[str] = ()) -> Column:
     for step in numbers:
         numbered = F.regexp_replace(numbered, *step)
     out = F.when(text.rlike("[0-9]"), numbered).otherwise(out)
-    return F.regexp_replace(out, *name_redaction(names)) if names else out
+    for step in name_redactions(names):
+        out = F.regexp_replace(out, *step)
+    return out

@@ -53,6 +53,8 @@ def write_reports(cmp: Comparison, out: str, full_diff: bool = False) -> Run:
     out = out.rstrip("/")
 
     def put(name: str, df: DataFrame, single: bool = True) -> None:
+        if df is not cells:
+            df = stored(df, name)
         if exists(df):
             write_report(df, f"{out}/{REPORT_FOLDERS[name]}", single)
 

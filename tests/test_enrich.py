@@ -91,6 +91,12 @@ def test_series_keys_stay_apart_and_leading_gaps_fill_backward(spark):
     assert [r["v"] for r in found.where("k IS NULL").orderBy("d").collect()] == [1.0, 2.0, 3.0]
 
 
+def test_second_row_of_a_day_comes_back(spark):
+    df = spark.createDataFrame([("2023-01-01", 1.0), ("2023-01-01", 2.0), ("2023-01-03", 4.0)], "d string, v double")
+    found = rows(enrich.fill_series(df.withColumn("d", F.to_date("d")), "d", "v").select(F.dayofmonth("d"), "v"))
+    assert len(found) == 4 and {(1, 1.0), (1, 2.0), (3, 4.0)} < set(found)
+
+
 def test_mixed_types(spark):
     df = spark.createDataFrame([
         ("001", "10.5", "2023-01-01"), ("002", "15", "01/15/2023"), ("003", "twenty", "March 1, 2023"),

@@ -112,6 +112,9 @@ def test_redaction(spark):
     }
     df = spark.createDataFrame([(c,) for c in cases], "c string")
     assert [r[0] for r in df.select(privacy.redact_text(F.col("c"), ["Henry", "Toronto"])).collect()] == list(cases.values())
+    many = [f"Name{i}x" for i in range(450)] + ["J. (Jo) Doe"]
+    one = df.limit(1).select(privacy.redact_text(F.lit("Name7x, Name449x and J. (Jo) Doe"), many)).first()[0]
+    assert one == "*, * and *"
     tail = "x " * 50000
     long = spark.createDataFrame([(tail + "a@b.co",)], "c string")
     assert long.select(privacy.redact_text(F.col("c"))).first()[0] == tail + "*"
