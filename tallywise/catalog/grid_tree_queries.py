@@ -89,7 +89,7 @@ def grid_status(spark, folder):
 
 
 @query("grid_status_no_common_sheets", """
-SELECT CASE WHEN count(*) FILTER (WHERE c_custkey < 0) > 0 THEN 0 ELSE -1 END AS diff_count,
+SELECT CASE WHEN count(*) FILTER (WHERE c_custkey < 0) > 0 THEN 0 ELSE -1 END::BIGINT AS diff_count,
   'No Common sheets found' AS message FROM customer
 """)
 def grid_status_no_common_sheets(spark, folder):

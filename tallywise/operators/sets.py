@@ -129,7 +129,8 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
         inner = W.partitionBy(*cols(group), F.col("_salt")).orderBy(*order)
         ranked = salted.withColumn(out, F.row_number().over(inner)).where(F.col(out) <= n).drop(out, "_salt")
     outer = W.partitionBy(*cols(group)).orderBy(*order)
-    return ranked.withColumn(out, F.row_number().over(outer)).where(F.col(out) <= n)
+    kept = ranked.withColumn(out, F.row_number().over(outer)).where(F.col(out) <= n)
+    return kept.withColumn(out, F.col(out).cast("bigint"))
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
