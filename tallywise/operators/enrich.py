@@ -122,7 +122,8 @@ def impute_numeric(df: DataFrame, targets: Mapping[str, str], by: Sequence[str]
         value = missing_as_null(col(name), df.schema[name].dataType.simpleString()).cast("double")
         if how == "mean":
             # Decimal sums do not depend on the order rows arrive in.
-            return (F.sum(value.cast("decimal(28,6)")) / F.count(value)).cast("double")
+            exact = value.try_cast("decimal(28,6)")
+            return (F.sum(exact) / F.count(exact)).cast("double")
         if how == "median":
             return F.percentile_approx(value, 0.5, accuracy)
         raise ValueError(f"unknown method {how!r}")

@@ -122,7 +122,12 @@ def exists(df: DataFrame) -> bool:
 
 def at_point(df: DataFrame, column: str, value) -> DataFrame:
     """Rows of one point in time; prunes partitions when ``column`` partitions the table."""
-    return df.where(col(column) == F.lit(value))
+    return df.where(col(column) == _as_column_type(df, column, value))
+
+
+def _as_column_type(df: DataFrame, column: str, value) -> Column:
+    """The literal in the column's type: casting the column instead would stop pushdown."""
+    return F.lit(value).cast(df.schema[column].dataType)
 
 
 def filter_range(df: DataFrame, date_col: str, start, end, members: Mapping[str, Sequence] | None = None,
@@ -132,7 +137,7 @@ def filter_range(df: DataFrame, date_col: str, start, end, members: Mapping[str,
     ``members`` maps a column to its allowed values; an empty list does not
     restrict. Archived rows are left out unless asked for.
     """
-    keep = col(date_col).between(F.lit(start), F.lit(end))
+    keep = col(date_col).between(_as_column_type(df, date_col, start), _as_column_type(df, date_col, end))
     for name, values in (members or {}).items():
         if values:
             keep = keep & col(name).isin(list(values))

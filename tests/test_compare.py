@@ -62,6 +62,9 @@ def test_random_sides_match_brute_force(spark, seed):
     assert rows(kept.duplicate_keys()) == dup
     assert rows(reports.summary(kept)) == rows(reports.summary(cmp))
     assert sum(r["diff_count"] for r in cmp.column_diff_counts().collect()) == len(cells)
+    for side, name in ((base, "base"), (actual, "actual")):
+        lonely = sum(1 for key in extra if key[0] == name)
+        assert lonely + cmp.common_keys().count() == len({row[:2] for row in side})
     pairs = reports.value_pair_counts(cmp.changed_cells())
     assert pairs.agg(F.sum("n")).first()[0] == len(cells)
 
@@ -290,3 +293,15 @@ def test_plan_has_one_exchange_and_prunes_values(spark, data):
     assert cells.count("Exchange ") == 1 and "Join" not in cells
     keys = cmp.extra_keys()._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint>" in keys and "SortAggregate" not in keys
+
+
+@pytest.mark.parametrize("name,pushed", [
+    ("point_in_time", "EqualTo(o_orderdate,"), ("filter_range", "GreaterThanOrEqual(o_orderdate,"),
+    ("source_batch", "In(o_orderpriority, ["), ("control_total", "EqualTo(l_shipdate,"),
+    ("name_cleanup", "StringContains(p_name,red)"),
+])
+def test_filters_reach_the_scan(spark, data, name, pushed):
+    from __spark_entry__ import queries
+
+    plan = queries()[name](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert pushed in plan[plan.index("PushedFilters"):]
