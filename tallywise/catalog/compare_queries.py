@@ -28,6 +28,12 @@ def changed_cells_with_duplicates(spark, folder):
     return lines_comparison(spark, folder).changed_cells()
 
 
+@query("changed_cells_co_located", f"WITH {LINES_CELLS} SELECT * FROM cells")
+def changed_cells_co_located(spark, folder):
+    """The same cells by a join of the two grouped sides."""
+    return compare(*lines_pair(spark, folder), LINES_KEY, co_located=True).changed_cells()
+
+
 @query("changed_cells_narrowed", f"WITH {LINES_CELLS} SELECT * FROM cells")
 def changed_cells_narrowed(spark, folder):
     """The same cells, shuffling hashes and the rows of suspect keys only."""

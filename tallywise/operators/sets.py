@@ -63,45 +63,45 @@ def duplicate_rows(df: DataFrame, pk: Sequence[str], rest: Sequence[str] | None
 
 
 def _tagged(base: DataFrame, actual: DataFrame, names: Sequence[str]) -> DataFrame:
-    b = base.select(*cols(names), F.lit(1).alias("_nb"), F.lit(0).alias("_na"))
-    a = actual.select(*cols(names), F.lit(0).alias("_nb"), F.lit(1).alias("_na"))
+    b = base.select(*cols(names), F.lit(1).alias("_in_base"), F.lit(0).alias("_in_actual"))
+    a = actual.select(*cols(names), F.lit(0).alias("_in_base"), F.lit(1).alias("_in_actual"))
     return b.unionAll(a)
 
 
 def presence(base: DataFrame, actual: DataFrame, names: Sequence[str]) -> DataFrame:
     """Each distinct ``names`` tuple with its row count per side, in one exchange."""
     return _tagged(base, actual, names).groupBy(*cols(names)).agg(
-        F.sum("_nb").alias("nb"), F.sum("_na").alias("na")
+        F.sum("_in_base").alias("_nb"), F.sum("_in_actual").alias("_na")
     )
 
 
 def side_of_counts() -> Column:
-    return F.when(F.col("na") == 0, "base").when(F.col("nb") == 0, "actual").otherwise("both")
+    return F.when(F.col("_na") == 0, "base").when(F.col("_nb") == 0, "actual").otherwise("both")
 
 
 def extra_keys(base: DataFrame, actual: DataFrame, pk: Sequence[str]) -> DataFrame:
     """Distinct keys found on one side only."""
-    counts = presence(base, actual, pk).where((F.col("nb") == 0) | (F.col("na") == 0))
+    counts = presence(base, actual, pk).where((F.col("_nb") == 0) | (F.col("_na") == 0))
     return counts.select(side_of_counts().alias("side"), *cols(pk))
 
 
 def common_keys(base: DataFrame, actual: DataFrame, pk: Sequence[str]) -> DataFrame:
     counts = presence(base, actual, pk)
-    return counts.where((F.col("nb") > 0) & (F.col("na") > 0)).select(*cols(pk))
+    return counts.where((F.col("_nb") > 0) & (F.col("_na") > 0)).select(*cols(pk))
 
 
 def multiset_diff(base: DataFrame, actual: DataFrame) -> DataFrame:
     """Rows whose number of copies differs between the sides."""
     names = common_columns(base, actual)
-    counts = presence(base, actual, names).where(F.col("nb") != F.col("na"))
-    return counts.select(*cols(names), F.col("nb").alias("n_base"), F.col("na").alias("n_actual"))
+    counts = presence(base, actual, names).where(F.col("_nb") != F.col("_na"))
+    return counts.select(*cols(names), F.col("_nb").alias("n_base"), F.col("_na").alias("n_actual"))
 
 
 def row_except(base: DataFrame, actual: DataFrame) -> DataFrame:
     """Rows of one side with no identical row on the other, every copy kept."""
     names = common_columns(base, actual)
-    counts = presence(base, actual, names).where((F.col("nb") == 0) | (F.col("na") == 0))
-    alone = counts.select(side_of_counts().alias("side"), *cols(names), (F.col("nb") + F.col("na")).alias("_n"))
+    counts = presence(base, actual, names).where((F.col("_nb") == 0) | (F.col("_na") == 0))
+    alone = counts.select(side_of_counts().alias("side"), *cols(names), (F.col("_nb") + F.col("_na")).alias("_n"))
     return repeat_rows(alone, "_n", "_copy").drop("_copy")
 
 

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from functools import cached_property
+from functools import cached_property, reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ class Comparison:
     columns: tuple[str, ...]
     value_mode: str = "string"
     tolerance: int | None = None
+    co_located: bool = False
     stored_findings: DataFrame | None = None
     clean_keys: int = 0
 
@@ -46,20 +48,41 @@ class Comparison:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        """``pk…, b, a, nb, na``: survivors and row counts per key.
+        """``pk…, _b, _a, _nb, _na``: survivors and row counts per key.
 
         The survivor is the smallest row by the compared columns, nulls first.
         Presence is told by the counts, never by the structs.
         """
-        both = self._tagged(self.base, True).unionAll(self._tagged(self.actual, False))
+        if not self.co_located:
+            return self._grouped_pairs(self.base, self.actual)
+        keyed = reduce(and_, (col(k).isNotNull() for k in self.pk))
+        known = self._joined_pairs(self.base.where(keyed), self.actual.where(keyed))
+        return known.unionByName(self._grouped_pairs(self.base.where(~keyed), self.actual.where(~keyed)))
+
+    def _grouped_pairs(self, base: DataFrame, actual: DataFrame) -> DataFrame:
+        both = self._tagged(base, True).unionAll(self._tagged(actual, False))
         on_base = F.col("_base")
         return both.groupBy(*cols(self.pk)).agg(
-            F.min(F.when(on_base, F.col("_row"))).alias("b"),
-            F.min(F.when(~on_base, F.col("_row"))).alias("a"),
-            F.count(F.when(on_base, True)).alias("nb"),
-            F.count(F.when(~on_base, True)).alias("na"),
+            F.min(F.when(on_base, F.col("_row"))).alias("_b"),
+            F.min(F.when(~on_base, F.col("_row"))).alias("_a"),
+            F.count(F.when(on_base, True)).alias("_nb"),
+            F.count(F.when(~on_base, True)).alias("_na"),
         )
 
+    def _joined_pairs(self, base: DataFrame, actual: DataFrame) -> DataFrame:
+        """Pairs of keys without nulls, grouping each side and joining on the bare key columns.
+
+        Keeps the partitioning of tables bucketed by the key, which a union loses.
+        """
+        def side(df: DataFrame, row: str, count: str) -> DataFrame:
+            return df.groupBy(*cols(self.pk)).agg(
+                F.min(value_struct(self.columns)).alias(row), F.count(F.lit(1)).alias(count)
+            )
+
+        joined = side(base, "_b", "_nb").join(side(actual, "_a", "_na"), list(self.pk), "full")
+        zero = F.lit(0).cast("bigint")
+        return joined.select(*cols(self.pk), "_b", "_a", *[F.coalesce(n, zero).alias(n) for n in ("_nb", "_na")])
+
     @property
     def findings(self) -> DataFrame:
         """``pairs``, or what was stored of it: every key there is something to say about."""
@@ -75,10 +98,10 @@ class Comparison:
         """
         spark = self.base.sparkSession
         path = path or scratch_path(spark, "findings")
-        clean = (F.col("nb") == 1) & (F.col("na") == 1) & F.col("b").eqNullSafe(F.col("a"))
+        clean = (F.col("_nb") == 1) & (F.col("_na") == 1) & F.col("_b").eqNullSafe(F.col("_a"))
         self.pairs.where(~clean).write.parquet(path)
         findings = spark.read.parquet(path)
-        found = findings.agg(F.coalesce(F.sum("nb"), F.lit(0))).first()[0]
+        found = findings.agg(F.coalesce(F.sum("_nb"), F.lit(0))).first()[0]
         return replace(self, stored_findings=findings, clean_keys=self.base.count() - found)
 
     def suspect_keys(self) -> DataFrame:
@@ -96,13 +119,13 @@ class Comparison:
         both = hashed(self.base, True).unionAll(hashed(self.actual, False))
         on_base = F.col("_base")
         keys = both.groupBy(*cols(self.pk)).agg(
-            F.count(F.when(on_base, True)).alias("nb"),
-            F.count(F.when(~on_base, True)).alias("na"),
-            *[F.min(F.when(on_base if side == "b" else ~on_base, F.col(h))).alias(h + side)
-              for h in ("_h", "_i") for side in ("b", "a")],
+            F.count(F.when(on_base, True)).alias("_nb"),
+            F.count(F.when(~on_base, True)).alias("_na"),
+            *[F.min(F.when(on_base if side == "_b" else ~on_base, F.col(h))).alias(h + side)
+              for h in ("_h", "_i") for side in ("_b", "_a")],
         )
-        several = (F.col("nb") > 1) | (F.col("na") > 1)
-        unequal = (F.col("_hb") != F.col("_ha")) | (F.col("_ib") != F.col("_ia"))
+        several = (F.col("_nb") > 1) | (F.col("_na") > 1)
+        unequal = (F.col("_h_b") != F.col("_h_a")) | (F.col("_i_b") != F.col("_i_a"))
         return keys.where(self._on_both & (several | unequal)).select(*cols(self.pk))
 
     def narrowed(self) -> Comparison:
@@ -138,18 +161,18 @@ class Comparison:
     # by one takes longer than planning.
 
     def cell_differs_sql(self, name: str) -> str:
-        return differs_sql(f"b.{quoted(name)}", f"a.{quoted(name)}", self.tolerance)
+        return differs_sql(f"_b.{quoted(name)}", f"_a.{quoted(name)}", self.tolerance)
 
     @property
     def _on_both(self) -> Column:
-        return (F.col("nb") > 0) & (F.col("na") > 0)
+        return (F.col("_nb") > 0) & (F.col("_na") > 0)
 
     @property
     def row_differs(self) -> Column:
         """Whether a key on both sides has any differing cell."""
         if not self.columns:
             return F.lit(False)
-        unequal = differs(F.col("b"), F.col("a"))
+        unequal = differs(F.col("_b"), F.col("_a"))
         if self.tolerance is not None:
             cells = ", ".join(self.cell_differs_sql(name) for name in self.columns)
             unequal = unequal & F.expr(f"exists(array({cells}), differing -> differing)")
@@ -158,8 +181,8 @@ class Comparison:
     def changed_cells(self) -> DataFrame:
         """One row per differing cell: ``pk…, col_name, base_value, actual_value``."""
         cell = (
-            "struct({text} AS col_name, CAST(b.{c} AS STRING) AS base_value, "
-            "CAST(a.{c} AS STRING) AS actual_value, {differs} AS differs)"
+            "struct({text} AS col_name, CAST(_b.{c} AS STRING) AS base_value, "
+            "CAST(_a.{c} AS STRING) AS actual_value, {differs} AS differs)"
         )
         cells = ", ".join(
             cell.format(text=literal_sql(name), c=quoted(name), differs=self.cell_differs_sql(name))
@@ -174,8 +197,8 @@ class Comparison:
         """Surviving rows of both sides whose key has a differing cell."""
         changed = self.findings.where(self.row_differs)
         sides = F.array(
-            F.struct(F.lit("base").alias("side"), F.col("b").alias("row")),
-            F.struct(F.lit("actual").alias("side"), F.col("a").alias("row")),
+            F.struct(F.lit("base").alias("side"), F.col("_b").alias("row")),
+            F.struct(F.lit("actual").alias("side"), F.col("_a").alias("row")),
         )
         return self._sided_rows(changed.select(*cols(self.pk), F.inline(sides)))
 
@@ -187,7 +210,7 @@ class Comparison:
     def column_counts(self) -> list[Column]:
         """One counter of differing cells per column, named ``c0, c1, …``."""
         return [
-            F.expr(f"count_if(nb > 0 AND na > 0 AND {self.cell_differs_sql(name)})").alias(f"c{i}")
+            F.expr(f"count_if(_nb > 0 AND _na > 0 AND {self.cell_differs_sql(name)})").alias(f"c{i}")
             for i, name in enumerate(self.columns)
         ]
 
@@ -224,7 +247,7 @@ class Comparison:
             F.expr(f"CASE WHEN {self.cell_differs_sql(name)} THEN CAST({side}.{quoted(name)} AS STRING) END").alias(
                 f"{name}_{label}"
             )
-            for name in names for side, label in (("b", "baseline"), ("a", "actual"))
+            for name in names for side, label in (("_b", "baseline"), ("_a", "actual"))
         ]
         return self.findings.where(self.row_differs).select(*self._keys(), *shown)
 
@@ -232,7 +255,7 @@ class Comparison:
 
     def extra_keys(self) -> DataFrame:
         """Distinct keys of one side only."""
-        alone = self.findings.where((F.col("nb") == 0) | (F.col("na") == 0))
+        alone = self.findings.where((F.col("_nb") == 0) | (F.col("_na") == 0))
         return alone.select(sets.side_of_counts().alias("side"), *self._keys())
 
     def common_keys(self) -> DataFrame:
@@ -241,11 +264,11 @@ class Comparison:
     def duplicate_keys(self) -> DataFrame:
         """Keys with several rows on a side, with their row count there."""
         per_side = F.array(
-            F.struct(F.lit("base").alias("side"), F.col("nb").alias("n")),
-            F.struct(F.lit("actual").alias("side"), F.col("na").alias("n")),
+            F.struct(F.lit("base").alias("side"), F.col("_nb").alias("n")),
+            F.struct(F.lit("actual").alias("side"), F.col("_na").alias("n")),
         )
         several = F.filter(per_side, lambda s: s["n"] > 1)
-        held = self.findings.where((F.col("nb") > 1) | (F.col("na") > 1))
+        held = self.findings.where((F.col("_nb") > 1) | (F.col("_na") > 1))
         return held.select(F.inline(several), *self._keys()).select("side", *cols(self.pk), "n")
 
     # -- rows of the un-deduplicated sides ----------------------------------
@@ -261,7 +284,7 @@ class Comparison:
         """
         repeated = self._repeated_keys.where(self._on_both) if common_only else self._repeated_keys
         parts = []
-        for side, df, count in (("base", self.base, "nb"), ("actual", self.actual, "na")):
+        for side, df, count in (("base", self.base, "_nb"), ("actual", self.actual, "_na")):
             keys = repeated.where(F.col(count) > 1)
             rows = sets.rows_with_keys(self._shared(df), keys, self.pk)
             part = sets.duplicate_rows(rows, self.pk, self.columns)
@@ -270,20 +293,20 @@ class Comparison:
 
     @cached_property
     def _repeated_keys(self) -> DataFrame:
-        keys = self.findings.where((F.col("nb") > 1) | (F.col("na") > 1))
-        return stored(keys.select(*cols(self.pk), "nb", "na"), "repeated-keys")
+        keys = self.findings.where((F.col("_nb") > 1) | (F.col("_na") > 1))
+        return stored(keys.select(*cols(self.pk), "_nb", "_na"), "repeated-keys")
 
     @cached_property
     def _lonely_keys(self) -> DataFrame:
-        keys = self.findings.where((F.col("nb") == 0) | (F.col("na") == 0))
-        return stored(keys.select(*cols(self.pk), "nb", "na"), "extra-keys")
+        keys = self.findings.where((F.col("_nb") == 0) | (F.col("_na") == 0))
+        return stored(keys.select(*cols(self.pk), "_nb", "_na"), "extra-keys")
 
     def extra_rows(self, side: str) -> DataFrame:
         """All rows, with all their columns, whose key the other side lacks.
 
         The keys are stored first, as in ``duplicate_rows``.
         """
-        df, other = (self.base, "na") if side == "base" else (self.actual, "nb")
+        df, other = (self.base, "_na") if side == "base" else (self.actual, "_nb")
         rows = sets.rows_with_keys(df, self._lonely_keys.where(F.col(other) == 0), self.pk)
         shown = texts(rows) if self.value_mode == "string" else cols(rows.columns)
         return rows.select(F.lit(side).alias("side"), *shown)
@@ -297,12 +320,12 @@ class Comparison:
             return self._rows(sets.row_except(self._shared(self.base), self._shared(self.actual)), ["side"])
         sides = F.filter(
             F.array(
-                F.struct(F.lit("base").alias("side"), F.col("b").alias("row"), F.col("nb").alias("n")),
-                F.struct(F.lit("actual").alias("side"), F.col("a").alias("row"), F.col("na").alias("n")),
+                F.struct(F.lit("base").alias("side"), F.col("_b").alias("row"), F.col("_nb").alias("n")),
+                F.struct(F.lit("actual").alias("side"), F.col("_a").alias("row"), F.col("_na").alias("n")),
             ),
             lambda s: s["n"] > 0,
         )
-        unequal = (F.col("nb") == 0) | (F.col("na") == 0) | differs(F.col("b"), F.col("a"))
+        unequal = (F.col("_nb") == 0) | (F.col("_na") == 0) | differs(F.col("_b"), F.col("_a"))
         return self._sided_rows(self.findings.where(unequal).select(*cols(self.pk), F.inline(sides)))
 
     def multiset_diff(self) -> DataFrame:
@@ -331,9 +354,12 @@ def _late_columns(base: DataFrame, actual: DataFrame, pk: Sequence[str]) -> list
 
 
 def compare(base: DataFrame, actual: DataFrame, pk: Sequence[str], exclude: Sequence[str] = (),
-            value_mode: str = "string", tolerance: int | None = None) -> Comparison:
+            value_mode: str = "string", tolerance: int | None = None, co_located: bool = False) -> Comparison:
     """Prepare a comparison; runs no job.
 
+    ``co_located`` is for sides bucketed alike by ``pk``: they are joined bucket
+    by bucket instead of being put under each other and shuffled.
+
     ``value_mode='string'`` compares the text of the values, ``'typed'`` the
     values themselves; maps, which Spark does not order, are compared as text in
     key order either way. ``tolerance`` compares numbers rounded to that many
@@ -351,4 +377,4 @@ def compare(base: DataFrame, actual: DataFrame, pk: Sequence[str], exclude: Sequ
     else:
         base, actual = maps_as_text(base), maps_as_text(actual)
     shared = [c for c in common_columns(base, actual) if c not in set(pk)]
-    return Comparison(base, actual, tuple(pk), tuple(shared), value_mode, tolerance)
+    return Comparison(base, actual, tuple(pk), tuple(shared), value_mode, tolerance, co_located)

@@ -82,18 +82,18 @@ def _top_per_side(df: DataFrame, order: list[Column], n: int) -> DataFrame:
 
 def _totals(cmp: Comparison) -> DataFrame:
     """Every count of a comparison in one aggregation over its findings."""
-    both = (F.col("nb") > 0) & (F.col("na") > 0)
+    both = (F.col("_nb") > 0) & (F.col("_na") > 0)
     zero = F.lit(0).cast("bigint")
     clean = F.lit(cmp.clean_keys).cast("bigint")
     return cmp.findings.agg(
-        (F.coalesce(F.sum("nb"), zero) + clean).alias("rows_base"),
-        (F.coalesce(F.sum("na"), zero) + clean).alias("rows_actual"),
-        F.count_if(F.col("na") == 0).alias("extra_base"),
-        F.count_if(F.col("nb") == 0).alias("extra_actual"),
-        F.count_if(F.col("nb") > 1).alias("duplicate_keys_base"),
-        F.count_if(F.col("na") > 1).alias("duplicate_keys_actual"),
-        F.coalesce(F.sum(F.when(both, F.col("nb") - 1)), zero).alias("duplicate_rows_base"),
-        F.coalesce(F.sum(F.when(both, F.col("na") - 1)), zero).alias("duplicate_rows_actual"),
+        (F.coalesce(F.sum("_nb"), zero) + clean).alias("rows_base"),
+        (F.coalesce(F.sum("_na"), zero) + clean).alias("rows_actual"),
+        F.count_if(F.col("_na") == 0).alias("extra_base"),
+        F.count_if(F.col("_nb") == 0).alias("extra_actual"),
+        F.count_if(F.col("_nb") > 1).alias("duplicate_keys_base"),
+        F.count_if(F.col("_na") > 1).alias("duplicate_keys_actual"),
+        F.coalesce(F.sum(F.when(both, F.col("_nb") - 1)), zero).alias("duplicate_rows_base"),
+        F.coalesce(F.sum(F.when(both, F.col("_na") - 1)), zero).alias("duplicate_rows_actual"),
         F.count_if(cmp.row_differs).alias("mismatched_keys"),
         *cmp.column_counts(),
     ).withColumns({

@@ -56,6 +56,10 @@ def test_random_sides_match_brute_force(spark, seed):
     assert rows(cmp.extra_keys()) == extra
     assert rows(cmp.duplicate_keys()) == dup
     assert rows(cmp.narrowed().changed_cells()) == cells
+    joined = compare(*sides(spark, base, actual), ["k", "j"], co_located=True)
+    assert rows(joined.changed_cells()) == cells
+    assert rows(joined.extra_keys()) == extra
+    assert rows(joined.duplicate_keys()) == dup
     kept = cmp.stored()
     assert rows(kept.changed_cells()) == cells
     assert rows(kept.extra_keys()) == extra
@@ -190,6 +194,17 @@ def test_odd_column_names(spark):
     assert rows(cmp.stored().changed_cells()) == rows(cmp.narrowed().changed_cells()) == [("1", "x y", "a", "b")]
 
 
+def test_columns_named_like_the_sides(spark):
+    schema = "a string, b string, nb string, na string, k string"
+    base, actual = (spark.createDataFrame([("1", "x", v, "q", "w")], schema) for v in ("r", "s"))
+    for shape in (False, True):
+        cmp = compare(base, actual, ["a", "b"], co_located=shape)
+        assert rows(cmp.changed_cells()) == [("1", "x", "nb", "r", "s")]
+        assert reports.verdict(cmp).first()["mismatched_cells"] == 1
+        assert cmp.extra_keys().isEmpty() and cmp.duplicate_rows().isEmpty() and cmp.extra_rows("base").isEmpty()
+        assert cmp.multiset_diff().count() == cmp.row_except(dedupe=False).count() == cmp.row_except().count() == 2
+
+
 def test_many_columns(spark):
     names = [f"c{i}" for i in range(150)]
     base = spark.range(5).select(F.col("id").alias("k"), *[F.lit(i).alias(c) for i, c in enumerate(names)])
@@ -305,3 +320,13 @@ def test_filters_reach_the_scan(spark, data, name, pushed):
 
     plan = queries()[name](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert pushed in plan[plan.index("PushedFilters"):]
+
+
+def test_bucketed_tables_are_compared_without_a_shuffle(spark):
+    base = spark.range(500).select("id", (F.col("id") % 7).alias("v"))
+    for name, df in (("bucketed_base", base), ("bucketed_actual", base.withColumn("v", F.col("id") % 6))):
+        df.write.mode("overwrite").bucketBy(4, "id").sortBy("id").saveAsTable(name)
+    cmp = compare(spark.table("bucketed_base"), spark.table("bucketed_actual"), ["id"], co_located=True)
+    plan = cmp._joined_pairs(cmp.base, cmp.actual)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert cmp.changed_cells().count() == base.where("id % 7 <> id % 6").count()
