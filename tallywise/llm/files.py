@@ -16,7 +16,7 @@ def opened(uri: str, mode: str):
     store, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
     if mode == "wb":
         store.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        return store.open_output_stream(path)
+        return store.open_output_stream(path, compression=None)
     return store.open_input_file(path)
 
 

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallywise.llm import language_id, quality_cnn, quality_rules, warc
 from tallywise.llm.jaccard_join import jaccard_join
+from tallywise.llm.main_text import extract_main_text
 from tallywise.llm.packing import pack
+from tallywise.llm.samples import remainder
+from tallywise.llm.secret_scan import scan_secrets
 from tallywise.llm.token_files import read_token_files, write_token_files
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,9 +29,46 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_files(write_token_files(_table(spark, folder, "documents"), VOCABULARY, end_id=2))
 
 
+def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_main_text(_table(spark, folder, "pages"))
+
+
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_secrets(_table(spark, folder, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join(_table(spark, folder, "documents"), k=5, percent=80)
 
 
-QUERIES = {"op1_packing": op1_packing, "op2_token_files": op2_token_files, "op5_jaccard_join": op5_jaccard_join}
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = remainder("doc_id", language_id.HELD_OUT) == 0
+    found = language_id.identify_languages(docs.select("doc_id", "text"), language_id.fit_languages(docs))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents").select("doc_id", "text"), _table(spark, folder, "labels")
+    held_out = remainder("doc_id", quality_cnn.HELD_OUT) == quality_cnn.HELD_OUT_REST
+    scored = quality_cnn.score_quality(docs, quality_cnn.fit_quality(docs, labels))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    read = warc.read_warc(warc.write_warc(_table(spark, folder, "pages")), with_payload=False)
+    return read.where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    field = quality_rules.fit_field(docs, _table(spark, folder, "labels"))
+    return quality_rules.apply_rules(docs, field).drop("labels")
+
+
+QUERIES = {
+    "op1_packing": op1_packing, "op2_token_files": op2_token_files, "op3_main_text": op3_main_text,
+    "op4_secret_scan": op4_secret_scan, "op5_jaccard_join": op5_jaccard_join, "op6_language_id": op6_language_id,
+    "op7_quality_classifier": op7_quality_classifier, "op8_warc": op8_warc, "op10_quality_rules": op10_quality_rules,
+}
 ORACLE_SQL: dict[str, str] = {}
