@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywise.llm import language_id, quality_cnn, quality_rules, warc
+from tallywise.llm.decontamination import find_leaks
 from tallywise.llm.jaccard_join import jaccard_join
 from tallywise.llm.main_text import extract_main_text
 from tallywise.llm.packing import pack
@@ -60,6 +61,10 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     return read.where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     field = quality_rules.fit_field(docs, _table(spark, folder, "labels"))
@@ -69,6 +74,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing, "op2_token_files": op2_token_files, "op3_main_text": op3_main_text,
     "op4_secret_scan": op4_secret_scan, "op5_jaccard_join": op5_jaccard_join, "op6_language_id": op6_language_id,
-    "op7_quality_classifier": op7_quality_classifier, "op8_warc": op8_warc, "op10_quality_rules": op10_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier, "op8_warc": op8_warc,
+    "op9_decontamination": op9_decontamination, "op10_quality_rules": op10_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}

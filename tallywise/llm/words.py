@@ -23,6 +23,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 BYTE_VALUE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(MULTIPLIER))
 BYTE_VALUE[SPACE] = 0
+#: The other way to cut: everything but ASCII letters and digits and the bytes of other characters parts words.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+MARKS_VALUE = np.where(MARKS, np.uint64(0), BYTE_VALUE)
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -53,17 +56,18 @@ def blocks(data: bytes, size: int = BLOCK):
         at = end
 
 
-def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and hash of every word of a byte string, in order."""
+def word_spans(data: bytes, bare: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of every word of a byte string, in order; ``bare`` words are cut at punctuation too."""
+    parts, value = (MARKS, MARKS_VALUE) if bare else (SPACE, BYTE_VALUE)
     starts, ends, hashes = [], [], []
     for lo, hi in blocks(data):
         view = np.frombuffer(data, np.uint8, hi - lo, lo)
-        edge = np.diff(np.concatenate(([True], SPACE[view], [True])).astype(np.int8))
+        edge = np.diff(np.concatenate(([True], parts[view], [True])).astype(np.int8))
         s, e = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         if not len(s):
             continue
         up, down = _power(len(view))
-        sums = np.add.reduceat(BYTE_VALUE[view] * up[: len(view)], s)
+        sums = np.add.reduceat(value[view] * up[: len(view)], s)
         starts.append(s + lo)
         ends.append(e + lo)
         hashes.append(mixed(sums * down[s] + (e - s).astype(np.uint64)))
