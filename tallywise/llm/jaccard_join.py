@@ -9,7 +9,8 @@ overlap of a pair is counted in each fragment separately and the counts are summ
 2. Equal sets become one class, and only the classes left are read again and kept with all their n-grams.
 3. A linked pair shares an n-gram among the first ``n - ceil(percent * n / 100) + 1`` of either set in the global
    order. Among the classes with such a common n-gram, each is first counted against one leader, twice; after
-   that only pairs of classes that are still in different components are counted, each of them.
+   that only pairs of classes that are still in different components are counted, each of them that its sizes and
+   the n-grams it has alone leave possible.
 
 Texts are compared as 64-bit hashes of n-grams.
 """
@@ -166,16 +167,23 @@ def linked(pairs: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
 
 
 def _near(percent: int) -> str:
-    return f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
+    """Whether two classes can link by their sizes and by how many of their n-grams any other class has."""
+    return (
+        f"100 * least(na, nb) >= {percent} * greatest(na, nb) and "
+        f"{100 + percent} * least(sa, sb) >= {percent} * (na + nb)"
+    )
 
 
 def _leader_pairs(prefixes: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each class and the leader with which it shares most n-grams, of those in another component."""
-    order = F.xxhash64("rid", F.lit(turn))
+    """Each class and the leader with which it shares most n-grams, of those in another component.
+
+    A leader of the first turn has fewest n-grams of its own, as has the text that others are copies of.
+    """
+    order = F.struct(F.col("n") - F.col("s") if turn == 0 else F.lit(0), F.xxhash64("rid", F.lit(turn)))
     lead = prefixes.groupBy("gram").agg(
-        F.min(F.struct(order.alias("o"), "rid", "n", "comp")).alias("l"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-    ).where("lo <> hi").select("gram", F.col("l.rid").alias("a"), F.col("l.n").alias("na"), F.col("l.comp").alias("ca"))
-    met = prefixes.join(lead, "gram").where("ca <> comp").withColumnRenamed("n", "nb").where(_near(percent))
+        F.min(F.struct(order.alias("o"), "rid", "n", "s", "comp")).alias("l"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+    ).where("lo <> hi").select("gram", F.col("l.rid").alias("a"), F.col("l.n").alias("na"), F.col("l.s").alias("sa"), F.col("l.comp").alias("ca"))
+    met = prefixes.join(lead, "gram").where("ca <> comp").withColumnsRenamed({"n": "nb", "s": "sb"}).where(_near(percent))
     shared = met.groupBy(F.col("rid").alias("b"), "a").agg(F.count("*").alias("shared"))
     best = shared.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -186,8 +194,8 @@ def _open_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
     held = prefixes.groupBy("gram", "comp").agg(F.count("*").alias("c"))
     held = held.groupBy("gram").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("comps"))
     open_lists = prefixes.join(held.where("comps > 1").select("gram", "main"), "gram")
-    left = open_lists.where("comp <> main").select("gram", F.col("rid").alias("x"), F.col("n").alias("na"), F.col("comp").alias("cx"))
-    right = open_lists.select("gram", F.col("rid").alias("y"), F.col("n").alias("nb"), F.col("comp").alias("cy"))
+    left = open_lists.where("comp <> main").select("gram", F.col("rid").alias("x"), F.col("n").alias("na"), F.col("s").alias("sa"), F.col("comp").alias("cx"))
+    right = open_lists.select("gram", F.col("rid").alias("y"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("comp").alias("cy"))
     met = left.join(right, "gram").where("cx <> cy").where(_near(percent))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
@@ -225,7 +233,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     shared = grams.join(common, "gram").groupBy("rid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("g"))
     keep = F.expr(f"cast(n - ceil(n * {percent} / 100.0D) + 1 - (n - size(g)) as int)")
     prefixes = shared.withColumn("keep", keep).where("keep > 0")
-    prefixes = stored(prefixes.select("rid", "n", F.explode(F.slice("g", F.lit(1), F.col("keep"))).alias("e")).select("rid", "n", "e.gram"), "ngram_prefixes")
+    prefixes = stored(prefixes.select("rid", "n", F.size("g").alias("s"), F.explode(F.slice("g", F.lit(1), F.col("keep"))).alias("e")).select("rid", "n", "s", "e.gram"), "ngram_prefixes")
 
     links, comp = None, None
     for turn in range(3):
