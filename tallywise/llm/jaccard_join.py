@@ -33,6 +33,10 @@ from tallywise.session import stored
 FIRST_PARTS = 3
 #: Fragments in which overlaps are counted.
 FRAGMENTS = 4
+#: Fragments whose sizes alone rule out pairs: the sizes of two sets differ by no more than the sets.
+SIZED = 128
+#: Turns of comparing each class with one leader, before all pairs still open are compared.
+TURNS = 2
 #: Stands for an n-gram that several texts of a chunk have.
 MARK = 0xFFFF
 
@@ -130,7 +134,8 @@ def _sets(k: int):
                 for i in range(hi - lo):
                     v = values[at[i] : at[i + 1]]
                     cid.append(b"".join(words.mixed(v ^ np.uint64(0x1234567 + j)).sum(dtype=np.uint64).tobytes() for j in range(2)))
-                yield pd.DataFrame({"cid": cid, "n": np.diff(at), "grams": grams})
+                sizes = [np.bincount(g.view(np.uint64) >> np.uint64(57), minlength=SIZED).astype(np.int32) for g in grams]
+                yield pd.DataFrame({"cid": cid, "n": np.diff(at), "grams": grams, "sizes": sizes})
 
     return run
 
@@ -189,14 +194,16 @@ def _leader_pairs(prefixes: DataFrame, turn: int, percent: int) -> DataFrame:
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _open_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
-    """All pairs with a common n-gram whose classes are still in different components."""
+def _open_pairs(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs with a common n-gram in different components that the sizes of their fragments leave possible."""
     held = prefixes.groupBy("gram", "comp").agg(F.count("*").alias("c"))
     held = held.groupBy("gram").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("comps"))
     open_lists = prefixes.join(held.where("comps > 1").select("gram", "main"), "gram")
-    left = open_lists.where("comp <> main").select("gram", F.col("rid").alias("x"), F.col("n").alias("na"), F.col("s").alias("sa"), F.col("comp").alias("cx"))
-    right = open_lists.select("gram", F.col("rid").alias("y"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("comp").alias("cy"))
-    met = left.join(right, "gram").where("cx <> cy").where(_near(percent))
+    open_lists = open_lists.join(sets.select("rid", "sizes"), "rid")
+    left = open_lists.where("comp <> main").select("gram", F.col("sizes").alias("ha"), F.col("rid").alias("x"), F.col("n").alias("na"), F.col("s").alias("sa"), F.col("comp").alias("cx"))
+    right = open_lists.select("gram", F.col("sizes").alias("hb"), F.col("rid").alias("y"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("comp").alias("cy"))
+    apart = f"aggregate(zip_with(ha, hb, (p, q) -> abs(p - q)), 0, (t, x) -> t + x) * {100 + percent} <= {100 - percent} * (na + nb)"
+    met = left.join(right, "gram").where(f"cx <> cy and {_near(percent)} and {apart}")
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -223,9 +230,9 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     classes = rows.where("open").groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"))
     classes = stored(classes, "ngram_classes")
     chosen = classes.select(F.col("first_id").alias("doc_id")).distinct()
-    sets = texts.join(chosen, "doc_id", "left_semi").mapInPandas(_sets(k), "cid binary, n long, grams array<long>")
+    sets = texts.join(chosen, "doc_id", "left_semi").mapInPandas(_sets(k), "cid binary, n long, grams array<long>, sizes array<int>")
     sets = sets.join(classes.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
-    sets = stored(sets.select(F.monotonically_increasing_id().alias("rid"), "cid", "n", "grams"), "ngram_sets")
+    sets = stored(sets.select(F.monotonically_increasing_id().alias("rid"), "cid", "n", "grams", "sizes"), "ngram_sets")
     fragments = stored(sets.select("rid", "n", "grams").mapInPandas(_fragments, "rid long, n long, frag int, grams binary"), "ngram_fragments")
 
     grams = sets.select("rid", "n", F.explode("grams").alias("gram"))
@@ -236,11 +243,11 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     prefixes = stored(prefixes.select("rid", "n", F.size("g").alias("s"), F.explode(F.slice("g", F.lit(1), F.col("keep"))).alias("e")).select("rid", "n", "s", "e.gram"), "ngram_prefixes")
 
     links, comp = None, None
-    for turn in range(3):
+    for turn in range(TURNS + 1):
         now = prefixes.withColumn("comp", F.col("rid")) if comp is None else prefixes.join(
             comp.withColumnRenamed("id", "rid"), "rid", "left"
         ).withColumn("comp", F.coalesce("comp", "rid"))
-        pairs = stored(_leader_pairs(now, turn, percent) if turn < 2 else _open_pairs(now, percent), "ngram_pairs")
+        pairs = stored(_leader_pairs(now, turn, percent) if turn < TURNS else _open_pairs(now, sets, percent), "ngram_pairs")
         found = stored(linked(pairs, fragments, percent), "ngram_links")
         links = found if links is None else links.union(found)
         comp = components(links)
