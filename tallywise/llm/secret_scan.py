@@ -49,7 +49,7 @@ def entropy_windows(text: str, width: int = WINDOW) -> list[tuple[float, list[fl
 
     With counts c that sum to n, entropy is log2(n) - sum(c * log2(c)) / n; one step changes two counts.
     """
-    log = [0.0] + [k * math.log2(k) for k in range(1, width + 1)]
+    log = [0.0] + [k * math.log2(k) for k in range(1, width + 2)]  # one more while a character comes before one goes
     counts: dict[str, int] = {}
     total, size, inner = 0.0, [0] * 4, [0.0] * 4
     out = []
