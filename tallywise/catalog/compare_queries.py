@@ -418,7 +418,7 @@ def control_totals(spark, folder):
     lines = table(spark, folder, "lineitem")
     actual = lines.withColumn("l_extendedprice", F.when(F.col("l_orderkey") % 97 != 0, F.col("l_extendedprice")))
     day = F.col("l_shipdate") == F.lit("1998-06-01").cast("timestamp_ntz")
-    totals = control_total(lines, actual, ["l_extendedprice", "l_quantity"], where=day)
+    totals = control_total(lines, actual, ["l_extendedprice", "l_quantity"], where=day, scale=2)
     return totals.select("metric", *[F.col(c).cast("string").alias(c)
                                      for c in ("base_value", "actual_value", "delta", "ok")])
 
@@ -431,10 +431,26 @@ SELECT 'o_totalprice' AS metric, CAST(sum(CAST(o_totalprice AS DECIMAL(28,2))) F
 FROM orders
 """)
 def control_total_whole_table(spark, folder):
-    totals = control_total(*orders_pair(spark, folder), ["o_totalprice"])
+    totals = control_total(*orders_pair(spark, folder), ["o_totalprice"], scale=2)
     return totals.select("metric", *[F.col(c).cast("string").alias(c) for c in ("base_value", "actual_value")])
 
 
+@query("control_total_full_scale", """
+WITH v AS (SELECT l_orderkey, CAST(round(l_extendedprice * 100) AS DECIMAL(28,0)) / 10000 AS x FROM lineitem),
+t AS (SELECT CAST(sum(CAST(x AS DECIMAL(28,4))) AS DECIMAL(28,4)) AS b,
+  CAST(sum(CAST(x AS DECIMAL(28,4))) FILTER (WHERE l_orderkey % 9999 <> 1) AS DECIMAL(28,4)) AS a FROM v)
+SELECT 'x' AS metric, CAST(b AS VARCHAR) AS base_value, CAST(a AS VARCHAR) AS actual_value, CAST(a - b AS VARCHAR) AS delta,
+  CASE WHEN a = b THEN 'true' ELSE 'false' END AS ok FROM t
+""")
+def control_total_full_scale(spark, folder):
+    """Values of four decimals, each of which would vanish if it were rounded to two before the sum."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("decimal(28,0)")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", (cents / 10000).cast("decimal(28,4)").alias("x"))
+    totals = control_total(lines, lines.where("l_orderkey % 9999 <> 1"), ["x"], scale=4)
+    return totals.select("metric", *[F.col(c).cast("string").alias(c)
+                                     for c in ("base_value", "actual_value", "delta", "ok")])
+
+
 @query("row_counts", f"""
 WITH {LINES_SIDES} SELECT 'base' AS side, count(*) AS n FROM base UNION ALL SELECT 'actual', count(*) FROM actual
 """)

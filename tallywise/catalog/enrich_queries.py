@@ -382,7 +382,7 @@ _SCORES = ", ".join(
 @query("classify_text", f"""
 WITH scored AS (
   SELECT doc_id, {_SCORES} FROM (
-    SELECT doc_id, list_distinct(string_split_regex(lower(text), '[^a-z]+')) AS words FROM documents))
+    SELECT doc_id, list_distinct(string_split_regex(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS words FROM documents))
 SELECT doc_id, CASE WHEN greatest(s0, s1, s2, s3) = 0 THEN 'Other' WHEN s0 >= greatest(s1, s2, s3) THEN 'English'
   WHEN s1 >= greatest(s2, s3) THEN 'French' WHEN s2 >= s3 THEN 'German' ELSE 'Spanish' END AS label
 FROM scored

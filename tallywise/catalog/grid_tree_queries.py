@@ -155,6 +155,9 @@ SELECT doc_id, '/ROW/o_totalprice', 'Text', bp, p FROM j WHERE s IS NOT NULL AND
 UNION ALL SELECT doc_id, '/ROW', 'Children count', '6', '5' FROM j WHERE s IS NULL
 UNION ALL SELECT doc_id, '/ROW', 'Tag', 'o_orderstatus', 'o_totalprice' FROM j WHERE s IS NULL
 UNION ALL SELECT doc_id, '/ROW/o_orderstatus', 'Text', bs, p FROM j WHERE s IS NULL
+UNION ALL SELECT coalesce(b.o_orderkey, a.o_orderkey), '', 'Document', CASE WHEN b.o_orderkey IS NOT NULL THEN 'present' END,
+  CASE WHEN a.o_orderkey IS NOT NULL THEN 'present' END
+  FROM base b FULL JOIN actual a ON b.o_orderkey = a.o_orderkey WHERE b.o_orderkey IS NULL OR a.o_orderkey IS NULL
 """
 
 

@@ -129,12 +129,6 @@ def batched_records(spark, folder):
     return lists.select("batch_no", back)
 
 
-@query("file_manifest")
-def file_manifest(spark, folder):
-    files = manifest.file_manifest(spark, folder)
-    return files.select("file_name", (F.col("length") > 0).alias("holds_data"))
-
-
 @query("manifest_check", """
 SELECT source AS report, count(*) FILTER (WHERE source < 'src15' OR doc_id % 10 <> 0) AS expected,
   count(*) AS actual_files, count(DISTINCT lang) AS dirs, count(*) FILTER (WHERE doc_id % 6 = 0) AS zero_byte_files,

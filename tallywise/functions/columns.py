@@ -45,12 +45,40 @@ def value_struct(names: Sequence[str]) -> Column:
     return F.struct(*[col(n).alias(n) for n in names] or [F.lit(None).cast("string").alias(NO_VALUES)])
 
 
+def holds_map(data_type: T.DataType) -> bool:
+    """Whether a map lies anywhere in a type."""
+    if isinstance(data_type, T.ArrayType):
+        return holds_map(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return any(holds_map(f.dataType) for f in data_type.fields)
+    return isinstance(data_type, T.MapType)
+
+
+def _canonical(column: Column, data_type: T.DataType) -> Column:
+    """The value with every map, at any depth, as its entries in key order."""
+    if isinstance(data_type, T.ArrayType):
+        return F.transform(column, lambda x: _canonical(x, data_type.elementType))
+    if isinstance(data_type, T.StructType):
+        fields = [_canonical(column.getField(f.name), f.dataType).alias(f.name) for f in data_type.fields]
+        return F.when(column.isNotNull(), F.struct(*fields)) if fields else column
+    if isinstance(data_type, T.MapType):
+        return F.array_sort(F.transform(F.map_entries(column), lambda e: F.struct(
+            _canonical(e.getField("key"), data_type.keyType).alias("key"),
+            _canonical(e.getField("value"), data_type.valueType).alias("value"),
+        )))
+    return column
+
+
 def as_text(column: Column, data_type: T.DataType) -> Column:
-    """The string form values are compared in; maps print in key order."""
+    """The string form values are compared in.
+
+    Arrays, structs and maps become JSON with nulls kept and strings quoted, so unequal values never share a text;
+    maps are lists of entries in key order.
+    """
     if isinstance(data_type, T.StringType):
         return column
-    if isinstance(data_type, T.MapType):
-        return F.array_sort(F.map_entries(column)).cast("string")
+    if isinstance(data_type, (T.ArrayType, T.StructType, T.MapType)):
+        return F.to_json(_canonical(column, data_type), {"ignoreNullFields": "false"})
     return column.cast("string")
 
 

@@ -6,33 +6,49 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywise.functions.columns import col
 from tallywise.functions.compare import differs
 
 
+#: Decimals of a floating-point value that count in a sum.
+FLOAT_SCALE = 12
+
+
+def _summed_type(data_type: T.DataType) -> str:
+    """A decimal that holds the column's values as they are."""
+    if isinstance(data_type, T.DecimalType):
+        return data_type.simpleString()
+    return f"decimal(38,{FLOAT_SCALE})" if isinstance(data_type, T.FractionalType) else "decimal(20,0)"
+
+
 def control_total(base: DataFrame, actual: DataFrame, sum_cols: Sequence[str], where: Column | None = None,
-                  scale: int = 2) -> DataFrame:
+                  scale: int | None = 2) -> DataFrame:
     """Sums of both sides and their difference, one row per column.
 
-    Sums are decimal, so they do not depend on the order rows arrive in.
+    Integers and decimals are summed at their own scale, floating-point values at ``FLOAT_SCALE`` decimals, so sums do
+    not depend on the order rows arrive in. ``ok`` compares the full sums; ``scale`` rounds only what is shown, None shows all.
     """
-    kind = f"decimal({38 - 10},{scale})"
+    kinds = {c: (_summed_type(base.schema[c].dataType), _summed_type(actual.schema[c].dataType)) for c in sum_cols}
 
     def side(df: DataFrame, tag: str) -> DataFrame:
         df = df if where is None else df.where(where)
-        return df.select(F.lit(tag).alias("_side"), *[col(c).cast(kind).alias(c) for c in sum_cols])
+        return df.select(F.lit(tag).alias("_side"), *[
+            col(c).cast(kinds[c][tag == "a"]).alias(f"{tag}{i}") for i, c in enumerate(sum_cols)
+        ])
+
+    both = side(base, "b").unionByName(side(actual, "a"), allowMissingColumns=True)
+    sums = both.agg(*[F.sum(f"{tag}{i}").alias(f"{tag}{i}") for i in range(len(sum_cols)) for tag in ("b", "a")])
+
+    def shown(value: Column) -> Column:
+        return (value if scale is None else F.round(value, scale)).cast(f"decimal(38,{FLOAT_SCALE if scale is None else scale})")
 
-    both = side(base, "b").unionAll(side(actual, "a"))
-    sums = both.agg(*[
-        F.sum(F.when(F.col("_side") == tag, col(c))).alias(f"{tag}{i}")
-        for i, c in enumerate(sum_cols) for tag in ("b", "a")
-    ])
     rows = []
     for i, c in enumerate(sum_cols):
         b, a = F.col(f"b{i}"), F.col(f"a{i}")
         rows.append(F.struct(
-            F.lit(c).alias("metric"), b.alias("base_value"), a.alias("actual_value"),
-            (a - b).alias("delta"), (~differs(b, a)).alias("ok"),
+            F.lit(c).alias("metric"), shown(b).alias("base_value"), shown(a).alias("actual_value"),
+            shown(a - b).alias("delta"), (~differs(b, a)).alias("ok"),
         ))
     return sums.select(F.inline(F.array(*rows)))

@@ -8,6 +8,7 @@ from string import Formatter
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from tallywise.functions.columns import col, cols, key_struct
@@ -46,6 +47,8 @@ def map_distinct(df: DataFrame, column: str, fn: Callable[[pd.Series], pd.DataFr
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = fn(batch["_value"]).reset_index(drop=True)
+            if len(found) != len(batch):
+                raise ValueError(f"the model gave {len(found)} answers for {len(batch)} values")
             found.insert(0, "_value", batch["_value"].reset_index(drop=True))
             yield found
 
@@ -119,11 +122,13 @@ def impute_numeric(df: DataFrame, targets: Mapping[str, str], by: Sequence[str]
     bounded-memory quantile with a rank error of at most ``1 / accuracy``.
     """
     def stat(name: str) -> Column:
-        value = missing_as_null(col(name), df.schema[name].dataType.simpleString()).cast("double")
+        own = df.schema[name].dataType
+        value = missing_as_null(col(name), own.simpleString()).cast("double")
         if how == "mean":
-            # Decimal sums do not depend on the order rows arrive in.
-            exact = value.try_cast("decimal(28,6)")
-            return (F.sum(exact) / F.count(exact)).cast("double")
+            # Sums of integers and decimals are exact and so do not depend on the order rows arrive in.
+            if isinstance(own, T.IntegralType):
+                return (F.sum(col(name).cast("decimal(20,0)")) / F.count(col(name))).cast("double")
+            return F.avg(col(name)).cast("double") if isinstance(own, T.DecimalType) else F.avg(value)
         if how == "median":
             return F.percentile_approx(value, 0.5, accuracy)
         raise ValueError(f"unknown method {how!r}")
@@ -143,10 +148,13 @@ def impute_numeric(df: DataFrame, targets: Mapping[str, str], by: Sequence[str]
 
 
 def _typed_fill(df: DataFrame, name: str, fill: Column, kind: str) -> Column:
-    value = fill_missing(col(name).cast("double"), fill, "double")
+    """Values that are there keep their own type until the cast to ``kind``; only the fill goes through double."""
+    own = df.schema[name].dataType
+    there = missing_as_null(col(name), own.simpleString())
     if kind in ("int", "bigint"):
-        value = F.round(value)
-    return value.cast(kind).alias(name)
+        fill = F.round(fill)
+        there = F.round(there) if isinstance(own, T.FractionalType) else there
+    return F.coalesce(there.cast(kind), fill.cast(kind)).alias(name)
 
 
 def impute_regression(df: DataFrame, target: str, predictor: str, kind: str = "double") -> DataFrame:
@@ -177,10 +185,11 @@ def fill_series(df: DataFrame, ts: str, value: str, keys: Sequence[str] = (), ho
     known = df.select(
         (key_struct(keys) if keys else F.struct(F.lit(1).alias("all"))).alias("_k"),
         F.to_date(col(ts)).alias("_day"), missing_as_null(col(value), kind).cast("double").alias("_v"),
+        missing_as_null(col(value), kind).alias("_as_is"),
     ).where(F.col("_day").isNotNull())
     chunk = F.floor(F.unix_date("_day") / chunk_days).cast("int")
     point = F.when(F.col("_v").isNotNull(), F.struct(F.col("_day").alias("d"), F.col("_v").alias("v")))
-    known = known.select("_k", "_day", "_v", chunk.alias("_c"), point.alias("_p"))
+    known = known.select("_k", "_day", "_v", "_as_is", chunk.alias("_c"), point.alias("_p"))
 
     chunks = known.groupBy("_k", "_c").agg(
         F.min("_day").alias("_first_day"), F.min("_p").alias("_first"), F.max("_p").alias("_last")
@@ -196,14 +205,14 @@ def fill_series(df: DataFrame, ts: str, value: str, keys: Sequence[str] = (), ho
     inside = W.partitionBy("_k", "_c")
     later = inside.orderBy(F.desc("_day"))
     near = known.select(
-        "_k", "_c", "_day", "_v",
+        "_k", "_c", "_day", "_v", "_as_is",
         F.last("_p", ignorenulls=True).over(inside.orderBy("_day").rowsBetween(W.unboundedPreceding, 0)).alias("_up"),
         F.last("_p", ignorenulls=True).over(later.rowsBetween(W.unboundedPreceding, -1)).alias("_down"),
         F.lag("_day").over(later).alias("_next_day"),
     ).join(around, ["_k", "_c"])
     until = F.greatest(F.date_sub(F.coalesce("_next_day", "_next_chunk", F.date_add("_day", 1)), 1), "_day")
     days = near.select(
-        "_k", "_v", F.coalesce("_up", "_before").alias("_prev"), F.coalesce("_down", "_after").alias("_following"),
+        "_k", "_v", "_as_is", F.coalesce("_up", "_before").alias("_prev"), F.coalesce("_down", "_after").alias("_following"),
         F.col("_day").alias("_own"), F.explode(F.sequence("_day", until)).alias("_day"),
     )
     prev, following = F.col("_prev"), F.col("_following")
@@ -213,7 +222,9 @@ def fill_series(df: DataFrame, ts: str, value: str, keys: Sequence[str] = (), ho
         share = F.date_diff(F.col("_day"), prev.getField("d")) / span
         between = prev.getField("v") + (following.getField("v") - prev.getField("v")) * share
         guess = F.when(prev.isNotNull() & following.isNotNull(), between).otherwise(guess)
-    measured = F.when(F.col("_day") == F.col("_own"), F.col("_v"))
+    measured = F.when(F.col("_day") == F.col("_own"), F.col("_as_is"))
+    if isinstance(df.schema[value].dataType, (T.IntegralType, T.DecimalType)):  # values that are there stay as they are
+        guess = (F.round(guess) if isinstance(df.schema[value].dataType, T.IntegralType) else guess).cast(df.schema[value].dataType)
     parts = [F.col("_k").getField(k).alias(k) for k in keys]
     return days.select(*parts, F.col("_day").alias(ts), F.coalesce(measured, guess).alias(value),
                        measured.isNull().alias("filled"))

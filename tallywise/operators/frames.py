@@ -6,9 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallywise.functions.columns import as_text, col, cols
+from tallywise.functions.columns import as_text, col, cols, holds_map
 
 
 def cast_all_string(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -20,9 +19,9 @@ def cast_all_string(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def maps_as_text(df: DataFrame) -> DataFrame:
-    """Map columns as text in key order, all others as they are."""
+    """Columns that hold a map at any depth as text in key order, all others as they are."""
     return df.select(*[
-        as_text(col(f.name), f.dataType).alias(f.name) if isinstance(f.dataType, T.MapType) else col(f.name)
+        as_text(col(f.name), f.dataType).alias(f.name) if holds_map(f.dataType) else col(f.name)
         for f in df.schema.fields
     ])
 

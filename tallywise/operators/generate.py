@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywise.functions.columns import col, cols
+from tallywise.functions.columns import col, cols, key_struct
 from tallywise.functions.hashing import hash_uniform, pick, spread_key
 from tallywise.operators.frames import append_rows
 from tallywise.operators.numbering import BUCKET_DIGITS, number_in_group, repeat_rows
@@ -77,18 +77,20 @@ def replicate(df: DataFrame, row_id: str, group: Sequence[str], needed: DataFram
     numbered in hash order; each is copied ``n_needed div n_rows`` times and the
     first ``n_needed mod n_rows`` once more. Copies are numbered from 0.
     """
-    if group:
-        df = df.join(needed, list(group), "left_semi")
+    names = df.columns
+    if group:  # on the struct of all parts, so that a null class is one of them
+        needed = needed.select(key_struct(group).alias("_gk"), "n_rows", "n_needed")
+        df = df.withColumn("_gk", key_struct(group)).join(needed, "_gk", "left_semi").drop("_gk")
     numbered = number_in_group(df, group, spread_key([col(row_id)]), [col(row_id)], "_idx", digits)
     if group:
-        sized = numbered.join(needed, list(group))
+        sized = numbered.withColumn("_gk", key_struct(group)).join(needed, "_gk")
         rows, wanted = F.col("n_rows"), F.col("n_needed")
     else:
         sized = numbered
         rows, wanted = needed.select("n_rows").scalar(), needed.select("n_needed").scalar()
     whole = F.floor(wanted / rows)
     times = whole + F.when(F.col("_idx") <= wanted - whole * rows, 1).otherwise(0)
-    counted = sized.select(*cols(df.columns), times.cast("bigint").alias("_times"))
+    counted = sized.select(*cols(names), times.cast("bigint").alias("_times"))
     return repeat_rows(counted, "_times", out)
 
 

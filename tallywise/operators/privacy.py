@@ -13,19 +13,24 @@ from tallywise.functions.hashing import hash_uniform, pick
 
 
 def mask_name(text: Column) -> Column:
-    """Keep the first letter of each word."""
-    return F.regexp_replace(text, "([A-Za-z])[A-Za-z]+", "$1***")
+    """Keep the first letter of each word, in any script; a text without letters is masked wholly."""
+    masked = F.regexp_replace(text, "(\\p{L})[\\p{L}\\p{M}]*", "$1***")
+    return F.when(text.rlike("\\p{L}"), masked).when(text.isNotNull(), "***")
 
 
 def mask_email(text: Column) -> Column:
-    return F.regexp_replace(text, "^([^@]).*@", "$1***@")
+    """Keep the first character and the domain; what is no address is masked wholly."""
+    masked = F.regexp_replace(text, "^([^@]).*@", "$1***@")
+    return F.when(text.rlike("^[^@].*@[^@]+$"), masked).when(text.isNotNull(), "***")
 
 
 def mask_phone(text: Column) -> Column:
-    """Keep the last four digits."""
+    """Keep the last four digits; what has other than seven to fifteen digits is masked wholly."""
+    digits = F.length(F.regexp_replace(text, "[^0-9]", ""))
     kept = F.substring(text, -4, 4)
     hidden = F.regexp_replace(F.substring(text, F.lit(1), F.greatest(F.length(text) - 4, F.lit(0))), "[0-9]", "*")
-    return F.concat(hidden, kept)
+    shaped = digits.between(7, 15) & ~text.rlike("\\p{L}") & kept.rlike("^[0-9]{4}$")
+    return F.when(shaped, F.concat(hidden, kept)).when(text.isNotNull(), "***")
 
 
 def mask_token(text: Column, key: str) -> Column:
@@ -37,7 +42,12 @@ _MASKS = {"name": mask_name, "email": mask_email, "phone": mask_phone}
 
 
 def mask_columns(df: DataFrame, kinds: Mapping[str, str], key: str = "") -> DataFrame:
-    """Mask columns by kind: ``name``, ``email``, ``phone`` or ``token``; others stay."""
+    """Mask columns by kind: ``name``, ``email``, ``phone`` or ``token``; others stay.
+
+    Tokens need a ``key``: without one anybody could hash a guess and compare.
+    """
+    if "token" in kinds.values() and not key:
+        raise ValueError("tokens need a key")
     return df.withColumns({
         c: mask_token(col(c).cast("string"), key) if kind == "token" else _MASKS[kind](col(c))
         for c, kind in kinds.items()
@@ -94,15 +104,10 @@ REDACTIONS = [
 ]
 
 
-#: Names in one pattern; longer lists take several passes.
-NAMES_PER_PASS = 200
-
-
-def name_redactions(names: Sequence[str]) -> list[tuple[str, str]]:
-    """Patterns and replacements for listed names; of two that match the longer goes first."""
-    ordered = sorted(names, key=lambda n: (-len(n), n))
-    passes = [ordered[i:i + NAMES_PER_PASS] for i in range(0, len(ordered), NAMES_PER_PASS)]
-    return [(f"{_WORD_START}({'|'.join(map(re.escape, listed))})", "$1*") for listed in passes]
+def name_pattern(names: Sequence[str]) -> str:
+    """Listed names as whole words of any script, in one pass; of two that match the longer counts."""
+    ordered = sorted(set(names), key=lambda n: (-len(n), n))
+    return f"(?<![\\p{{L}}\\p{{N}}])(?:{'|'.join(map(re.escape, ordered))})(?![\\p{{L}}\\p{{M}}\\p{{N}}])"
 
 
 def redact_text(text: Column, names: Sequence[str] = ()) -> Column:
@@ -116,6 +121,4 @@ def redact_text(text: Column, names: Sequence[str] = ()) -> Column:
     for step in numbers:
         numbered = F.regexp_replace(numbered, *step)
     out = F.when(text.rlike("[0-9]"), numbered).otherwise(out)
-    for step in name_redactions(names):
-        out = F.regexp_replace(out, *step)
-    return out
+    return F.regexp_replace(out, name_pattern(names), "*") if names else out

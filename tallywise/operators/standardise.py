@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,9 +11,6 @@ from pyspark.sql import functions as F
 from tallywise.functions.columns import col
 from tallywise.functions.dates import parse_date
 
-#: Dictionaries up to this size become literals; larger ones are joined.
-LITERAL_ENTRIES = 200
-
 # Number words.
 UNIT_WORDS = [
     "zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve",
@@ -157,10 +155,9 @@ def standardise_category(text: Column, aliases: Mapping[str, str], canon: Sequen
     """Canonical name by alias, by equal text, or by the nearest name in edits.
 
     The nearest name must be within ``max_edits``; ties go to the first in
-    alphabetical order. Only for vocabularies that fit in literals.
+    alphabetical order. The vocabulary is part of the expression; one that comes
+    as a table goes through ``value_mapping`` first.
     """
-    if len(aliases) + len(canon) > LITERAL_ENTRIES:
-        raise ValueError("vocabulary too large for literals; use value_mapping")
     lowered = F.lower(F.trim(text))
     known = _lowered({**{c: c for c in canon}, **aliases})
     near = F.array(*[
@@ -209,12 +206,17 @@ def standardise_product(text: Column) -> Column:
 def classify_text(text: Column, rules: Mapping[str, Sequence[str]], default: str = "Other") -> Column:
     """The label whose keywords occur most, out of a closed set.
 
-    The score counts the distinct keywords found as whole words in the whole
-    text; ties go to the label named first, no hit to ``default``.
+    The score counts the distinct keywords found as whole words or phrases in the
+    whole text, whatever their case and the punctuation between words; ties go to
+    the label named first, no hit to ``default``.
     """
-    words = F.split(F.lower(text), "[^a-z]+")
+    words = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), "[^\\p{L}\\p{M}\\p{N}]+", " "), F.lit(" "))
+
+    def plain(keyword: str) -> str:
+        return " " + " ".join("".join(c if unicodedata.category(c)[0] in "LMN" else " " for c in keyword.lower()).split()) + " "
+
     scores = F.array(*[
-        F.struct(F.size(F.array_intersect(words, F.array(*[F.lit(w) for w in keywords]))).alias("score"),
+        F.struct(sum((words.contains(w).cast("int") for w in sorted(set(map(plain, keywords)) - {"  "})), F.lit(0)).alias("score"),
                  F.lit(-i).alias("rank"), F.lit(label).alias("label"))
         for i, (label, keywords) in enumerate(rules.items())
     ])

@@ -29,7 +29,7 @@ def tree_diff(base: DataFrame, actual: DataFrame, ignore_whitespace: bool = Fals
     """Differences of paired nodes: ``doc_id, path, kind, base_value, actual_value``.
 
     Both frames come from ``shred_xml``. Surplus children show only in the count
-    of their parent. The join key holds the place in the document, so one large
+    of their parent, a document of one side only as one row of kind ``Document``. The join key holds the place in the document, so one large
     document spreads over many tasks.
     """
     fields = ["parent_path", "tag", "text", "tail", "attrs", "n_children", "error"]
@@ -37,6 +37,9 @@ def tree_diff(base: DataFrame, actual: DataFrame, ignore_whitespace: bool = Fals
     def side(df: DataFrame, name: str) -> DataFrame:
         return df.select("doc_id", "ord_path", F.struct(*fields).alias(name))
 
+    def ids(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(F.struct("doc_id").alias("_id")).agg(F.lit("present").alias(name))
+
     pairs = side(base, "b").join(side(actual, "a"), ["doc_id", "ord_path"])
     b, a = F.col("b"), F.col("a")
     own_path = F.concat(b["parent_path"], F.lit("/"), b["tag"])
@@ -62,22 +65,29 @@ def tree_diff(base: DataFrame, actual: DataFrame, ignore_whitespace: bool = Fals
                         whole & differs(b["n_children"], a["n_children"])))
     checks.append(found(F.lit(""), "Parse error", b["error"], a["error"], broken))
     long = pairs.select("doc_id", F.inline(F.filter(F.array(*checks), lambda d: d["unequal"])))
-    return long.drop("unequal")
+    alone = ids(base, "base_value").join(ids(actual, "actual_value"), "_id", "full").where(
+        F.col("base_value").isNull() | F.col("actual_value").isNull()
+    )
+    missing = alone.select(F.col("_id.doc_id").alias("doc_id"), F.lit("").alias("path"), F.lit("Document").alias("kind"),
+                           "base_value", "actual_value")
+    return long.drop("unequal").unionByName(missing)
 
 
 def compare_documents(base: DataFrame, actual: DataFrame, doc_id: str, xml: str,
                       ignore_whitespace: bool = False) -> DataFrame:
-    """``tree_diff`` of two corpora, parsing only documents whose text differs.
+    """``tree_diff`` of two corpora, comparing only documents whose text differs or that one side lacks.
 
-    Equal text cannot hold a difference unless it does not parse, which is found
-    by shredding a side. Digests of the texts are joined by id, which moves a few
+    Equal text cannot hold a difference unless it does not parse; of equal texts one side
+    is parsed and only those with an error go on. Digests of the texts are joined by id, which moves a few
     bytes per document instead of its nodes.
     """
     def digests(df: DataFrame, name: str) -> DataFrame:
         return df.select(col(doc_id).alias("_doc"), F.sha2(col(xml), 256).alias(name))
 
-    both = digests(base, "b").join(digests(actual, "a"), "_doc")
-    changed = stored(both.where(differs(F.col("b"), F.col("a"))).select("_doc"), "changed-documents")
+    both = digests(base, "b").join(digests(actual, "a"), "_doc", "full")
+    broken = shred_xml(base, doc_id, xml).where(F.col("error").isNotNull()).select(F.col("doc_id").alias("_doc"))
+    changed = both.where(differs(F.col("b"), F.col("a"))).select("_doc").unionByName(broken).distinct()
+    changed = stored(changed, "changed-documents")
 
     def nodes(df: DataFrame) -> DataFrame:
         return shred_xml(df.join(changed, col(doc_id) == F.col("_doc"), "left_semi"), doc_id, xml)

@@ -42,11 +42,18 @@ class Run:
     summary: DataFrame | None = None
 
 
+def _there(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its store."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def write_reports(cmp: Comparison, out: str, full_diff: bool = False) -> Run:
     """Write the capped reports under ``out`` and return the verdict.
 
     The findings and the changed cells are stored once; every report reads
-    those. Empty reports are not written. Only capped reports become one file.
+    those. Empty reports are not written, but over one of an earlier run, which becomes a header
+    without rows. Only capped reports become one file.
     """
     cmp = cmp.stored()
     cells = stored(cmp.changed_cells(), "cells")
@@ -55,8 +62,9 @@ def write_reports(cmp: Comparison, out: str, full_diff: bool = False) -> Run:
     def put(name: str, df: DataFrame, single: bool = True) -> None:
         if df is not cells:
             df = stored(df, name)
-        if exists(df):
-            write_report(df, f"{out}/{REPORT_FOLDERS[name]}", single)
+        target = f"{out}/{REPORT_FOLDERS[name]}"
+        if exists(df) or _there(df.sparkSession, target):
+            write_report(df, target, single)
 
     duplicates, extras = reports.top_duplicates(cmp), reports.top_extras(cmp)
     for side in ("base", "actual"):

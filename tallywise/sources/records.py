@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywise.functions.columns import col, cols
 from tallywise.functions.hashing import spread_key
@@ -16,15 +17,18 @@ from tallywise.operators.numbering import number_in_group
 def explode_json_records(df: DataFrame, column: str, record: str) -> DataFrame:
     """Rows of the record list that the first value of a JSON object holds.
 
-    ``record`` is the DDL of one record, e.g. ``"id int, name string"``.
+    ``record`` is the DDL of one record, e.g. ``"id int, price decimal(10,2)"``. Documents without such a list are in
+    ``explode_or_reject``'s second frame.
     """
-    rest = [c for c in df.columns if c != column]
-    records = F.from_json(first_json_value(col(column)), f"array<struct<{_struct_ddl(record)}>>")
-    return df.select(*cols(rest), F.inline(records))
+    return explode_or_reject(df, column, record)[0]
 
 
-def _struct_ddl(record: str) -> str:
-    return ", ".join(f"{name}:{kind}" for name, kind in (part.split(None, 1) for part in record.split(",")))
+def explode_or_reject(df: DataFrame, column: str, record: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of the record lists, and the rows of ``df`` whose document holds no list that parses."""
+    rest = [c for c in df.columns if c != column]
+    records = F.from_json(first_json_value(col(column)), T.ArrayType(T.StructType.fromDDL(record)))
+    rejects = df.where(col(column).isNotNull() & records.isNull())
+    return df.select(*cols(rest), F.inline(records)), rejects
 
 
 def malformed_records(df: DataFrame, column: str, schema: str) -> DataFrame:

@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tallywise.sources.records import explode_or_reject
 from tallywise import compare_batches, compare_files, compare_queries
 from tallywise.operators import frames
 from tallywise.operators.control import control_total
@@ -87,6 +88,26 @@ def test_query_run_without_differences_writes_nothing(spark, tmp_path):
     assert run.verdict["status"] == "PASS" and os.listdir(tmp_path) == []
 
 
+def test_second_run_leaves_no_stale_report(spark, tmp_path):
+    compare_queries(spark, "SELECT id FROM range(3)", "SELECT id FROM range(2)", "id", str(tmp_path))
+    run = compare_queries(spark, "SELECT id FROM range(3)", "SELECT id FROM range(3)", "id", str(tmp_path))
+    assert run.verdict["status"] == "PASS" and rows(read_report(spark, f"{tmp_path}/BaseExtra")) == []
+
+
+def test_control_total_sums_before_it_rounds(spark):
+    base = spark.createDataFrame([(0.004,)] * 3, "x double")
+    total = control_total(base, base.limit(1), ["x"]).first()
+    assert total["ok"] is False
+    exact = spark.sql("SELECT CAST(9007199254740993 AS BIGINT) AS x")
+    assert str(control_total(exact, exact, ["x"], scale=0).first()["base_value"]) == "9007199254740993"
+
+
+def test_records_with_commas_in_types(spark):
+    df = spark.createDataFrame([('{"r": [{"p": 1.25, "s": {"a": 1, "b": "x"}}]}',), ('{"r": [{"p": ',)], "doc string")
+    found, bad = explode_or_reject(df, "doc", "p decimal(10,2), s struct<a:int,b:string>")
+    assert [(str(r["p"]), r["s"]["b"]) for r in found.collect()] == [("1.25", "x")] and bad.count() == 1
+
+
 def test_batch_run(spark, tmp_path):
     data = [("1", "10", "2025-05-14", "k1", "a"), ("1", "10", "2025-05-14", "k2", "b"), ("2", "20", "2025-05-14", "k1", "a"),
             ("2", "20", "2025-05-14", "k2", "c")]

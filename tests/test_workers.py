@@ -16,7 +16,7 @@ def test_queries_with_python_workers_run_from_another_folder(tmp_path, data):
         import __spark_entry__ as entry
         spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
                  .config("spark.sql.shuffle.partitions", "2").getOrCreate())
-        for name in ("map_distinct", "merge_response", "compare_documents", "malformed_xml", "file_manifest"):
+        for name in ("map_distinct", "merge_response", "compare_documents", "malformed_xml"):
             assert entry.queries()[name](spark, {data!r}).count() > 0, name
         print("done")
     """)
