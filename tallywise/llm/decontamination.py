@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywise.llm import words
+from tallywise.llm.batching import small_batches
 
 FEATURES, RANK, OVERSAMPLE = 4096, 48, 8
 #: Words of a passage of the decomposition, of a unit by which windows move, and of the longest query.
@@ -235,6 +236,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block: int = 2000) -> Data
     items without a word match nothing; repeated rows each match; empty tables give no rows. Runs jobs when called.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out, held, table = spark.createDataFrame([], FOUND), [], None
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id", "text").toLocalIterator()

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywise.llm import words
+from tallywise.llm.batching import small_batches
 from tallywise.llm.components import components
 from tallywise.session import stored
 
@@ -216,6 +217,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     An empty table gives an empty frame. Runs jobs when called.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     first = stored(texts.mapInPandas(_first_pass(buckets, k), _FIRST), "ngrams")

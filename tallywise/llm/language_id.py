@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywise.llm import byte_cnn
+from tallywise.llm.batching import small_batches
 from tallywise.llm.samples import labelled, remainder
 
 #: Labelled texts per language from which windows are drawn, and windows of each: a bounded sample, whatever the corpus.
@@ -36,6 +37,7 @@ def drawn_windows(rows: DataFrame, label: str, per_text: int) -> pd.DataFrame:
                     out.append((h, -1 if pd.isna(doc_id) else doc_id, int(i), y, all_of[i].tobytes()))
             yield pd.DataFrame(out, columns=["h", "doc_id", "place", "y", "bytes"])
 
+    small_batches(rows.sparkSession)
     kind = dict(rows.dtypes)[label]
     found = rows.mapInPandas(run, f"h long, doc_id long, place long, y {kind}, bytes binary").toPandas()
     return found.sort_values(["h", "doc_id", "place", "y"], ignore_index=True)
@@ -104,6 +106,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel | None = None) -> D
     ``und``, and so is every text where nothing is labelled. Existing columns of these names are replaced; repeated rows
     stay; an empty table gives no rows. Runs jobs when it learns.
     """
+    small_batches(docs.sparkSession)
     model = fit_languages(docs) if model is None else model
     kept = docs.drop("lang_pred", "score")
 

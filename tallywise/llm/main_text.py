@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywise.llm.batching import small_batches
+
 # What HTML says about its elements, and how pages name the parts that are no article.
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -202,6 +204,7 @@ def extract_main_text(pages: DataFrame, scores: dict[str, float] | None = None)
     Without ``scores`` they are learned from the pages. A null or empty page has an empty text; repeated rows each have
     theirs; other columns are ignored; an empty table gives no rows. Runs a job when it learns.
     """
+    small_batches(pages.sparkSession)
     scores = learned_scores(pages) if scores is None else scores
 
     def run(frames):

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywise.llm import words
+from tallywise.llm.batching import small_batches
 from tallywise.llm.tokens import Encoder
 from tallywise.session import stored
 
@@ -133,6 +134,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 1024, gr
     null or empty text is the end id alone, an empty table gives no rows, and each repeated row is packed. Other
     columns are ignored. At most 2**44 pieces may have one length. Runs jobs when called.
     """
+    small_batches(docs.sparkSession)
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, number long"
     ids = ", ids array<long>" if keep_ids else ""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

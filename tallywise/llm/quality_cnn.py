@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywise.llm import byte_cnn
+from tallywise.llm.batching import small_batches
 from tallywise.llm.language_id import drawn_windows, mean_log
 from tallywise.llm.samples import labelled, remainder
 from tallywise.session import stored
@@ -28,6 +29,7 @@ def sampled_texts(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFra
 
 def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> byte_cnn.Network | None:
     """Learn from a bounded sample of chunks; the classes weigh alike. None without both."""
+    small_batches(docs.sparkSession)
     found = drawn_windows(sampled_texts(docs, labels, per_class), "quality", CHUNKS)
     if found["y"].nunique() < 2:
         return None
@@ -42,6 +44,7 @@ def score_quality(docs: DataFrame, net: byte_cnn.Network | None) -> DataFrame:
     probability. A null or empty text is one chunk of spaces. Without a network every score is 0.5. Existing columns of these
     names are replaced; repeated rows stay; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     kept = docs.drop("score", "predicted")
 
     def run(frames):

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywise.llm import words
+from tallywise.llm.batching import small_batches
 from tallywise.llm.quality_cnn import sampled_texts
 
 SYMBOLS = b"#*$%&|<>"
@@ -227,5 +228,6 @@ def apply_rules(docs: DataFrame, field: Field | None) -> DataFrame:
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out[["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share", "labels"]]
 
+    small_batches(docs.sparkSession)
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double, labels string"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema)

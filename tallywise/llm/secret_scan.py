@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywise.llm.batching import small_batches
+
 # The three patterns and their least lengths.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -126,6 +128,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     null text is empty and has no span. Rows are handled one by one: repeated rows give equal results, other columns are
     ignored, an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInPandas(_scan, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
@@ -151,4 +154,5 @@ def redact_secrets(docs: DataFrame, column: str = "text") -> DataFrame:
             pdf[column] = [redacted(t) for t in pdf[column]]
             yield pdf
 
+    small_batches(docs.sparkSession)
     return docs.mapInPandas(run, docs.schema)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywise.llm import elias_fano, files, words
+from tallywise.llm.batching import small_batches
 from tallywise.llm.tokens import Encoder
 from tallywise.session import scratch_path, stored
 
@@ -121,6 +122,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, file_tokens
     ``file_tokens`` closes a file once it holds so many ids, so a file is bounded by that and one text.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     folder = files.as_uri(scratch_path(spark, "token-files"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id", "tie")

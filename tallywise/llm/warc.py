@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywise.llm import files
+from tallywise.llm.batching import small_batches
 from tallywise.session import scratch_path, stored
 
 GZIP, VERSION = b"\x1f\x8b\x08", b"WARC/1."
@@ -95,6 +96,7 @@ def write_warc(pages: DataFrame, file_bytes: int = 1 << 25) -> DataFrame:
     written as one space. Other columns are ignored; an empty table writes no archive. Runs a job when called.
     """
     spark = pages.sparkSession
+    small_batches(spark)
     folder = files.as_uri(scratch_path(spark, "warc"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     digest = F.sha1(F.coalesce("html", F.lit("")))

@@ -130,7 +130,7 @@ def shingle_sets(texts: list, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return values, np.searchsorted(own, np.arange(len(texts) + 1))
 
 
-def batches(texts: list, size: int = 4 * BLOCK, most: int = 60_000):
+def batches(texts: list, size: int = BLOCK, most: int = 60_000):
     """(from, to) of runs of texts of about the given length together, of a bounded number of texts."""
     lo, total = 0, 0
     for i, t in enumerate(texts):
