@@ -95,7 +95,7 @@ def _pieces(vocabulary: str, end_id: int, capacity: int, grain: int, keep_ids: b
         part, numbered = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for pdf in frames:
             texts = pdf["text"].tolist()
-            for lo, hi in words.batches(texts):
+            for lo, hi in words.batches(texts, 4 * words.BLOCK):
                 ids, at = encoder.encode(texts[lo:hi])
                 rows = []
                 for i in range(hi - lo):

@@ -100,7 +100,7 @@ def _write(folder: str, vocabulary: str, end_id: int, file_tokens: int):
         for pdf in frames:
             texts = pdf["text"].tolist()
             doc_ids = [None if pd.isna(d) else int(d) for d in pdf["doc_id"]]
-            for lo, hi in words.batches(texts):
+            for lo, hi in words.batches(texts, 4 * words.BLOCK):
                 ids, at = encoder.encode(texts[lo:hi])
                 for i in range(hi - lo):
                     open_file.add(doc_ids[lo + i], np.append(ids[at[i] : at[i + 1]], np.uint32(end_id)))

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 RUN = re.compile(r"(?:\s|^) (?:\s|$)")
 CUT = re.compile(r"(?<=\S)(?= )")
 #: Pieces that a worker remembers: two generations of this size, of which the older goes when the younger is full.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 
 
 def _worker_store() -> dict:
