@@ -47,7 +47,7 @@ WORD, MARK, FLOOR, CEILING = 1.0, -0.5, -4.0, 2.0
 TAG_FLOOR = -1.0
 #: A word left out scores little below nothing: a run may go on behind an advert, but does not begin or end with one.
 BARRED = -0.05
-#: At most so many labelled pages are read to learn scores: those with the smallest hash of their html.
+#: About so many labelled pages are read to learn scores, drawn by a hash of their id.
 LABELLED_PAGES = 2000
 
 
@@ -180,13 +180,15 @@ def _count(frames):
 
 
 def learned_scores(pages: DataFrame, most: int = LABELLED_PAGES) -> dict[str, float]:
-    """Scores by kind of word and tag from at most ``most`` pages that mark their article.
+    """Scores by kind of word and tag from about ``most`` pages that mark their article.
 
     A kind scores the logarithm of its odds of lying inside, against a prior of 20 sightings at its default, within
     bounds; tags score from ``TAG_FLOOR`` to ``MARK / 5``, so that only words raise a run and no tag ends one. Only sums by kind come to the driver, a few dozen.
     """
-    marked = pages.select("html").where(F.col("html").rlike("(?i)<(article|main)[ >]"))
-    some = marked.withColumn("h", F.xxhash64("html")).orderBy("h").limit(most).select("html")
+    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]"))
+    count = max(1, marked.count())
+    place = F.xxhash64(F.col("page_id").cast("long")).bitwiseAND((1 << 30) - 1)
+    some = marked.where(place < min(1 << 30, (most << 30) // count)).select("html")
     sums = some.mapInPandas(_count, "kind string, inside long, outside long").groupBy("kind").agg(F.sum("inside"), F.sum("outside")).collect()
     out = {}
     for kind, inside, outside in sums:
