@@ -1,7 +1,11 @@
-"""How many rows travel to a Python worker at once."""
+"""How many rows travel to a Python worker at once, and what a worker gives back when its task ends."""
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 #: Rows of an Arrow batch: texts are long, and a worker holds a batch several times over.
@@ -14,3 +18,18 @@ def small_batches(spark: SparkSession) -> None:
     now = int(spark.conf.get(SETTING, "10000"))
     if now <= 0 or now > ROWS:
         spark.conf.set(SETTING, str(ROWS))
+
+
+def trimmed(run: Callable) -> Callable:
+    """A function for ``mapInPandas`` that returns freed memory to the system when its task ends.
+
+    Workers outlive their tasks, and what the allocators keep would count against the executor in later stages.
+    """
+    def work(frames):
+        yield from run(frames)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+        if trim is not None:
+            trim(0)
+
+    return work

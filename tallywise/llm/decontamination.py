@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywise.llm import words
-from tallywise.llm.batching import small_batches
+from tallywise.llm.batching import small_batches, trimmed
 
 FEATURES, RANK, OVERSAMPLE = 4096, 48, 8
 #: Words of a passage of the decomposition, of a unit by which windows move, and of the longest query.
@@ -112,10 +112,10 @@ def latent_space(docs: DataFrame, seed: int = 3) -> np.ndarray:
     """Whitened latent vector of each feature (FEATURES, RANK), from all passages of ``text``."""
     slices = "slice int, part long, raw binary"
     texts = docs.select("text")
-    counted = _total(texts.mapInPandas(_frequencies, slices), 2)
+    counted = _total(texts.mapInPandas(trimmed(_frequencies), slices), 2)
     idf = np.log((1 + counted[0, 1]) / (1 + counted[:, 0])) + 1
     omega = np.linalg.qr(np.random.default_rng(seed).standard_normal((FEATURES, RANK + OVERSAMPLE)))[0].astype(np.float32)
-    image = _total(texts.mapInPandas(_range(idf, omega), slices), RANK + OVERSAMPLE)
+    image = _total(texts.mapInPandas(trimmed(_range(idf, omega)), slices), RANK + OVERSAMPLE)
     shift = 1e-6 * max(np.linalg.norm(image), 1e-9)
     image = image + shift * omega
     core = omega.T @ image
@@ -248,5 +248,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block: int = 2000) -> Data
             queries = Queries(held, table)
             held = []
             if queries.items:
-                out = out.union(texts.mapInPandas(_searched(queries, table), FOUND))
+                out = out.union(texts.mapInPandas(trimmed(_searched(queries, table)), FOUND))
     return out

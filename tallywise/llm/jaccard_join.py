@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywise.llm import words
-from tallywise.llm.batching import small_batches
+from tallywise.llm.batching import small_batches, trimmed
 from tallywise.llm.components import components
 from tallywise.session import stored
 
@@ -167,7 +167,7 @@ def linked(pairs: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
     left = fragments.select(F.col("rid").alias("a"), F.col("n").alias("na"), "frag", F.col("grams").alias("ga"))
     right = fragments.select(F.col("rid").alias("b"), F.col("n").alias("nb"), "frag", F.col("grams").alias("gb"))
     side_by_side = pairs.join(left, "a").join(right, ["b", "frag"]).select("a", "b", "na", "nb", "ga", "gb")
-    parts = side_by_side.mapInPandas(_overlaps, "a long, b long, na long, nb long, part long")
+    parts = side_by_side.mapInPandas(trimmed(_overlaps), "a long, b long, na long, nb long, part long")
     total = parts.groupBy("a", "b").agg(F.sum("part").alias("o"), F.max("na").alias("na"), F.max("nb").alias("nb"))
     return total.where(f"100 * o >= {percent} * (na + nb - o)").select("a", "b")
 
@@ -220,7 +220,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     small_batches(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    first = stored(texts.mapInPandas(_first_pass(buckets, k), _FIRST), "ngrams")
+    first = stored(texts.mapInPandas(trimmed(_first_pass(buckets, k)), _FIRST), "ngrams")
     counts = first.where("kind = 'post'").select("bucket", "chunk", "low", "own").groupBy("bucket")
     counts = counts.applyInPandas(_single_in_bucket, "chunk long, counts binary")
     single = counts.groupBy("chunk").applyInPandas(_summed, "chunk long, idx long, single long")
@@ -232,10 +232,10 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     classes = rows.where("open").groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"))
     classes = stored(classes, "ngram_classes")
     chosen = classes.select(F.col("first_id").alias("doc_id")).distinct()
-    sets = texts.join(chosen, "doc_id", "left_semi").mapInPandas(_sets(k), "cid binary, n long, grams array<long>, sizes array<int>")
+    sets = texts.join(chosen, "doc_id", "left_semi").mapInPandas(trimmed(_sets(k)), "cid binary, n long, grams array<long>, sizes array<int>")
     sets = sets.join(classes.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
     sets = stored(sets.select(F.monotonically_increasing_id().alias("rid"), "cid", "n", "grams", "sizes"), "ngram_sets")
-    fragments = stored(sets.select("rid", "n", "grams").mapInPandas(_fragments, "rid long, n long, frag int, grams binary"), "ngram_fragments")
+    fragments = stored(sets.select("rid", "n", "grams").mapInPandas(trimmed(_fragments), "rid long, n long, frag int, grams binary"), "ngram_fragments")
 
     grams = sets.select("rid", "n", F.explode("grams").alias("gram"))
     common = stored(grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1"), "ngram_frequencies")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywise.llm import byte_cnn
-from tallywise.llm.batching import small_batches
+from tallywise.llm.batching import small_batches, trimmed
 from tallywise.llm.samples import labelled, remainder
 
 #: Labelled texts per language from which windows are drawn, and windows of each: a bounded sample, whatever the corpus.
@@ -39,7 +39,7 @@ def drawn_windows(rows: DataFrame, label: str, per_text: int) -> pd.DataFrame:
 
     small_batches(rows.sparkSession)
     kind = dict(rows.dtypes)[label]
-    found = rows.mapInPandas(run, f"h long, doc_id long, place long, y {kind}, bytes binary").toPandas()
+    found = rows.mapInPandas(trimmed(run), f"h long, doc_id long, place long, y {kind}, bytes binary").toPandas()
     return found.sort_values(["h", "doc_id", "place", "y"], ignore_index=True)
 
 
@@ -116,4 +116,4 @@ def identify_languages(docs: DataFrame, model: LanguageModel | None = None) -> D
             yield pdf
 
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return kept.mapInPandas(run, T.StructType([*kept.schema.fields, *added]))
+    return kept.mapInPandas(trimmed(run), T.StructType([*kept.schema.fields, *added]))

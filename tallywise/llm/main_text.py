@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywise.llm.batching import small_batches
+from tallywise.llm.batching import small_batches, trimmed
 
 # What HTML says about its elements, and how pages name the parts that are no article.
 BLOCKS = frozenset(
@@ -189,7 +189,7 @@ def learned_scores(pages: DataFrame, most: int = LABELLED_PAGES) -> dict[str, fl
     count = max(1, marked.count())
     place = F.xxhash64(F.col("page_id").cast("long")).bitwiseAND((1 << 30) - 1)
     some = marked.where(place < min(1 << 30, (most << 30) // count)).select("html")
-    sums = some.mapInPandas(_count, "kind string, inside long, outside long").groupBy("kind").agg(F.sum("inside"), F.sum("outside")).collect()
+    sums = some.mapInPandas(trimmed(_count), "kind string, inside long, outside long").groupBy("kind").agg(F.sum("inside"), F.sum("outside")).collect()
     out = {}
     for kind, inside, outside in sums:
         prior = WORD if kind.startswith("words:") else MARK
@@ -215,4 +215,4 @@ def extract_main_text(pages: DataFrame, scores: dict[str, float] | None = None)
             yield pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "text": text, "n_chars": [len(t) for t in text]})
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    return rows.mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    return rows.mapInPandas(trimmed(run), "page_id long, url string, text string, n_chars long")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywise.llm import words
-from tallywise.llm.batching import small_batches
+from tallywise.llm.batching import small_batches, trimmed
 from tallywise.llm.tokens import Encoder
 from tallywise.session import stored
 
@@ -138,14 +138,14 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 1024, gr
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, number long"
     ids = ", ids array<long>" if keep_ids else ""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = stored(rows.mapInPandas(_pieces(vocabulary, end_id, capacity, grain, keep_ids), schema + ids), "pieces")
+    pieces = stored(rows.mapInPandas(trimmed(_pieces(vocabulary, end_id, capacity, grain, keep_ids)), schema + ids), "pieces")
     held = stored(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")
     counts = {r["length"]: r["n"] for r in held.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # one row per length
     table = layout(windows(counts, capacity))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = held.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     out = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ids + ", sequence_id long, offset long"
-    return pieces.join(before, ["part", "length"]).select(*pieces.columns, "before").mapInPandas(_placed(table), out)
+    return pieces.join(before, ["part", "length"]).select(*pieces.columns, "before").mapInPandas(trimmed(_placed(table)), out)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

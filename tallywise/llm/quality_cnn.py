@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywise.llm import byte_cnn
-from tallywise.llm.batching import small_batches
+from tallywise.llm.batching import small_batches, trimmed
 from tallywise.llm.language_id import drawn_windows, mean_log
 from tallywise.llm.samples import labelled, remainder
 from tallywise.session import stored
@@ -59,5 +59,5 @@ def score_quality(docs: DataFrame, net: byte_cnn.Network | None) -> DataFrame:
             yield pdf
 
     added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    return kept.mapInPandas(run, T.StructType([*kept.schema.fields, *added]))
+    return kept.mapInPandas(trimmed(run), T.StructType([*kept.schema.fields, *added]))
 

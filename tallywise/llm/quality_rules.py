@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywise.llm import words
-from tallywise.llm.batching import small_batches
+from tallywise.llm.batching import small_batches, trimmed
 from tallywise.llm.quality_cnn import sampled_texts
 
 SYMBOLS = b"#*$%&|<>"
@@ -188,7 +188,7 @@ def fit_field(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, mo
                 out.append((pdf["_h"].iat[t], pdf["doc_id"].iat[t], pdf["quality"].iat[t], measures[lines].tobytes()))
             yield pd.DataFrame(out, columns=["h", "doc_id", "y", "lines"])
 
-    found = sampled_texts(docs, labels, per_class).mapInPandas(run, "h long, doc_id long, y int, lines binary").toPandas()
+    found = sampled_texts(docs, labels, per_class).mapInPandas(trimmed(run), "h long, doc_id long, y int, lines binary").toPandas()
     if found["y"].nunique() < 2:
         return None
     found = found.sort_values(["h", "doc_id", "y"], ignore_index=True)
@@ -230,4 +230,4 @@ def apply_rules(docs: DataFrame, field: Field | None) -> DataFrame:
 
     small_batches(docs.sparkSession)
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double, labels string"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(trimmed(run), schema)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywise.llm.batching import small_batches
+from tallywise.llm.batching import small_batches, trimmed
 
 # The three patterns and their least lengths.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -130,7 +130,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInPandas(_scan, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return rows.mapInPandas(trimmed(_scan), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
 def redacted(text: str | None) -> str | None:
@@ -155,4 +155,4 @@ def redact_secrets(docs: DataFrame, column: str = "text") -> DataFrame:
             yield pdf
 
     small_batches(docs.sparkSession)
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInPandas(trimmed(run), docs.schema)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywise.llm import elias_fano, files, words
-from tallywise.llm.batching import small_batches
+from tallywise.llm.batching import small_batches, trimmed
 from tallywise.llm.tokens import Encoder
 from tallywise.session import scratch_path, stored
 
@@ -127,7 +127,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, file_tokens
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id", "tie")
     rows = rows.sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    index = stored(rows.mapInPandas(_write(folder, vocabulary, end_id, file_tokens), INDEX), "token-index")
+    index = stored(rows.mapInPandas(trimmed(_write(folder, vocabulary, end_id, file_tokens)), INDEX), "token-index")
     sums = index.groupBy("part").agg(F.sum("n_tokens").alias("t")).orderBy("part").collect()  # one row per task
     before, total = [], 0
     for row in sums:
@@ -157,4 +157,4 @@ def _read(frames):
 def read_token_files(index: DataFrame) -> DataFrame:
     """``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` of every text, from the files of an index."""
     paths = index.select("path", "start").repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
-    return paths.mapInPandas(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return paths.mapInPandas(trimmed(_read), "doc_id long, start long, n_tokens long, ids_crc32 long")

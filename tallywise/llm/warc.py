@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywise.llm import files
-from tallywise.llm.batching import small_batches
+from tallywise.llm.batching import small_batches, trimmed
 from tallywise.session import scratch_path, stored
 
 GZIP, VERSION = b"\x1f\x8b\x08", b"WARC/1."
@@ -108,7 +108,7 @@ def write_warc(pages: DataFrame, file_bytes: int = 1 << 25) -> DataFrame:
         "page_id", "url", "html", F.when(again, "revisit").otherwise("response").alias("kind"),
         F.when(again, F.col("first")).alias("refers_to"),
     )
-    return stored(marked.mapInPandas(_write(folder, file_bytes), "path string, bytes long"), "warc-index")
+    return stored(marked.mapInPandas(trimmed(_write(folder, file_bytes)), "path string, bytes long"), "warc-index")
 
 
 class _Window:
@@ -263,4 +263,4 @@ def read_warc(paths: DataFrame, with_payload: bool = True) -> DataFrame:
     An empty or wholly damaged archive gives no record; a damaged stretch gives one gap with its first failed check.
     """
     n = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return paths.select("path").repartition(n, "path").mapInPandas(_read(with_payload), RECORDS)
+    return paths.select("path").repartition(n, "path").mapInPandas(trimmed(_read(with_payload)), RECORDS)
