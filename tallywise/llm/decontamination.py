@@ -7,10 +7,14 @@
 3. A third pass slides windows of each item's length over all texts. Windows and items are compared by cosine in the
    whitened latent space; for those above a bound the longest common subsequence of words says how much of the item, and
    how much of its answer (what follows its last sentence end), is there in order. A paraphrase keeps both.
+4. The cosine misses some paraphrases, and short items by their alignment. An exact gate finds these: a stretch that holds
+   enough of an item holds some of any large enough choice of its words, so places where few of its rarest words lie
+   close together are all there is to confirm. What the rule accepts in any stretch of the length is found.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from itertools import chain
 
@@ -30,6 +34,8 @@ PASSAGE, UNIT, LONGEST = 64, 8, 64
 COSINE = 0.6
 ALONE, WITH_ANSWER, ANSWER = 0.8, 0.55, 0.6
 SLICES, FAN_IN = 64, 64
+#: Rare words of an item that lie close together, for the exact gate; any number finds the same.
+CLOSE = 5
 SENTENCE_END = re.compile(r"[.!?:](?=\s|$)")
 
 
@@ -108,8 +114,8 @@ def _range(idf: np.ndarray, omega: np.ndarray):
     return run
 
 
-def latent_space(docs: DataFrame, seed: int = 3) -> np.ndarray:
-    """Whitened latent vector of each feature (FEATURES, RANK), from all passages of ``text``."""
+def latent_space(docs: DataFrame, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Whitened latent vector (FEATURES, RANK) and rarity of each feature, from all passages of ``text``."""
     slices = "slice int, part long, raw binary"
     texts = docs.select("text")
     counted = _total(texts.mapInPandas(trimmed(_frequencies), slices), 2)
@@ -121,7 +127,7 @@ def latent_space(docs: DataFrame, seed: int = 3) -> np.ndarray:
     core = omega.T @ image
     root = np.linalg.cholesky((core + core.T) / 2 + 1e-9 * max(1e-9, np.trace(core)) * np.eye(len(core)))
     vectors, values, _ = np.linalg.svd(np.linalg.solve(root, image.T).T, full_matrices=False)
-    return (idf[:, None] * vectors[:, :RANK] / np.maximum(values[:RANK], 1e-3 * max(values[0], 1e-9))).astype(np.float32)
+    return (idf[:, None] * vectors[:, :RANK] / np.maximum(values[:RANK], 1e-3 * max(values[0], 1e-9))).astype(np.float32), idf
 
 
 def common_subsequence(item: list, window: list) -> int:
@@ -138,9 +144,13 @@ def common_subsequence(item: list, window: list) -> int:
 
 
 class Queries:
-    """Items, or parts of long ones, as word hashes, their answers, and their latent vectors by window size."""
+    """Items, or parts of long ones, as word hashes, their answers, latent vectors by window size, and rarest words.
 
-    def __init__(self, items: list[tuple], table: np.ndarray):
+    A leak holds at least ``WITH_ANSWER`` of the n words of an item, t words. Of its n - t + k rarest words it then
+    holds at least k, in a stretch of ``reach`` words: the longest that is confirmed.
+    """
+
+    def __init__(self, items: list[tuple], table: np.ndarray, rarity: np.ndarray):
         self.ids, self.items, self.answers = [], [], []
         for item_id, text in items:
             text = text or ""
@@ -157,6 +167,20 @@ class Queries:
         for i, x in enumerate(self.items):
             v = table[(np.array(x, np.uint64) >> np.uint64(52)).astype(np.int64)].sum(0)
             self.vectors[i] = v / max(1e-9, float(np.linalg.norm(v)))
+        size = np.array([len(x) for x in self.items], int)
+        self.reach = self.units * UNIT + 2 * (size // 4 + UNIT)
+        least = [math.ceil(WITH_ANSWER * n - 1e-9) for n in size]
+        self.close = np.array([min(CLOSE, t) for t in least], int)
+        pairs = set()
+        for q, x in enumerate(self.items):
+            rare = sorted(x, key=lambda w: (-rarity[w >> 52], w))
+            pairs |= {(w, q) for w in rare[: len(x) - least[q] + int(self.close[q])]}
+        pairs = sorted(pairs)
+        self.rare, count = np.unique(np.array([w for w, _ in pairs], np.uint64), return_counts=True)
+        self.rare_at = np.concatenate(([0], np.cumsum(count)))
+        self.rare_of = np.array([q for _, q in pairs], np.int64)
+        self.marked = np.zeros(1 << 20, bool)
+        self.marked[self.rare >> np.uint64(44)] = True
 
 
 def _shares(queries: Queries, q: int, h: np.ndarray) -> tuple[float, float]:
@@ -172,6 +196,51 @@ def _leaks(share: float, answer: float) -> bool:
     return share >= ALONE or (share >= WITH_ANSWER and answer >= ANSWER)
 
 
+def _close(queries: Queries, h: np.ndarray, owner: np.ndarray, begin: np.ndarray):
+    """(text, query, from, to) of all stretches around places where enough of a query's rarest words are close together."""
+    at = np.flatnonzero(queries.marked[h >> np.uint64(44)])
+    slot = np.minimum(np.searchsorted(queries.rare, h[at]), len(queries.rare) - 1)
+    same = queries.rare[slot] == h[at]
+    at, slot = at[same], slot[same]
+    n = queries.rare_at[slot + 1] - queries.rare_at[slot]
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    query = queries.rare_of[np.repeat(queries.rare_at[slot], n) + nth]
+    at = np.repeat(at, n)
+    order = np.argsort(query.astype(np.uint16) if len(queries.items) < 1 << 16 else query, kind="stable")
+    query, at = query[order], at[order]
+    last = np.arange(len(at)) + queries.close[query] - 1
+    first = np.flatnonzero(last < len(at))
+    last = last[first]
+    near = (query[first] == query[last]) & (owner[at[first]] == owner[at[last]]) & (at[last] - at[first] < queries.reach[query[first]])
+    first, last = first[near], last[near]
+    if not len(first):
+        return
+    query, doc = query[first], owner[at[first]]
+    lo = np.maximum(begin[doc], at[last] - queries.reach[query] + 1)
+    hi = np.minimum(begin[doc + 1], at[first] + queries.reach[query])
+    new = np.ones(len(first), bool)
+    new[1:] = (query[1:] != query[:-1]) | (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1])
+    new = np.flatnonzero(new)
+    end = hi[np.append(new[1:], len(first)) - 1]
+    yield from zip(doc[new].tolist(), query[new].tolist(), lo[new].tolist(), end.tolist())
+
+
+def _confirmed(queries: Queries, q: int, h: np.ndarray) -> tuple[float, float, int, int] | None:
+    """Shares, start and end of the best of the first windows of a query's reach that hold a leak, if one does."""
+    if not _leaks(*_shares(queries, q, h)):  # nor does any part of it
+        return None
+    own, reach, best = set(queries.items[q]), int(queries.reach[q]), None
+    for lo in [i for i, w in enumerate(h.tolist()) if w in own]:
+        if best is not None and lo >= until:
+            break
+        hi = min(lo + reach, len(h))
+        share, answer = _shares(queries, q, h[lo:hi])
+        if _leaks(share, answer):
+            until = lo + reach if best is None else until
+            best = max(best or (0.0, 0.0, 0, 0), (share, answer, lo, hi), key=lambda x: x[:2])
+    return best
+
+
 def _searched(queries: Queries, table: np.ndarray):
     def of(texts: list):
         h, owner = _hashes(texts)
@@ -198,6 +267,7 @@ def _searched(queries: Queries, table: np.ndarray):
                 for s, q in zip(*np.nonzero(cosine >= COSINE)):
                     found.setdefault((int(unit_owner[lo + s]), int(own[q])), []).append((float(cosine[s, q]), int(lo + s), int(end[lo + s])))
         best: dict[tuple, tuple] = {}
+        sure = set()
         for (doc, q), windows in found.items():
             margin = len(queries.items[q]) // 4 + UNIT
             for cosine, s, e in sorted(windows, reverse=True):
@@ -208,7 +278,17 @@ def _searched(queries: Queries, table: np.ndarray):
                     row = (share, answer, cosine, int(lo - begin[doc]), int(hi - begin[doc]))
                     key = (doc, queries.ids[q])
                     best[key] = max(best.get(key, row), row)
+                    sure.add((doc, q))
                     break
+        for doc, q, lo, hi in _close(queries, h, owner, begin):
+            if (doc, q) in sure or (leak := _confirmed(queries, q, h[lo:hi])) is None:
+                continue
+            share, answer, first, end = leak
+            z = table[(h[lo + first : lo + end] >> np.uint64(52)).astype(np.int64)].sum(0)
+            cosine = float(z @ queries.vectors[q]) / max(1e-9, float(np.linalg.norm(z)))
+            row = (share, answer, cosine, int(lo + first - begin[doc]), int(lo + end - begin[doc]))
+            key = (doc, queries.ids[q])
+            best[key] = max(best.get(key, row), row)
         for (doc, item_id), row in sorted(best.items(), key=lambda x: (x[0][0], str(x[0][1]))):
             yield doc, item_id, row
 
@@ -244,8 +324,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block: int = 2000) -> Data
         if row is not None:
             held.append((row["item_id"], row["text"]))
         if held and (row is None or len(held) >= block):
-            table = latent_space(texts) if table is None else table
-            queries = Queries(held, table)
+            table, rarity = latent_space(texts) if table is None else (table, rarity)
+            queries = Queries(held, table, rarity)
             held = []
             if queries.items:
                 out = out.union(texts.mapInPandas(trimmed(_searched(queries, table)), FOUND))

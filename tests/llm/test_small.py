@@ -344,6 +344,38 @@ def test_leaks_equal_a_search_for_whole_items(spark, data):
     assert whole <= found
 
 
+def plain_leaks(text, item):
+    """Whether the rule accepts any stretch of the longest length that is confirmed, by trying all."""
+    words_of = lambda t: re.findall(r"[0-9a-z]+", t.lower())
+    x, w = words_of(item), words_of(text)
+    answer = words_of(re.split(r"[.!?:](?=\s)", item)[-1])
+    reach = 8 * max(1, round(len(x) / 8)) + 2 * (len(x) // 4 + 8)
+    lcs = decontamination.common_subsequence
+    return any(
+        decontamination._leaks(lcs(x, part) / len(x), lcs(answer, part) / len(answer))
+        for part in (w[i : i + reach] for i in range(max(1, len(w) - reach + 1)))
+        if sum(v in part for v in x) >= 0.55 * len(x)
+    )
+
+
+def test_leaks_equal_a_search_of_all_stretches(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(600)]
+    odds = 1 / np.arange(1, 601)
+    say = lambda n: list(rng.choice(vocabulary, n, p=odds / odds.sum()))
+    items, docs = [], [(i, " ".join(say(300))) for i in range(40)]
+    for i, n in enumerate([6, 9, 11, 14, 20, 30, 50]):
+        items.append((i, " ".join(say(n)) + ". " + " ".join(say(4))))
+        for place in range(8):
+            for changed, dropped, inserted in ((0, 0, 0), (0.3, 0, 0), (0.4, 0, 0), (0, 0.4, 0), (0.2, 0, 0.2)):
+                body = [v if u >= changed else say(1)[0] for v, u in zip(items[i][1].split()[:n], rng.random(n)) if rng.random() >= dropped]
+                body = [v for w in body for v in ([w, say(1)[0]] if rng.random() < inserted else [w])]
+                docs.append((len(docs), " ".join([*say(40 + place), *body, ".", *items[i][1].split()[n:], *say(50)])))
+    expected = {(d, i) for d, text in docs for i, item in items if plain_leaks(text, item)}
+    found = decontamination.find_leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len(expected) > 200 and {(r["doc_id"], r["item_id"]) for r in found} == expected
+
+
 def test_word_blocks(monkeypatch):
     data = words.joined(["some words that go on ", None, "x" * 50 + " y"])[0]
     whole = words.word_spans(data)
