@@ -3,8 +3,11 @@
 The patterns are those of assignments, access keys and long hexadecimal runs. Besides, every run of characters that a
 key may have is a candidate. A window slides over it; the counts of the characters in the window, kept for each
 character class (digits, lower case, upper case, marks) and in all, change by one step at either end, and so does their
-entropy. The stretch covered by windows of high entropy and mixed classes is a span of kind ``entropy``, unless an allow-list
-names it (links, file paths, e-mail, dates, numbers, words) or a pattern has found it already.
+entropy. A window is hot if it has mixed classes and, in all, many bits a character, or if within each class the entropy
+is about that of random characters of the class, whose alphabet is hexadecimal where the whole window is. So keys in
+hexadecimal, base32 and base64 are held to what their own alphabet allows. The stretch covered by hot windows is a span
+of kind ``entropy``, unless an allow-list names it (links, file paths, e-mail, dates, numbers, words) or a pattern has
+found it already.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -40,6 +44,12 @@ LINK = re.compile(r"(?:[a-z][a-z0-9+.-]*://|www\.|@)\S*$", re.I)
 WINDOW = 24
 #: Bits a character in the window, at least, and character classes in it.
 BITS, CLASSES = 3.6, 2
+#: Bits a character that the entropy within the classes may stay below that of random characters, and that where all
+#: characters but one are of one class.
+SLACK, STRICT_SLACK = 0.4, 0.2
+#: Symbols of each class, and in a hexadecimal window.
+SYMBOLS, HEX_SYMBOLS = (10, 26, 26, 5), (10, 6, 6, 5)
+HEXADECIMAL = re.compile(r"[0-9a-fA-F]*")
 
 
 def _class(c: str) -> int:
@@ -78,6 +88,34 @@ def entropy_windows(text: str, width: int = WINDOW) -> list[tuple[float, list[fl
     return out
 
 
+@lru_cache(maxsize=None)
+def expected_entropy(symbols: int, n: int) -> float:
+    """Mean entropy of n characters drawn evenly from an alphabet."""
+    p = 1 / symbols
+    mean = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) * k * math.log2(k) for k in range(1, n + 1))
+    return math.log2(n) - symbols * mean / n if n else 0.0
+
+
+def _hot(value: str, width: int = WINDOW) -> list[int]:
+    """Where windows begin that look random."""
+    out = []
+    for i, (bits, each, classes) in enumerate(entropy_windows(value, width)):
+        window = value[i : i + width]
+        if classes >= CLASSES and bits >= BITS:
+            out.append(i)
+            continue
+        size = [0] * 4
+        for c in window:
+            size[_class(c)] += 1
+        if sum(n > 0 for n in size) < CLASSES:
+            continue
+        symbols = HEX_SYMBOLS if HEXADECIMAL.fullmatch(window) else SYMBOLS
+        short = sum(n * (expected_entropy(a, n) - h) for a, n, h in zip(symbols, size, each)) / width
+        if short <= (SLACK if classes >= CLASSES else STRICT_SLACK) and size[1] + size[2] > 1:
+            out.append(i)
+    return out
+
+
 def _entropy_spans(text: str, base: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out = []
     for m in CANDIDATE.finditer(text):
@@ -86,7 +124,7 @@ def _entropy_spans(text: str, base: list[tuple[int, int]]) -> list[tuple[int, in
             continue
         if any(p.fullmatch(value) for p in ALLOWED) or LINK.search(text, max(0, m.start() - 200), m.start()):
             continue
-        hot = [i for i, (bits, _, classes) in enumerate(entropy_windows(value)) if bits >= BITS and classes >= CLASSES]
+        hot = _hot(value)
         if hot:
             out.append((m.start() + hot[0], m.start() + hot[-1] + WINDOW))
     return out

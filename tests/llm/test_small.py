@@ -221,6 +221,28 @@ def test_entropy_by_steps_equals_entropy_by_counting():
         assert bits == pytest.approx(-(p * np.log2(p)).sum(), abs=1e-9)
 
 
+ALPHABETS = {
+    "HEX": "0123456789ABCDEF", "Hex": "0123456789abcdefABCDEF", "BASE32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base36": "0123456789abcdefghijklmnopqrstuvwxyz", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+}
+
+
+@pytest.mark.parametrize("alphabet", ALPHABETS)
+@pytest.mark.parametrize("n", [24, 32, 40, 64])
+def test_random_keys_of_any_alphabet_are_found(alphabet, n):
+    rng = np.random.default_rng(n)
+    keys = ["".join(rng.choice(list(ALPHABETS[alphabet]), n)) for _ in range(300)]
+    assert sum(bool(secret_scan.spans_of(f"see {k} there")) for k in keys) >= 294
+
+
+@pytest.mark.parametrize("text", [
+    "INTERNATIONALISATIONOFDOCUMENTS", "internationalisationofdocuments", "DocumentationOfTheInternationalOffice", "some_long_name_of_a_thing_in_2024",
+    "AAAAAAAAAAAAAAAAAAAAAAAA1111", "2024-01-02-03-04-05-06-07-08-09", "550E8400-E29B-41D4-A716-446655440000", "usr/local/share/documentation/index",
+])
+def test_plain_values_are_no_keys(text):
+    assert secret_scan.spans_of(f"see {text} there") == []
+
+
 def test_secret_scan_frame(spark, texts):
     rows = {r["doc_id"]: r for r in secret_scan.scan_secrets(frame(spark, [*texts, (50, SECRETS)])).collect()}
     assert (rows[50]["n_assign"], rows[50]["n_access"], rows[50]["n_hex"]) == (2, 1, 1)
