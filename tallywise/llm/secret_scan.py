@@ -1,7 +1,7 @@
 """Secrets in texts: fixed patterns, and runs of high entropy.
 
 The patterns are those of assignments, access keys and long hexadecimal runs. Besides, every run of characters that a
-key may have is a candidate. A window slides over it; the counts of the characters in the window, kept for each
+key may have is a candidate, without what a pattern has found and without scheme, host and path of links. A window slides over it; the counts of the characters in the window, kept for each
 character class (digits, lower case, upper case, marks) and in all, change by one step at either end, and so does their
 entropy. A window is hot if it has mixed classes and, in all, many bits a character, or if within each class the entropy
 is about that of random characters of the class, whose alphabet is hexadecimal where the whole window is. So keys in
@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import pandas as pd
@@ -31,7 +32,9 @@ HEX_RUN = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "entropy")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{24,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: A name or a value of an assignment inside a candidate; = at the end fills a value up.
+VALUE = re.compile(r"[^=]+=*$|[^=]+")
 #: Values that look random and are none: links and paths, identifiers of several words, dates and plain numbers.
 ALLOWED = [
     re.compile(r"[0-9_=+/-]+"),
@@ -40,8 +43,17 @@ ALLOWED = [
     re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
     re.compile(r"(.{1,8})\1+.{0,8}"),
 ]
-LINK = re.compile(r"(?:[a-z][a-z0-9+.-]*://|www\.|@)\S*$", re.I)
-WINDOW = 24
+#: Values of under ``WINDOW`` characters only: words with numbers, times, account numbers with their country.
+ALLOWED_SHORT = [
+    re.compile(r"(?!(?:[^0-9]*[0-9]+(?![0-9])){3})(?:[A-Z][a-z]{2,}|[a-z]{4,}|[a-z]{2,3}(?=[A-Z])|[A-Z]{2,5}(?=[A-Z][a-z]{2})|[0-9]{1,4}|[_/+-])+=?"),
+    re.compile(r"[0-9]{4}-?[0-9]{2}-?[0-9]{2}T[0-9-]+Z?"),
+    re.compile(r"[A-Z]{2}[0-9]{13,}"),
+]
+#: Links without their user-info, query and fragment, and hosts of e-mail addresses.
+LINK = re.compile(r"://(\S*)|\bwww\.[\w.~%/+=:@-]*|@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", re.I)
+PLACE = re.compile(r"[\w.~%/+=:@-]*")
+WITH_PASSWORD = re.compile(r"[^\s/?#@:]*:(?!(?:[0-9]+)?(?:[/?#]|$))[^\s?#]*@|[^\s/?#]*@")
+WINDOW, SHORT = 24, 16
 #: Bits a character in the window, at least, and character classes in it.
 BITS, CLASSES = 3.6, 2
 #: Bits a character that the entropy within the classes may stay below that of random characters, and that where all
@@ -116,20 +128,62 @@ def _hot(value: str, width: int = WINDOW) -> list[int]:
     return out
 
 
-def _entropy_spans(text: str, base: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out = []
-    for m in CANDIDATE.finditer(text):
-        value = m[0]
-        if any(lo < m.end() and m.start() < hi for lo, hi in base):
-            continue
-        if any(p.fullmatch(value) for p in ALLOWED) or LINK.search(text, max(0, m.start() - 200), m.start()):
-            continue
-        hot = _hot(value)
-        if hot:
-            out.append((m.start() + hot[0], m.start() + hot[-1] + WINDOW))
+def _link_places(text: str) -> list[tuple[int, int]]:
+    """Where links name hosts and paths, and e-mail addresses hosts."""
+    out, at = [], 0
+    while (m := LINK.search(text, at)) is not None:
+        lo, hi = m.span()
+        if m[1] is not None:
+            user = WITH_PASSWORD.match(text, m.start(1), m.end(1))
+            lo = user.end() if user else m.start(1)
+            hi = PLACE.match(text, lo).end()
+        out.append((lo, hi))
+        at = max(hi, m.start() + 1)
     return out
 
 
+def _without(lo: int, hi: int, cut: list[tuple[int, int]]):
+    """What is left of a stretch without others, which are in order."""
+    for a, b in cut[bisect_left(cut, lo, key=lambda x: x[1]):]:
+        if a >= hi:
+            break
+        if lo < a:
+            yield lo, a
+        lo = max(lo, b)
+    if lo < hi:
+        yield lo, hi
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted(spans):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def _entropy_spans(text: str, base: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    found = list(CANDIDATE.finditer(text))
+    if not found:
+        return []
+    cut, out = _merged(base + _link_places(text)), []
+    for m in found:
+        for lo, hi in _without(m.start(), m.end(), cut):
+            value = text[lo:hi]
+            if len(value) < SHORT or any(p.fullmatch(value) for p in ALLOWED):
+                continue
+            if len(value) >= WINDOW and (hot := _hot(value)):
+                out.append((lo + hot[0], lo + hot[-1] + WINDOW))
+            for v in [*VALUE.finditer(value), *([re.match(".*", value)] if len(value) < WINDOW else [])]:
+                if not SHORT <= len(v[0]) < WINDOW or any(p.fullmatch(v[0]) for p in ALLOWED + ALLOWED_SHORT):
+                    continue
+                if hot := _hot(v[0], SHORT):
+                    out.append((lo + v.start() + hot[0], lo + v.start() + hot[-1] + SHORT))
+    return _merged(out)
+
+
 def spans_of(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) by start, then in the order of the kinds; positions in code points, end exclusive."""
     text = text or ""
