@@ -131,17 +131,23 @@ def tag_kind(name: str) -> str:
     return f"tag:{name}" if name in BLOCKS or name in VOID or name in ("a", "b", "i", "em", "strong", "span", "code", "u") else "tag:other"
 
 
+def _marks_its_article(seen: list) -> bool:
+    """Whether some words that are not left out lie inside an article."""
+    return any(kind == "words" and inside and not barred and text.strip() for kind, _, text, barred, inside in seen)
+
+
 def main_text(page: str | None, scores: dict[str, float]) -> str:
     """The blocks of the best run, one a line; empty for an empty page or one without a positive word."""
     page = page or ""
-    zone = "article" if "<article" in page or "<main" in page or "<ARTICLE" in page else "page"
+    seen = list(units(page))
+    marked = _marks_its_article(seen)
     parts: list[tuple[float, bool, str | None, bool]] = []  # score, breaks the block, text, barred
-    for kind, name, text, barred, inside in units(page):
+    for kind, name, text, barred, inside in seen:
         if kind == "tag":
             parts.append((BARRED if barred else scores.get(tag_kind(name), MARK), name in BLOCKS, " " if name == "br" else None, barred))
         else:
             n = len(text.split())
-            score = scores.get(f"words:{name}", WORD) if inside or zone == "page" else scores.get("words:outside", FLOOR)
+            score = scores.get(f"words:{name}", WORD) if inside or not marked else scores.get("words:outside", FLOOR)
             parts.append((n * (BARRED if barred else score), False, text, barred))
     best, lo, hi, run, begin = 0.0, 0, 0, 0.0, 0
     for i, (score, *_) in enumerate(parts):
@@ -167,7 +173,7 @@ def _count(frames):
         held: dict[str, list[int]] = {}
         for page in pdf["html"]:
             seen = list(units(page))
-            if not any(inside for *_, inside in seen):
+            if not _marks_its_article(seen):
                 continue
             for kind, name, text, barred, inside in seen:
                 if barred:

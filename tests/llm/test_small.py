@@ -190,6 +190,25 @@ def test_main_text(spark):
     assert main_text.extract_main_text(pages.limit(0), {}).collect() == []
 
 
+@pytest.mark.parametrize("beside", [
+    '<article class="comment"><p>I like it</p></article>', '<article class="related"><p>Read this too</p></article>', "<main-menu>Home</main-menu>",
+    "<script>x = '<article>'</script>", "<!-- <main> -->", "<article> </article>", "<aside><article class='teaser related'>More</article></aside>",
+])
+def test_main_text_beside_what_only_looks_like_an_article(beside):
+    scores = {"words:p": 1.5, "words:outside": -4.0, "words:article": 1.0, "words:body": 1.0}
+    body = "<p>The text of the page lies in a plain block</p><p>and goes on in a second one</p>"
+    found = main_text.main_text(f"<html><body><div>{body}</div>{beside}</body></html>", scores)
+    assert found.startswith("The text of the page lies in a plain block\nand goes on in a second one")
+    assert "I like it" not in found and "Read this" not in found
+
+
+def test_main_text_leaves_out_what_is_beside_an_article():
+    scores = {"words:p": 1.5, "words:outside": -4.0, "words:article": 1.0}
+    for tag in ("article", "main", "Article", "MAIN"):
+        page = f"<p>Some words before it that are many more</p><{tag}><p>The text</p></{tag}><p>after</p>"
+        assert main_text.main_text(page, scores) == "The text"
+
+
 def test_main_text_of_pages_that_mark_their_article(spark, data):
     pages = spark.read.parquet(f"{data}/pages.parquet")
     found = {r["page_id"]: r["text"] for r in main_text.extract_main_text(pages).collect()}
