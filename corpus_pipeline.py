@@ -19,6 +19,8 @@ from tallywise.session import stored
 
 #: Texts whose language scores less are rejected, as are those without a letter.
 LEAST_SCORE = 0.5
+#: Column of the key by which a stage tells its rows apart.
+ROW = "_row"
 
 
 def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -27,23 +29,28 @@ def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
 
 
+def _keyed(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with a key of their own, written once so that it stays the same: ``doc_id`` may be null or repeated."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), name)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The smallest ``doc_id`` of each group of texts linked by five-word shingles at 0.8; of repeated rows of an id, one."""
-    classes = jaccard_join(docs, k=5, percent=80)
-    copies = stored(classes.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
-    repeated = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    """One row of each group of texts linked by five-word shingles at 0.8: that of the smallest ``doc_id``, null last."""
+    keyed = _keyed(docs, "rows")
+    classes = jaccard_join(keyed.select(F.col(ROW).alias("doc_id"), "text"), k=5, percent=80)
+    classes = stored(classes.select(F.col("doc_id").alias(ROW), "component_id"), "classes")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
+    first = classes.join(keyed.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(F.min(order).alias("first"))
+    copies = stored(classes.select(ROW).join(first.select(f"first.{ROW}"), ROW, "left_anti"), "copies")
+    return keyed.join(copies, ROW, "left_anti").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Texts without a benchmark item."""
-    leaks = find_leaks(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
-    leaks = stored(leaks.select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    keyed = _keyed(docs, "rows")
+    leaks = find_leaks(keyed.select(F.col(ROW).alias("doc_id"), "text"), spark.read.parquet(f"{folder}/benchmark.parquet"))
+    leaks = stored(leaks.select(F.col("doc_id").alias(ROW)).distinct(), "leaks")
+    return keyed.join(leaks, ROW, "left_anti").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

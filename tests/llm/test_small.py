@@ -473,3 +473,22 @@ def test_pipeline(spark, data):
     assert rows["secrets"] == {d: secret_scan.redacted(t) for d, t in rows["decontamination"].items()}
     pieces = corpus_pipeline.packed(spark, docs, data)
     assert pieces.agg(F.sum("length")).first()[0] == sum(len(x) for _, x in expected_ids(rows["secrets"].items(), 0))
+
+
+def test_pipeline_decides_rows_of_null_and_repeated_ids_by_text(spark, data):
+    import corpus_pipeline
+
+    columns = "doc_id long, text string, lang string, source string, n_chars int"
+    a, b, c, d = (made(20 + i, 60) for i in range(4))
+    near = a.replace(a.split()[-1], "other") if a.count(a.split()[-1]) == 1 else a + " other"
+    rows = [(None, a), (None, a), (None, near), (None, b), (5, c), (5, d), (5, c), (6, c), (7, b + " other"), (4, d + " other")]
+    docs = spark.createDataFrame([(i, t, "x", "y", len(t)) for i, t in rows], columns)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, data).collect()]
+    assert len(kept) == 4 and (5, c) in kept and (4, d + " other") in kept and (7, b + " other") in kept
+    assert [t in (a, near) for i, t in kept if i is None] == [True]
+
+    item = spark.read.parquet(f"{data}/benchmark.parquet").orderBy("item_id").first()["text"]
+    rows = [(None, f"{a} {item} {b}"), (None, a), (7, f"{c} {item}"), (7, c), (7, d), (8, f"{item} {d}"), (9, b)]
+    docs = spark.createDataFrame([(i, t, "x", "y", len(t)) for i, t in rows], columns)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.decontaminated(spark, docs, data).collect()]
+    assert sorted(kept, key=repr) == sorted([(None, a), (7, c), (7, d), (9, b)], key=repr)
