@@ -16,6 +16,8 @@ from tallywise.llm.samples import labelled, remainder
 
 #: Labelled texts per language from which windows are drawn, and windows of each: a bounded sample, whatever the corpus.
 PER_LANGUAGE, WINDOWS = 600, 3
+#: Steps of training at least, windows of a step, and passes over all windows at least.
+STEPS, ROWS, PASSES = 500, 64, 4
 HELD_OUT = 5
 UNKNOWN = "und"
 
@@ -53,7 +55,7 @@ def fit_languages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Language
         return LanguageModel([], None)
     x = np.frombuffer(b"".join(found["bytes"]), np.uint8).reshape(len(found), -1)
     y = np.array([languages.index(v) for v in found["y"]])
-    return LanguageModel(languages, byte_cnn.trained(x, y, len(languages), steps=500))
+    return LanguageModel(languages, byte_cnn.trained(x, y, len(languages), steps=max(STEPS, -(-PASSES * len(x) // ROWS)), rows=ROWS))
 
 
 def mean_log(net: byte_cnn.Network, texts: list, most: int = 4096) -> np.ndarray:

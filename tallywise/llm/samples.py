@@ -13,12 +13,12 @@ def remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus
 
 
-def labelled(rows: DataFrame, label: str, per_class: int, classes: int = 200) -> DataFrame:
-    """About ``per_class`` rows of each of the most frequent ``classes`` labels, and at most twice that in all.
+def labelled(rows: DataFrame, label: str, per_class: int) -> DataFrame:
+    """About ``per_class`` rows of each label, and at most twice that in all.
 
     Adds ``_h``, the hash that chose them. Runs a job that counts the labels.
     """
-    counts = rows.where(F.col(label).isNotNull()).groupBy(label).count().orderBy(F.desc("count"), label).limit(classes).collect()
+    counts = rows.where(F.col(label).isNotNull()).groupBy(label).count().orderBy(F.desc("count"), label).collect()
     if not counts:
         return rows.limit(0).withColumn("_h", F.lit(0).cast("long"))
     pick = F.xxhash64("doc_id", F.lit("sample")).bitwiseAND((1 << BITS) - 1)

@@ -329,6 +329,15 @@ def test_languages_on_held_out_rows(spark, data):
     assert [(r["lang_pred"], r["score"]) for r in odd] == 3 * [("und", 0.0)]
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(byte_cnn, "trained", lambda x, y, classes, steps, **_: seen.update(n=len(x), classes=classes, steps=steps, y=set(y.tolist())))
+    rows = spark.createDataFrame([(i, made(i, 150), f"l{i % 230}") for i in range(230 * 20)], "doc_id long, text string, lang string")
+    model = language_id.fit_languages(rows)
+    assert len(model.languages) == seen["classes"] == len(seen["y"]) == 230
+    assert seen["steps"] * 64 >= 4 * seen["n"]
+
+
 def test_windows_cover_the_text():
     for n in (0, 1, 255, 256, 257, 1000):
         text = "".join(chr(97 + i % 26) for i in range(n))
