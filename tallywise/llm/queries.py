@@ -12,6 +12,7 @@ from tallywise.llm.filter_audit import audit_filters
 from tallywise.llm.hard_negatives import mine_negatives
 from tallywise.llm.jaccard_join import jaccard_join
 from tallywise.llm.main_text import extract_main_text
+from tallywise.llm.near_dedup import near_duplicates
 from tallywise.llm.packing import pack
 from tallywise.llm.samples import remainder
 from tallywise.llm.secret_scan import scan_secrets
@@ -73,6 +74,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.apply_rules(docs, field).drop("labels")
 
 
+def op11_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(_table(spark, folder, "documents"), k=4, percent=80)
+
+
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit_filters(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -88,9 +93,33 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan, "op5_jaccard_join": op5_jaccard_join, "op6_language_id": op6_language_id,
     "op7_quality_classifier": op7_quality_classifier, "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination, "op10_quality_rules": op10_quality_rules,
-    "op12_filter_audit": op12_filter_audit, "op13_hard_negatives": op13_hard_negatives,
+    "op11_near_dedup": op11_near_dedup, "op12_filter_audit": op12_filter_audit, "op13_hard_negatives": op13_hard_negatives,
 }
+#: Exact sets, their links and the smallest id reachable, with ``K`` words a shingle.
+_LINKED = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+g AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < K THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - K + 2), lambda i: array_to_string(w[i : i + K - 1], ' ')) END) AS gram
+  FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (
+  SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+"""
 ORACLE_SQL: dict[str, str] = {
+    "op5_jaccard_join": _LINKED.replace("K", "5")
+    + "SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM w LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)",
+    "op11_near_dedup": _LINKED.replace("K", "4")
+    + "SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept "
+    + "FROM w LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)",
     "op8_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, h, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first FROM p)
