@@ -176,8 +176,12 @@ def _possible(percent: int, most: int) -> str:
 
 
 def _leader_pairs(members: DataFrame, turn: int, percent: int, most: int) -> DataFrame:
-    """Each class and the leader most similar by sketch, among the leaders of its bands in other components."""
-    leader = (F.max if turn % 2 else F.min)("rid").alias("a")
+    """Each class and the leader most similar by sketch, among the leaders of its bands in other components.
+
+    At first a band is led by the class that meets most others over all its bands, as does the text that others are
+    copies of, later by its smallest class.
+    """
+    leader = (F.min("rid") if turn % 2 else F.max_by("rid", "weight")).alias("a")
     lead = members.groupBy("band").agg(leader, F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band", "a")
     led = members.select("band", F.col("rid").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("sketch").alias("ha"))
     lead = stored(lead.join(led, ["band", "a"]), "dedup_leaders")
@@ -222,12 +226,14 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     first = stored(first, "dedup_numbered")
     classes = stored(rows.drop("cid").join(first, "place"), "dedup_classes")
     bands = classes.select("rid", "n", F.explode("bands").alias("band"))
-    common = stored(bands.groupBy("band").agg(F.count("*").alias("c")).where("c > 1").select("band"), "dedup_bands")
+    common = stored(bands.groupBy("band").agg(F.count("*").alias("c")).where("c > 1"), "dedup_bands")
     members = stored(bands.join(common, "band"), "dedup_banded")
-    members = stored(members.join(classes.select("rid", "sketch"), "rid"), "dedup_members")
+    met = members.groupBy("rid").agg(F.sum("c").alias("weight"))
+    known = stored(classes.select("rid", "sketch").join(met, "rid"), "dedup_sketches")
+    members = stored(members.drop("c").join(known, "rid"), "dedup_members")
 
     # The sets of all classes with a common band, read again from one text of each.
-    wanted = classes.join(members.select("rid").distinct(), "rid", "left_semi")
+    wanted = classes.join(known.select("rid"), "rid", "left_semi")
     wanted = stored(wanted.select("rid", "cid", "n", "doc_id", "h"), "dedup_wanted")
     again = texts.alias("t").join(wanted.alias("w"), F.expr("t.h = w.h and t.doc_id <=> w.doc_id"), "left_semi").select("text")
     grams = again.mapInArrow(trimmed(_sets(k)), "cid binary, grams binary").dropDuplicates(["cid"])

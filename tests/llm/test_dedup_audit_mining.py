@@ -91,8 +91,8 @@ def test_near_duplicates_are_those_of_all_pairs(spark, copies):
 
 
 def test_a_row_without_id_joins_two_components(spark):
-    w = varied(5, 220).split()
-    rows = [(5, " ".join(w[:200])), (None, " ".join(w[8:208])), (7, " ".join(w[16:216]))]
+    w = varied(5, 228).split()
+    rows = [(5, " ".join(w[:200])), (None, " ".join(w[14:214])), (7, " ".join(w[28:228]))]
     assert {r[2] for r in plain_dedup(rows[::2])} == {5, 7} and {r[2] for r in plain_dedup(rows)} == {5}
     got = near_dedup.near_duplicates(frame(spark, [(i, t, None) for i, t in rows]))
     assert sorted((tuple(r) for r in got.collect()), key=repr) == plain_dedup(rows)
@@ -292,7 +292,7 @@ def test_one_vector_held_by_a_third_of_the_rows(spark, small_blocks):
 
 
 def test_large_components_are_exact(spark, small_blocks):
-    rows = [(i, l, [x * 300_000 for x in v]) for i, l, v in vectors(3, 80, 2)]
+    rows = [(i, l, [float(np.float32(x * 300_000)) for x in v]) for i, l, v in vectors(3, 80, 2)]
     assert mined(spark, rows) == plain_negatives(rows)
 
 
