@@ -69,6 +69,13 @@ def _canonical(column: Column, data_type: T.DataType) -> Column:
     return column
 
 
+#: How values inside arrays, structs and maps are written: nulls kept, times to the microsecond.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def as_text(column: Column, data_type: T.DataType) -> Column:
     """The string form values are compared in.
 
@@ -78,7 +85,7 @@ def as_text(column: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.StringType):
         return column
     if isinstance(data_type, (T.ArrayType, T.StructType, T.MapType)):
-        return F.to_json(_canonical(column, data_type), {"ignoreNullFields": "false"})
+        return F.to_json(_canonical(column, data_type), JSON_OPTIONS)
     return column.cast("string")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallywise.functions.columns import col
+from tallywise.functions.columns import JSON_OPTIONS, col
 
 
 def differs(base: Column, actual: Column) -> Column:
@@ -49,7 +49,7 @@ def fingerprint(names: Sequence[str]) -> Column:
     string two different rows never share the hashed text.
     """
     row = F.struct(*[col(n).alias(n) for n in names])
-    return F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
+    return F.sha2(F.to_json(row, JSON_OPTIONS), 256)
 
 
 def change_carrier(base: Column, actual: Column, tag: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from tallywise.functions.columns import col, cols, key_struct
+from tallywise.functions.columns import JSON_OPTIONS, col, cols, key_struct
 from tallywise.functions.records import fill_missing, missing_as_null
 from tallywise.session import stored
 
@@ -25,7 +25,7 @@ def render_prompt(df: DataFrame, template: str, out: str = "prompt") -> DataFram
         if text:
             parts.append(F.lit(text))
         if field == "*":
-            parts.append(F.to_json(F.struct(*cols(df.columns)), {"ignoreNullFields": "false"}))
+            parts.append(F.to_json(F.struct(*cols(df.columns)), JSON_OPTIONS))
         elif field:
             parts.append(F.coalesce(col(field).cast("string"), F.lit("None")))
     return df.withColumn(out, F.concat(*parts))
@@ -114,33 +114,70 @@ def impute_any(df: DataFrame, targets: Mapping[str, Sequence[str]]) -> DataFrame
     ])
 
 
-def impute_numeric(df: DataFrame, targets: Mapping[str, str], by: Sequence[str] = (), how: str = "mean",
-                   accuracy: int = 10000) -> DataFrame:
+#: Ranks, as a share of a group, that an approximate quantile may be off by.
+RANK_ERROR = 1e-4
+
+
+def exact_median(df: DataFrame, by: Sequence[str], targets: Sequence[str]) -> DataFrame:
+    """``_k`` (the group) and ``_f0``, ``_f1``, … (the lower median of each target), exact for groups of any size.
+
+    A bounded-memory quantile brackets the median on both sides by more than its error. The values below the bracket
+    are only counted; those inside, about ``4 * RANK_ERROR`` of a group, are counted per value, and the one that holds
+    the middle rank is the median. So no group is sorted or held. Missing values (null, NaN) do not count. Runs jobs.
+    """
+    group = key_struct(by) if by else F.struct(F.lit(1).alias("all"))
+    values = {i: missing_as_null(col(c), df.schema[c].dataType.simpleString()).cast("double") for i, c in enumerate(targets)}
+    brackets = [
+        F.percentile_approx(v, [0.5 - 2 * RANK_ERROR, 0.5 + 2 * RANK_ERROR], int(1 / RANK_ERROR)).alias(f"_b{i}") for i, v in values.items()
+    ]
+    bounds = stored(df.groupBy(group.alias("_k")).agg(*brackets, *[F.count(v).alias(f"_n{i}") for i, v in values.items()]), "median-brackets")
+    rows = df.select(group.alias("_k"), *[v.alias(f"_v{i}") for i, v in values.items()]).join(bounds, "_k")
+
+    def place(i: int) -> Column:
+        """A value of the bracket stands for itself, one below it for all such, one above for none."""
+        value, bracket = F.col(f"_v{i}"), F.col(f"_b{i}")
+        inside = (value >= bracket[0]) & (value <= bracket[1])
+        return F.struct(F.lit(i).alias("i"), F.when(inside, value).alias("v"), (inside | (value < bracket[0])).alias("low"), F.col(f"_n{i}").alias("n"))
+
+    placed = rows.select("_k", F.inline(F.array(*[place(i) for i in values]))).where("low")
+    counts = placed.groupBy("_k", "i", "n", "v").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(W.partitionBy("_k", "i").orderBy(F.col("v").asc_nulls_first()))
+    middle = counts.select("_k", "i", "v", (upto > F.floor((F.col("n") - 1) / 2)).alias("reached")).where("reached and v is not null")
+    medians = stored(middle.groupBy("_k", "i").agg(F.min("v").alias("m")), "medians")
+    out = bounds.select("_k")
+    for i in values:
+        out = out.join(medians.where(F.col("i") == i).select("_k", F.col("m").alias(f"_f{i}")), "_k", "left")
+    return out
+
+
+def impute_numeric(df: DataFrame, targets: Mapping[str, str], by: Sequence[str] = (), how: str = "mean") -> DataFrame:
     """Fill numeric columns by the mean or median of their group.
 
-    ``targets`` maps a column to the type of the result. The median is a
-    bounded-memory quantile with a rank error of at most ``1 / accuracy``.
+    ``targets`` maps a column to the type of the result. The median is exact (see ``exact_median``); of an even number
+    of values it is the lower one in the middle.
     """
-    def stat(name: str) -> Column:
+    def mean(name: str) -> Column:
         own = df.schema[name].dataType
-        value = missing_as_null(col(name), own.simpleString()).cast("double")
-        if how == "mean":
-            # Sums of integers and decimals are exact and so do not depend on the order rows arrive in.
-            if isinstance(own, T.IntegralType):
-                return (F.sum(col(name).cast("decimal(20,0)")) / F.count(col(name))).cast("double")
-            return F.avg(col(name)).cast("double") if isinstance(own, T.DecimalType) else F.avg(value)
-        if how == "median":
-            return F.percentile_approx(value, 0.5, accuracy)
+        # Sums of integers and decimals are exact and so do not depend on the order rows arrive in.
+        if isinstance(own, T.IntegralType):
+            return (F.sum(col(name).cast("decimal(20,0)")) / F.count(col(name))).cast("double")
+        if isinstance(own, T.DecimalType):
+            return F.avg(col(name)).cast("double")
+        return F.avg(missing_as_null(col(name), own.simpleString()).cast("double"))
+
+    group = key_struct(by) if by else F.struct(F.lit(1).alias("all"))
+    if how == "mean":
+        stats = df.groupBy(group.alias("_k")).agg(*[mean(c).alias(f"_f{i}") for i, c in enumerate(targets)])
+    elif how == "median":
+        stats = exact_median(df, by, list(targets))
+    else:
         raise ValueError(f"unknown method {how!r}")
-
-    fills = [stat(c).alias(f"_f{i}") for i, c in enumerate(targets)]
     if by:
-        stats = stored(df.groupBy(key_struct(by).alias("_k")).agg(*fills), "group-stats")
-        joined = df.withColumn("_k", key_struct(by)).join(stats, "_k", "left")
+        joined = df.withColumn("_k", group).join(stored(stats, "group-stats"), "_k", "left")
         filled = {c: F.col(f"_f{i}") for i, c in enumerate(targets)}
     else:
-        stats = df.agg(*fills)
         joined = df
+        stats = stored(stats, "group-stats") if how == "median" else df.agg(*[mean(c).alias(f"_f{i}") for i, c in enumerate(targets)])
         filled = {c: stats.select(f"_f{i}").scalar() for i, c in enumerate(targets)}
     return joined.select(*[
         _typed_fill(df, c, filled[c], targets[c]) if c in targets else col(c) for c in df.columns

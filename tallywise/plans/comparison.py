@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywise.functions.columns import (
-    NO_VALUES, as_text, col, cols, literal_sql, quoted, texts, value_struct,
+    JSON_OPTIONS, NO_VALUES, as_text, col, cols, literal_sql, quoted, texts, value_struct,
 )
 from tallywise.functions.compare import differs, differs_sql
 from tallywise.operators import sets
@@ -163,6 +163,13 @@ class Comparison:
     def cell_differs_sql(self, name: str) -> str:
         return differs_sql(f"_b.{quoted(name)}", f"_a.{quoted(name)}", self.tolerance)
 
+    def cell_text_sql(self, side: str, name: str) -> str:
+        """A cell as text; unequal arrays, structs and maps never share one."""
+        if isinstance(self.base.schema[name].dataType, (T.ArrayType, T.StructType, T.MapType)) and self.value_mode == "typed":
+            options = ", ".join(literal_sql(x) for pair in JSON_OPTIONS.items() for x in pair)
+            return f"to_json({side}.{quoted(name)}, map({options}))"
+        return f"CAST({side}.{quoted(name)} AS STRING)"
+
     @property
     def _on_both(self) -> Column:
         return (F.col("_nb") > 0) & (F.col("_na") > 0)
@@ -181,13 +188,13 @@ class Comparison:
     def changed_cells(self) -> DataFrame:
         """One row per differing cell: ``pk…, col_name, base_value, actual_value``."""
         cell = (
-            "struct({text} AS col_name, CAST(_b.{c} AS STRING) AS base_value, "
-            "CAST(_a.{c} AS STRING) AS actual_value, {differs} AS differs)"
+            "struct({text} AS col_name, {base} AS base_value, {actual} AS actual_value, {differs} AS differs)"
         )
         cells = ", ".join(
-            cell.format(text=literal_sql(name), c=quoted(name), differs=self.cell_differs_sql(name))
+            cell.format(text=literal_sql(name), base=self.cell_text_sql("_b", name), actual=self.cell_text_sql("_a", name),
+                        differs=self.cell_differs_sql(name))
             for name in self.columns
-        ) or cell.format(text="''", c=quoted(NO_VALUES), differs="false")
+        ) or cell.format(text="''", base=f"_b.{quoted(NO_VALUES)}", actual=f"_a.{quoted(NO_VALUES)}", differs="false")
         changed = self.findings.where(self.row_differs)
         return changed.select(
             *self._keys(), F.expr(f"inline(filter(array({cells}), cell -> cell.differs))")
@@ -244,7 +251,7 @@ class Comparison:
             found = {row["col_name"] for row in self.column_diff_counts().select("col_name").collect()}
             names = [c for c in self.columns if c in found]
         shown = [
-            F.expr(f"CASE WHEN {self.cell_differs_sql(name)} THEN CAST({side}.{quoted(name)} AS STRING) END").alias(
+            F.expr(f"CASE WHEN {self.cell_differs_sql(name)} THEN {self.cell_text_sql(side, name)} END").alias(
                 f"{name}_{label}"
             )
             for name in names for side, label in (("_b", "baseline"), ("_a", "actual"))

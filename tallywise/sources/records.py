@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywise.functions.columns import col, cols
+from tallywise.functions.columns import JSON_OPTIONS, col, cols
 from tallywise.functions.hashing import spread_key
 from tallywise.functions.records import first_json_value
 from tallywise.operators.numbering import number_in_group
@@ -40,7 +40,7 @@ def malformed_records(df: DataFrame, column: str, schema: str) -> DataFrame:
 
 def record_json(names: Sequence[str]) -> Column:
     """One record as JSON with ISO dates; nulls are kept."""
-    return F.to_json(F.struct(*[col(n).alias(n) for n in names]), {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(*[col(n).alias(n) for n in names]), JSON_OPTIONS)
 
 
 def to_json_records(df: DataFrame, names: Sequence[str] | None = None, out: str = "record") -> DataFrame:
