@@ -5,8 +5,9 @@
    it. Equal sets become one class.
 2. Classes with a common band key are candidates. The XOR of two odd sketches is the odd sketch of the samples in
    which they differ; its population count estimates their number, and a pair whose count a pair at the threshold
-   practically never reaches is no candidate any more. This is part of the join's condition, so such pairs never
-   become rows.
+   practically never reaches is no candidate any more. A second odd sketch, of all shingles of a set, does the same for
+   the shingles in which two sets differ; as a count never exceeds that number, it is sharp for sets of up to some
+   hundred shingles. Both are part of the join's condition, so such pairs never become rows.
 3. What is left is confirmed on full sets. No group is expanded into all its pairs: each class is first compared with
    one leader, twice; after that only pairs of classes that are still in different components are compared, and of
    those each one that its sizes and sketches leave possible.
@@ -31,11 +32,13 @@ from tallywise.session import stored
 
 #: Bands, and MinHash samples in each.
 BANDS, ROWS = 32, 4
-#: Words of 64 bits of an odd sketch.
+#: Words of 64 bits of an odd sketch; a class has two, of its samples and of its whole set.
 SKETCH = 16
 BITS = 64 * SKETCH
 #: Probability with which sketches may reject a pair at the threshold.
 LOSS = 1e-9
+#: Standard deviations by which the count of a sketch may exceed its mean; beyond lies about a part in 10**10.
+DEVIATIONS = 6.5
 #: Turns of comparing each class with one leader, before all pairs still open are compared.
 TURNS = 2
 #: Texts whose sketches are counted at once.
@@ -68,16 +71,27 @@ def band_keys(found: np.ndarray) -> np.ndarray:
     return key.T.copy().view(np.int64)
 
 
+def parities(place: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Bitmaps (rows, as 64-bit words) of n owners in which a bit is the parity of how often its place was met."""
+    out = []
+    for lo in range(0, n, TEXTS):  # owners come in ascending order
+        hi = min(n, lo + TEXTS)
+        i, j = np.searchsorted(owner, [lo, hi])
+        odd = np.bincount(place[i:j] + BITS * (owner[i:j] - lo), minlength=(hi - lo) * BITS) & 1
+        out.append(np.packbits(odd.astype(np.uint8).reshape(hi - lo, BITS), axis=1).view(np.int64))
+    return np.concatenate(out) if out else np.zeros((0, SKETCH), np.int64)
+
+
 def odd_sketches(found: np.ndarray) -> np.ndarray:
     """The parity bitmap of each set's samples (rows), as 64-bit words."""
-    out = []
     place = (words.mixed(found ^ PLACES[:, None]) % np.uint64(BITS)).astype(np.int64)
-    for lo in range(0, found.shape[1], TEXTS):
-        part = place[:, lo : lo + TEXTS]
-        n = part.shape[1]
-        odd = np.bincount((part + BITS * np.arange(n)).reshape(-1), minlength=n * BITS) & 1
-        out.append(np.packbits(odd.astype(np.uint8).reshape(n, BITS), axis=1).view(np.int64))
-    return np.concatenate(out) if out else np.zeros((0, SKETCH), np.int64)
+    return parities(place.T.reshape(-1), np.repeat(np.arange(found.shape[1]), BANDS * ROWS), found.shape[1])
+
+
+def whole_sketches(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The parity bitmap of all shingles of each set (rows)."""
+    place = (words.mixed(values ^ PLACES[0]) % np.uint64(BITS)).astype(np.int64)
+    return parities(place, np.repeat(np.arange(len(at) - 1), np.diff(at)), len(at) - 1)
 
 
 def most_differing(percent: int) -> int:
@@ -123,10 +137,11 @@ def _first_pass(k: int):
                 values, at = words.shingle_sets(texts[lo:hi], k)
                 n = np.diff(at)
                 full = np.flatnonzero(n)
-                bands, sketch = np.zeros((hi - lo, BANDS), np.int64), np.zeros((hi - lo, SKETCH), np.int64)
+                bands, sketch = np.zeros((hi - lo, BANDS), np.int64), np.zeros((hi - lo, 2 * SKETCH), np.int64)
                 if len(full):
                     found = samples(values, at[:-1][full])
-                    bands[full], sketch[full] = band_keys(found), odd_sketches(found)
+                    bands[full], sketch[full, :SKETCH] = band_keys(found), odd_sketches(found)
+                    sketch[:, SKETCH:] = whole_sketches(values, at)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(n.astype(np.int64)), _digests(values, at),
                     _lists(bands), _lists(sketch),
@@ -165,14 +180,22 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.where(f"100 * o >= {percent} * (na + nb - o)").select("a", "b")
 
 
-def _apart() -> str:
-    """The bit count of two sketches' XOR."""
-    return " + ".join(f"bit_count(ha[{i}] ^ hb[{i}])" for i in range(SKETCH))
+def _apart(first: int = 0) -> str:
+    """The bit count of two sketches' XOR, from the given word on."""
+    return " + ".join(f"bit_count(ha[{i}] ^ hb[{i}])" for i in range(first, first + SKETCH))
 
 
 def _possible(percent: int, most: int) -> str:
-    """Whether two classes can link by their sizes and by their sketches."""
-    return f"100 * least(na, nb) >= {percent} * greatest(na, nb) and {_apart()} <= {most}"
+    """Whether two classes can link by their sizes and by their sketches.
+
+    Sets at the threshold differ in ``d`` shingles at most, which set ``d`` bits at most, and in the mean as many as the
+    walk on odd bits reaches.
+    """
+    d = f"((na + nb) * {100 - percent} / {100 + percent})"
+    mean = f"{BITS / 2} * (1 - exp(-2 * {d} / {BITS}))"
+    variance = f"greatest(1, {BITS / 4} * (1 - exp(-4 * {d} / {BITS})) - {d} * exp(-4 * {d} / {BITS}))"
+    whole = f"{_apart(SKETCH)} <= least({d}, {mean} + {DEVIATIONS} * sqrt({variance}))"
+    return f"100 * least(na, nb) >= {percent} * greatest(na, nb) and {_apart()} <= {most} and {whole}"
 
 
 def _leader_pairs(members: DataFrame, turn: int, percent: int, most: int) -> DataFrame:

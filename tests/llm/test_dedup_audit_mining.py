@@ -128,6 +128,31 @@ def test_sketches_estimate_the_samples_that_differ():
         assert abs((1 - differing / k) - jaccard) < 0.15
 
 
+def test_whole_sketches_count_differing_shingles():
+    sets = [np.unique(words.mixed(np.arange(i * 20, i * 20 + 150, dtype=np.uint64))) for i in range(5)] + [np.zeros(0, np.uint64)]
+    at = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    maps = near_dedup.whole_sketches(np.concatenate(sets), at)
+    for i, j in itertools.product(range(6), repeat=2):
+        z = sum(bin(int(p ^ q) & (2**64 - 1)).count("1") for p, q in zip(maps[i], maps[j]))
+        differing = len(np.setxor1d(sets[i], sets[j]))
+        assert differing * 0.75 <= z <= differing
+
+
+def test_sketches_of_large_sets_stay_within_their_bound(spark):
+    rng = np.random.default_rng(8)
+    for n in (300, 1500, 4000, 20_000):
+        both = rng.integers(1 << 63, size=int(n * 8 / 9), dtype=np.uint64)
+        own = [rng.integers(1 << 63, size=n - len(both), dtype=np.uint64) for _ in range(2)]
+        a, b = (np.unique(np.concatenate((both, x))) for x in own)
+        assert 0.79 < len(np.intersect1d(a, b)) / len(np.union1d(a, b)) < 0.81
+        found = near_dedup.samples(np.concatenate((a, b)), np.array([0, len(a)]))
+        whole = near_dedup.whole_sketches(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]))
+        sketches = np.concatenate((near_dedup.odd_sketches(found), whole), axis=1)
+        row = [(len(a), len(b), sketches[0].tolist(), sketches[1].tolist())]
+        df = spark.createDataFrame(row, "na long, nb long, ha array<long>, hb array<long>")
+        assert df.where(near_dedup._possible(79, near_dedup.most_differing(79))).count() == 1
+
+
 def test_the_bound_on_sketches_holds_for_drawn_pairs():
     most = near_dedup.most_differing(80)
     rng = np.random.default_rng(4)
