@@ -65,8 +65,9 @@ class Reader:
             if len(ones) > left:
                 break
             size *= 4
-        high = at + int(ones[left]) - i
-        return self.first + (high << self.width) + int(self._low(np.array([i]))[0])
+        high, bit = at + int(ones[left]) - i, i * self.width
+        low = int.from_bytes(self.low[bit >> 3 : (bit >> 3) + 9].tobytes(), "little") >> (bit & 7) & ((1 << self.width) - 1)
+        return self.first + (high << self.width) + low
 
     def all(self) -> np.ndarray:
         """All values."""

@@ -16,14 +16,14 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywise.llm import words
 from tallywise.llm.batching import small_batches, trimmed
-from tallywise.llm.tokens import Encoder
+from tallywise.llm.tokens import Encoder, byte_runs
 from tallywise.session import stored
 
 
@@ -90,39 +90,44 @@ def cuts(n: int, capacity: int, grain: int) -> list[int]:
 
 
 def _pieces(vocabulary: str, end_id: int, capacity: int, grain: int, keep_ids: bool):
-    def run(frames):
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "number", *["ids"] * keep_ids]
+
+    def run(batches):
         encoder = Encoder(vocabulary)
         part, numbered = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for pdf in frames:
-            texts = pdf["text"].tolist()
-            for lo, hi in words.batches(texts, 4 * words.BLOCK):
-                ids, at = encoder.encode(texts[lo:hi])
-                rows = []
+        for batch in batches:
+            for lo, hi in byte_runs(batch.column(1), 4 * words.BLOCK):
+                ids, at = encoder.encode(batch.column(1).slice(lo, hi - lo))
+                rows, held = [], []
                 for i in range(hi - lo):
                     own = np.append(ids[at[i] : at[i + 1]], np.uint32(end_id)).astype("<u4")
                     at_own = cuts(len(own), capacity, grain)
                     for start, end in zip(at_own, at_own[1:]):
                         piece, n = own[start:end], end - start
-                        rows.append((pdf["doc_id"].iat[lo + i], start, n, zlib.crc32(piece.tobytes()), len(own), part, int(numbered[n]), piece if keep_ids else None))
+                        rows.append((lo + i, start, n, zlib.crc32(piece.tobytes()), len(own), part, int(numbered[n])))
                         numbered[n] += 1
-                out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "number", "ids"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out if keep_ids else out.drop(columns="ids")
+                        if keep_ids:
+                            held.append(piece.astype(np.int64))
+                table = np.array(rows, np.int64).reshape(-1, 7)
+                columns = [batch.column(0).take(pa.array(table[:, 0])), *[pa.array(table[:, j]) for j in range(1, 7)]]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(held, pa.list_(pa.int64()))] * keep_ids, names)
 
     return run
 
 
 def _placed(table: np.ndarray):
-    def run(frames):
+    def run(batches):
         keys = (table[:, 0] << 44) + table[:, 1]
-        for pdf in frames:
-            number = pdf["number"].to_numpy() + pdf["before"].to_numpy()
-            length = pdf["length"].to_numpy()
+        for batch in batches:
+            number = batch.column("number").to_numpy() + batch.column("before").to_numpy()
+            length = batch.column("length").to_numpy()
             row = table[np.searchsorted(keys, (length << 44) + number, "right") - 1]
             turn = number - row[:, 1]
-            pdf["sequence_id"] = row[:, 3] + turn // row[:, 2]
-            pdf["offset"] = row[:, 4] + turn % row[:, 2] * length
-            yield pdf.drop(columns=["part", "number", "before"])
+            kept = [c for c in batch.schema.names if c not in ("part", "number", "before")]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in kept], pa.array(row[:, 3] + turn // row[:, 2]), pa.array(row[:, 4] + turn % row[:, 2] * length)],
+                [*kept, "sequence_id", "offset"],
+            )
 
     return run
 
@@ -138,14 +143,14 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 1024, gr
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, number long"
     ids = ", ids array<long>" if keep_ids else ""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = stored(rows.mapInPandas(trimmed(_pieces(vocabulary, end_id, capacity, grain, keep_ids)), schema + ids), "pieces")
+    pieces = stored(rows.mapInArrow(trimmed(_pieces(vocabulary, end_id, capacity, grain, keep_ids)), schema + ids), "pieces")
     held = stored(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")
     counts = {r["length"]: r["n"] for r in held.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # one row per length
     table = layout(windows(counts, capacity))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = held.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     out = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ids + ", sequence_id long, offset long"
-    return pieces.join(before, ["part", "length"]).select(*pieces.columns, "before").mapInPandas(trimmed(_placed(table)), out)
+    return pieces.join(before, ["part", "length"]).select(*pieces.columns, "before").mapInArrow(trimmed(_placed(table)), out)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -12,14 +12,14 @@ import struct
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywise.llm import elias_fano, files, words
 from tallywise.llm.batching import small_batches, trimmed
-from tallywise.llm.tokens import Encoder
+from tallywise.llm.tokens import Encoder, byte_runs
 from tallywise.session import scratch_path, stored
 
 MAGIC = b"EFTK1\0"
@@ -87,7 +87,7 @@ class Reader:
 
 
 def _write(folder: str, vocabulary: str, end_id: int, file_tokens: int):
-    def run(frames):
+    def run(batches):
         encoder = Encoder(vocabulary)
         width = 2 if max(encoder.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
         task, seq, open_file = TaskContext.get().partitionId(), 0, Writer()
@@ -95,13 +95,12 @@ def _write(folder: str, vocabulary: str, end_id: int, file_tokens: int):
         def closed():
             path = files.fresh(folder, ".eftk")
             open_file.write(path, width)
-            return pd.DataFrame([(task, seq, path, len(open_file.sizes), open_file.tokens)], columns=["part", "seq", "path", "n_texts", "n_tokens"])
+            return pa.RecordBatch.from_pydict({"part": [task], "seq": [seq], "path": [path], "n_texts": [len(open_file.sizes)], "n_tokens": [open_file.tokens]})
 
-        for pdf in frames:
-            texts = pdf["text"].tolist()
-            doc_ids = [None if pd.isna(d) else int(d) for d in pdf["doc_id"]]
-            for lo, hi in words.batches(texts, 4 * words.BLOCK):
-                ids, at = encoder.encode(texts[lo:hi])
+        for batch in batches:
+            doc_ids = batch.column(0).to_pylist()
+            for lo, hi in byte_runs(batch.column(1), 4 * words.BLOCK):
+                ids, at = encoder.encode(batch.column(1).slice(lo, hi - lo))
                 for i in range(hi - lo):
                     open_file.add(doc_ids[lo + i], np.append(ids[at[i] : at[i + 1]], np.uint32(end_id)))
                     if open_file.tokens >= file_tokens:
@@ -127,7 +126,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, file_tokens
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id", "tie")
     rows = rows.sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    index = stored(rows.mapInPandas(trimmed(_write(folder, vocabulary, end_id, file_tokens)), INDEX), "token-index")
+    index = stored(rows.mapInArrow(trimmed(_write(folder, vocabulary, end_id, file_tokens)), INDEX), "token-index")
     sums = index.groupBy("part").agg(F.sum("n_tokens").alias("t")).orderBy("part").collect()  # one row per task
     before, total = [], 0
     for row in sums:
@@ -139,22 +138,23 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, file_tokens
     return stored(inside.join(base, "part").selectExpr("part", "seq", "path", "n_texts", "n_tokens", "base + inside start"), "token-index")
 
 
-def _read(frames):
-    for pdf in frames:
-        for path, start in zip(pdf["path"], pdf["start"]):
+def _read(batches):
+    for batch in batches:
+        for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             reader = Reader(path)
-            ends = reader.bounds.all().astype(np.int64)
-            rows = []
+            rows, lo = [], reader.start(0) if reader.n else 0
             for k in range(reader.n):
-                ids = reader.span(int(ends[k]), int(ends[k + 1]))
-                rows.append((reader.doc_ids[k], start + int(ends[k]), len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                hi = reader.start(k + 1)  # where the next text begins
+                rows.append((start + lo, hi - lo, zlib.crc32(reader.span(lo, hi).astype("<u4").tobytes())))
+                lo = hi
             reader.close()
-            out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            found = np.array(rows, np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(reader.doc_ids, pa.int64()), *[pa.array(found[:, j]) for j in range(3)]], ["doc_id", "start", "n_tokens", "ids_crc32"],
+            )
 
 
 def read_token_files(index: DataFrame) -> DataFrame:
     """``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` of every text, from the files of an index."""
     paths = index.select("path", "start").repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
-    return paths.mapInPandas(trimmed(_read), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return paths.mapInArrow(trimmed(_read), "doc_id long, start long, n_tokens long, ids_crc32 long")
