@@ -139,12 +139,8 @@ def _duplicate_rows_sql(common_only: bool) -> str:
         return f"""
           SELECT '{name}' AS side, l_orderkey, l_linenumber, l_quantity, l_returnflag, l_shipdate, rn FROM (
             SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
-              CASE WHEN rank = 1 THEN '' ELSE substr(md5(concat_ws('|', coalesce(l_quantity, '~'),
-                coalesce(l_returnflag, '~'), coalesce(l_shipdate, '~'))), 1, 3) END,
               l_quantity NULLS FIRST, l_returnflag NULLS FIRST, l_shipdate NULLS FIRST) AS rn
-            FROM (SELECT *, dense_rank() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
-                    l_quantity NULLS FIRST, l_returnflag NULLS FIRST, l_shipdate NULLS FIRST) AS rank
-                  FROM {name} {restrict if common_only else ''}))
+            FROM {name} {restrict if common_only else ''})
           WHERE rn > 1"""
     return f"WITH {LINES_SIDES} {side('base', 'actual')} UNION ALL {side('actual', 'base')}"
 

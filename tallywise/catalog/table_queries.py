@@ -119,7 +119,7 @@ def record_json(spark, folder):
 
 @query("batched_records", """
 SELECT c_custkey, c_name, CAST((n - 1) // 50 AS BIGINT) AS batch_no
-FROM (SELECT c_custkey, c_name, row_number() OVER (ORDER BY substr(md5(CAST(c_custkey AS VARCHAR)), 1, 3), c_custkey) AS n
+FROM (SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey) AS n
   FROM customer)
 """)
 def batched_records(spark, folder):

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywise.functions.columns import col, cols, key_struct
-from tallywise.functions.hashing import hash_uniform, pick, spread_key
+from tallywise.functions.hashing import hash_uniform, pick
 from tallywise.operators.frames import append_rows
-from tallywise.operators.numbering import BUCKET_DIGITS, number_in_group, repeat_rows
+from tallywise.operators.numbering import number_in_order, repeat_rows
 from tallywise.session import stored
 
 #: Builds a column from a uniform number and the row's id.
@@ -69,19 +69,18 @@ def synthesise_series(ids: DataFrame, id_col: str, start: str, days: int, base:
     return daily.select(col(id_col), "date", F.round(noise * factor, 2).alias("total_sales"))
 
 
-def replicate(df: DataFrame, row_id: str, group: Sequence[str], needed: DataFrame, out: str,
-              digits: int = BUCKET_DIGITS) -> DataFrame:
+def replicate(df: DataFrame, row_id: str, group: Sequence[str], needed: DataFrame, out: str) -> DataFrame:
     """Copy rows round-robin until each group got as many copies as ``needed``.
 
     ``needed`` holds ``group…, n_rows, n_needed``. The rows of a group are
-    numbered in hash order; each is copied ``n_needed div n_rows`` times and the
+    numbered by ``row_id``; each is copied ``n_needed div n_rows`` times and the
     first ``n_needed mod n_rows`` once more. Copies are numbered from 0.
     """
     names = df.columns
     if group:  # on the struct of all parts, so that a null class is one of them
         needed = needed.select(key_struct(group).alias("_gk"), "n_rows", "n_needed")
         df = df.withColumn("_gk", key_struct(group)).join(needed, "_gk", "left_semi").drop("_gk")
-    numbered = number_in_group(df, group, spread_key([col(row_id)]), [col(row_id)], "_idx", digits)
+    numbered = number_in_order(df, group, [col(row_id)], "_idx")
     if group:
         sized = numbered.withColumn("_gk", key_struct(group)).join(needed, "_gk")
         rows, wanted = F.col("n_rows"), F.col("n_needed")
@@ -94,7 +93,7 @@ def replicate(df: DataFrame, row_id: str, group: Sequence[str], needed: DataFram
     return repeat_rows(counted, "_times", out)
 
 
-def rebalance(df: DataFrame, label: str, row_id: str, digits: int = BUCKET_DIGITS) -> DataFrame:
+def rebalance(df: DataFrame, label: str, row_id: str) -> DataFrame:
     """Raise every class to the size of the largest by copying its rows.
 
     Adds ``is_copy``. The copies are spread evenly over the rows of the class.
@@ -102,12 +101,12 @@ def rebalance(df: DataFrame, label: str, row_id: str, digits: int = BUCKET_DIGIT
     sizes = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n_rows"))
     largest = sizes.agg(F.max("n_rows").alias("n")).scalar()
     needed = stored(sizes.withColumn("n_needed", largest - F.col("n_rows")).where(F.col("n_needed") > 0), "deficits")
-    copies = replicate(df, row_id, [label], needed, "_copy", digits).drop("_copy")
+    copies = replicate(df, row_id, [label], needed, "_copy").drop("_copy")
     return append_rows(df.withColumn("is_copy", F.lit(0)), copies.withColumn("is_copy", F.lit(1)))
 
 
 def augment(df: DataFrame, row_id: str, n: int | Column, jitter: Mapping[str, float],
-            relation: tuple[str, str] | None = None, seed: int = 0, digits: int = BUCKET_DIGITS) -> DataFrame:
+            relation: tuple[str, str] | None = None, seed: int = 0) -> DataFrame:
     """``n`` new rows like the given ones: source rows in turn, numbers shifted.
 
     ``jitter`` maps numeric columns to the largest relative shift. With
@@ -116,7 +115,7 @@ def augment(df: DataFrame, row_id: str, n: int | Column, jitter: Mapping[str, fl
     """
     wanted = n if isinstance(n, Column) else F.lit(n)
     needed = df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_needed", wanted)
-    copies = replicate(df, row_id, [], needed, "copy_no", digits)
+    copies = replicate(df, row_id, [], needed, "copy_no")
     ident = F.concat_ws("/", col(row_id).cast("string"), F.col("copy_no").cast("string"))
     shifted = {}
     for name, share in jitter.items():

@@ -1,8 +1,8 @@
-"""Row numbers and row copies for groups of any size.
+"""Row numbers and row copies for groups of any size, in the order of given values.
 
-``row_number()`` puts a whole group through one task. The helpers here cut each
-group into buckets, number inside the buckets in parallel and add the size of
-the buckets before; only the small table of bucket sizes is windowed per group.
+``row_number()`` puts a whole group through one task. Here only groups up to ``HEAVY`` rows go that way, all of them in
+one window. A larger one is split into ranges of its order, numbered inside each range, and moved by the sizes of the
+ranges before. Numbers follow from the values alone: which way a group went makes no difference.
 """
 
 from __future__ import annotations
@@ -14,77 +14,69 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tallywise.functions.columns import cols, key_struct
-from tallywise.session import ensure_checkpoints, stored
+from tallywise.session import stored
 
-#: Hex digits taken from a spread key: 16 ** 3 = 4096 buckets per group.
-BUCKET_DIGITS = 3
+#: Rows of a group that one task orders; a group of more is split.
+HEAVY = 1 << 20
 
 #: Copies one task makes of a row before the next task takes over.
 COPIES_PER_TASK = 65536
 
 
-def bucket_of(spread: Column, digits: int = BUCKET_DIGITS) -> Column:
-    return F.substring(spread, 1, digits)
-
-
-def _group_key(group: Sequence[str]) -> Column:
+def group_key(group: Sequence[str]) -> Column:
+    """The group as one struct, so that null parts are equal; a group of all rows without columns."""
     return key_struct(group) if group else F.struct(F.lit(1).alias("all"))
 
 
-def start_in_group(df: DataFrame, group: Sequence[str], bucket: Column, order: Sequence[Column],
-                   weight: Column, out: str) -> DataFrame:
-    """Add the total ``weight`` of the rows before each row of its group.
-
-    Rows are ordered by ``(bucket, *order)``. ``bucket`` must be a function of
-    the row's content, so that a re-run task finds the same numbers.
-    """
-    keyed = df.select("*", _group_key(group).alias("_g"), bucket.alias("_b"), weight.cast("bigint").alias("_w"))
-    sizes = keyed.groupBy("_g", "_b").agg(F.sum("_w").alias("_n"))
-    before = W.partitionBy("_g").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("_g", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = W.partitionBy("_g", "_b").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    local = keyed.withColumn("_local", F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-    placed = local.join(offsets, ["_g", "_b"])
-    return placed.select(*cols(df.columns), (F.col("_offset") + F.col("_local")).alias(out))
-
+def heavy_groups(df: DataFrame, group: Sequence[str], heavy: int) -> DataFrame | None:
+    """``_g`` of the groups with more than ``heavy`` rows; None if there are none. Runs a job over the group columns."""
+    sizes = df.groupBy(group_key(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy)
+    found = stored(sizes.select("_g"), "heavy-groups")
+    return None if found.isEmpty() else found
 
-def number_in_group(df: DataFrame, group: Sequence[str], spread: Column, order: Sequence[Column],
-                    out: str, digits: int = BUCKET_DIGITS) -> DataFrame:
-    """Number rows 1..n per group in a fixed, hash-spread order.
 
-    ``spread`` must tell the rows apart: it comes from a unique id or all columns.
-    """
-    numbered = start_in_group(df, group, bucket_of(spread, digits), order, F.lit(1), "_start")
-    return numbered.select(*cols(df.columns), (F.col("_start") + 1).alias(out))
+def _in_one_window(keyed: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    before = W.partitionBy("_g").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    return keyed.withColumn(out, F.coalesce(F.sum("_w").over(before), F.lit(0)))
 
 
-def number_in_order(df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
-    """Number rows 1..n per group in the given order, whatever the group's size.
+def _in_ranges(keyed: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """The same for groups that one task should not order.
 
-    The frame is range-partitioned, so a large group spans many partitions, and
-    checkpointed once: the numbers are read off the partition number and the
-    place inside it, which must not change when a task runs again.
+    The rows are written once in the order of group and values, with their place; what is summed over ranges is one
+    row per group and range. A task that runs again reads the places that were written.
     """
-    spark = df.sparkSession
-    ensure_checkpoints(spark)
-    sort = [*cols(group), *order, F.col("_tie")]
-    ranged = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*sort)
-        .sortWithinPartitions(*sort)
-        .drop("_tie")
-        .checkpoint()
-    )
-    position = F.monotonically_increasing_id()
-    placed = ranged.select("*", position.alias("_pos"), _group_key(group).alias("_g"))
-    placed = placed.withColumn("_part", F.shiftright("_pos", 33))
-    spans = placed.groupBy("_g", "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-    before = W.partitionBy("_g").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = spans.select("_g", "_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    # One row per group and partition: mostly small enough to spare the rows another shuffle.
-    offsets = stored(offsets, "offsets")
-    number = F.col("_offset") + F.col("_pos") - F.col("_first") + 1
-    return placed.join(offsets, ["_g", "_part"]).select(*cols(df.columns), number.alias(out))
+    sort = [F.col("_g"), *order]
+    placed = keyed.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("_place", F.monotonically_increasing_id())
+    placed = stored(placed, "ordered").withColumn("_range", F.shiftright("_place", 33))
+    sizes = placed.groupBy("_g", "_range").agg(F.sum("_w").alias("_n"))
+    before = W.partitionBy("_g").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = stored(sizes.select("_g", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")), "offsets")
+    inside = W.partitionBy("_g", "_range").orderBy("_place").rowsBetween(W.unboundedPreceding, -1)
+    local = placed.withColumn("_local", F.coalesce(F.sum("_w").over(inside), F.lit(0)))
+    return local.join(offsets, ["_g", "_range"]).withColumn(out, F.col("_offset") + F.col("_local"))
+
+
+def start_in_order(df: DataFrame, group: Sequence[str], order: Sequence[Column], weight: Column, out: str,
+                   heavy: int = HEAVY) -> DataFrame:
+    """Add the total ``weight`` of the rows before each row of its group, in the given order.
+
+    Rows that ``order`` does not tell apart come in any order among themselves. Runs a job that counts the groups.
+    """
+    keyed = df.select("*", group_key(group).alias("_g"), weight.cast("bigint").alias("_w"))
+    large = heavy_groups(df, group, heavy)
+    if large is None:
+        placed = _in_one_window(keyed, order, out)
+    else:
+        parts = [_in_ranges(keyed.join(large, "_g", "left_semi"), order, out), _in_one_window(keyed.join(large, "_g", "left_anti"), order, out)]
+        placed = parts[0].select(*cols([*df.columns, out])).unionByName(parts[1].select(*cols([*df.columns, out])))
+    return placed.select(*cols([*df.columns, out]))
+
+
+def number_in_order(df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str, heavy: int = HEAVY) -> DataFrame:
+    """Number rows 1..n per group in the given order, whatever the group's size."""
+    numbered = start_in_order(df, group, order, F.lit(1), "_start", heavy)
+    return numbered.select(*cols(df.columns), (F.col("_start") + 1).alias(out))
 
 
 def repeat_rows(df: DataFrame, times: str, out: str, per_task: int = COPIES_PER_TASK) -> DataFrame:

@@ -85,21 +85,23 @@ def surrogate_pii(df: DataFrame, row_id: str, kinds: Mapping[str, str], jitter:
     return df.withColumns(changes)
 
 
-# What personal data looks like. Character classes are spelled out
-# so that text in any language is cut at the same places by every regex engine.
-EMAIL = "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+"
-IP_ADDRESS = "([0-9]{1,3}\\.){3}[0-9]{1,3}"
-CARD_NUMBER = "[0-9]{4}([ -]?[0-9]{4}){3}"
-PHONE_NUMBER = "(\\+?[0-9]{1,2}[ .-])?(\\([0-9]{3}\\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+# What personal data looks like. A number is matched up to its end or not at all, so none is cut in two.
+EMAIL = "[\\p{L}\\p{M}\\p{N}._%+-]+@[\\p{L}\\p{M}\\p{N}-]+(?:\\.[\\p{L}\\p{M}\\p{N}-]+)+"
+IP_ADDRESS = "(?:[0-9]{1,3}\\.){3}[0-9]{1,3}(?!\\.[0-9])"
+CARD_NUMBER = "[0-9]{13,19}|[0-9]{4}(?:[ -]?[0-9]{4}){3}(?:[ -]?[0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
+ACCOUNT_NUMBER = "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+PHONE_NUMBER = (
+    "(?:\\+?[0-9]{1,2}[ .-])?(?:\\([0-9]{3}\\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}"
+)
 SOCIAL_NUMBER = "[0-9]{3}-[0-9]{2}-[0-9]{4}"
 LABELLED_ID = "((ID|Id|id)[:#]? ?)[0-9]{4,}"
-_WORD_START = "(^|[^0-9A-Za-z])"
+_WORD_START, _WORD_END = "(^|[^0-9A-Za-z])", "(?![0-9A-Za-z])"
 
 
 # Steps in turn: pattern and replacement. All numbers are found in one pass.
 REDACTIONS = [
     (EMAIL, "*"),
-    (f"{_WORD_START}({IP_ADDRESS}|{CARD_NUMBER}|{PHONE_NUMBER}|{SOCIAL_NUMBER})", "$1*"),
+    (f"{_WORD_START}(?:{IP_ADDRESS}|{CARD_NUMBER}|{PHONE_NUMBER}|{SOCIAL_NUMBER}|{ACCOUNT_NUMBER}){_WORD_END}", "$1*"),
     (LABELLED_ID, "$1*"),
 ]
 

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window as W
 
 from tallywise.functions.columns import col, cols, key_struct, value_struct
 from tallywise.operators.frames import common_columns
-from tallywise.operators.numbering import bucket_of, repeat_rows, start_in_group
+from tallywise.operators.numbering import HEAVY, heavy_groups, repeat_rows, start_in_order
 from tallywise.functions.hashing import spread_key
 
 
@@ -40,26 +40,37 @@ def duplicate_keys(df: DataFrame, pk: Sequence[str]) -> DataFrame:
     return df.groupBy(*cols(pk)).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def duplicate_rows(df: DataFrame, pk: Sequence[str], rest: Sequence[str] | None = None) -> DataFrame:
-    """All rows of a key but its survivor, numbered from 2 in ``rn``.
+def duplicate_rows(df: DataFrame, pk: Sequence[str], rest: Sequence[str] | None = None, keys: DataFrame | None = None,
+                   heavy: int = HEAVY) -> DataFrame:
+    """All rows of a key but its survivor, numbered from 2 in ``rn`` by their values, nulls first.
 
-    Identical rows are folded to one row and a count before they are shuffled by
-    key, and unfolded at the end. Numbers follow hash buckets and then the
-    values, so the rows of one heavy key are numbered by many tasks.
+    ``keys`` restricts the rows to keys of that frame, each once. The rows meet by key once: join, folding of identical
+    rows and numbering use the same partitions. Keys of more than ``heavy`` rows are folded first and then numbered in
+    ranges. Runs a job that counts the keys.
     """
     rest = [c for c in df.columns if c not in set(pk)] if rest is None else list(rest)
-    folded = df.groupBy(*cols([*pk, *rest])).agg(F.count(F.lit(1)).alias("_n"))
-    folded = folded.select("*", key_struct(pk).alias("_k"), value_struct(rest).alias("_v"))
-    kept = folded.groupBy("_k").agg(F.min("_v").alias("_keep"), F.sum("_n").alias("_total"))
-    survivors = kept.where(F.col("_total") > 1).drop("_total")
-    marked = folded.join(survivors, "_k").withColumn("_kept", F.col("_v").eqNullSafe(F.col("_keep")))
-    bucket = F.when(F.col("_kept"), "").otherwise(bucket_of(spread_key(cols(rest) or [F.lit(1)])))
-    marked = marked.select(*cols([*pk, *rest]), "_n", bucket.alias("_bucket"))
     order = [c.asc_nulls_first() for c in cols(rest)] or [F.lit(1)]
-    placed = start_in_group(marked, pk, F.col("_bucket"), order, F.col("_n"), "_start")
-    copies = repeat_rows(placed.drop("_bucket"), "_n", "_copy")
+    keyed = df.select(*cols(rest), key_struct(pk).alias("_key"))
+    large = heavy_groups(df, pk, heavy)
+    large = None if large is None else large.withColumnRenamed("_g", "_key")
+
+    def restricted(rows: DataFrame) -> DataFrame:
+        return rows if keys is None else rows.join(keys.select(key_struct(pk).alias("_key")), "_key", "left_semi")
+
+    def folded(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("_key", *cols(rest)).agg(F.count(F.lit(1)).alias("_n"))
+
+    light = folded(restricted(keyed if large is None else keyed.join(large, "_key", "left_anti")))
+    before = W.partitionBy("_key").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    placed = light.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    if large is not None:
+        split = start_in_order(folded(restricted(keyed.join(large, "_key", "left_semi"))), ["_key"], order, F.col("_n"), "_start", heavy=0)
+        placed = placed.unionByName(split)
+    first = F.when(F.col("_start") == 0, 1).otherwise(0)  # the survivor itself
+    excess = placed.where("_start + _n > 1").select("_key", *cols(rest), (F.col("_start") + first).alias("_start"), (F.col("_n") - first).alias("_n"))
+    copies = repeat_rows(excess, "_n", "_copy")
     rn = F.col("_start") + F.col("_copy") + 1
-    return copies.select(*cols([*pk, *rest]), rn.alias("rn")).where(F.col("rn") > 1)
+    return copies.select(*[F.col("_key").getField(k).alias(k) for k in pk], *cols(rest), rn.alias("rn"))
 
 
 def _tagged(base: DataFrame, actual: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -125,7 +136,7 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     ranked = df
     if n >= limit:
-        salted = df.withColumn("_salt", bucket_of(spread_key(cols(df.columns))))
+        salted = df.withColumn("_salt", F.substring(spread_key(cols(df.columns)), 1, 3))
         inner = W.partitionBy(*cols(group), F.col("_salt")).orderBy(*order)
         ranked = salted.withColumn(out, F.row_number().over(inner)).where(F.col(out) <= n).drop(out, "_salt")
     outer = W.partitionBy(*cols(group)).orderBy(*order)

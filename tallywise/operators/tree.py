@@ -2,6 +2,9 @@
 
 Two nodes pair when all their ancestors pair and they stand at the same place
 among their sorted siblings: an inner join on the path of sibling positions.
+
+Documents pair by id. Where an id, or null, has several documents on a side, equal ones pair first and the rest in the
+order of their digests; what is left over is of one side only.
 """
 
 from __future__ import annotations
@@ -11,8 +14,9 @@ from pyspark.sql import functions as F
 
 from tallywise.functions.columns import col
 from tallywise.functions.compare import differs, same_map
+from tallywise.operators.numbering import repeat_rows, start_in_order
 from tallywise.session import stored
-from tallywise.sources.xmldocs import shred_xml
+from tallywise.sources.xmldocs import broken_documents, text_digest, unequal_nodes
 
 
 def _blank_as_null(column: Column, ignore_whitespace: bool) -> Column:
@@ -25,22 +29,64 @@ def _attributes_json(attrs: Column) -> Column:
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(attrs))))
 
 
-def tree_diff(base: DataFrame, actual: DataFrame, ignore_whitespace: bool = False) -> DataFrame:
-    """Differences of paired nodes: ``doc_id, path, kind, base_value, actual_value``.
+def _uneven(base: DataFrame, actual: DataFrame) -> DataFrame:
+    """``_id, _digest, _nb, _na`` of the documents that the sides do not hold equally often, from ``_id, _digest``."""
+    both = base.select("_id", "_digest", F.lit(1).alias("_s")).unionAll(actual.select("_id", "_digest", F.lit(0).alias("_s")))
+    counts = both.groupBy("_id", "_digest").agg(F.sum("_s").alias("_nb"), F.sum(1 - F.col("_s")).alias("_na"))
+    return stored(counts.where("_nb <> _na"), "uneven-documents")
 
-    Both frames come from ``shred_xml``. Surplus children show only in the count
-    of their parent, a document of one side only as one row of kind ``Document``. The join key holds the place in the document, so one large
-    document spreads over many tasks.
+
+def _pairs(uneven: DataFrame) -> DataFrame:
+    """``_id, _no, _b, _a``: which documents are compared, by their digests; null where a side has none left."""
+    more_b, more_a = F.greatest(F.col("_nb") - F.col("_na"), F.lit(0)), F.greatest(F.col("_na") - F.col("_nb"), F.lit(0))
+    of_id = uneven.groupBy("_id").agg(
+        F.sum(more_b).alias("_mb"), F.sum(more_a).alias("_ma"),
+        F.max(F.when(more_b > 0, F.col("_digest"))).alias("_b"), F.max(F.when(more_a > 0, F.col("_digest"))).alias("_a"),
+    )
+    of_id = stored(of_id, "document-pairs")
+    single = of_id.where("_mb <= 1 and _ma <= 1").select("_id", F.lit(0).cast("bigint").alias("_no"), "_b", "_a")
+    several = uneven.join(of_id.where("_mb > 1 or _ma > 1").select("_id"), "_id", "left_semi")
+
+    def numbered(more: Column, name: str) -> DataFrame:
+        rest = several.select("_id", "_digest", more.alias("_n")).where("_n > 0")
+        copies = repeat_rows(start_in_order(rest, ["_id"], [F.col("_digest")], F.col("_n"), "_start"), "_n", "_copy")
+        return copies.select("_id", (F.col("_start") + F.col("_copy")).alias("_no"), F.col("_digest").alias(name))
+
+    return stored(single.unionByName(numbered(more_b, "_b").join(numbered(more_a, "_a"), ["_id", "_no"], "full")), "document-pairs")
+
+
+def _has_copies(uneven: DataFrame) -> bool:
+    """Whether a document that takes part in a pair stands several times on a side."""
+    return not uneven.where("_nb > 1 or _na > 1").isEmpty()
+
+
+def _reported(pairs: DataFrame, broken: DataFrame, uneven: DataFrame) -> DataFrame:
+    """Rows on whole documents: those of one side only, and equal ones that do not parse.
+
+    ``broken`` has ``_id, _digest, error`` of every document of the base that does not parse.
     """
-    fields = ["parent_path", "tag", "text", "tail", "attrs", "n_children", "error"]
+    alone = pairs.where("_b is null or _a is null").select(
+        F.col("_id.id").alias("doc_id"), F.lit("").alias("path"), F.lit("Document").alias("kind"),
+        F.when(F.col("_b").isNotNull(), "present").alias("base_value"), F.when(F.col("_a").isNotNull(), "present").alias("actual_value"),
+    )
+    equal = broken.groupBy("_id", "_digest").agg(F.count(F.lit(1)).alias("_all"), F.min("error").alias("error"))
+    equal = equal.join(uneven, ["_id", "_digest"], "left").withColumn("_n", F.coalesce(F.least("_nb", "_na"), F.col("_all")))
+    copies = repeat_rows(equal.select("_id", "error", "_n"), "_n", "_copy")
+    return alone.unionByName(copies.select(
+        F.col("_id.id").alias("doc_id"), F.lit("").alias("path"), F.lit("Parse error").alias("kind"),
+        F.col("error").alias("base_value"), F.col("error").alias("actual_value"),
+    ))
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select("doc_id", "ord_path", F.struct(*fields).alias(name))
 
-    def ids(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(F.struct("doc_id").alias("_id")).agg(F.lit("present").alias(name))
+_FIELDS = ["parent_path", "tag", "text", "tail", "attrs", "n_children", "error"]
+
 
-    pairs = side(base, "b").join(side(actual, "a"), ["doc_id", "ord_path"])
+def _node_differences(base: DataFrame, actual: DataFrame, ignore_whitespace: bool) -> DataFrame:
+    """Differences of nodes that pair by ``_id, _no, ord_path``; ``_id`` is a struct, so a null id pairs too."""
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select("_id", "_no", "ord_path", F.struct(*_FIELDS).alias(name))
+
+    pairs = side(base, "b").join(side(actual, "a"), ["_id", "_no", "ord_path"])
     b, a = F.col("b"), F.col("a")
     own_path = F.concat(b["parent_path"], F.lit("/"), b["tag"])
 
@@ -64,32 +110,58 @@ def tree_diff(base: DataFrame, actual: DataFrame, ignore_whitespace: bool = Fals
     checks.append(found(own_path, "Children count", b["n_children"], a["n_children"],
                         whole & differs(b["n_children"], a["n_children"])))
     checks.append(found(F.lit(""), "Parse error", b["error"], a["error"], broken))
-    long = pairs.select("doc_id", F.inline(F.filter(F.array(*checks), lambda d: d["unequal"])))
-    alone = ids(base, "base_value").join(ids(actual, "actual_value"), "_id", "full").where(
-        F.col("base_value").isNull() | F.col("actual_value").isNull()
-    )
-    missing = alone.select(F.col("_id.doc_id").alias("doc_id"), F.lit("").alias("path"), F.lit("Document").alias("kind"),
-                           "base_value", "actual_value")
-    return long.drop("unequal").unionByName(missing)
+    return pairs.select(F.col("_id.id").alias("doc_id"), F.inline(F.filter(F.array(*checks), lambda d: d["unequal"]))).drop("unequal")
+
+
+def tree_diff(base: DataFrame, actual: DataFrame, ignore_whitespace: bool = False) -> DataFrame:
+    """Differences of paired nodes: ``doc_id, path, kind, base_value, actual_value``.
+
+    Both frames come from ``shred_xml``. Surplus children show only in the count
+    of their parent, a document of one side only as one row of kind ``Document``. Documents with equal text are not
+    joined. The join key holds the place in the document, so one large document spreads over many tasks. Runs jobs.
+    """
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_id", F.struct(F.col("doc_id").alias("id"))).withColumnRenamed("doc_digest", "_digest")
+
+    base, actual = keyed(base), keyed(actual)
+    roots = [side.where(F.size("ord_path") == 0).select("_id", "_digest", "error") for side in (base, actual)]
+    uneven = _uneven(*[r.select("_id", "_digest") for r in roots])
+    pairs = _pairs(uneven)
+
+    both, copied = pairs.where("_b is not null and _a is not null"), _has_copies(uneven)
+
+    def nodes(df: DataFrame, name: str) -> DataFrame:
+        """The nodes of paired documents; copies of one document count once for each pair."""
+        found = df.join(both.select("_id", "_no", F.col(name).alias("_digest")), ["_id", "_digest"])
+        return found.dropDuplicates(["_id", "_no", "ord_path"]) if copied else found
+
+    found = _node_differences(nodes(base, "_b"), nodes(actual, "_a"), ignore_whitespace)
+    return found.unionByName(_reported(pairs, roots[0].where("error is not null"), uneven))
 
 
 def compare_documents(base: DataFrame, actual: DataFrame, doc_id: str, xml: str,
                       ignore_whitespace: bool = False) -> DataFrame:
     """``tree_diff`` of two corpora, comparing only documents whose text differs or that one side lacks.
 
-    Equal text cannot hold a difference unless it does not parse; of equal texts one side
-    is parsed and only those with an error go on. Digests of the texts are joined by id, which moves a few
-    bytes per document instead of its nodes.
+    Equal text cannot hold a difference unless it does not parse, so equal texts are only checked for that. The texts
+    of a pair meet in one row; there a digest of every subtree, made from the leaves up, cuts off what is equal, and
+    only the nodes above a difference become rows and are joined. Runs jobs when called.
     """
-    def digests(df: DataFrame, name: str) -> DataFrame:
-        return df.select(col(doc_id).alias("_doc"), F.sha2(col(xml), 256).alias(name))
+    def texts(df: DataFrame) -> DataFrame:
+        return df.select(F.struct(col(doc_id).alias("id")).alias("_id"), text_digest(col(xml)).alias("_digest"), col(xml).alias("_xml"))
 
-    both = digests(base, "b").join(digests(actual, "a"), "_doc", "full")
-    broken = shred_xml(base, doc_id, xml).where(F.col("error").isNotNull()).select(F.col("doc_id").alias("_doc"))
-    changed = both.where(differs(F.col("b"), F.col("a"))).select("_doc").unionByName(broken).distinct()
-    changed = stored(changed, "changed-documents")
+    base, actual = texts(base), texts(actual)
+    uneven = _uneven(base, actual)
+    pairs = _pairs(uneven)
+    both, copied = pairs.where("_b is not null and _a is not null"), _has_copies(uneven)
 
-    def nodes(df: DataFrame) -> DataFrame:
-        return shred_xml(df.join(changed, col(doc_id) == F.col("_doc"), "left_semi"), doc_id, xml)
-
-    return tree_diff(nodes(base), nodes(actual), ignore_whitespace)
+    def side(df: DataFrame, name: str) -> DataFrame:
+        wanted = both.select("_id", "_no", F.col(name).alias("_digest"))
+        met = df.join(wanted, ["_id", "_digest"]).select("_id", "_no", F.col("_xml").alias(name))
+        return met.dropDuplicates(["_id", "_no"]) if copied else met
+
+    meeting = side(base, "_b").join(side(actual, "_a"), ["_id", "_no"])
+    nodes = stored(unequal_nodes(meeting, ["_id", "_no"], "_b", "_a"), "unequal-nodes")
+    found = _node_differences(nodes.where("is_base"), nodes.where("not is_base"), ignore_whitespace)
+    broken = stored(broken_documents(base, ["_id", "_digest"], "_xml"), "broken-documents")
+    return found.unionByName(_reported(pairs, broken, uneven))

@@ -293,8 +293,7 @@ class Comparison:
         parts = []
         for side, df, count in (("base", self.base, "_nb"), ("actual", self.actual, "_na")):
             keys = repeated.where(F.col(count) > 1)
-            rows = sets.rows_with_keys(self._shared(df), keys, self.pk)
-            part = sets.duplicate_rows(rows, self.pk, self.columns)
+            part = sets.duplicate_rows(self._shared(df), self.pk, self.columns, keys)
             parts.append(self._rows(part, [F.lit(side).alias("side")], ["rn"]))
         return parts[0].unionByName(parts[1])
 

@@ -69,13 +69,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{own}/{name}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoints(spark: SparkSession) -> None:
-    """Point ``DataFrame.checkpoint`` at the shared folder unless it already has one."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a derived frame to the shared folder and read it back.
 

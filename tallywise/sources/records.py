@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywise.functions.columns import JSON_OPTIONS, col, cols
-from tallywise.functions.hashing import spread_key
 from tallywise.functions.records import first_json_value
-from tallywise.operators.numbering import number_in_group
+from tallywise.operators.numbering import number_in_order
 
 
 def explode_json_records(df: DataFrame, column: str, record: str) -> DataFrame:
@@ -52,10 +51,10 @@ def to_json_records(df: DataFrame, names: Sequence[str] | None = None, out: str
 def batch_json_records(df: DataFrame, row_id: str, names: Sequence[str], size: int) -> DataFrame:
     """``batch_no, records``: JSON lists of at most ``size`` records each.
 
-    What a prompt over several rows takes. Rows are numbered in hash order, so
+    What a prompt over several rows takes. Rows are numbered by ``row_id``, and
     no list outgrows its bound, however many rows there are.
     """
-    numbered = number_in_group(df, [], spread_key([col(row_id)]), [col(row_id)], "_n")
+    numbered = number_in_order(df, [], [col(row_id)], "_n")
     record = F.struct("_n", record_json(names).alias("json"))
     lists = numbered.groupBy(F.floor((F.col("_n") - 1) / size).alias("batch_no")).agg(
         F.array_sort(F.collect_list(record)).alias("_records")

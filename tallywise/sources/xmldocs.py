@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,14 +57,15 @@ _NODE_TYPES = {
 
 def _shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, docs = batch.column(0), batch.column(1)
+        ids, digests, docs = batch.column(0), batch.column(1), batch.column(2)
         owners: list[int] = []
         rows: list[tuple] = []
 
         def node_batch() -> pa.RecordBatch:
             fields = zip(*rows)
             arrays = [pa.array(list(values), kind) for values, kind in zip(fields, _NODE_TYPES.values())]
-            return pa.record_batch([ids.take(pa.array(owners, pa.int64())), *arrays], ["doc_id", *_NODE_TYPES])
+            owner = pa.array(owners, pa.int64())
+            return pa.record_batch([ids.take(owner), digests.take(owner), *arrays], ["doc_id", "doc_digest", *_NODE_TYPES])
 
         for i in range(len(docs)):
             for row in _node_rows(docs[i].as_py()):
@@ -76,15 +78,21 @@ def _shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield node_batch()
 
 
+def text_digest(text: Column) -> Column:
+    """128 bits of a SHA-256 of a text; those of null are empty."""
+    return F.coalesce(F.unhex(F.substring(F.sha2(text, 256), 1, 32)), F.unhex(F.lit("")))
+
+
 def shred_xml(df: DataFrame, doc_id: str, xml: str) -> DataFrame:
     """One row per element, siblings sorted by tag and attributes.
 
     ``ord_path`` holds the sorted positions from the root down and ``parent_path``
-    the tags above. A document that does not parse gives one row with ``error``
-    set. Each document is parsed by one task.
+    the tags above; ``doc_digest`` tells documents of one id apart. A document that does not parse gives one row with
+    ``error`` set. Each document is parsed by one task.
     """
     schema = T.StructType([
         T.StructField("doc_id", df.schema[doc_id].dataType),
+        T.StructField("doc_digest", T.BinaryType()),
         T.StructField("ord_path", T.ArrayType(T.IntegerType())),
         T.StructField("parent_path", T.StringType()),
         T.StructField("tag", T.StringType()),
@@ -94,7 +102,107 @@ def shred_xml(df: DataFrame, doc_id: str, xml: str) -> DataFrame:
         T.StructField("n_children", T.IntegerType()),
         T.StructField("error", T.StringType()),
     ])
-    return df.select(col(doc_id).alias("id"), col(xml).alias("xml")).mapInArrow(_shred, schema)
+    return df.select(col(doc_id).alias("id"), text_digest(col(xml)).alias("digest"), col(xml).alias("xml")).mapInArrow(_shred, schema)
+
+
+class _Checked:
+    """Takes a parser's events and makes nothing of them."""
+
+    def close(self) -> None:
+        return None
+
+
+def _problem(text: str | None) -> str | None:
+    """Why a text is no XML document; None if it is one."""
+    try:
+        parser = ET.XMLParser(target=_Checked())
+        parser.feed(text)
+        parser.close()
+    except (ET.ParseError, TypeError, ValueError) as problem:
+        return str(problem)
+    return None
+
+
+def broken_documents(df: DataFrame, keys: list[str], xml: str) -> DataFrame:
+    """``keys`` and ``error`` of the documents that do not parse; no tree is built of the others."""
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, problem) for i, text in enumerate(batch.column(len(keys))) if (problem := _problem(text.as_py())) is not None]
+            rows = pa.array([i for i, _ in found], pa.int64())
+            yield pa.record_batch([*[batch.column(k).take(rows) for k in range(len(keys))], pa.array([e for _, e in found], pa.string())], [*keys, "error"])
+
+    schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("error", T.StringType())])
+    return df.select(*[col(k) for k in keys], col(xml)).mapInArrow(check, schema)
+
+
+def _sorted_with_digests(root: ET.Element) -> dict[ET.Element, tuple[list[ET.Element], bytes]]:
+    """Of every element its children in sibling order and a digest of all that it holds, made from the leaves up."""
+    out: dict[ET.Element, tuple[list[ET.Element], bytes]] = {}
+    for node in reversed(list(root.iter())):
+        children = sorted(node, key=_sibling_order)
+        own = repr((node.tag, node.text, node.tail, sorted(node.attrib.items()), len(children)))
+        digest = hashlib.blake2b(own.encode("utf-8", "surrogatepass"), digest_size=16)
+        for child in children:
+            digest.update(out[child][1])
+        out[node] = children, digest.digest()
+    return out
+
+
+def _unequal_nodes(base: str | None, actual: str | None) -> Iterator[tuple]:
+    """Nodes of two documents, each with its side (True for base), but for subtrees that are equal."""
+    roots = []
+    for is_base, text in ((True, base), (False, actual)):
+        try:
+            roots.append(ET.fromstring(text))
+        except (ET.ParseError, TypeError, ValueError):
+            roots.append(None)
+    if None in roots:  # one row of each side is enough to report a parse error
+        yield True, *next(_node_rows(base))
+        yield False, *next(_node_rows(actual))
+        return
+    known = [_sorted_with_digests(root) for root in roots]
+    waiting = [(roots[0], roots[1], [], "")]
+    while waiting:
+        b, a, place, above = waiting.pop()
+        (b_children, b_digest), (a_children, a_digest) = known[0][b], known[1][a]
+        if b_digest == a_digest:
+            continue
+        for is_base, node in ((True, b), (False, a)):
+            yield is_base, place, above, node.tag, node.text, node.tail, list(node.attrib.items()), len(node), None
+        for i, (x, y) in enumerate(zip(b_children, a_children)):
+            waiting.append((x, y, [*place, i], f"{above}/{b.tag}"))
+
+
+def unequal_nodes(pairs: DataFrame, keys: list[str], base_xml: str, actual_xml: str) -> DataFrame:
+    """Node rows of both sides of paired documents (``is_base``), without the subtrees in which a pair is equal."""
+    kinds = {"is_base": pa.bool_(), **_NODE_TYPES}
+
+    def shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owners: list[int] = []
+            rows: list[tuple] = []
+
+            def node_batch() -> pa.RecordBatch:
+                owner = pa.array(owners, pa.int64())
+                arrays = [pa.array(list(values), kind) for values, kind in zip(zip(*rows), kinds.values())]
+                return pa.record_batch([*[batch.column(k).take(owner) for k in range(len(keys))], *arrays], [*keys, *kinds])
+
+            for i in range(batch.num_rows):
+                for row in _unequal_nodes(batch.column(len(keys))[i].as_py(), batch.column(len(keys) + 1)[i].as_py()):
+                    owners.append(i)
+                    rows.append(row)
+                    if len(rows) >= _NODES_PER_BATCH:
+                        yield node_batch()
+                        owners, rows = [], []
+            if rows:
+                yield node_batch()
+
+    schema = T.StructType([
+        *[pairs.schema[k] for k in keys], T.StructField("is_base", T.BooleanType()), T.StructField("ord_path", T.ArrayType(T.IntegerType())),
+        *[T.StructField(c, T.StringType()) for c in ("parent_path", "tag", "text", "tail")],
+        T.StructField("attrs", T.MapType(T.StringType(), T.StringType())), T.StructField("n_children", T.IntegerType()), T.StructField("error", T.StringType()),
+    ])
+    return pairs.select(*[col(k) for k in keys], col(base_xml), col(actual_xml)).mapInArrow(shred, schema)
 
 
 def malformed_documents(nodes: DataFrame) -> DataFrame:

@@ -108,6 +108,11 @@ def test_redaction(spark):
               "Could you please help me?",
         "Mail a.b+c@mail.example.com, call (123) 456-7890 or 123-456-7890 from 10.0.0.1": "Mail *, call * or * from *",
         "card 4111 1111 1111 1111 ssn 123-45-6789": "card * ssn *",
+        "card 4111111111111111123 or 1234-5678-9012-3456-7, 3782 822463 10005.": "card * or *, *.",
+        "two 4465758382889437 4465758382889437 cards": "two * * cards",
+        "not an address: 10.0.0.12345, nor a card: 12345678901234567890123": "not an address: 10.0.0.12345, nor a card: 12345678901234567890123",
+        "josé@exämple.com, DE89 3704 0044 0532 0130 00, GB29NWBK60161331926819": "*, *, *",
+        "+44 20 7946 0958 and +1 (663) 555-6869 and 123-45-67890": "* and * and 123-45-67890",
         "nothing here": "nothing here",
     }
     df = spark.createDataFrame([(c,) for c in cases], "c string")

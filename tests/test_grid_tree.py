@@ -8,7 +8,7 @@ from tallywise.functions.labels import column_letters
 from tallywise.operators import grid
 from tallywise.operators.tree import compare_documents, tree_diff
 from tallywise.sources.cells import to_cells
-from tallywise.sources.xmldocs import malformed_documents, read_xml_records, shred_xml
+from tallywise.sources.xmldocs import broken_documents, malformed_documents, read_xml_records, shred_xml, unequal_nodes
 from tests.conftest import rows
 
 CELLS = "sheet string, row_no bigint, col_no int, value string"
@@ -120,3 +120,36 @@ def test_a_document_larger_than_one_batch_is_whole(spark):
 def test_record_style_files(spark, tmp_path):
     (tmp_path / "r.xml").write_text("<rows><row><a>1</a><b>x</b></row><row><a>2</a></row></rows>")
     assert rows(read_xml_records(spark, str(tmp_path / "r.xml"), "row", "a int, b string")) == [(1, "x"), (2, None)]
+
+
+def both_ways(spark, base, actual):
+    frames = [spark.createDataFrame(side, "id long, xml string") for side in (base, actual)]
+    found = rows(compare_documents(*frames, "id", "xml"))
+    assert rows(tree_diff(*[shred_xml(f, "id", "xml") for f in frames])) == found
+    return found
+
+
+def test_documents_without_id_and_of_one_id_are_compared(spark):
+    docs = [(None, "<a>1</a>"), (None, "<b/>"), (1, "<r><x/></r>"), (1, "<r><x/></r>"), (1, "<r><y/></r>"), (2, "<a"), (None, None), (3, "<q/>")]
+    assert [d for d in both_ways(spark, docs, docs) if d[2] != "Parse error"] == []
+    assert both_ways(spark, [(None, "<a>1</a>")], [(None, "<a>2</a>")]) == [(None, "/a", "Text", "1", "2")]
+    # One of three copies has changed; equal copies pair first, so only that one is reported.
+    assert both_ways(spark, [(1, "<r>s</r>")] * 3, [(1, "<r>s</r>")] * 2 + [(1, "<r>t</r>")]) == [(1, "/r", "Text", "s", "t")]
+    assert both_ways(spark, [(1, "<r>s</r>")] * 3, [(1, "<r>t</r>")] * 2) == [(1, "", "Document", "present", None)] + [(1, "/r", "Text", "s", "t")] * 2
+    broken = both_ways(spark, [(2, "<a"), (2, "<a"), (2, "<a"), (4, "<b")], [(2, "<a"), (2, "<a"), (4, "<b/>")])
+    assert [(d[0], d[2]) for d in broken] == [(2, "Document"), (2, "Parse error"), (2, "Parse error"), (4, "Parse error")]
+
+
+def test_equal_subtrees_are_cut_off_before_nodes_are_joined(spark):
+    same = "".join(f"<n k='{i}'><m>{i}</m></n>" for i in range(500))
+    df = spark.createDataFrame([(1, f"<r>{same}<z><y>1</y></z></r>", f"<r>{same}<z><y>2</y></z></r>")], "k long, b string, a string")
+    assert unequal_nodes(df, ["k"], "b", "a").count() == 2 * 3
+    found = both_ways(spark, [(1, df.first()["b"])], [(1, df.first()["a"])])
+    assert found == [(1, "/r/z/y", "Text", "1", "2")]
+
+
+def test_only_broken_documents_come_back_from_the_check(spark):
+    docs = [(1, "<a/>"), (2, "<a>"), (3, None), (4, ""), (5, "<a>&nope;</a>"), (6, "<p:a/>"), (7, "<a>\u00e9</a>"), (8, "x")]
+    df = spark.createDataFrame(docs, "id long, xml string")
+    expected = {r["doc_id"]: r["error"] for r in malformed_documents(shred_xml(df, "id", "xml")).collect()}
+    assert {r["id"]: r["error"] for r in broken_documents(df, ["id"], "xml").collect()} == expected and set(expected) == {2, 3, 4, 5, 6, 8}
