@@ -24,7 +24,7 @@ _WHITE = r"[\s\x0b\x1c-\x1f\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2
 RUN = f"(?:{_WHITE}|^) (?:{_WHITE}|$)"
 CUT = re.compile(r"(?<=\S)(?= )")
 #: Pieces that a worker remembers; of more, those that were not met for longest go.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 #: Pieces encoded in one run.
 IN_RUN = 2000
 
@@ -163,6 +163,19 @@ class Encoder:
         return out, ends[begin]
 
 
+def gathered(batches, size: int):
+    """Record batches of about the given bytes, of smaller ones one behind the other; a larger one stays as it is."""
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.nbytes
+        if total >= size:
+            yield held[0] if len(held) == 1 else pa.concat_batches(held)
+            held, total = [], 0
+    if held:
+        yield held[0] if len(held) == 1 else pa.concat_batches(held)
+
+
 def byte_runs(texts: pa.Array, size: int):
     """(from, to) of runs of texts of about the given bytes together; a longer text stands alone."""
     length = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
