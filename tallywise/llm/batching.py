@@ -20,6 +20,21 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(SETTING, str(ROWS))
 
 
+def beside(run: Callable, column: str, keep: list[str], names: list[str]) -> Callable:
+    """A function for ``mapInArrow`` that puts what ``run`` makes of one column's values beside other columns.
+
+    ``run`` takes the values as a list and returns one list or array per name. The columns of ``keep`` are passed on as
+    they came, never as Python or pandas values, so integers of any size stay what they are beside a null.
+    """
+    def work(batches):
+        for batch in batches:
+            made = run(batch.column(column).to_pylist())
+            arrays = [x if isinstance(x, pa.Array) else pa.array(x) for x in made]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], *arrays], [*keep, *names])
+
+    return trimmed(work)
+
+
 def trimmed(run: Callable) -> Callable:
     """A function for ``mapInPandas`` that returns freed memory to the system when its task ends.
 

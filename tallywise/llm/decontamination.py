@@ -297,14 +297,15 @@ def _searched(queries: Queries, table: np.ndarray):
             texts, rows = pdf["text"].tolist(), []
             for lo, hi in words.batches(texts, words.BLOCK):
                 for doc, item_id, (share, answer, cosine, first, end) in of(texts[lo:hi]):
-                    rows.append((pdf["doc_id"].iat[lo + doc], item_id, cosine, share, answer, first, end))
+                    rows.append((pdf["doc_id"].iat[lo + doc], None if item_id is None else str(item_id), cosine, share, answer, first, end))
             out = pd.DataFrame(rows, columns=["doc_id", "item_id", "cosine", "lcs_share", "answer_share", "word_start", "word_end"])
-            out["doc_id"], out["item_id"] = out["doc_id"].astype("Int64"), out["item_id"].astype("Int64")
             yield out
 
     return run
 
 
+#: Ids travel as text: a null beside them makes pandas turn integers into floating-point numbers.
+_ROWS = "doc_id string, item_id string, cosine double, lcs_share double, answer_share double, word_start long, word_end long"
 FOUND = "doc_id long, item_id long, cosine double, lcs_share double, answer_share double, word_start long, word_end long"
 
 
@@ -317,7 +318,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block: int = 2000) -> Data
     """
     spark = docs.sparkSession
     small_batches(spark)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text")
     out, held, table = spark.createDataFrame([], FOUND), [], None
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id", "text").toLocalIterator()
     for row in chain(items, [None]):
@@ -328,5 +329,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block: int = 2000) -> Data
             queries = Queries(held, table, rarity)
             held = []
             if queries.items:
-                out = out.union(texts.mapInPandas(trimmed(_searched(queries, table)), FOUND))
+                found = texts.mapInPandas(trimmed(_searched(queries, table)), _ROWS)
+                out = out.union(found.withColumns({c: F.col(c).cast("long") for c in ("doc_id", "item_id")}))
     return out

@@ -61,10 +61,10 @@ def _first_pass(buckets: int, k: int):
                         salt = np.uint64(0x1234567 + i)
                         sums[i][full] = np.add.reduceat(words.mixed(values ^ salt), at[:-1][full])
                 docs = pd.DataFrame({
-                    "kind": "text", "chunk": chunk, "idx": np.arange(hi - lo), "doc_id": pdf["doc_id"].to_numpy()[lo:hi],
-                    "n": n, "cid": [sums[:, i].tobytes() for i in range(hi - lo)],
+                    "kind": "text", "chunk": chunk, "idx": np.arange(hi - lo), "doc_id": pdf["doc_id"].tolist()[lo:hi],
+                    "h": pdf["h"].to_numpy()[lo:hi], "n": n, "cid": [sums[:, i].tobytes() for i in range(hi - lo)],
                 })
-                docs["doc_id"] = docs["doc_id"].astype("Int64")
+                docs["h"] = docs["h"].astype("Int64")
                 dealt = (values >> np.uint64(61)) < FIRST_PARTS
                 tok, own = values[dealt], owner[dealt]
                 bucket = ((tok >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
@@ -90,7 +90,7 @@ def _first_pass(buckets: int, k: int):
 
 _FIRST = T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("chunk", T.LongType()), T.StructField("idx", T.LongType()),
-    T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cid", T.BinaryType()),
+    T.StructField("doc_id", T.StringType()), T.StructField("h", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cid", T.BinaryType()),
     T.StructField("bucket", T.IntegerType()), T.StructField("low", T.BinaryType()), T.StructField("own", T.BinaryType()),
 ])
 
@@ -213,28 +213,34 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     Needs the columns ``doc_id`` and ``text`` and looks at no others. A null or empty text, or one without words, has
     no n-gram and links with nothing; a text of fewer than k words has its whole sequence as one. Repeated rows each
-    get a row, and a null ``doc_id`` is in a component of its own class with ``component_id`` null if nothing else is.
+    get a row. Rows are decided by their text, so those without ``doc_id``, and those that share one, link like any other;
+    ``component_id`` is null only where no row of the component has an id.
     An empty table gives an empty frame. Runs jobs when called.
     """
     spark = docs.sparkSession
     small_batches(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # Ids travel as text: beside a null pandas would make them floating-point numbers.
+    texts = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
     first = stored(texts.mapInPandas(trimmed(_first_pass(buckets, k)), _FIRST), "ngrams")
     counts = first.where("kind = 'post'").select("bucket", "chunk", "low", "own").groupBy("bucket")
     counts = counts.applyInPandas(_single_in_bucket, "chunk long, counts binary")
     single = counts.groupBy("chunk").applyInPandas(_summed, "chunk long, idx long, single long")
-    rows = first.where("kind = 'text'").select("chunk", "idx", "doc_id", "n", "cid")
+    rows = first.where("kind = 'text'").select("chunk", "idx", F.col("doc_id").cast("long").alias("doc_id"), "h", "n", "cid")
     rows = rows.join(single, ["chunk", "idx"], "left").withColumn("single", F.coalesce("single", F.lit(0)))
     room = F.expr(f"n > 0 and single < n - ceil(n * {percent} / 100.0D) + 1")
-    rows = stored(rows.select("doc_id", "n", "cid", room.alias("open")), "ngram_rows")
+    rows = rows.select("doc_id", "h", "n", "cid", room.alias("open"), F.monotonically_increasing_id().alias("place"))
+    rows = stored(rows, "ngram_rows")
 
-    classes = rows.where("open").groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"))
+    # Classes are numbered in the order of their smallest id: the smallest class of a component holds its smallest id.
+    classes = rows.where("open").groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.min("place").alias("place"))
+    classes = classes.orderBy(F.col("first_id").asc_nulls_last(), "cid").withColumn("rid", F.monotonically_increasing_id())
     classes = stored(classes, "ngram_classes")
-    chosen = classes.select(F.col("first_id").alias("doc_id")).distinct()
-    sets = texts.join(chosen, "doc_id", "left_semi").mapInPandas(trimmed(_sets(k)), "cid binary, n long, grams array<long>, sizes array<int>")
-    sets = sets.join(classes.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
-    sets = stored(sets.select(F.monotonically_increasing_id().alias("rid"), "cid", "n", "grams", "sizes"), "ngram_sets")
+    chosen = stored(rows.join(classes.select("place"), "place").select("doc_id", "h"), "ngram_chosen")
+    again = texts.alias("t").join(chosen.alias("c"), F.expr("t.h = c.h and cast(t.doc_id as long) <=> c.doc_id"), "left_semi").select("text")
+    sets = again.mapInPandas(trimmed(_sets(k)), "cid binary, n long, grams array<long>, sizes array<int>")
+    sets = sets.join(classes.select("cid", "rid"), "cid").dropDuplicates(["cid"])
+    sets = stored(sets.select("rid", "n", "grams", "sizes"), "ngram_sets")
     fragments = stored(sets.select("rid", "n", "grams").mapInPandas(trimmed(_fragments), "rid long, n long, frag int, grams binary"), "ngram_fragments")
 
     grams = sets.select("rid", "n", F.explode("grams").alias("gram"))
@@ -253,10 +259,10 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         found = stored(linked(pairs, fragments, percent), "ngram_links")
         links = found if links is None else links.union(found)
         comp = components(links)
-    member = sets.select("rid", "cid").join(classes.select("cid", "first_id"), "cid")
-    member = member.join(comp.withColumnRenamed("id", "rid"), "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
-    smallest = member.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    of_class = stored(member.join(smallest, "comp").select("cid", "component_id", F.lit(True).alias("known")), "ngram_components")
+    name = classes.select(F.col("rid").alias("comp"), F.col("first_id").alias("component_id"))
+    moved = stored(comp.where("id <> comp").join(name, "comp").select(F.col("id").alias("rid"), "component_id"), "ngram_moved")
+    of_class = classes.join(moved, "rid", "left").select("cid", F.coalesce("component_id", "first_id").alias("component_id"), F.lit(True).alias("known"))
+    of_class = stored(of_class, "ngram_components")
     named = rows.where("open").join(of_class, "cid", "left")
     alone = rows.where("not open")
     return named.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")).union(

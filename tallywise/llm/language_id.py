@@ -6,12 +6,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywise.llm import byte_cnn
-from tallywise.llm.batching import small_batches, trimmed
+from tallywise.llm.batching import beside, small_batches, trimmed
 from tallywise.llm.samples import labelled, remainder
 
 #: Labelled texts per language from which windows are drawn, and windows of each: a bounded sample, whatever the corpus.
@@ -112,10 +113,9 @@ def identify_languages(docs: DataFrame, model: LanguageModel | None = None) -> D
     model = fit_languages(docs) if model is None else model
     kept = docs.drop("lang_pred", "score")
 
-    def run(frames):
-        for pdf in frames:
-            pdf["lang_pred"], pdf["score"] = predicted(model, pdf["text"].tolist())
-            yield pdf
+    def run(texts: list) -> list[pa.Array]:
+        found, score = predicted(model, texts)
+        return [pa.array(found, pa.string()), pa.array(score, pa.float64())]
 
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return kept.mapInPandas(trimmed(run), T.StructType([*kept.schema.fields, *added]))
+    return kept.mapInArrow(beside(run, "text", kept.columns, ["lang_pred", "score"]), T.StructType([*kept.schema.fields, *added]))

@@ -13,10 +13,11 @@ import math
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywise.llm.batching import small_batches, trimmed
+from tallywise.llm.batching import beside, small_batches, trimmed
 
 # What HTML says about its elements, and how pages name the parts that are no article.
 BLOCKS = frozenset(
@@ -215,10 +216,9 @@ def extract_main_text(pages: DataFrame, scores: dict[str, float] | None = None)
     small_batches(pages.sparkSession)
     scores = learned_scores(pages) if scores is None else scores
 
-    def run(frames):
-        for pdf in frames:
-            text = [main_text(page, scores) for page in pdf["html"]]
-            yield pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "text": text, "n_chars": [len(t) for t in text]})
+    def run(pages: list) -> list[pa.Array]:
+        text = [main_text(page, scores) for page in pages]
+        return [pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())]
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    return rows.mapInPandas(trimmed(run), "page_id long, url string, text string, n_chars long")
+    return rows.mapInArrow(beside(run, "html", ["page_id", "url"], ["text", "n_chars"]), "page_id long, url string, text string, n_chars long")

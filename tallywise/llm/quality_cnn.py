@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywise.llm import byte_cnn
-from tallywise.llm.batching import small_batches, trimmed
+from tallywise.llm.batching import beside, small_batches
 from tallywise.llm.language_id import drawn_windows, mean_log
 from tallywise.llm.samples import labelled, remainder
 from tallywise.session import stored
@@ -47,17 +48,14 @@ def score_quality(docs: DataFrame, net: byte_cnn.Network | None) -> DataFrame:
     small_batches(docs.sparkSession)
     kept = docs.drop("score", "predicted")
 
-    def run(frames):
-        for pdf in frames:
-            if net is None:
-                score = np.full(len(pdf), 0.5)
-            else:
-                log = mean_log(net, pdf["text"].tolist()).astype(np.float64).reshape(len(pdf), 2)
-                score = 1 / (1 + np.exp(log[:, 0] - log[:, 1]))
-            pdf["score"] = score
-            pdf["predicted"] = (score >= THRESHOLD).astype(np.int32)
-            yield pdf
+    def run(texts: list) -> list[pa.Array]:
+        if net is None:
+            score = np.full(len(texts), 0.5)
+        else:
+            log = mean_log(net, texts).astype(np.float64).reshape(len(texts), 2)
+            score = 1 / (1 + np.exp(log[:, 0] - log[:, 1]))
+        return [pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))]
 
     added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    return kept.mapInPandas(trimmed(run), T.StructType([*kept.schema.fields, *added]))
+    return kept.mapInArrow(beside(run, "text", kept.columns, ["score", "predicted"]), T.StructType([*kept.schema.fields, *added]))
 

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -209,9 +210,11 @@ def apply_rules(docs: DataFrame, field: Field | None) -> DataFrame:
     Without a field every line is content. Repeated rows each get a row; other columns are ignored; an empty table gives
     no rows.
     """
-    def run(frames):
-        for pdf in frames:
-            texts = pdf["text"].tolist()
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share", "labels"]
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
             for lo, hi in words.batches(texts):
                 counts, measures, chars, begin = measured(texts[lo:hi])
                 share, labels = [], []
@@ -224,10 +227,8 @@ def apply_rules(docs: DataFrame, field: Field | None) -> DataFrame:
                 failed = (counts["n_words"] < 20) | (100 * counts["n_repeat_words"] > 30 * counts["n_words"])
                 out = counts.assign(base_failed=failed, content_share=share, labels=labels)
                 out["kept"] = ~failed & (out["content_share"] >= CONTENT_SHARE)
-                out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy()[lo:hi])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out[["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share", "labels"]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *[pa.array(out[n].to_numpy()) for n in names[:-1]], pa.array(labels, pa.string())], ["doc_id", *names])
 
     small_batches(docs.sparkSession)
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double, labels string"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(trimmed(run), schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(trimmed(run), schema)

@@ -18,11 +18,13 @@ import re
 from bisect import bisect_left
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallywise.llm.batching import small_batches, trimmed
+from tallywise.functions.columns import quoted
+from tallywise.llm.batching import beside, small_batches
 
 # The three patterns and their least lengths.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -199,18 +201,14 @@ def _joined(spans) -> str:
     return ",".join(f"{kind}:{lo}:{hi}" for lo, hi, kind in spans)
 
 
-def _scan(frames):
-    for pdf in frames:
-        rows = []
-        for text in pdf["text"]:
-            spans = spans_of(text)
-            base = [s for s in spans if s[2] != "entropy"]
-            n = {kind: sum(s[2] == kind for s in base) for kind in KINDS}
-            rows.append((n["assign"], n["access"], n["hex"], hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(spans)))
-        out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans"])
-        out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy())
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        yield out
+def _scan(texts: list) -> list[pa.Array]:
+    rows = []
+    for text in texts:
+        spans = spans_of(text)
+        base = [s for s in spans if s[2] != "entropy"]
+        n = {kind: sum(s[2] == kind for s in base) for kind in KINDS}
+        rows.append((n["assign"], n["access"], n["hex"], hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(spans)))
+    return [pa.array([r[i] for r in rows], pa.int64() if i < 3 else pa.string()) for i in range(5)]
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
@@ -222,7 +220,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInPandas(trimmed(_scan), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    scan = beside(_scan, "text", ["doc_id"], ["n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+    return rows.mapInArrow(scan, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
 def redacted(text: str | None) -> str | None:
@@ -241,10 +240,8 @@ def redacted(text: str | None) -> str | None:
 
 def redact_secrets(docs: DataFrame, column: str = "text") -> DataFrame:
     """The rows with secrets replaced in ``column``; other columns stay, null stays null."""
-    def run(frames):
-        for pdf in frames:
-            pdf[column] = [redacted(t) for t in pdf[column]]
-            yield pdf
-
+    keep = [c for c in docs.columns if c != column]
+    run = beside(lambda texts: [pa.array([redacted(t) for t in texts], pa.string())], column, keep, [column])
     small_batches(docs.sparkSession)
-    return docs.mapInPandas(trimmed(run), docs.schema)
+    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField(column, T.StringType())])
+    return docs.mapInArrow(run, schema).select(*[F.col(quoted(c)) for c in docs.columns])

@@ -67,10 +67,10 @@ def _write(folder: str, file_bytes: int):
         for pdf in frames:
             for page_id, url, html, kind, refers_to in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["kind"], pdf["refers_to"]):
                 payload = (html or "").encode("utf-8", "surrogatepass")
-                page_id = None if pd.isna(page_id) else int(page_id)
+                page_id = int(page_id) if isinstance(page_id, str) else None
                 raw = record_bytes(
                     kind, page_id, url, payload if kind == "response" else None, len(payload), sha1_base32(payload),
-                    None if pd.isna(refers_to) else int(refers_to),
+                    int(refers_to) if isinstance(refers_to, str) else None,
                 )
                 if out is None:
                     path, size = files.fresh(folder, ".warc.gz"), 0
@@ -108,6 +108,7 @@ def write_warc(pages: DataFrame, file_bytes: int = 1 << 25) -> DataFrame:
         "page_id", "url", "html", F.when(again, "revisit").otherwise("response").alias("kind"),
         F.when(again, F.col("first")).alias("refers_to"),
     )
+    marked = marked.withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")})  # pandas keeps no integers beside a null
     return stored(marked.mapInPandas(trimmed(_write(folder, file_bytes)), "path string, bytes long"), "warc-index")
 
 
@@ -251,9 +252,8 @@ def _read(with_payload: bool):
 
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=NAMES)
-    for name in ("offset", "gap_bytes", "page_id", "refers_to", "payload_bytes"):
-        out[name] = out[name].astype("Int64")
+    numbers = ("offset", "gap_bytes", "page_id", "refers_to", "payload_bytes")
+    out = pd.DataFrame({n: pd.array([r.get(n) for r in rows], "Int64") if n in numbers else [r.get(n) for r in rows] for n in NAMES})
     return out.astype({n: object for n in ("kind", "reason", "record_type", "record_id", "target_uri", "payload_digest", "payload", "path")})
 
 
