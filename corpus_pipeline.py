@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywise.functions.columns import cols
 from tallywise.llm.decontamination import find_leaks
 from tallywise.llm.jaccard_join import jaccard_join
 from tallywise.llm.language_id import UNKNOWN, identify_languages
@@ -19,44 +20,46 @@ from tallywise.session import stored
 
 #: Texts whose language scores less are rejected, as are those without a letter.
 LEAST_SCORE = 0.5
-#: Column of the key by which a stage tells its rows apart.
-ROW = "_row"
 
 
 def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Texts in a language that the corpus labels; empty, null and letterless ones go."""
     found = identify_languages(docs)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*cols(docs.columns))
 
 
-def _keyed(docs: DataFrame, name: str) -> DataFrame:
-    """The rows with a key of their own, written once so that it stays the same: ``doc_id`` may be null or repeated."""
-    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), name)
+def _keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows with a key of their own, written once so that it stays the same (``doc_id`` may be null or repeated), and
+    its name, which no column of ``docs`` has."""
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    return stored(docs.withColumn(key, F.monotonically_increasing_id()), name), key
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One row of each group of texts linked by five-word shingles at 0.8: that of the smallest ``doc_id``, null last."""
-    keyed = _keyed(docs, "rows")
-    classes = jaccard_join(keyed.select(F.col(ROW).alias("doc_id"), "text"), k=5, percent=80)
-    classes = stored(classes.select(F.col("doc_id").alias(ROW), "component_id"), "classes")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
-    first = classes.join(keyed.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(F.min(order).alias("first"))
-    copies = stored(classes.select(ROW).join(first.select(f"first.{ROW}"), ROW, "left_anti"), "copies")
-    return keyed.join(copies, ROW, "left_anti").select(*docs.columns)
+    keyed, row = _keyed(docs, "rows")
+    classes = jaccard_join(keyed.select(F.col(row).alias("doc_id"), "text"), k=5, percent=80)
+    classes = stored(classes.select(F.col("doc_id").alias(row), "component_id"), "classes")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    first = classes.join(keyed.select(row, "doc_id"), row).groupBy("component_id").agg(F.min(order).alias("first"))
+    copies = stored(classes.select(row).join(first.select(f"first.{row}"), row, "left_anti"), "copies")
+    return keyed.join(copies, row, "left_anti").select(*cols(docs.columns))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Texts without a benchmark item."""
-    keyed = _keyed(docs, "rows")
-    leaks = find_leaks(keyed.select(F.col(ROW).alias("doc_id"), "text"), spark.read.parquet(f"{folder}/benchmark.parquet"))
-    leaks = stored(leaks.select(F.col("doc_id").alias(ROW)).distinct(), "leaks")
-    return keyed.join(leaks, ROW, "left_anti").select(*docs.columns)
+    keyed, row = _keyed(docs, "rows")
+    leaks = find_leaks(keyed.select(F.col(row).alias("doc_id"), "text"), spark.read.parquet(f"{folder}/benchmark.parquet"))
+    leaks = stored(leaks.select(F.col("doc_id").alias(row)).distinct(), "leaks")
+    return keyed.join(leaks, row, "left_anti").select(*cols(docs.columns))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All texts, with each secret replaced; ``n_chars`` is that of the new text."""
     clean = redact_secrets(docs)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*cols(docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
