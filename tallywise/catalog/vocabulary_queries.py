@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallywise.catalog.registry import query, table
-from tallywise.operators import control, learned, places, vocabulary
+from tallywise.operators import control, learned, places, standardise, vocabulary
 
 # -- the nearest name -----------------------------------------------------------
 
@@ -116,6 +116,27 @@ def parse_addresses(spark, folder):
     return places.parse_addresses(asked, "text", nations.where("kind = 'state'").union(towns)).drop("text")
 
 
+# -- products ------------------------------------------------------------------------
+
+@query("standardise_products", """
+SELECT s_suppkey, 'Maker' || s_nationkey AS brand, 'Line' || s_suppkey || ' ' || (s_suppkey % 30 + 1) || ' Pro' AS model,
+  CASE WHEN s_suppkey % 2 = 0 THEN '256GB' END AS storage,
+  concat_ws(' ', 'Maker' || s_nationkey, 'Line' || s_suppkey || ' ' || (s_suppkey % 30 + 1) || ' Pro',
+    CASE WHEN s_suppkey % 2 = 0 THEN '256GB' END) AS name
+FROM supplier
+UNION ALL SELECT -1 - s_suppkey, NULL, '7', NULL, '7' FROM supplier
+""")
+def standardise_products(spark, folder):
+    """One product family per supplier as the table, its words in either order; and products of no known family."""
+    suppliers = table(spark, folder, "supplier")
+    families = suppliers.selectExpr("concat('LINE', s_suppkey) AS word", "concat('Maker', s_nationkey) AS brand", "concat('Line', s_suppkey) AS family")
+    text = F.expr("""CASE WHEN s_suppkey % 2 = 0 THEN concat('line', s_suppkey, ' ', s_suppkey % 30 + 1, ' pro (256 gb)')
+      ELSE concat(s_suppkey % 30 + 1, ' PRO / line', s_suppkey) END""")
+    known = suppliers.select("s_suppkey", text.alias("text"))
+    other = suppliers.select((-1 - F.col("s_suppkey")).alias("s_suppkey"), F.lit("thing 7").alias("text"))
+    return standardise.standardise_products(known.union(other), "text", families).drop("text")
+
+
 # -- totals -------------------------------------------------------------------------
 
 @query("exact_totals", """

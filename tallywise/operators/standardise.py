@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallywise.functions.columns import col
 from tallywise.functions.dates import parse_date
+from tallywise.session import stored
 
 # Number words.
 UNIT_WORDS = [
@@ -184,23 +185,48 @@ PRODUCT_FAMILIES = {"iphone": ("Apple", "iPhone"), "galaxy": ("Samsung", "Galaxy
 MODEL_WORDS = ["Pro", "Plus", "Ultra", "Max", "Mini"]
 
 
-def standardise_product(text: Column) -> Column:
-    """Struct ``brand, model, storage, name`` of a product written in any order."""
-    lowered = F.lower(text)
-    size = F.regexp_extract(lowered, "([0-9]+) *(gb|tb)", 1)
-    unit = F.regexp_extract(lowered, "([0-9]+) *(gb|tb)", 2)
+def product_words(text: Column) -> Column:
+    """The words of a product's name in lower case, without its storage."""
+    bare = F.regexp_replace(F.lower(text), "[0-9]+ *(gb|tb)", " ")
+    return F.split(F.regexp_replace(bare, "[^\\p{L}\\p{M}\\p{N}]+", " "), " ")
+
+
+def product_struct(text: Column, words: Column, brand: Column, family: Column, model_words: Sequence[str]) -> Column:
+    """Struct ``brand, model, storage, name``: the model is the family, the first number and the model words in order."""
+    size, unit = (F.regexp_extract(F.lower(text), "([0-9]+) *(gb|tb)", i) for i in (1, 2))
     storage = F.when(size != "", F.concat(size, F.upper(unit)))
-    words = F.split(F.regexp_replace(F.regexp_replace(lowered, "[0-9]+ *(gb|tb)", " "), "[^a-z0-9]+", " "), " ")
+    number = F.try_element_at(F.filter(words, lambda w: w.rlike("^[0-9]+[a-z]?$")), F.lit(1))
+    extras = [F.when(F.array_contains(words, w.lower()), w) for w in model_words]
+    model = _nonempty(F.concat_ws(" ", family, number, *extras))
+    return F.struct(brand.alias("brand"), model.alias("model"), storage.alias("storage"),
+                    F.concat_ws(" ", brand, model, storage).alias("name"))
+
+
+def standardise_product(text: Column) -> Column:
+    """Struct ``brand, model, storage, name`` of a product written in any order; the families are the fixed ones."""
+    words = product_words(text)
     family = F.lit(None).cast("string")
     brand = F.lit(None).cast("string")
     for word, (maker, shown) in reversed(PRODUCT_FAMILIES.items()):
         family = F.when(F.array_contains(words, word), shown).otherwise(family)
         brand = F.when(F.array_contains(words, word), maker).otherwise(brand)
-    number = F.try_element_at(F.filter(words, lambda w: w.rlike("^[0-9]+[a-z]?$")), F.lit(1))
-    extras = [F.when(F.array_contains(words, w.lower()), w) for w in MODEL_WORDS]
-    model = _nonempty(F.concat_ws(" ", family, number, *extras))
-    return F.struct(brand.alias("brand"), model.alias("model"), storage.alias("storage"),
-                    F.concat_ws(" ", brand, model, storage).alias("name"))
+    return product_struct(text, words, brand, family, MODEL_WORDS)
+
+
+def standardise_products(df: DataFrame, column: str, families: DataFrame, model_words: Sequence[str] = MODEL_WORDS) -> DataFrame:
+    """Add ``brand, model, storage, name`` by a table ``word, brand, family`` of product families of any size.
+
+    The words of a name are joined with the table; of several families the one named first counts. A brand's own name in the text is
+    not needed. Names without a known family keep what is left. Runs jobs; the rows are written once, as they get a key.
+    """
+    keyed = stored(df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_words", product_words(col(column))), "products")
+    known = families.groupBy(F.lower("word").alias("_word")).agg(F.min(F.struct("brand", "family")).alias("_f"))
+    met = keyed.select("_row", F.posexplode("_words").alias("_at", "_word")).join(known, "_word")
+    found = stored(met.groupBy("_row").agg(F.min(F.struct("_at", "_f")).alias("_best")), "families")
+    best = F.col("_best._f")
+    both = keyed.join(found, "_row", "left")
+    product = product_struct(col(column), F.col("_words"), best.getField("brand"), best.getField("family"), model_words)
+    return both.select(*[col(c) for c in df.columns], product.alias("_product")).select(*[col(c) for c in df.columns], "_product.*")
 
 
 def classify_text(text: Column, rules: Mapping[str, Sequence[str]], default: str = "Other") -> Column:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallywise.operators import control, enrich, learned, places, vocabulary
+from tallywise.operators import control, enrich, learned, places, standardise, vocabulary
 from tests.conftest import rows
 
 BIG = 2**53 + 1
@@ -179,6 +179,17 @@ def test_addresses(spark, gazetteer):
         assert [found[i][c] for c in ("street", "city", "state", "zip")] == expected, text
 
 
+def test_product_families_of_a_table(spark):
+    families = spark.createDataFrame([("macbook", "Apple", "MacBook"), ("Galaxy", "Samsung", "Galaxy"), ("galaxy", "Other", "Galaxy")], "word string, brand string, family string")
+    names = [("MacBook Air 13 256GB",), ("256 gb galaxy s24 ultra",), ("galaxy macbook",), ("unknown 5",), (None,), ("",)]
+    found = standardise.standardise_products(spark.createDataFrame(names, "n string"), "n", families, ["Air", "Ultra"]).collect()
+    assert {tuple(r) for r in found} == {
+        ("MacBook Air 13 256GB", "Apple", "MacBook 13 Air", "256GB", "Apple MacBook 13 Air 256GB"),
+        ("256 gb galaxy s24 ultra", "Other", "Galaxy Ultra", "256GB", "Other Galaxy Ultra 256GB"), ("galaxy macbook", "Other", "Galaxy", None, "Other Galaxy"),
+        ("unknown 5", None, "5", None, "5"), (None, None, None, None, ""), ("", None, None, None, ""),
+    }
+
+
 # -- totals -----------------------------------------------------------------------
 
 def totals(spark, base, actual, kind="double", order=1):
