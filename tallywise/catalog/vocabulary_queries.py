@@ -81,12 +81,16 @@ asked AS (
 WITH {_GAZETTEER}, {_TYPED_PLACE},
 best AS (SELECT city, state, country FROM cities
   QUALIFY row_number() OVER (PARTITION BY city ORDER BY weight DESC, state DESC, country DESC) = 1)
-SELECT c_custkey, CASE way WHEN 2 THEN NULL ELSE town END AS city, CASE way WHEN 0 THEN best.state ELSE nation END AS state,
-  CASE way WHEN 0 THEN best.country ELSE region END AS country
-FROM asked LEFT JOIN best ON best.city = town
+SELECT c_custkey, CASE way WHEN 2 THEN NULL ELSE coalesce(b.city, c.city) END AS city,
+  CASE way WHEN 0 THEN CASE WHEN b.city IS NOT NULL THEN b.state ELSE c.state END ELSE nation END AS state,
+  CASE way WHEN 0 THEN CASE WHEN b.city IS NOT NULL THEN b.country ELSE c.country END ELSE region END AS country
+FROM asked LEFT JOIN best b ON b.city = town LEFT JOIN best c ON c.city = replace(town, 'New ', '')
 """)
 def resolve_places(spark, folder):
-    """A town alone (its heaviest namesake), a town with its nation in other case, a nation alone."""
+    """A town alone (its heaviest namesake), a town with its nation in other case, a nation alone.
+
+    Where only ``Port Town1`` is known, it is what ``New Port Town1`` names.
+    """
     asked = table(spark, folder, "customer").join(table(spark, folder, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
     town = F.expr(_TOWN.replace("s_suppkey", "(c_custkey div 3)"))
     text = F.expr("CASE c_custkey % 3 WHEN 0 THEN town WHEN 1 THEN lower(n_name) || ' - ' || upper(town) ELSE '(' || n_name || ')' END")
