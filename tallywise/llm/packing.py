@@ -95,8 +95,8 @@ def _pieces(vocabulary: str, end_id: int, capacity: int, grain: int, keep_ids: b
     def run(batches):
         encoder = Encoder(vocabulary)
         part, numbered = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in gathered(batches, 8 * words.BLOCK):
-            for lo, hi in byte_runs(batch.column(1), 16 * words.BLOCK):
+        for batch in gathered(batches, 2 * words.BLOCK):
+            for lo, hi in byte_runs(batch.column(1), 8 * words.BLOCK):
                 ids, at = encoder.encode(batch.column(1).slice(lo, hi - lo))
                 rows, held = [], []
                 for i in range(hi - lo):

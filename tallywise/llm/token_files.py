@@ -97,9 +97,9 @@ def _write(folder: str, vocabulary: str, end_id: int, file_tokens: int):
             open_file.write(path, width)
             return pa.RecordBatch.from_pydict({"part": [task], "seq": [seq], "path": [path], "n_texts": [len(open_file.sizes)], "n_tokens": [open_file.tokens]})
 
-        for batch in gathered(batches, 8 * words.BLOCK):
+        for batch in gathered(batches, 2 * words.BLOCK):
             doc_ids = batch.column(0).to_pylist()
-            for lo, hi in byte_runs(batch.column(1), 16 * words.BLOCK):
+            for lo, hi in byte_runs(batch.column(1), 8 * words.BLOCK):
                 ids, at = encoder.encode(batch.column(1).slice(lo, hi - lo))
                 for i in range(hi - lo):
                     open_file.add(doc_ids[lo + i], np.append(ids[at[i] : at[i + 1]], np.uint32(end_id)))
