@@ -37,8 +37,10 @@ def default_gazetteer(spark: SparkSession) -> DataFrame:
 def _normal(text: Column) -> Column:
     """Lower case but for the shortest words, white space as single blanks."""
     words, gaps = words_of(text), between_words(F.regexp_replace(text, "\\s+", " "))
+
     def plain(w: Column) -> Column:
         return F.when(F.length(w) > AS_WRITTEN, F.lower(w)).otherwise(w)
+
     parts = F.zip_with(F.transform(words, plain), F.slice(gaps, 2, F.size(words)), lambda w, g: F.concat(w, g))
     return F.when(F.size(words) > 0, F.concat(F.element_at(gaps, 1), F.array_join(parts, ""))).otherwise(text)
 
@@ -162,7 +164,10 @@ def parse_addresses(df: DataFrame, column: str, places: DataFrame) -> DataFrame:
     place, words = F.col("_place"), F.col("_words")
     n = F.size(words)
     spans = F.coalesce(place["spans"], F.array().cast("array<struct<at:int,n:int>>"))
-    in_place = lambda i: F.exists(spans, lambda s: (s["at"] <= i) & (i < s["at"] + s["n"]))
+
+    def in_place(i: Column) -> Column:
+        return F.exists(spans, lambda s: (s["at"] <= i) & (i < s["at"] + s["n"]))
+
     house = F.array_min(F.filter(F.transform(words, lambda w, i: F.when(w.rlike("^[0-9]") & ~in_place(i), i)), lambda i: i.isNotNull()))
     stop = F.coalesce(F.array_min(F.transform(F.filter(spans, lambda s: s["at"] > house), lambda s: s["at"])), n)
     # Without a known place behind it, a street ends at the last comma.
