@@ -236,8 +236,12 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     classes = rows.where("open").groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.min("place").alias("place"))
     classes = classes.orderBy(F.col("first_id").asc_nulls_last(), "cid").withColumn("rid", F.monotonically_increasing_id())
     classes = stored(classes, "ngram_classes")
-    chosen = stored(rows.join(classes.select("place"), "place").select("doc_id", "h"), "ngram_chosen")
-    again = texts.alias("t").join(chosen.alias("c"), F.expr("t.h = c.h and cast(t.doc_id as long) <=> c.doc_id"), "left_semi").select("text")
+    # Texts are read again by id; only classes none of whose rows has one go by a hash of the text.
+    named = classes.where("first_id is not null").select(F.col("first_id").cast("string").alias("doc_id")).distinct()
+    hashes = stored(rows.join(classes.where("first_id is null").select("place"), "place").select("h"), "ngram_hashes")
+    again = texts.join(named, "doc_id", "left_semi").select("text").union(
+        texts.where("doc_id is null").join(hashes, "h", "left_semi").select("text")
+    )
     sets = again.mapInPandas(trimmed(_sets(k)), "cid binary, n long, grams array<long>, sizes array<int>")
     sets = sets.join(classes.select("cid", "rid"), "cid").dropDuplicates(["cid"])
     sets = stored(sets.select("rid", "n", "grams", "sizes"), "ngram_sets")
