@@ -9,7 +9,7 @@ from tallywise.catalog.registry import query, table
 from tallywise.functions.labels import cell_name, column_letters
 from tallywise.operators import grid
 from tallywise.operators.frames import cast_all_string
-from tallywise.operators.tree import compare_documents, tree_diff
+from tallywise.operators.tree import compare_documents
 from tallywise.plans.reports import any_difference
 from tallywise.sources.cells import to_cells
 from tallywise.sources.xmldocs import malformed_documents, shred_xml
@@ -138,10 +138,6 @@ def _order_documents(spark, folder):
     return [side.select(F.col("o_orderkey").alias("doc_id"), F.to_xml(F.struct(*_FIELDS)).alias("xml")) for side in sides]
 
 
-def _order_nodes(spark, folder):
-    return [shred_xml(docs, "doc_id", "xml") for docs in _order_documents(spark, folder)]
-
-
 # A null field is left out of the document: the price then stands where the
 # status was, and the parent has one child less.
 _TREE = f"""
@@ -163,7 +159,7 @@ UNION ALL SELECT coalesce(b.o_orderkey, a.o_orderkey), '', 'Document', CASE WHEN
 
 @query("tree_diff", _TREE)
 def tree_differences(spark, folder):
-    return tree_diff(*_order_nodes(spark, folder), ignore_whitespace=True)
+    return compare_documents(*_order_documents(spark, folder), "doc_id", "xml", ignore_whitespace=True)
 
 
 @query("tree_diff_strict", f"""
@@ -171,12 +167,12 @@ def tree_differences(spark, folder):
 SELECT doc_id, '/ROW/o_orderstatus', 'Tail', chr(10) || '    ', chr(10) FROM j WHERE s IS NULL
 """)
 def tree_differences_strict(spark, folder):
-    return tree_diff(*_order_nodes(spark, folder))
+    return compare_documents(*_order_documents(spark, folder), "doc_id", "xml")
 
 
 @query("compare_documents", _TREE)
 def compared_documents(spark, folder):
-    """The same differences, parsing only the documents whose text differs."""
+    """The differences of ``tree_diff``; documents whose texts are equal are only checked for parse errors."""
     return compare_documents(*_order_documents(spark, folder), "doc_id", "xml", ignore_whitespace=True)
 
 
@@ -213,7 +209,7 @@ def tree_attribute_diff(spark, folder):
     flag = F.when(F.col("l_orderkey") % 10 == 3, "Z").otherwise(F.col("l_returnflag"))
     base = lines.select("doc_id", _attribute_doc(["no", "flag"], F.col("l_returnflag")).alias("xml"))
     actual = lines.select("doc_id", _attribute_doc(["flag", "no"], flag).alias("xml"))
-    return tree_diff(shred_xml(base, "doc_id", "xml"), shred_xml(actual, "doc_id", "xml"))
+    return compare_documents(base, actual, "doc_id", "xml")
 
 
 @query("malformed_xml", "SELECT page_id AS doc_id FROM pages")
@@ -234,6 +230,6 @@ FROM (SELECT o_orderkey, unnest([
     {{'tag': 'o_totalprice', 'text': o_totalprice, 'place': '5'}}]) AS f FROM base)
 """)
 def xml_nodes(spark, folder):
-    base, _ = _order_nodes(spark, folder)
-    leaves = base.where(F.size("ord_path") == 1)
+    base, _ = _order_documents(spark, folder)
+    leaves = shred_xml(base, "doc_id", "xml").where(F.size("ord_path") == 1)
     return leaves.select("doc_id", "parent_path", "tag", "text", F.array_join("ord_path", "/").alias("place"))

@@ -16,7 +16,7 @@ from tallywise.functions.columns import col
 from tallywise.functions.compare import differs, same_map
 from tallywise.operators.numbering import repeat_rows, start_in_order
 from tallywise.session import stored
-from tallywise.sources.xmldocs import broken_documents, text_digest, unequal_nodes
+from tallywise.sources.xmldocs import broken_documents, met_nodes, text_digest, unequal_nodes
 
 
 def _blank_as_null(column: Column, ignore_whitespace: bool) -> Column:
@@ -118,7 +118,8 @@ def tree_diff(base: DataFrame, actual: DataFrame, ignore_whitespace: bool = Fals
 
     Both frames come from ``shred_xml``. Surplus children show only in the count
     of their parent, a document of one side only as one row of kind ``Document``. Documents with equal text are not
-    joined. The join key holds the place in the document, so one large document spreads over many tasks. Runs jobs.
+    joined. The join key holds the place in the document, so one large document spreads over many tasks. Both frames are
+    read twice; of texts that are not shredded yet, ``compare_documents`` says the same in one pass. Runs jobs.
     """
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumn("_id", F.struct(F.col("doc_id").alias("id"))).withColumnRenamed("doc_digest", "_digest")
@@ -139,14 +140,8 @@ def tree_diff(base: DataFrame, actual: DataFrame, ignore_whitespace: bool = Fals
     return found.unionByName(_reported(pairs, roots[0].where("error is not null"), uneven))
 
 
-def compare_documents(base: DataFrame, actual: DataFrame, doc_id: str, xml: str,
-                      ignore_whitespace: bool = False) -> DataFrame:
-    """``tree_diff`` of two corpora, comparing only documents whose text differs or that one side lacks.
-
-    Equal text cannot hold a difference unless it does not parse, so equal texts are only checked for that. The texts
-    of a pair meet in one row; there a digest of every subtree, made from the leaves up, cuts off what is equal, and
-    only the nodes above a difference become rows and are joined. Runs jobs when called.
-    """
+def _compare_copies(base: DataFrame, actual: DataFrame, doc_id: str, xml: str, ignore_whitespace: bool) -> DataFrame:
+    """``compare_documents`` of ids with several documents on a side, which pair by digests."""
     def texts(df: DataFrame) -> DataFrame:
         return df.select(F.struct(col(doc_id).alias("id")).alias("_id"), text_digest(col(xml)).alias("_digest"), col(xml).alias("_xml"))
 
@@ -165,3 +160,33 @@ def compare_documents(base: DataFrame, actual: DataFrame, doc_id: str, xml: str,
     found = _node_differences(nodes.where("is_base"), nodes.where("not is_base"), ignore_whitespace)
     broken = stored(broken_documents(base, ["_id", "_digest"], "_xml"), "broken-documents")
     return found.unionByName(_reported(pairs, broken, uneven))
+
+
+def compare_documents(base: DataFrame, actual: DataFrame, doc_id: str, xml: str,
+                      ignore_whitespace: bool = False) -> DataFrame:
+    """``tree_diff`` of two corpora in one pass over their texts.
+
+    The texts of an id meet in one row by one shuffle. Equal ones are only checked for parse errors. Of unequal ones
+    that differ as trees, a digest of every subtree, made from the leaves up, cuts off what is equal, and only the nodes
+    above a difference become rows and are joined. Ids with several documents on a side are counted there, and read
+    again to be paired by digests. Runs jobs when called.
+    """
+    ident = F.struct(col(doc_id).alias("id")).alias("_id")
+    both = base.select(ident, col(xml).alias("_xml"), F.lit(1).alias("_s")).unionAll(actual.select(ident, col(xml).alias("_xml"), F.lit(0).alias("_s")))
+    of_id = both.groupBy("_id").agg(
+        F.sum("_s").alias("_nb"), F.sum(1 - F.col("_s")).alias("_na"),
+        F.any_value(F.when(F.col("_s") == 1, F.col("_xml")), F.lit(True)).alias("_b"),
+        F.any_value(F.when(F.col("_s") == 0, F.col("_xml")), F.lit(True)).alias("_a"),
+    )
+    met = stored(met_nodes(of_id, ["_id", "_nb", "_na"], "_b", "_a"), "unequal-nodes")
+    nodes = met.where("is_base is not null").withColumn("_no", F.lit(0))
+    found = _node_differences(nodes.where("is_base"), nodes.where("not is_base"), ignore_whitespace)
+    found = found.unionByName(met.where("_nb + _na = 1").select(
+        F.col("_id.id").alias("doc_id"), F.lit("").alias("path"), F.lit("Document").alias("kind"),
+        F.when(F.col("_nb") > 0, "present").alias("base_value"), F.when(F.col("_na") > 0, "present").alias("actual_value"),
+    ))
+    several = met.where("_nb > 1 or _na > 1").select("_id")
+    if several.isEmpty():
+        return found
+    copies = [df.withColumn("_id", ident).join(several, "_id", "left_semi").drop("_id") for df in (base, actual)]
+    return found.unionByName(_compare_copies(*copies, doc_id, xml, ignore_whitespace))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from xml.parsers import expat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -114,6 +115,12 @@ class _Checked:
 
 def _problem(text: str | None) -> str | None:
     """Why a text is no XML document; None if it is one."""
+    if text is not None and "<!DOCTYPE" not in text:  # without one, ElementTree accepts what the bare parser does
+        try:
+            expat.ParserCreate(namespace_separator="}").Parse(text, True)
+            return None
+        except (expat.ExpatError, ValueError):
+            pass
     try:
         parser = ET.XMLParser(target=_Checked())
         parser.feed(text)
@@ -148,6 +155,20 @@ def _sorted_with_digests(root: ET.Element) -> dict[ET.Element, tuple[list[ET.Ele
     return out
 
 
+def _same(base: ET.Element, actual: ET.Element) -> bool:
+    """Whether two trees are equal once siblings are sorted; attributes have no order."""
+    waiting = [(base, actual)]
+    while waiting:
+        b, a = waiting.pop()
+        if b.tag != a.tag or b.attrib != a.attrib or b.text != a.text or b.tail != a.tail or len(b) != len(a):
+            return False
+        if len(b) == 1:
+            waiting.append((b[0], a[0]))
+        elif len(b):
+            waiting.extend(zip(sorted(b, key=_sibling_order), sorted(a, key=_sibling_order)))
+    return True
+
+
 def _unequal_nodes(base: str | None, actual: str | None) -> Iterator[tuple]:
     """Nodes of two documents, each with its side (True for base), but for subtrees that are equal."""
     roots = []
@@ -160,6 +181,8 @@ def _unequal_nodes(base: str | None, actual: str | None) -> Iterator[tuple]:
         yield True, *next(_node_rows(base))
         yield False, *next(_node_rows(actual))
         return
+    if _same(*roots):
+        return
     known = [_sorted_with_digests(root) for root in roots]
     waiting = [(roots[0], roots[1], [], "")]
     while waiting:
@@ -173,8 +196,12 @@ def _unequal_nodes(base: str | None, actual: str | None) -> Iterator[tuple]:
             waiting.append((x, y, [*place, i], f"{above}/{b.tag}"))
 
 
-def unequal_nodes(pairs: DataFrame, keys: list[str], base_xml: str, actual_xml: str) -> DataFrame:
-    """Node rows of both sides of paired documents (``is_base``), without the subtrees in which a pair is equal."""
+#: Documents whose texts are taken out of a batch at a time.
+_DOCS_AT_ONCE = 500
+
+
+def _pair_nodes(df: DataFrame, keys: list[str], texts: list[str], rows_of: Callable[..., Iterator[tuple]]) -> DataFrame:
+    """``keys`` with the rows (``is_base`` and a node) that ``rows_of`` makes of the columns ``texts`` of a row."""
     kinds = {"is_base": pa.bool_(), **_NODE_TYPES}
 
     def shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,22 +214,64 @@ def unequal_nodes(pairs: DataFrame, keys: list[str], base_xml: str, actual_xml:
                 arrays = [pa.array(list(values), kind) for values, kind in zip(zip(*rows), kinds.values())]
                 return pa.record_batch([*[batch.column(k).take(owner) for k in range(len(keys))], *arrays], [*keys, *kinds])
 
-            for i in range(batch.num_rows):
-                for row in _unequal_nodes(batch.column(len(keys))[i].as_py(), batch.column(len(keys) + 1)[i].as_py()):
-                    owners.append(i)
-                    rows.append(row)
-                    if len(rows) >= _NODES_PER_BATCH:
-                        yield node_batch()
-                        owners, rows = [], []
+            for begin in range(0, batch.num_rows, _DOCS_AT_ONCE):
+                some = batch.slice(begin, _DOCS_AT_ONCE)
+                for i, given in enumerate(zip(*[some.column(len(keys) + t).to_pylist() for t in range(len(texts))]), begin):
+                    for row in rows_of(*given):
+                        owners.append(i)
+                        rows.append(row)
+                        if len(rows) >= _NODES_PER_BATCH:
+                            yield node_batch()
+                            owners, rows = [], []
             if rows:
                 yield node_batch()
 
     schema = T.StructType([
-        *[pairs.schema[k] for k in keys], T.StructField("is_base", T.BooleanType()), T.StructField("ord_path", T.ArrayType(T.IntegerType())),
+        *[df.schema[k] for k in keys], T.StructField("is_base", T.BooleanType()), T.StructField("ord_path", T.ArrayType(T.IntegerType())),
         *[T.StructField(c, T.StringType()) for c in ("parent_path", "tag", "text", "tail")],
         T.StructField("attrs", T.MapType(T.StringType(), T.StringType())), T.StructField("n_children", T.IntegerType()), T.StructField("error", T.StringType()),
     ])
-    return pairs.select(*[col(k) for k in keys], col(base_xml), col(actual_xml)).mapInArrow(shred, schema)
+    return df.select(*[col(k) for k in keys], *[col(t) for t in texts]).mapInArrow(shred, schema)
+
+
+def unequal_nodes(pairs: DataFrame, keys: list[str], base_xml: str, actual_xml: str) -> DataFrame:
+    """Node rows of both sides of paired documents (``is_base``), without the subtrees in which a pair is equal."""
+    return _pair_nodes(pairs, keys, [base_xml, actual_xml], _unequal_nodes)
+
+
+def _events(text: str | None) -> list | None:
+    """Tags, attributes and texts of a document in turn; None if it does not parse or declares a type."""
+    if text is None or "<!DOCTYPE" in text:
+        return None
+    out: list = []
+    parser = expat.ParserCreate(namespace_separator="}")
+    parser.buffer_text = True
+    parser.StartElementHandler = lambda *start: out.append(start)
+    parser.EndElementHandler = parser.CharacterDataHandler = out.append
+    try:
+        parser.Parse(text, True)
+    except (expat.ExpatError, ValueError):
+        return None
+    return out
+
+
+def _met_nodes(n_base: int, n_actual: int, base: str | None, actual: str | None) -> Iterator[tuple]:
+    if n_base != 1 or n_actual != 1:
+        yield None, *[None] * len(_NODE_TYPES)
+    elif base == actual:
+        if _problem(base) is not None:
+            yield from _unequal_nodes(base, actual)
+    elif (events := _events(base)) is None or events != _events(actual):  # documents of equal events are equal trees
+        yield from _unequal_nodes(base, actual)
+
+
+def met_nodes(ids: DataFrame, keys: list[str], base_xml: str, actual_xml: str) -> DataFrame:
+    """``unequal_nodes`` of ids, with the rows of equal documents that do not parse.
+
+    The last two of ``keys`` count an id's documents on each side. One that has not one on each gives one row without a
+    node (``is_base`` null).
+    """
+    return _pair_nodes(ids, keys, [*keys[-2:], base_xml, actual_xml], _met_nodes)
 
 
 def malformed_documents(nodes: DataFrame) -> DataFrame:

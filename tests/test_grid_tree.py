@@ -153,3 +153,32 @@ def test_only_broken_documents_come_back_from_the_check(spark):
     df = spark.createDataFrame(docs, "id long, xml string")
     expected = {r["doc_id"]: r["error"] for r in malformed_documents(shred_xml(df, "id", "xml")).collect()}
     assert {r["id"]: r["error"] for r in broken_documents(df, ["id"], "xml").collect()} == expected and set(expected) == {2, 3, 4, 5, 6, 8}
+
+
+def test_documents_are_compared_in_one_pass_over_texts_of_other_attribute_order(spark, monkeypatch):
+    from tallywise.operators import tree
+    from tallywise.sources import xmldocs
+
+    def side(*docs):
+        return spark.createDataFrame([(i, d) for i, d in docs], "id int, xml string")
+
+    monkeypatch.setattr(tree, "text_digest", None)  # only ids with several documents need digests
+    base = side((1, '<r><l a="1" b="2"/>t</r>'), (2, '<r><l a="1" b="2"/></r>'), (3, "<r>"), (4, "<r/>"), (6, "<r x='&e;'/>"), (7, "<r>a<!-- c -->b</r>"), (None, "<r/>"))
+    actual = side((1, '<r><l b="2" a="1"/>t</r>'), (2, '<r><l b="3" a="1"/></r>'), (3, "<r>"), (5, "<r/>"), (6, "<r x='&e;'/>"), (7, "<r>ab</r>"), (None, "<r> </r>"))
+    found = tree.compare_documents(base, actual, "id", "xml")
+    assert rows(found.select("doc_id", "path", "kind")) == sorted([
+        (2, "/r/l", "Attributes"), (3, "", "Parse error"), (4, "", "Document"), (5, "", "Document"), (6, "", "Parse error"), (None, "/r", "Text"),
+    ], key=repr)
+    monkeypatch.undo()
+    both = [shred_xml(df, "id", "xml") for df in (base, actual)]
+    assert rows(found) == rows(tree.tree_diff(*both))
+    unparsed = [0]
+    monkeypatch.setattr(xmldocs, "_unequal_nodes", lambda *texts: unparsed.append(1) or iter(()))
+    assert list(xmldocs._met_nodes(1, 1, '<r><l a="1" b="2"/></r>', '<r><l b="2" a="1"/></r>')) == [] and unparsed == [0]
+    for text in ("<r><p:a/></r>", '<r xmlns="u"><a b="1"/></r>', "<r a='1' a='2'/>", "<!DOCTYPE r [<!ENTITY e 'x'>]><r>&e;</r>", "<!DOCTYPE r SYSTEM 'u'><r>&e;</r>", "a", ""):
+        try:
+            ET.fromstring(text)
+            problem = None
+        except ET.ParseError as error:
+            problem = str(error)
+        assert xmldocs._problem(text) == problem
