@@ -6,6 +6,11 @@ tried on a row that shares no key with it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import combinations
+from math import comb
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,62 +24,105 @@ from tallywise.session import stored
 SHORT = 24
 
 
-def _without_one(texts: Column) -> Column:
-    """All spellings with one letter less."""
-    one_less = F.transform(texts, lambda t: F.transform(
-        F.filter(F.sequence(F.lit(0), F.length(t)), lambda i: i > 0),
-        lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))),
-    ))
-    return F.array_distinct(F.flatten(one_less))
+_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.array([pow(base, i, 1 << 64) for i in range(n + 1)], np.uint64)
 
 
-def deletions(text: Column, edits: int) -> Column:
-    """The spellings that removing up to ``edits`` letters leaves."""
-    level = F.array(text)
-    out = level
-    for _ in range(edits):
-        level = _without_one(level)
-        out = F.array_union(out, level)
+def _prefixes(texts: list[str], size: int) -> np.ndarray:
+    """Of texts of ``size`` letters a matrix of hash sums up to each letter."""
+    letters = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(texts), size).astype(np.uint64)
+    out = np.zeros((len(texts), size + 1), np.uint64)
+    np.cumsum((letters + np.uint64(1)) * _powers(_BASE, size)[:size][::-1], axis=1, out=out[:, 1:])
     return out
 
 
-def _cut(length: Column, pieces: int, i: int) -> Column:
+def _key(sums: np.ndarray, *parts: int) -> np.ndarray:
+    """Hash sums with numbers mixed in, as keys whose bits are all alike."""
+    for part in parts:
+        sums = (sums ^ np.uint64(part + 1)) * np.uint64(0xBF58476D1CE4E5B9)
+        sums = sums ^ (sums >> np.uint64(29))
+    sums = sums * np.uint64(0x94D049BB133111EB)
+    return (sums ^ (sums >> np.uint64(32))).view(np.int64)
+
+
+def _deletions(sums: np.ndarray, edits: int) -> list[np.ndarray]:
+    """Keys of the spellings that removing up to ``edits`` letters leaves."""
+    size, out = sums.shape[1] - 1, []
+    powers = _powers(_INVERSE, edits)
+    for gone in range(min(edits, size) + 1):
+        places = np.array(list(combinations(range(size), gone)), np.int64).reshape(comb(size, gone), gone)
+        total = np.zeros((len(sums), len(places)), np.uint64)
+        for i in range(gone + 1):  # what stands between two removed letters moves by those behind it
+            begin = places[:, i - 1] + 1 if i else np.zeros(len(places), np.int64)
+            end = places[:, i] if i < gone else np.full(len(places), size)
+            total += (sums[:, end] - sums[:, begin]) * powers[gone - i]
+        out.append(_key(total, 0, size - gone))
+    return out
+
+
+def _cut(size: int, pieces: int, i: int) -> int:
     """Where piece i of a name begins when it is cut into pieces that differ by one letter at most; from 0."""
-    return F.floor(length * i / pieces).cast("int")
+    return size * i // pieces
 
 
-def _keyed(kind: str, *parts: Column) -> Column:
-    return F.xxhash64(F.lit(kind), *parts)
+def _piece(sums: np.ndarray, begin: int, end: int, size: int, i: int) -> np.ndarray:
+    """Keys of the letters from ``begin`` to ``end`` as piece i of a name of ``size`` letters."""
+    power = np.uint64(pow(_INVERSE, sums.shape[1] - 1 - end, 1 << 64))
+    return _key((sums[:, [end]] - sums[:, [begin]]) * power, 1, size, i)
 
 
-def _name_keys(name: Column, edits: int) -> Column:
+def _name_keys(sums: np.ndarray, edits: int) -> list[np.ndarray]:
     """Of a short name its deletions, of a long one its ``edits + 1`` pieces: one of them is left by any ``edits`` edits."""
-    size = F.length(name)
-    short = F.transform(deletions(name, edits), lambda t: _keyed("short", t))
-    pieces = F.array(*[
-        _keyed("long", size, F.lit(i), F.substring(name, _cut(size, edits + 1, i) + 1, _cut(size, edits + 1, i + 1) - _cut(size, edits + 1, i)))
-        for i in range(edits + 1)
-    ])
-    return F.when(size <= SHORT, short).otherwise(pieces)
+    size = sums.shape[1] - 1
+    if size <= SHORT:
+        return _deletions(sums, edits)
+    return [_piece(sums, _cut(size, edits + 1, i), _cut(size, edits + 1, i + 1), size, i) for i in range(edits + 1)]
 
 
-def _value_keys(value: Column, edits: int) -> Column:
+def _value_keys(sums: np.ndarray, edits: int) -> list[np.ndarray]:
     """The keys under which a name within ``edits`` edits of a value lies, whatever the name's length."""
-    size = F.length(value)
-    short = F.when(size <= SHORT + edits, F.transform(deletions(value, edits), lambda t: _keyed("short", t))).otherwise(
-        F.array().cast("array<bigint>")
-    )
-    probes = []
-    for more in range(-edits, edits + 1):
-        of_name = size + more  # a length the name may have
+    size = sums.shape[1] - 1
+    out = _deletions(sums, edits) if size <= SHORT + edits else []
+    for of_name in range(max(size - edits, SHORT + 1), size + edits + 1):  # a length the name may have
         for i in range(edits + 1):
             begin, end = _cut(of_name, edits + 1, i), _cut(of_name, edits + 1, i + 1)
-            for shift in range(-edits, edits + 1):
-                at = begin + shift
-                inside = (of_name > SHORT) & (at >= 0) & (at + end - begin <= size)
-                probes.append(F.when(inside, _keyed("long", of_name, F.lit(i), F.substring(value, at + 1, end - begin))))
-    long_ = F.when(size + edits > SHORT, F.array_compact(F.array(*probes))).otherwise(F.array().cast("array<bigint>"))
-    return F.array_distinct(F.concat(short, long_))
+            # Some piece is unchanged with i edits at most before it and edits - i at most behind it.
+            for shift in range(-i, i + 1):
+                if abs(size - of_name - shift) <= edits - i and begin + shift >= 0 and end + shift <= size:
+                    out.append(_piece(sums, begin + shift, end + shift, of_name, i))
+    return out
+
+
+def _keys_of(keys: Callable[[np.ndarray, int], list[np.ndarray]], edits: int) -> Callable[[pa.Array], pa.Array]:
+    """The distinct keys of each text of a batch; texts of one length are done together."""
+    def lists(texts: pa.Array) -> pa.Array:
+        by_size: dict[int, list[int]] = {}
+        given = texts.to_pylist()
+        for row, text in enumerate(given):
+            by_size.setdefault(len(text), []).append(row)
+        order, counts, values = [], [], []
+        for size, of_size in by_size.items():
+            # Long texts have thousands of deletions, so few go at a time.
+            step = max(1, 200_000 // (1 + comb(size, edits))) if size <= SHORT + edits else 2_000
+            for at in range(0, len(of_size), step):
+                some = of_size[at:at + step]
+                found = keys(_prefixes([given[r] for r in some], size), edits)
+                matrix = np.sort(np.concatenate(found, axis=1), axis=1) if found else np.zeros((len(some), 0), np.int64)
+                new = np.ones(matrix.shape, bool)
+                new[:, 1:] = matrix[:, 1:] != matrix[:, :-1]
+                order += some
+                counts.append(new.sum(axis=1))
+                values.append(matrix[new])
+        ends = np.cumsum(np.concatenate([[0], *counts]))
+        flat = np.concatenate([np.zeros(0, np.int64), *values])
+        made = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(flat, pa.int64()))
+        return made.take(pa.array(np.argsort(np.array(order, np.int64)), pa.int64())).cast(pa.list_(pa.int64()))
+
+    return lists
 
 
 def nearest_name(df: DataFrame, column: str, names: DataFrame, out: str, max_edits: int = 2, name: str = "name") -> DataFrame:
@@ -84,18 +132,24 @@ def nearest_name(df: DataFrame, column: str, names: DataFrame, out: str, max_edi
     size: two strings within ``k`` edits share a spelling left by removing up to ``k`` letters of either, and a name cut
     into ``k + 1`` pieces keeps one of them within ``k`` edits, moved by ``k`` letters at most. Names of up to
     ``SHORT`` letters are joined by the first, longer ones by the second, and what meets is verified by edit distance.
-    Each distinct value is looked up once. Null values and null or empty names match nothing. Runs jobs when called.
+    Each distinct value is looked up once, and only one that is no name itself by these keys, which meet as numbers:
+    the spellings join what has met. Null values and null or empty names match nothing. Runs jobs when called.
     """
     values = df.select(F.lower(F.trim(col(column).cast("string"))).alias("_value")).where("_value is not null").distinct()
     known = names.select(col(name).cast("string").alias("_name"), F.lower(F.trim(col(name).cast("string"))).alias("_plain"))
     known = known.where("_plain <> ''").groupBy("_plain").agg(F.min("_name").alias("_name"))
-    left = values.select("_value", F.explode(_value_keys(F.col("_value"), max_edits)).alias("_key"))
-    right = stored(known.select("_plain", "_name", F.explode(F.array_distinct(_name_keys(F.col("_plain"), max_edits))).alias("_key")), "name_keys")
-    left = stored(left, "value_keys")
+    known = stored(known.withColumn("_n", F.monotonically_increasing_id()), "names")
+    values = values.join(known.select(F.col("_plain").alias("_value"), F.col("_name").alias("_same")), "_value", "left")
+    values = stored(values.withColumn("_v", F.monotonically_increasing_id()), "values")
+    other = values.where("_same is null").select("_v", "_value")
+    left = other.select("_v", F.explode(F.arrow_udf(_keys_of(_value_keys, max_edits), "array<bigint>")("_value")).alias("_key"))
+    right = known.select("_n", F.explode(F.arrow_udf(_keys_of(_name_keys, max_edits), "array<bigint>")("_plain")).alias("_key"))
+    met = stored(left.join(right, "_key").select("_v", "_n").distinct(), "name_pairs")
     edits = F.levenshtein("_value", "_plain", max_edits)
-    met = left.join(right, "_key").select("_value", "_name", edits.alias("_edits")).where("_edits >= 0")
+    met = met.join(known, "_n").join(other, "_v").select("_value", "_name", edits.alias("_edits")).where("_edits >= 0")
     best = met.groupBy("_value").agg(F.min(F.struct("_edits", "_name")).alias("_best"))
-    found = stored(best.select("_value", F.col("_best._name").alias("_found")), "nearest_names")
+    same = values.where("_same is not null").select("_value", F.col("_same").alias("_found"))
+    found = stored(same.unionByName(best.select("_value", F.col("_best._name").alias("_found"))), "nearest_names")
     keyed = df.withColumn("_value", F.lower(F.trim(col(column).cast("string")))).join(found, "_value", "left")
     return keyed.select(*[col(c) for c in df.columns if c != out], F.col("_found").alias(out))
 

@@ -303,3 +303,25 @@ def test_sample_is_bounded(spark, taught):
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     assert set(sizes) == {"sport", "tech", "food"} and all(20 <= n <= 90 for n in sizes.values())
     assert rows(sample) == rows(learned.labelled_sample(many.repartition(7), "t", "label", 50))
+
+
+def test_keys_of_names_and_values_meet_within_the_edits_and_are_few():
+    import pyarrow as pa
+
+    rng = random.Random(7)
+
+    def changed(text, edits):
+        for _ in range(edits):
+            at = rng.randrange(len(text) + 1)
+            text = text[:at] + rng.choice(["", "x", "\U0001f600"]) + text[at + rng.randrange(2):]
+        return text
+
+    for edits in (1, 2, 3):
+        names = ["".join(rng.choice("abcd\u00e9") for _ in range(rng.randrange(1, 40))) for _ in range(300)]
+        values = [changed(n, edits) for n in names]
+        of_names = vocabulary._keys_of(vocabulary._name_keys, edits)(pa.array(names)).to_pylist()
+        of_values = vocabulary._keys_of(vocabulary._value_keys, edits)(pa.array(values)).to_pylist()
+        assert all(set(x) & set(y) for x, y in zip(of_names, of_values))
+    long_value = vocabulary._keys_of(vocabulary._value_keys, 2)(pa.array(["0123456789" * 4])).to_pylist()[0]
+    assert len(long_value) <= 19  # 75 places before
+    assert vocabulary._keys_of(vocabulary._value_keys, 2)(pa.array([], pa.string())).to_pylist() == []
