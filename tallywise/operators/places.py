@@ -72,31 +72,38 @@ def _set_off(h: Column) -> Column:
     return before.cast("int") + ((after == F.size("_words")) | F.element_at("_gaps", after + 1).contains(",")).cast("int")
 
 
-def _resolved(hits: Column) -> Column:
-    """Struct ``city, state, country`` with where each was named; a state or country that is named settles the city."""
+def _with_place(df: DataFrame) -> DataFrame:
+    """Add ``_place``: city, state and country with where each was named; a state or country that is named settles the city.
+
+    Steps are columns of their own: inside a lambda, an expression would be worked out again for every element.
+    """
     def of(kind: str) -> Column:
-        return F.filter(hits, lambda h: h["kind"] == kind)
+        return F.filter("_hits", lambda h: h["kind"] == kind)
 
-    states, countries = of("state"), of("country")
+    df = df.withColumns({"_cities": of("city"), "_states": of("state"), "_countries": of("country")})
 
     def agreement(c: Column) -> Column:
-        same_state = F.exists(states, lambda s: (s["state"] == c["state"]) & s["country"].eqNullSafe(c["country"]) & (s["at"] != c["at"]))
-        same_country = F.exists(countries, lambda k: (k["country"] == c["country"]) & (k["at"] != c["at"]))
+        same_state = F.exists("_states", lambda s: (s["state"] == c["state"]) & s["country"].eqNullSafe(c["country"]) & (s["at"] != c["at"]))
+        same_country = F.exists("_countries", lambda k: (k["country"] == c["country"]) & (k["at"] != c["at"]))
         return F.when(same_state, 2).otherwise(0) + F.when(same_country, 1).otherwise(0)
 
-    city = F.array_max(F.transform(of("city"), lambda c: F.struct(
+    df = df.withColumn("_city", F.array_max(F.transform("_cities", lambda c: F.struct(
         agreement(c).alias("agreement"), _set_off(c).alias("set_off"), c["n"].alias("n"), c["weight"].alias("weight"), (-c["at"]).alias("first"),
         c["city"].alias("city"), c["state"].alias("state"), c["country"].alias("country"),
-    )))
+    ))))
+    city = F.col("_city")
     city_at = -city["first"]
-    state = F.array_max(F.transform(
-        F.filter(states, lambda s: ~(s["at"] == F.coalesce(city_at, F.lit(-1)))),
-        lambda s: F.struct((s["state"].eqNullSafe(city["state"])).alias("agrees"), s["at"].alias("at"), s["n"].alias("n"), s["state"].alias("state"), s["country"].alias("country")),
-    ))
-    country = F.array_max(F.transform(
-        F.filter(countries, lambda k: ~(k["at"] == F.coalesce(city_at, F.lit(-1)))),
-        lambda k: F.struct(k["at"].alias("at"), k["n"].alias("n"), k["country"].alias("country")),
-    ))
+    df = df.withColumns({
+        "_state": F.array_max(F.transform(
+            F.filter("_states", lambda s: ~(s["at"] == F.coalesce(city_at, F.lit(-1)))),
+            lambda s: F.struct((s["state"].eqNullSafe(city["state"])).alias("agrees"), s["at"].alias("at"), s["n"].alias("n"), s["state"].alias("state"), s["country"].alias("country")),
+        )),
+        "_country": F.array_max(F.transform(
+            F.filter("_countries", lambda k: ~(k["at"] == F.coalesce(city_at, F.lit(-1)))),
+            lambda k: F.struct(k["at"].alias("at"), k["n"].alias("n"), k["country"].alias("country")),
+        )),
+    })
+    state, country = F.col("_state"), F.col("_country")
     # A place of another state than the one named lends its name, not its own state and country.
     foreign = state.isNotNull() & ~state["state"].eqNullSafe(city["state"])
     own_state, own_country = F.when(~foreign, city["state"]), F.when(~foreign, city["country"])
@@ -105,10 +112,10 @@ def _resolved(hits: Column) -> Column:
         F.when(state.isNotNull(), F.struct(state["at"].alias("at"), state["n"].alias("n"))),
         F.when(country.isNotNull(), F.struct(country["at"].alias("at"), country["n"].alias("n"))),
     ))
-    return F.struct(
+    return df.withColumn("_place", F.when(F.col("_hits").isNotNull(), F.struct(
         city["city"].alias("city"), F.coalesce(state["state"], own_state).alias("state"),
         F.coalesce(country["country"], state["country"], own_country).alias("country"), F.array_sort(spans).alias("spans"),
-    )
+    )))
 
 
 def _located(df: DataFrame, text: Column, places: DataFrame) -> DataFrame:
@@ -116,8 +123,7 @@ def _located(df: DataFrame, text: Column, places: DataFrame) -> DataFrame:
     keyed = stored(df.withColumn("_text", text).withColumn("_row", F.monotonically_increasing_id()), "placed_texts")
     texts = keyed.select("_row", _normal(F.col("_text")).alias("_normal"))
     both = keyed.join(stored(_hits(texts, places), "place_hits"), "_row", "left")
-    both = both.withColumns({"_words": words_of(F.col("_text")), "_gaps": between_words(F.col("_text"))})
-    return both.withColumn("_place", F.when(F.col("_hits").isNotNull(), _resolved(F.col("_hits"))))
+    return _with_place(both.withColumns({"_words": words_of(F.col("_text")), "_gaps": between_words(F.col("_text"))}))
 
 
 def _free_text(begin: Column, end: Column) -> Column:
@@ -163,20 +169,30 @@ def parse_addresses(df: DataFrame, column: str, places: DataFrame) -> DataFrame:
     found = _located(df.withColumn("_zip", code), rest, places)
     place, words = F.col("_place"), F.col("_words")
     n = F.size(words)
-    spans = F.coalesce(place["spans"], F.array().cast("array<struct<at:int,n:int>>"))
+    found = found.withColumn("_spans", F.coalesce(place["spans"], F.array().cast("array<struct<at:int,n:int>>")))
 
     def in_place(i: Column) -> Column:
-        return F.exists(spans, lambda s: (s["at"] <= i) & (i < s["at"] + s["n"]))
-
-    house = F.array_min(F.filter(F.transform(words, lambda w, i: F.when(w.rlike("^[0-9]") & ~in_place(i), i)), lambda i: i.isNotNull()))
-    stop = F.coalesce(F.array_min(F.transform(F.filter(spans, lambda s: s["at"] > house), lambda s: s["at"])), n)
-    # Without a known place behind it, a street ends at the last comma.
-    last = F.array_max(F.filter(F.transform(F.col("_gaps"), lambda g, i: F.when(g.contains(",") & (i > house) & (i < n), i)), lambda i: i.isNotNull()))
-    end = F.when((stop == n) & place["city"].isNull() & last.isNotNull(), last).otherwise(stop)
-    street = F.when(house.isNotNull(), _free_text(house, end))
-    first = F.coalesce(F.try_element_at(spans, F.lit(1))["at"], n)
-    begin = F.when(house.isNull() | (house > 0), F.lit(0)).otherwise(end)
-    until = F.when(house > 0, F.least(house, first)).when((stop == n) & last.isNotNull(), n).otherwise(first)
+        return F.exists("_spans", lambda s: (s["at"] <= i) & (i < s["at"] + s["n"]))
+
+    # Columns of their own, as in _with_place.
+    found = found.withColumn("_house", F.array_min(F.filter(
+        F.transform(words, lambda w, i: F.when(w.rlike("^[0-9]") & ~in_place(i), i)), lambda i: i.isNotNull(),
+    )))
+    house = F.col("_house")
+    found = found.withColumns({
+        "_stop": F.coalesce(F.array_min(F.transform(F.filter("_spans", lambda s: s["at"] > house), lambda s: s["at"])), n),
+        # Without a known place behind it, a street ends at the last comma.
+        "_last": F.array_max(F.filter(F.transform("_gaps", lambda g, i: F.when(g.contains(",") & (i > house) & (i < n), i)), lambda i: i.isNotNull())),
+    })
+    stop, last = F.col("_stop"), F.col("_last")
+    found = found.withColumn("_end", F.when((stop == n) & place["city"].isNull() & last.isNotNull(), last).otherwise(stop))
+    first = F.coalesce(F.try_element_at("_spans", F.lit(1))["at"], n)
+    found = found.withColumns({
+        "_begin": F.when(house.isNull() | (house > 0), F.lit(0)).otherwise(F.col("_end")),
+        "_until": F.when(house > 0, F.least(house, first)).when((stop == n) & last.isNotNull(), n).otherwise(first),
+    })
+    street = F.when(house.isNotNull(), _free_text(house, F.col("_end")))
+    begin, until = F.col("_begin"), F.col("_until")
     unknown = F.when(place["city"].isNull() & (until > begin), _free_text(begin, until))
     return found.select(
         *cols(df.columns), street.alias("street"), F.coalesce(place["city"], unknown).alias("city"), place["state"].alias("state"), F.col("_zip").alias("zip"),

@@ -325,3 +325,13 @@ def test_keys_of_names_and_values_meet_within_the_edits_and_are_few():
     long_value = vocabulary._keys_of(vocabulary._value_keys, 2)(pa.array(["0123456789" * 4])).to_pylist()[0]
     assert len(long_value) <= 19  # 75 places before
     assert vocabulary._keys_of(vocabulary._value_keys, 2)(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_places_are_worked_out_once_per_row(spark):
+    towns = spark.createDataFrame([("city", "Port", "Port", "Ohio", "USA", 1.0), ("state", "Ohio", None, "Ohio", "USA", 0.0)], places.GAZETTEER)
+    texts = spark.createDataFrame([("12 Low Way, Port, Ohio 12345",)], "text string")
+    found = places.resolve_places(texts, "text", towns)
+    # Inside the lambdas of states and countries the whole city was worked out again for each of them.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("array_max(") == 3
+    assert rows(found.drop("text")) == [("Port", "Ohio", "USA")]
+    assert rows(places.parse_addresses(texts, "text", towns).drop("text")) == [("12 Low Way", "Port", "Ohio", "12345")]
