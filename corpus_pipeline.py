@@ -16,6 +16,7 @@ from tallywise.llm.language_id import UNKNOWN, identify_languages
 from tallywise.llm.packing import pack
 from tallywise.llm.queries import VOCABULARY
 from tallywise.llm.secret_scan import redact_secrets
+from tallywise.llm.sketch import may_be_among
 from tallywise.session import stored
 
 #: Texts whose language scores less are rejected, as are those without a letter.
@@ -37,6 +38,13 @@ def _keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     return stored(docs.withColumn(key, F.monotonically_increasing_id()), name), key
 
 
+def _without(keyed: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    """The rows whose key is not among those of ``gone``; only rows that a sketch takes for them are moved and compared."""
+    suspect = may_be_among(gone)
+    moved = keyed.where(suspect(F.col(row))).join(gone, row, "left_anti")
+    return keyed.where(~suspect(F.col(row))).unionByName(moved)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One row of each group of texts linked by five-word shingles at 0.8: that of the smallest ``doc_id``, null last."""
     keyed, row = _keyed(docs, "rows")
@@ -45,7 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
     first = classes.join(keyed.select(row, "doc_id"), row).groupBy("component_id").agg(F.min(order).alias("first"))
     copies = stored(classes.select(row).join(first.select(f"first.{row}"), row, "left_anti"), "copies")
-    return keyed.join(copies, row, "left_anti").select(*cols(docs.columns))
+    return _without(keyed, row, copies).select(*cols(docs.columns))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -53,7 +61,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
     keyed, row = _keyed(docs, "rows")
     leaks = find_leaks(keyed.select(F.col(row).alias("doc_id"), "text"), spark.read.parquet(f"{folder}/benchmark.parquet"))
     leaks = stored(leaks.select(F.col("doc_id").alias(row)).distinct(), "leaks")
-    return keyed.join(leaks, row, "left_anti").select(*cols(docs.columns))
+    return _without(keyed, row, leaks).select(*cols(docs.columns))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

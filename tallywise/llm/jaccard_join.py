@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from tallywise.llm import words
 from tallywise.llm.batching import small_batches, trimmed
 from tallywise.llm.components import components
+from tallywise.llm.sketch import may_be_among
 from tallywise.session import stored
 
 #: Of eight parts of the hash space, those dealt out in the first step. More of them cost more shuffle and leave fewer
@@ -236,12 +237,14 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     classes = rows.where("open").groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.min("place").alias("place"))
     classes = classes.orderBy(F.col("first_id").asc_nulls_last(), "cid").withColumn("rid", F.monotonically_increasing_id())
     classes = stored(classes, "ngram_classes")
-    # Texts are read again by id; only classes none of whose rows has one go by a hash of the text.
-    named = classes.where("first_id is not null").select(F.col("first_id").cast("string").alias("doc_id")).distinct()
-    hashes = stored(rows.join(classes.where("first_id is null").select("place"), "place").select("h"), "ngram_hashes")
-    again = texts.join(named, "doc_id", "left_semi").select("text").union(
-        texts.where("doc_id is null").join(hashes, "h", "left_semi").select("text")
-    )
+    # Texts are read again by id, those without one by a hash of the text. They stay where they lie: a sketch of what is
+    # looked for tells them apart, and of the few others that it lets pass the join with the classes is rid.
+    def sought(doc_id, h):
+        return F.xxhash64(doc_id.cast("string"), F.when(doc_id.isNull(), h))
+
+    wanted = rows.select("place", "h").join(classes.select("place", "first_id"), "place")
+    wanted = stored(wanted.select(sought(F.col("first_id"), F.col("h")).alias("key")), "ngram_wanted")
+    again = texts.where(may_be_among(wanted)(sought(F.col("doc_id"), F.col("h")))).select("text")
     sets = again.mapInPandas(trimmed(_sets(k)), "cid binary, n long, grams array<long>, sizes array<int>")
     sets = sets.join(classes.select("cid", "rid"), "cid").dropDuplicates(["cid"])
     sets = stored(sets.select("rid", "n", "grams", "sizes"), "ngram_sets")
