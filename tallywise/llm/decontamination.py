@@ -34,6 +34,8 @@ PASSAGE, UNIT, LONGEST = 64, 8, 64
 COSINE = 0.6
 ALONE, WITH_ANSWER, ANSWER = 0.8, 0.55, 0.6
 SLICES, FAN_IN = 64, 64
+#: Rows that are added at once.
+SLOTS = 8
 #: Rare words of an item that lie close together, for the exact gate; any number finds the same.
 CLOSE = 5
 SENTENCE_END = re.compile(r"[.!?:](?=\s|$)")
@@ -46,6 +48,29 @@ def _hashes(texts: list):
     return h, np.searchsorted(at, start, "right") - 1
 
 
+def _sums(table: np.ndarray, at: np.ndarray, count: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+    """Sums of the (weighted) rows ``table[at]`` over runs of the given lengths, none of which is empty.
+
+    Rows are added eight at a time, column by column of a grid; numpy adds runs of rows one by one and far slower.
+    """
+    lines = -(-count // SLOTS)
+    begin = np.cumsum(lines) - lines
+    place = np.arange(len(at)) + np.repeat(begin * SLOTS - (np.cumsum(count) - count), count)
+    grid = np.zeros(int(lines.sum()) * SLOTS, np.int64)
+    grid[place] = at
+    share = np.zeros(len(grid), table.dtype)
+    share[place] = 1 if weight is None else weight
+    grid, share = grid.reshape(-1, SLOTS), share.reshape(-1, SLOTS)
+    out = np.empty((len(grid), table.shape[1]), table.dtype)
+    for lo in range(0, len(grid), 2048):  # as much as stays in the cache
+        some, of = grid[lo : lo + 2048], share[lo : lo + 2048, :, None]
+        total = table[some[:, 0]] * of[:, 0]
+        for i in range(1, SLOTS):
+            total += table[some[:, i]] * of[:, i]
+        out[lo : lo + 2048] = total
+    return out if len(lines) == len(out) else _sums(out, np.arange(len(out)), lines)
+
+
 def _entries(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Passage, feature and frequency of each feature of each passage, by passage."""
     h, owner = _hashes(texts)
@@ -53,8 +78,12 @@ def _entries(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     begin = np.concatenate(([0], np.cumsum(count)))
     per = -(-count // PASSAGE)
     passage = np.concatenate(([0], np.cumsum(per)))[owner] + (np.arange(len(h)) - begin[owner]) // PASSAGE
-    key = (passage * FEATURES + (h >> np.uint64(52)).astype(np.int64)).astype(np.int64)
-    key, tf = np.unique(key, return_counts=True)
+    key = passage * FEATURES + (h >> np.uint64(52)).astype(np.int64)
+    if len(key) and key[-1] < (1 << 32) - FEATURES:  # passages ascend; half the width sorts in half the time
+        key = key.astype(np.uint32)
+    key = np.sort(key)
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    key, tf = key[first].astype(np.int64), np.diff(first, append=len(key))
     return key // FEATURES, key % FEATURES, tf
 
 
@@ -104,11 +133,11 @@ def _range(idf: np.ndarray, omega: np.ndarray):
                 value = (tf * idf[feature]).astype(np.float32)
                 norm = np.sqrt(np.add.reduceat(value**2, first))
                 value /= np.maximum(norm, 1e-9)[at]
-                y = np.add.reduceat(value[:, None] * omega[feature], first)
-                order = np.argsort(feature, kind="stable")
+                y = _sums(omega, feature, np.diff(first, append=len(feature)), value)
+                order = np.argsort(feature.astype(np.uint16), kind="stable")
                 feature = feature[order]
                 new = np.flatnonzero(np.diff(feature, prepend=-1))
-                total[feature[new]] += np.add.reduceat(value[order, None] * y[at[order]], new)
+                total[feature[new]] += _sums(y, at[order], np.diff(new, append=len(feature)), value[order])
         yield _sliced(total)
 
     return run
@@ -181,6 +210,54 @@ class Queries:
         self.rare_of = np.array([q for _, q in pairs], np.int64)
         self.marked = np.zeros(1 << 20, bool)
         self.marked[self.rare >> np.uint64(44)] = True
+        self.least = np.array(least, int)
+        # Each word of the items has a number, the last one stands for all others, and in each item a mask of its places.
+        self.words = np.unique(np.array([w for x in self.items for w in x], np.uint64))
+        self.first = np.searchsorted(self.words, np.arange((1 << 20) + 1, dtype=np.uint64) << np.uint64(44)).astype(np.int32)
+        self.first[-1] = len(self.words)
+        self.masks = []
+        for x in self.items:
+            mask: dict = {}
+            for i, w in enumerate(x):
+                mask[w] = mask.get(w, 0) | 1 << i
+            number = np.searchsorted(self.words, np.array(list(mask), np.uint64))
+            self.masks.append((number, np.array(list(mask.values()), np.uint64)))
+
+    def numbers(self, h: np.ndarray) -> np.ndarray:
+        """The number of each word."""
+        top = (h >> np.uint64(44)).astype(np.int64)
+        out, end = self.first[top].astype(np.int64), self.first[top + 1]
+        same = out < end
+        same[same] = self.words[out[same]] == h[same]
+        more = np.flatnonzero(~same & (end - out > 1))
+        out[~same] = len(self.words)
+        if len(more):
+            at = np.minimum(np.searchsorted(self.words, h[more]), len(self.words) - 1)
+            out[more] = np.where(self.words[at] == h[more], at, len(self.words))
+        return out
+
+    def held(self, number: np.ndarray, query: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Whether the words from ``lo`` to ``hi`` hold enough of a query in any order; without that none of it is a leak."""
+        out = np.zeros(len(query), bool)
+        order = np.argsort(query, kind="stable")
+        mask = np.zeros(len(self.words) + 1, np.uint64)
+        bounds = np.flatnonzero(np.concatenate(([True], np.diff(query[order]) != 0, [True]))) if len(order) else [0]
+        for begin, end in zip(bounds[:-1], bounds[1:]):
+            q = query[order[begin]]
+            at, bits = self.masks[q]
+            mask[at] = bits
+            for part in range(begin, end, 10_000):
+                own = order[part : min(part + 10_000, end)]
+                own = own[hi[own] > lo[own]]
+                size = hi[own] - lo[own]
+                if not len(own):
+                    continue
+                ends = np.cumsum(size)
+                words_at = np.arange(ends[-1]) + np.repeat(lo[own] - (ends - size), size)
+                found = np.bitwise_or.reduceat(mask[number[words_at]], ends - size)
+                out[own] = np.bitwise_count(found) >= self.least[q]
+            mask[at] = 0
+        return out
 
 
 def _shares(queries: Queries, q: int, h: np.ndarray) -> tuple[float, float]:
@@ -196,7 +273,7 @@ def _leaks(share: float, answer: float) -> bool:
     return share >= ALONE or (share >= WITH_ANSWER and answer >= ANSWER)
 
 
-def _close(queries: Queries, h: np.ndarray, owner: np.ndarray, begin: np.ndarray):
+def _close(queries: Queries, h: np.ndarray, owner: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """(text, query, from, to) of all stretches around places where enough of a query's rarest words are close together."""
     at = np.flatnonzero(queries.marked[h >> np.uint64(44)])
     slot = np.minimum(np.searchsorted(queries.rare, h[at]), len(queries.rare) - 1)
@@ -214,7 +291,7 @@ def _close(queries: Queries, h: np.ndarray, owner: np.ndarray, begin: np.ndarray
     near = (query[first] == query[last]) & (owner[at[first]] == owner[at[last]]) & (at[last] - at[first] < queries.reach[query[first]])
     first, last = first[near], last[near]
     if not len(first):
-        return
+        return np.zeros((0, 4), np.int64)
     query, doc = query[first], owner[at[first]]
     lo = np.maximum(begin[doc], at[last] - queries.reach[query] + 1)
     hi = np.minimum(begin[doc + 1], at[first] + queries.reach[query])
@@ -222,7 +299,7 @@ def _close(queries: Queries, h: np.ndarray, owner: np.ndarray, begin: np.ndarray
     new[1:] = (query[1:] != query[:-1]) | (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1])
     new = np.flatnonzero(new)
     end = hi[np.append(new[1:], len(first)) - 1]
-    yield from zip(doc[new].tolist(), query[new].tolist(), lo[new].tolist(), end.tolist())
+    return np.stack([doc[new], query[new], lo[new], end], axis=1)
 
 
 def _confirmed(queries: Queries, q: int, h: np.ndarray) -> tuple[float, float, int, int] | None:
@@ -250,37 +327,43 @@ def _searched(queries: Queries, table: np.ndarray):
         begin = np.concatenate(([0], np.cumsum(count)))
         place = np.arange(len(h)) - begin[owner]
         starts = np.flatnonzero(place % UNIT == 0)
-        sums = np.add.reduceat(table[(h >> np.uint64(52)).astype(np.int64)], starts)
-        total = np.zeros((len(sums) + 1, sums.shape[1]))
-        np.cumsum(sums, axis=0, out=total[1:])
+        sums = _sums(table, (h >> np.uint64(52)).astype(np.int64), np.diff(starts, append=len(h)))
         unit_owner = owner[starts]
         last = np.searchsorted(unit_owner, unit_owner, "right")
-        found: dict[tuple, list] = {}
+        unit, number = np.arange(len(starts)), queries.numbers(h)
+        edge = np.append(starts, len(h))
+        found = []
+        z, length = sums.copy(), 1
         for size in np.unique(queries.units):
+            for length in range(length, size):  # windows grow by the unit behind them, up to the text's end
+                z[:-length] += sums[length:] * (unit + length < last)[:-length, None]
+            length = int(size)
             own = np.flatnonzero(queries.units == size)
-            end = np.minimum(np.arange(len(starts)) + size, last)
             for lo in range(0, len(starts), 8192):
-                hi = min(lo + 8192, len(starts))
-                z = (total[end[lo:hi]] - total[lo:hi]).astype(np.float32)
-                z /= np.maximum(np.sqrt((z * z).sum(1)), 1e-9)[:, None]
-                cosine = z @ queries.vectors[own].T
-                for s, q in zip(*np.nonzero(cosine >= COSINE)):
-                    found.setdefault((int(unit_owner[lo + s]), int(own[q])), []).append((float(cosine[s, q]), int(lo + s), int(end[lo + s])))
+                norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", z[lo : lo + 8192], z[lo : lo + 8192])), 1e-9)
+                cosine = z[lo : lo + 8192] @ queries.vectors[own].T
+                s, q = np.divmod(np.flatnonzero(cosine >= np.float32(COSINE) * norm[:, None]), len(own))
+                found.append((cosine[s, q] / norm[s], s + lo, np.minimum(s + lo + size, last[s + lo]), own[q]))
+        cosine, s, e, query = (np.concatenate(x) for x in zip(*found))
+        text, margin = unit_owner[s], np.array([len(x) // 4 + UNIT for x in queries.items], int)[query]
+        from_word, to_word = np.maximum(begin[text], starts[s] - margin), np.minimum(begin[text + 1], edge[e] + margin)
+        keep = np.flatnonzero(queries.held(number, query, from_word, to_word))
+        keep = keep[np.lexsort((-e[keep], -s[keep], -cosine[keep], query[keep], text[keep]))]
         best: dict[tuple, tuple] = {}
         sure = set()
-        for (doc, q), windows in found.items():
-            margin = len(queries.items[q]) // 4 + UNIT
-            for cosine, s, e in sorted(windows, reverse=True):
-                lo = max(begin[doc], starts[s] - margin)
-                hi = min(begin[doc + 1], (starts[e] if e < len(starts) else len(h)) + margin)
-                share, answer = _shares(queries, q, h[lo:hi])
-                if _leaks(share, answer):
-                    row = (share, answer, cosine, int(lo - begin[doc]), int(hi - begin[doc]))
-                    key = (doc, queries.ids[q])
-                    best[key] = max(best.get(key, row), row)
-                    sure.add((doc, q))
-                    break
-        for doc, q, lo, hi in _close(queries, h, owner, begin):
+        for i in keep.tolist():
+            doc, q, lo, hi = int(text[i]), int(query[i]), int(from_word[i]), int(to_word[i])
+            if (doc, q) in sure:
+                continue
+            share, answer = _shares(queries, q, h[lo:hi])
+            if _leaks(share, answer):
+                row = (share, answer, float(cosine[i]), int(lo - begin[doc]), int(hi - begin[doc]))
+                key = (doc, queries.ids[q])
+                best[key] = max(best.get(key, row), row)
+                sure.add((doc, q))
+        near = _close(queries, h, owner, begin)
+        near = near[queries.held(number, near[:, 1], near[:, 2], near[:, 3])]
+        for doc, q, lo, hi in near.tolist():
             if (doc, q) in sure or (leak := _confirmed(queries, q, h[lo:hi])) is None:
                 continue
             share, answer, first, end = leak

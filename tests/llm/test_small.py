@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -501,3 +502,31 @@ def test_pipeline_decides_rows_of_null_and_repeated_ids_by_text(spark, data):
     docs = spark.createDataFrame([(i, t, "x", "y", len(t)) for i, t in rows], columns)
     kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.decontaminated(spark, docs, data).collect()]
     assert sorted(kept, key=repr) == sorted([(None, a), (7, c), (7, d), (9, b)], key=repr)
+
+
+def test_sums_of_runs_and_words_held(monkeypatch):
+    rng = np.random.default_rng(4)
+    table, count = rng.standard_normal((30, 5)), np.array([1, 8, 9, 700, 3, 64, 65])
+    at, weight = rng.integers(0, 30, count.sum()), rng.standard_normal(count.sum())
+    runs = np.split(np.arange(len(at)), np.cumsum(count)[:-1])
+    assert np.allclose(decontamination._sums(table, at, count), [table[at[r]].sum(0) for r in runs])
+    assert np.allclose(decontamination._sums(table, at, count, weight), [(weight[r, None] * table[at[r]]).sum(0) for r in runs])
+    items = [(i, " ".join(f"w{x}" for x in rng.integers(0, 40, n))) for i, n in enumerate([1, 5, 30, 64, 64])]
+    queries = decontamination.Queries(items, np.ones((decontamination.FEATURES, 2), np.float32), np.ones(decontamination.FEATURES))
+    h, _ = decontamination._hashes([" ".join(f"w{x}" for x in rng.integers(0, 60, 300))])
+    query, lo = rng.integers(0, len(queries.items), 400), rng.integers(0, 300, 400)
+    hi = np.minimum(300, lo + rng.integers(0, 120, 400))
+    found = queries.held(queries.numbers(h), query, lo, hi)
+    expected = [
+        sum(w in set(h[a:b].tolist()) for w in queries.items[q]) >= decontamination.WITH_ANSWER * len(queries.items[q]) for q, a, b in zip(query, lo, hi)
+    ]
+    assert found.tolist() == expected and 20 < sum(expected) < 380
+    # What can be no leak is set aside for all windows at once, and never searched word by word.
+    seen = []
+    shares = decontamination._shares
+    monkeypatch.setattr(decontamination, "_shares", lambda q, i, w: seen.append((i, set(w.tolist()))) or shares(q, i, w))
+    texts = [" ".join(f"w{x}" for x in rng.permutation(60)[:30]) + " " + items[4][1] for _ in range(3)] + ["w1 w2"] * 20
+    frames = [pd.DataFrame({"doc_id": [str(i) for i in range(len(texts))], "text": texts})]
+    held = pd.concat(decontamination._searched(queries, np.ones((decontamination.FEATURES, 2), np.float32))(iter(frames)))
+    assert {("0", "4"), ("1", "4"), ("2", "4")} <= set(zip(held["doc_id"], held["item_id"]))
+    assert all(sum(w in window for w in queries.items[q]) >= decontamination.WITH_ANSWER * len(queries.items[q]) for q, window in seen[: len(held)])
