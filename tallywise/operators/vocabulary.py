@@ -12,6 +12,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -174,18 +175,30 @@ def trimmed_name(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(name, "^[^\\p{L}\\p{M}\\p{N}]+", ""), "[^\\p{L}\\p{M}\\p{N}]+$", "")
 
 
-def _spans(words: Column, gaps: Column, sizes: Column) -> Column:
-    """Every run of words that begins with a name's first word and has as many words as one of its names."""
+def _live(words: pa.Array, heads: pa.Array) -> pa.Array:
+    """Places (from 1) of the words that are among the heads of their row; all rows of a batch are done together.
+
+    The heads of a row are all its words that any name begins with, so those of other rows add none.
+    """
+    count = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    found = np.flatnonzero(pc.is_in(words.flatten(), value_set=heads.flatten().unique()).to_numpy(zero_copy_only=False))
+    ends = np.concatenate(([0], np.cumsum(count, dtype=np.int64)))
+    row = np.searchsorted(ends, found, "right") - 1
+    offsets = np.searchsorted(found, ends).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array((found - ends[row] + 1).astype(np.int32)))
+
+
+def _spans(words: Column, gaps: Column, sizes: Column, heads: Column) -> Column:
+    """Every run of words that begins at one of the places ``heads`` and has as many words as one of the names there."""
     def runs(i: Column) -> Column:
         lengths = F.filter(F.try_element_at(sizes, F.element_at(words, i)), lambda m: i + m - 1 <= F.size(words))
         return F.transform(lengths, lambda m: F.struct(
             (i - 1).alias("at"), m.alias("n"),
-            F.concat(F.element_at(words, i), F.array_join(F.flatten(F.transform(
-                F.filter(F.sequence(F.lit(0), m - 1), lambda j: j > 0), lambda j: F.array(F.element_at(gaps, i + j), F.element_at(words, i + j)),
-            )), "")).alias("run"),
+            F.when(m == 1, F.element_at(words, i)).otherwise(F.concat(F.element_at(words, i), F.array_join(F.flatten(F.transform(
+                F.sequence(F.lit(1), m - 1), lambda j: F.array(F.element_at(gaps, i + j), F.element_at(words, i + j)),
+            )), ""))).alias("run"),
         ))
 
-    heads = F.filter(F.sequence(F.lit(0), F.size(words)), lambda i: (i > 0) & F.map_contains_key(sizes, F.coalesce(F.try_element_at(words, i), F.lit(""))))
     return F.flatten(F.transform(heads, runs))
 
 
@@ -206,7 +219,8 @@ def name_spans(texts: DataFrame, row: str, text: str, names: DataFrame, name: st
     live = texts.select(col(row).alias("_row"), col(text).alias("_text")).join(stored(sizes, "live_names"), "_row")
     # Columns of their own: inside the lambdas of _spans they would be cut out of the text again for every word.
     live = live.select("_row", words_of(F.col("_text")).alias("_words"), between_words(F.col("_text")).alias("_gaps"), "sizes")
-    runs = live.select("_row", F.inline(_spans(F.col("_words"), F.col("_gaps"), F.col("sizes"))))
+    live = live.withColumn("_heads", F.arrow_udf(_live, "array<int>")("_words", F.map_keys("sizes")))
+    runs = live.select("_row", F.inline(_spans(F.col("_words"), F.col("_gaps"), F.col("sizes"), F.col("_heads"))))
     return runs.join(known.select("run"), "run").select(F.col("_row").alias(row), "at", "n", "run")
 
 
@@ -221,23 +235,34 @@ def longest_first(at: list[int], n: list[int]) -> list[tuple[int, int]]:
 
 
 def _spliced(put: str):
+    """Texts from their words and what lies between, with spans replaced; rows without spans give null.
+
+    What a text is made of, gap and word in turn, is taken as one list of pieces for the whole batch.
+    """
     def splice(words: pa.Array, gaps: pa.Array, at: pa.Array, n: pa.Array) -> pa.Array:
-        out = []
-        for w, g, a, m in zip(words, gaps, at, n):
-            if not a.is_valid:
-                out.append(None)
-                continue
-            w, g = w.as_py(), g.as_py()
-            parts, here = [g[0]], 0
-            for begin, size in longest_first(a.as_py(), m.as_py()):
-                for i in range(here, begin):
-                    parts += [w[i], g[i + 1]]
-                here = begin + size
-                parts += [put, g[here]]
-            for i in range(here, len(w)):
-                parts += [w[i], g[i + 1]]
-            out.append("".join(parts))
-        return pa.array(out, pa.string())
+        known = at.is_valid()
+        n_words = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        n_gaps = gaps.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        size = n_words + n_gaps
+        ends = np.cumsum(size)
+        place = np.arange(size.sum()) - np.repeat(ends - size, size)
+        of_words, of_gaps = words.flatten().cast(pa.large_string()), gaps.flatten().cast(pa.large_string())
+        first_gap = np.repeat(np.cumsum(n_gaps) - n_gaps, size)
+        first_word = np.repeat(np.cumsum(n_words) - n_words, size) + len(of_gaps)
+        piece = np.where(place % 2 == 0, first_gap, first_word) + place // 2
+        spans = [
+            (int(ends[row] - size[row]) + 2 * begin + 1, 2 * count - 2)
+            for row, (some, counts) in enumerate(zip(at.to_pylist(), n.to_pylist())) if some is not None
+            for begin, count in longest_first(some, counts)
+        ]
+        begin, more = np.array(spans, np.int64).reshape(-1, 2).T
+        piece[begin] = len(of_gaps) + len(of_words)
+        gone = np.zeros(len(piece), bool)
+        gone[np.repeat(begin + 1 - (np.cumsum(more) - more), more) + np.arange(more.sum())] = True
+        taken = pa.concat_arrays([of_gaps, of_words, pa.array([put], pa.large_string())]).take(pa.array(piece[~gone]))
+        left = np.concatenate(([0], np.cumsum(~gone)))[np.concatenate(([0], ends))]
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(left, pa.int32()), taken), pa.scalar("", pa.large_string()))
+        return pc.if_else(known, texts, pa.scalar(None, pa.large_string())).cast(pa.string())
 
     return splice
 
@@ -252,8 +277,7 @@ def redact_names(df: DataFrame, text: str, names: DataFrame, put: str = "*", nam
     found = name_spans(keyed, "_row", text, names)
     found = found.groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("_spans"))
     found = stored(found.select("_row", F.col("_spans.at").alias("_at"), F.col("_spans.n").alias("_n")), "name_spans")
-    hit = keyed.select("_row", col(text).alias("_text")).join(found, "_row")
+    both, hit = keyed.join(found, "_row", "left"), F.col("_at").isNotNull()
     splice = F.arrow_udf(_spliced(put), "string")
-    changed = hit.select("_row", splice(words_of(F.col("_text")), between_words(F.col("_text")), "_at", "_n").alias("_new"))
-    both = keyed.join(stored(changed, "redacted"), "_row", "left")
-    return both.withColumn(text, F.coalesce("_new", col(text))).select(*cols(df.columns))
+    new = splice(F.when(hit, words_of(col(text))), F.when(hit, between_words(col(text))), "_at", "_n")
+    return both.withColumn(text, F.coalesce(new, col(text))).select(*cols(df.columns))

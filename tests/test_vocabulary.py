@@ -8,6 +8,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tallywise.operators import control, enrich, learned, places, standardise, vocabulary
@@ -124,6 +125,25 @@ def test_names_of_a_table_are_redacted_longest_first(spark):
     assert vocabulary.redact_names(df.drop("_row"), "t", table.limit(0)).where("t is not null").count() == len(texts)
 
 
+def test_redaction_moves_texts_twice_and_rebuilds_a_batch_at_once(spark, capsys):
+    texts = [None, "", "Ann", "Ann Lee.", "no", "x Ann,Lee y Ann  Lee", "\u00c4rzte \U0001d538 Ann"] * 30
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    names = spark.createDataFrame([("Ann",), ("Ann Lee",), ("\u00c4rzte",)], "name string")
+    out = vocabulary.redact_names(df, "t", names)
+    assert [r[0] for r in out.orderBy("id").select("t").collect()] == [None, "", "*", "*.", "no", "x *,Lee y *  Lee", "* \U0001d538 *"] * 30
+    capsys.readouterr()
+    out.explain("extended")
+    assert capsys.readouterr().out.split("== Physical Plan ==")[0].split("== Optimized Logical Plan ==")[1].count("Join") == 1
+    words, gaps = [["a", "b", "c"], None, [], ["d"]], [["", " ", "-", "."], None, ["..."], ["", ""]]
+    splice = vocabulary._spliced("*")
+    made = splice(pa.array(words, pa.list_(pa.string())), pa.array(gaps, pa.list_(pa.string())), pa.array([[0, 1], None, None, [0]], pa.list_(pa.int32())), pa.array([[2, 1], None, None, [1]], pa.list_(pa.int32())))
+    assert made.to_pylist() == ["*-c.", None, None, "*"]
+    none = pa.array([None, None], pa.list_(pa.string()))
+    assert splice(none, none, pa.array([None, None], pa.list_(pa.int32())), pa.array([None, None], pa.list_(pa.int32()))).to_pylist() == [None, None]
+    live = vocabulary._live(pa.array([["a", "b", "a"], None, [], ["b", "c"]], pa.list_(pa.string())), pa.array([["a"], None, [], ["c"]], pa.list_(pa.string())))
+    assert live.to_pylist() == [[1, 3], [], [], [2]]
+
+
 def test_redaction_by_a_million_names(spark):
     names = spark.range(1_000_000).select(F.concat(F.lit("Name"), F.col("id").cast("string"), F.lit(" Of Place")).alias("name"))
     texts = [f"so Name{i} Of Place and Name{i} Of, or Name{i} Of Placebo" for i in (0, 17, 999_999, 1_000_000)]
