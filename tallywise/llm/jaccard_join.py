@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from tallywise.llm import words
 from tallywise.llm.batching import small_batches, trimmed
 from tallywise.llm.components import components
-from tallywise.llm.sketch import may_be_among
+from tallywise.llm.sketch import holding
 from tallywise.session import stored
 
 #: Of eight parts of the hash space, those dealt out in the first step. More of them cost more shuffle and leave fewer
@@ -125,10 +125,10 @@ def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": pdf["chunk"].iloc[0], "idx": at, "single": total[at]})
 
 
-def _sets(k: int):
+def _sets(k: int, holds):
     def run(frames):
         for pdf in frames:
-            texts = pdf["text"].tolist()
+            texts = pdf["text"][holds(pdf["key"].to_numpy())].tolist()
             for lo, hi in words.batches(texts):
                 values, at = words.shingle_sets(texts[lo:hi], k)
                 grams = [values[at[i] : at[i + 1]].view(np.int64) for i in range(hi - lo)]
@@ -244,11 +244,13 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     wanted = rows.select("place", "h").join(classes.select("place", "first_id"), "place")
     wanted = stored(wanted.select(sought(F.col("first_id"), F.col("h")).alias("key")), "ngram_wanted")
-    again = texts.where(may_be_among(wanted)(sought(F.col("doc_id"), F.col("h")))).select("text")
-    sets = again.mapInPandas(trimmed(_sets(k)), "cid binary, n long, grams array<long>, sizes array<int>")
+    # Tested where the sets are made: a function of its own would keep a second Python worker for each core.
+    again = texts.select(sought(F.col("doc_id"), F.col("h")).alias("key"), "text")
+    sets = again.mapInPandas(trimmed(_sets(k, holding(wanted))), "cid binary, n long, grams array<long>, sizes array<int>")
     sets = sets.join(classes.select("cid", "rid"), "cid").dropDuplicates(["cid"])
     sets = stored(sets.select("rid", "n", "grams", "sizes"), "ngram_sets")
-    fragments = stored(sets.select("rid", "n", "grams").mapInPandas(trimmed(_fragments), "rid long, n long, frag int, grams binary"), "ngram_fragments")
+    # Made again in each turn: written, they would be a second copy of the sets.
+    fragments = sets.select("rid", "n", "grams").mapInPandas(trimmed(_fragments), "rid long, n long, frag int, grams binary")
 
     grams = sets.select("rid", "n", F.explode("grams").alias("gram"))
     common = stored(grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1"), "ngram_frequencies")

@@ -49,8 +49,8 @@ def _slice(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
 
-def may_be_among(keys: DataFrame) -> Callable[[Column], Column]:
-    """Whether a whole number may be one of the keys (the only column, read twice; nulls do not count).
+def holding(keys: DataFrame) -> Callable[[np.ndarray], np.ndarray]:
+    """Which of some whole numbers may be among the keys (the only column, read twice; nulls do not count), for use in tasks.
 
     What comes to the driver, and goes with the function to the tasks, is a filter of ``LARGEST`` bits at most. Runs jobs
     when called.
@@ -63,9 +63,18 @@ def may_be_among(keys: DataFrame) -> Callable[[Column], Column]:
         table[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
     table = table.reshape(-1)
 
+    def holds(values: np.ndarray) -> np.ndarray:
+        at = _places(values, size)
+        return (table[at >> 3] >> (at & 7).astype(np.uint8) & np.uint8(1)).all(axis=0).astype(bool)
+
+    return holds
+
+
+def may_be_among(keys: DataFrame) -> Callable[[Column], Column]:
+    """Whether a column of whole numbers may be among the keys; null is not. Runs jobs when called."""
+    holds = holding(keys)
+
     def passes(values: pa.Array) -> pa.Array:
-        at = _places(values.fill_null(0).to_numpy(zero_copy_only=False), size)
-        found = (table[at >> 3] >> (at & 7).astype(np.uint8) & np.uint8(1)).all(axis=0)
-        return pa.array(found & values.is_valid().to_numpy(zero_copy_only=False))
+        return pa.array(holds(values.fill_null(0).to_numpy(zero_copy_only=False)) & values.is_valid().to_numpy(zero_copy_only=False))
 
     return F.arrow_udf(passes, "boolean")
