@@ -321,6 +321,47 @@ def test_large_components_are_exact(spark, small_blocks):
     assert mined(spark, rows) == plain_negatives(rows)
 
 
+def test_neither_vectors_nor_pairs_of_blocks_are_broadcast(spark, small_blocks, monkeypatch):
+    plans = []
+
+    def spied(df, name, store=hard_negatives.stored):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, name)
+
+    monkeypatch.setattr(hard_negatives, "stored", spied)
+    rows = vectors(4, 200, 2)
+    assert mined(spark, rows) == plain_negatives(rows)
+    assert sum("MapInArrow" in p for p in plans) == 2
+    assert not [p for p in plans if "Broadcast" in p]
+
+
+def test_many_groups_and_ranges_agree_with_one_of_each(spark, monkeypatch):
+    rows = vectors(5, 400, 3, dim=4) + [(5000 + i, i % 3, [0.25] * (i % 5)) for i in range(150)]
+    rows += [(i, (l + 1) % 3, v) for i, l, v in rows[:40] if i % 20] + [(7000 + 10 * i, 0, v) for i, (_, _, v) in enumerate(rows[40:50])]
+    expected = plain_negatives(rows, every=20)
+    assert mined(spark, rows, every=20) == expected
+    for name, value in {"BLOCK_ROWS": 32, "BLOCK_ANCHORS": 5, "GROUP_ANCHORS": 9, "TILE_ROWS": 120, "TILES": 2, "FIRST_ROWS": 3, "STEP_ROWS": 7, "FEW": 2}.items():
+        monkeypatch.setattr(hard_negatives, name, value)
+    assert mined(spark, rows, every=20) == expected
+
+
+def test_scores_take_the_smallest_type_that_is_exact():
+    a = np.array([[2000, -1], [1, 2]], np.int64)
+    for times, kind in ((1, np.float32), (1000, np.float64), (10**10, np.int64)):
+        s = hard_negatives.scores(a, a * times, 2000 * 2000 * times)
+        assert s.dtype == kind and s.astype(object).tolist() == (a.astype(object) @ (a.astype(object) * times).T).tolist()
+    with pytest.raises(ValueError):
+        hard_negatives.scores(a, a, 1 << 62)
+
+
+@pytest.mark.parametrize("shape", [(1, 1), (3, 8), (5, 13), (64, 31)])
+def test_places_of_true_ones(shape):
+    rng = np.random.default_rng(2)
+    for part in (0.0, 0.02, 1.0):
+        mask = rng.random(shape) < part
+        assert [x.tolist() for x in hard_negatives._true(mask)] == [x.tolist() for x in np.nonzero(mask)]
+
+
 def test_without_anchors_or_rows(spark):
     assert mined(spark, []) == []
     assert mined(spark, [(1, 1, [1.0]), (2, 2, [1.0])]) == []
